@@ -1,14 +1,23 @@
 """DuckDB SQL equivalents of the registered queries (views = driver tables).
 
-Written independently of the Spark code paths where possible (for example the
-expiring dedup uses a closed form with a RANGE frame here and a merged
-timer/arrival sequence in Spark), so agreement is a real cross-check.
+Written independently of the Spark code paths where possible: the expiring
+dedup uses a closed form with a RANGE frame here and a merged timer/arrival
+LAG in Spark; sessions number rows with a running count here and carry
+session starts forward in Spark; the idle watermark takes a running max of
+idle jumps here and forward-fills the last jump in Spark. Agreement is a real
+cross-check.
+
 Double literals are cast to DOUBLE: DuckDB would otherwise compare against a
 DECIMAL and round differently at the thresholds.
 """
 
 from __future__ import annotations
 
+from tideline.functions.scalar import WHITESPACE_RUN
+from tideline.sources.generators import LEHMER_MOD, LEHMER_MUL, T0_MS
+
+_H_US = 3_600_000_000
+
 _SIGNAL_CASE = """
     CASE WHEN prev = 0 AND {p} > 0 THEN 'SELL'
          WHEN prev = 0 AND {p} < 0 THEN 'BUY'
@@ -18,6 +27,79 @@ _SIGNAL_CASE = """
          WHEN {p} / prev > 1.05::DOUBLE THEN 'SELL'
     END"""
 
+_WORD_COUNT = f"""
+SELECT word, COUNT(*) AS "count"
+FROM (SELECT unnest(regexp_split_to_array(text, '{WHITESPACE_RUN}')) AS word FROM documents) t
+WHERE word <> ''
+GROUP BY word
+"""
+
+
+def _sessions(gap_us_sql: str) -> str:
+    return f"""
+WITH e AS (
+  SELECT user_id, event_id, ts, value, epoch_us(ts) AS t, epoch_us(ts) + ({gap_us_sql}) AS e_us FROM events),
+f AS (
+  SELECT *, MAX(e_us) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end FROM e),
+g AS (
+  SELECT *, SUM(CASE WHEN prev_end IS NULL OR t > prev_end THEN 1 ELSE 0 END)
+              OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM f)
+SELECT user_id, make_timestamp(MIN(t)) AS window_start, make_timestamp(MAX(e_us)) AS window_end,
+       COUNT(*) AS n, ROUND(SUM(value), 6) AS total_value
+FROM g GROUP BY user_id, sid
+"""
+
+
+def _dedup_expiring(ttl: str) -> str:
+    return f"""
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *,
+         LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts,
+         MAX(ts) OVER (PARTITION BY user_id ORDER BY ts
+                       RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL {ttl} PRECEDING) AS b
+  FROM events) t
+WHERE prev_ts IS NULL OR (b IS NOT NULL AND prev_ts < b + INTERVAL {ttl})
+"""
+
+
+def _trace(src_sql: str, ooo_ms: int, idle_ms: int, align_ms: int, delay_ms: int) -> str:
+    """Watermark trace over ``src(src_key, rid, ts_ms, arrival_ms, ...)``."""
+    return f"""
+a AS ({src_sql}),
+b AS (
+  SELECT *, MAX(ts_ms) OVER (PARTITION BY src_key ORDER BY arrival_ms, rid
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mb,
+            LAG(arrival_ms) OVER (PARTITION BY src_key ORDER BY arrival_ms, rid) AS pa
+  FROM a),
+c AS (
+  SELECT *, MAX(CASE WHEN arrival_ms - pa > {idle_ms} THEN (mb // {align_ms}) * {align_ms} + {ooo_ms + 1} END)
+              OVER (PARTITION BY src_key ORDER BY arrival_ms, rid ROWS UNBOUNDED PRECEDING) AS q
+  FROM b),
+tr AS (
+  SELECT *, mb - {delay_ms} AS wm_bounded_ms,
+         CASE WHEN q IS NULL THEN mb - {ooo_ms + 1}
+              WHEN mb IS NULL THEN q
+              ELSE greatest(mb - {ooo_ms + 1}, q) END AS wm_idle_ms
+  FROM c)"""
+
+
+_EVENTS_SRC = """
+  SELECT event_type AS src_key, event_id AS rid, event_type, event_id, value,
+         epoch_us(ts) // 1000 AS ts_ms,
+         (epoch_us(ts) + ((event_id * 7919) % 7200) * 1000000) // 1000 AS arrival_ms
+  FROM events"""
+_EVENTS_TRACE = "WITH " + _trace(_EVENTS_SRC, 3_600_000, 1_800_000, 3_600_000, 3_600_000)
+_H_MS = 3_600_000
+_LATE = f"((ts_ms // {_H_MS}) * {_H_MS} + {_H_MS}) - 1 <= wm_idle_ms"
+
+_IDLE_T0 = T0_MS + 5_500
+_IDLE_SRC = f"""
+  SELECT 0 AS src_key, event_id AS rid, 'Event' || CAST(event_id % 20 AS VARCHAR) AS name,
+         {_IDLE_T0} + event_id * 1000 AS ts_ms,
+         {_IDLE_T0} + (event_id // 20) * 70000 + (event_id % 20) * 1000 AS arrival_ms
+  FROM events"""
+
 ORACLE_SQL: dict[str, str] = {
     "price_signals": f"""
 SELECT user_id, signal, value, ts FROM (
@@ -32,5 +114,100 @@ WHERE signal IS NOT NULL
 SELECT event_id, user_id, ts, value,
        LAG(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_value
 FROM events
+""",
+    "upper_names": "SELECT UPPER(c_name) AS f0 FROM customer",
+    "add_one": "SELECT o_orderkey + 1 AS id, o_orderstatus AS data FROM orders",
+    "table_print": "SELECT CAST(FLOOR(o_totalprice) AS BIGINT) AS price, o_orderpriority AS script FROM orders",
+    "word_count": _WORD_COUNT,
+    "word_count_udtf": _WORD_COUNT,
+    "tumbling_avg": f"""
+SELECT user_id, make_timestamp(w) AS window_start, make_timestamp(w + {_H_US}) AS window_end,
+       COUNT(*) AS n, ROUND(AVG(value), 6) AS avg_value
+FROM (SELECT user_id, value, (epoch_us(ts) // {_H_US}) * {_H_US} AS w FROM events) t
+GROUP BY user_id, w
+""",
+    "tumbling_sum": f"""
+SELECT event_type, make_timestamp(w) AS window_start, make_timestamp(w + {_H_US}) AS window_end,
+       SUM(epoch_us(ts) // 1000) AS sum_ts_ms
+FROM (SELECT event_type, ts, (epoch_us(ts) // {_H_US}) * {_H_US} AS w FROM events) t
+GROUP BY event_type, w
+""",
+    "sliding_avg": f"""
+SELECT event_type, make_timestamp(w) AS window_start, make_timestamp(w + {2 * _H_US}) AS window_end,
+       COUNT(*) AS n, ROUND(AVG(value), 6) AS avg_value
+FROM (SELECT event_type, value, (epoch_us(ts) // {_H_US // 2} - k) * {_H_US // 2} AS w
+      FROM events CROSS JOIN range(4) AS r(k)) t
+GROUP BY event_type, w
+""",
+    "session_stats": _sessions(str(6 * _H_US)),
+    "session_dynamic": _sessions(
+        f"CASE event_type WHEN 'purchase' THEN 12 WHEN 'error' THEN 1 ELSE 6 END * {_H_US}"),
+    "dedup_first": """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events) t
+WHERE rn = 1
+""",
+    "dedup_unique": """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events) t
+WHERE rn = 1
+""",
+    "dedup_duplicates": """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events) t
+WHERE rn > 1
+""",
+    "dedup_expiring": _dedup_expiring("10 MINUTE"),
+    "dedup_expiring_day": _dedup_expiring("1 DAY"),
+    "watermark_trace": _EVENTS_TRACE + """
+SELECT event_type, event_id, ts_ms, arrival_ms, wm_bounded_ms, wm_idle_ms FROM tr
+""",
+    "late_rows": _EVENTS_TRACE + f"""
+SELECT event_type, event_id, ts_ms, arrival_ms, (ts_ms // {_H_MS}) * {_H_MS} AS window_start_ms,
+       (ts_ms // {_H_MS}) * {_H_MS} + {_H_MS} AS window_end_ms, wm_idle_ms
+FROM tr WHERE {_LATE}
+""",
+    "on_time_tumbling": _EVENTS_TRACE + f"""
+SELECT event_type, (ts_ms // {_H_MS}) * {_H_MS} AS window_start_ms,
+       (ts_ms // {_H_MS}) * {_H_MS} + {_H_MS} AS window_end_ms,
+       COUNT(*) AS n, ROUND(SUM(value), 6) AS total_value
+FROM tr WHERE NOT COALESCE({_LATE}, FALSE)
+GROUP BY 1, 2, 3
+""",
+    "lag_watermark": f"""
+SELECT event_type, event_id, ts_ms, arrival_ms, (ts_ms // {_H_MS}) * {_H_MS} AS window_start_ms,
+       (ts_ms // {_H_MS}) * {_H_MS} + {_H_MS} AS window_end_ms, arrival_ms - 3000000 AS wm_ms,
+       ((ts_ms // {_H_MS}) * {_H_MS} + {_H_MS}) - 1 <= arrival_ms - 3000000 AS is_late
+FROM ({_EVENTS_SRC}) a
+""",
+    "idle_cycle_window_sum": "WITH " + _trace(_IDLE_SRC, 10_000, 5_000, 10_000, 10_000) + """
+SELECT name, (ts_ms // 5000) * 5000 AS window_start_ms, (ts_ms // 5000) * 5000 + 5000 AS window_end_ms,
+       SUM(ts_ms) AS sum_ts_ms
+FROM tr
+WHERE NOT COALESCE(((ts_ms // 5000) * 5000 + 5000) - 1 <= wm_idle_ms, FALSE)
+GROUP BY 1, 2, 3
+""",
+    "generator_incremental": f"""
+SELECT event_id AS n, 'Event' || CAST(event_id AS VARCHAR) AS name,
+       {T0_MS} + event_id * 1000 AS ts_ms, {T0_MS} + event_id * 500 AS arrival_ms
+FROM events
+""",
+    "generator_idle_cycle": f"""
+SELECT event_id AS n, event_id // 20 AS cycle, 'Event' || CAST(event_id % 20 AS VARCHAR) AS name,
+       {T0_MS} + event_id * 1000 AS ts_ms,
+       {T0_MS} + (event_id // 20) * 70000 + (event_id % 20) * 1000 AS arrival_ms
+FROM events
+""",
+    "generator_random": f"""
+SELECT n, 'Event' || CAST(r1 % 10000 AS VARCHAR) AS name,
+       {T0_MS} + n * 500 - ((r1 % {LEHMER_MOD}) * {LEHMER_MUL} % {LEHMER_MOD}) % 10000 AS ts_ms,
+       {T0_MS} + n * 500 AS arrival_ms
+FROM (SELECT event_id AS n, (((event_id + 1) % {LEHMER_MOD}) * {LEHMER_MUL}) % {LEHMER_MOD} AS r1
+      FROM events) t
+""",
+    "json_roundtrip": """
+SELECT event_id, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts, value,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events
 """,
 }

@@ -1,7 +1,14 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
 Every query reads the driver's tables and runs over them whole. Column names
-match the SQL in ``tideline.plans.oracle`` one for one.
+match the SQL in ``tideline.plans.oracle`` one for one. Parameters that the
+reference states in seconds are scaled to the ``events`` table, which spans 30
+days (see ``EVENTS_*`` below); the reference's own values are the library
+defaults.
+
+Averages and double sums are rounded to 6 decimals in the output so the
+comparison does not depend on summation order; the operators themselves
+return full precision.
 """
 
 from __future__ import annotations
@@ -9,12 +16,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tideline.functions.scalar import from_json_record, plus_one, to_json_record
+from tideline.operators.dedup import dedup_expiring, keep_first, split_duplicates
 from tideline.operators.signals import price_signals, with_previous
-from tideline.sources.tables import events
+from tideline.operators.watermark import mark_late, system_lag_watermark, to_ms, watermark_trace
+from tideline.operators.windows import sessionize, sliding, tumbling
+from tideline.operators.wordcount import word_counts, word_counts_sql
+from tideline.sources import generators as gen
+from tideline.sources.tables import documents, events, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Parameters of the registered queries over `events` (30 days of ticks).
+EVENTS_TUMBLE = "1 hour"
+EVENTS_SLIDE_SIZE, EVENTS_SLIDE_STEP = "2 hours", "30 minutes"
+EVENTS_SESSION_GAP = "6 hours"
+# Per-row gap for the custom session window: hours by event type.
+EVENTS_DYNAMIC_GAP_H = {"purchase": 12, "error": 1}
+EVENTS_DYNAMIC_GAP_DEFAULT_H = 6
+EVENTS_DEDUP_KEYS = ["user_id", "event_type"]
+# Derived arrival order for replays: ts + ((event_id * 7919) mod 7200) seconds.
+ARRIVAL_MUL, ARRIVAL_MOD_S = 7919, 7200
+# Reference: 10 s out-of-orderness, 5 s idleness, 10 s alignment; scaled to hours.
+EVENTS_OOO, EVENTS_IDLE, EVENTS_ALIGN = "1 hour", "30 minutes", "1 hour"
+EVENTS_SYSTEM_LAG = "50 minutes"  # reference: 50000 ms
+# The reference's watermark job: 20 s active, 50 s idle, 10 s lateness, 5 s idle, 5 s windows.
+IDLE_JOB_T0_MS = gen.T0_MS + 5_500
+
+
+def _r6(c):
+    return F.round(c, 6)
+
+
+def with_arrival(ev: DataFrame, name: str = "arrival") -> DataFrame:
+    shift = F.pmod(F.col("event_id") * F.lit(ARRIVAL_MUL), F.lit(ARRIVAL_MOD_S))
+    return ev.withColumn(name, F.timestamp_add("SECOND", shift, F.col("ts")))
+
+
+# --- signals (W1, W2, P3-P5) -------------------------------------------------
 
 def q_price_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: BUY/SELL when a user's value moves >5% from the previous event."""
@@ -28,7 +69,218 @@ def q_lag_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_previous(ev, "user_id", "value", "ts", tie="event_id", name="prev_value")
 
 
+# --- projections and tables (P1, P2, S3, X1-X3) -------------------------------
+
+def q_upper_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table -> temp view -> ``SELECT UPPER(f0)`` -> rows."""
+    names = table(spark, sf_dir, "customer").select(F.col("c_name").alias("f0"))
+    names.createOrReplaceTempView("tideline_input_table")
+    return spark.sql("SELECT UPPER(f0) AS f0 FROM tideline_input_table")
+
+
+def q_add_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``SELECT id + 1, data``: a sequence column shifted by one, payload passed."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(plus_one(F.col("o_orderkey")).alias("id"), F.col("o_orderstatus").alias("data"))
+
+
+def q_table_print(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A two-column table printed as is: duplicate rows are kept."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.floor("o_totalprice").cast("long").alias("price"), F.col("o_orderpriority").alias("script"))
+
+
+# --- word count (P7, J1, A1, U1, U2) -------------------------------------------
+
+def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_counts(documents(spark, sf_dir), "text")
+
+
+def q_word_count_udtf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_counts_sql(spark, documents(spark, sf_dir), "text")
+
+
+# --- windows (A2, A3, T8-T11) ----------------------------------------------------
+
+def q_tumbling_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, window_start, window_end, AVG over 1-hour tumbling windows."""
+    ev = events(spark, sf_dir)
+    return tumbling(ev, ["user_id"], "ts", EVENTS_TUMBLE,
+                    [F.count(F.lit(1)).alias("n"), _r6(F.avg("value")).alias("avg_value")])
+
+
+def q_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of the epoch-ms time field per key and window (the reference's ``sum(1)``)."""
+    ev = events(spark, sf_dir)
+    ev = ev.withColumn("ts_ms", to_ms(ev, "ts"))
+    return tumbling(ev, ["event_type"], "ts", EVENTS_TUMBLE, [F.sum("ts_ms").alias("sum_ts_ms")])
+
+
+def q_sliding_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = events(spark, sf_dir)
+    return sliding(ev, ["event_type"], "ts", EVENTS_SLIDE_SIZE, EVENTS_SLIDE_STEP,
+                   [F.count(F.lit(1)).alias("n"), _r6(F.avg("value")).alias("avg_value")])
+
+
+def q_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = events(spark, sf_dir)
+    return sessionize(ev, ["user_id"], "ts", EVENTS_SESSION_GAP,
+                      [F.count(F.lit(1)).alias("n"), _r6(F.sum("value")).alias("total_value")],
+                      tie="event_id")
+
+
+def dynamic_gap_us():
+    expr = F.lit(EVENTS_DYNAMIC_GAP_DEFAULT_H)
+    cases = None
+    for t, h in EVENTS_DYNAMIC_GAP_H.items():
+        cases = (F.when(F.col("event_type") == t, F.lit(h)) if cases is None
+                 else cases.when(F.col("event_type") == t, F.lit(h)))
+    hours = cases.otherwise(expr) if cases is not None else expr
+    return hours.cast("long") * F.lit(3_600_000_000)
+
+
+def q_session_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions whose gap depends on the row (custom windowing)."""
+    ev = events(spark, sf_dir)
+    return sessionize(ev, ["user_id"], "ts", dynamic_gap_us(),
+                      [F.count(F.lit(1)).alias("n"), _r6(F.sum("value")).alias("total_value")],
+                      tie="event_id")
+
+
+# --- dedup (T1-T3) ----------------------------------------------------------------
+
+def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keep_first(events(spark, sf_dir), EVENTS_DEDUP_KEYS, "event_id")
+
+
+def q_dedup_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_duplicates(events(spark, sf_dir), EVENTS_DEDUP_KEYS, "event_id", "event_id")[0]
+
+
+def q_dedup_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_duplicates(events(spark, sf_dir), EVENTS_DEDUP_KEYS, "event_id", "event_id")[1]
+
+
+def q_dedup_expiring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expiring dedup per user with the reference's 10-minute timers."""
+    return dedup_expiring(events(spark, sf_dir), "user_id", "ts", "10 minutes", tie="event_id")
+
+
+def q_dedup_expiring_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_expiring(events(spark, sf_dir), "user_id", "ts", "1 day", tie="event_id")
+
+
+# --- watermarks and late rows (T4, T5, T7, T12, T13) ----------------------------------
+
+def _events_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = with_arrival(events(spark, sf_dir).select("event_id", "event_type", "ts", "value"))
+    return watermark_trace(ev, "event_type", "ts", "arrival", tie="event_id",
+                           out_of_orderness=EVENTS_OOO, idle=EVENTS_IDLE, align=EVENTS_ALIGN)
+
+
+def q_watermark_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tr = _events_trace(spark, sf_dir)
+    return tr.select("event_type", "event_id", "ts_ms", "arrival_ms", "wm_bounded_ms", "wm_idle_ms")
+
+
+def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows a 1-hour tumbling window would drop: their window fired before they arrived."""
+    m = mark_late(_events_trace(spark, sf_dir), "ts_ms", "wm_idle_ms", EVENTS_TUMBLE)
+    return m.filter("is_late").select("event_type", "event_id", "ts_ms", "arrival_ms",
+                                      "window_start_ms", "window_end_ms", "wm_idle_ms")
+
+
+def q_on_time_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windowed result the stream would emit: late rows silently dropped."""
+    m = mark_late(_events_trace(spark, sf_dir), "ts_ms", "wm_idle_ms", EVENTS_TUMBLE)
+    return (m.filter(~F.col("is_late"))
+             .groupBy("event_type", "window_start_ms", "window_end_ms")
+             .agg(F.count(F.lit(1)).alias("n"), _r6(F.sum("value")).alias("total_value")))
+
+
+def q_lag_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processing-time-lag watermark: a row is late when ``arrival - lag`` passed its window."""
+    ev = with_arrival(events(spark, sf_dir).select("event_id", "event_type", "ts"))
+    w = system_lag_watermark(ev, "arrival", EVENTS_SYSTEM_LAG)
+    w = w.withColumn("ts_ms", to_ms(w, "ts")).withColumn("arrival_ms", to_ms(w, "arrival"))
+    m = mark_late(w, "ts_ms", "wm_ms", EVENTS_TUMBLE)
+    return m.select("event_type", "event_id", "ts_ms", "arrival_ms", "window_start_ms",
+                    "window_end_ms", "wm_ms", "is_late")
+
+
+def q_idle_cycle_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's watermark job over ``events.event_id`` as the sequence.
+
+    Active/idle source (20 s / 50 s) -> idle-advancing watermark (10 s, 5 s)
+    -> key by name -> 5 s tumbling windows -> sum of the time field; late
+    rows are dropped. One source: the watermark trace is a single ordered
+    scan, split by arrival time.
+    """
+    seq = events(spark, sf_dir).select(F.col("event_id").alias("n"))
+    src = gen.idle_cycle(seq, "n", 20_000, 50_000, t0_ms=IDLE_JOB_T0_MS).withColumn("source", F.lit(0))
+    tr = watermark_trace(src, "source", "ts_ms", "arrival_ms", tie="n",
+                         out_of_orderness="10 seconds", idle="5 seconds", align="10 seconds")
+    m = mark_late(tr, "ts_ms", "wm_idle_ms", "5 seconds")
+    return (m.filter(~F.col("is_late"))
+             .groupBy("name", "window_start_ms", "window_end_ms")
+             .agg(F.sum("ts_ms").alias("sum_ts_ms")))
+
+
+# --- generators (S8-S10) ------------------------------------------------------------
+
+def _seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).select(F.col("event_id").alias("n"))
+
+
+def q_generator_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gen.incremental(_seq(spark, sf_dir))
+
+
+def q_generator_idle_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gen.idle_cycle(_seq(spark, sf_dir))
+
+
+def q_generator_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gen.out_of_order(_seq(spark, sf_dir))
+
+
+# --- JSON (P8) ----------------------------------------------------------------------
+
+def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decode ``props``; encode a record as ISO-8601 JSON (ms precision); decode it back."""
+    ev = events(spark, sf_dir)
+    dec = ev.withColumn("k", from_json_record(F.col("props"), "k bigint").getField("k"))
+    enc = dec.select(to_json_record("event_id", "ts", "value", "k").alias("json"))
+    back = enc.select(from_json_record(F.col("json"), "event_id bigint, ts timestamp_ntz, value double, k bigint",
+                                       "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("r"))
+    return back.select("r.event_id", "r.ts", "r.value", "r.k")
+
+
 QUERIES: dict[str, Query] = {
     "price_signals": q_price_signals,
     "lag_price": q_lag_price,
+    "upper_names": q_upper_names,
+    "add_one": q_add_one,
+    "table_print": q_table_print,
+    "word_count": q_word_count,
+    "word_count_udtf": q_word_count_udtf,
+    "tumbling_avg": q_tumbling_avg,
+    "tumbling_sum": q_tumbling_sum,
+    "sliding_avg": q_sliding_avg,
+    "session_stats": q_session_stats,
+    "session_dynamic": q_session_dynamic,
+    "dedup_first": q_dedup_first,
+    "dedup_unique": q_dedup_unique,
+    "dedup_duplicates": q_dedup_duplicates,
+    "dedup_expiring": q_dedup_expiring,
+    "dedup_expiring_day": q_dedup_expiring_day,
+    "watermark_trace": q_watermark_trace,
+    "late_rows": q_late_rows,
+    "on_time_tumbling": q_on_time_tumbling,
+    "lag_watermark": q_lag_watermark,
+    "idle_cycle_window_sum": q_idle_cycle_window_sum,
+    "generator_incremental": q_generator_incremental,
+    "generator_idle_cycle": q_generator_idle_cycle,
+    "generator_random": q_generator_random,
+    "json_roundtrip": q_json_roundtrip,
 }
