@@ -14,12 +14,14 @@ SELL_ABOVE = 1.05
 # (str.isspace), which the reference's word splitter relies on:
 # U+0009-U+000D, U+001C-U+0020, U+0085, U+00A0, U+1680, U+2000-U+200A,
 # U+2028, U+2029, U+202F, U+205F, U+3000.
-# Written once as a character class both Java regex and RE2 (DuckDB) accept.
-WHITESPACE_CLASS = (
+# Spark (Java regex): with the UNICODE_CHARACTER_CLASS flag, \s is Unicode
+# White_Space, which is that set minus U+001C-U+001F; this form is as fast as
+# a plain \s+. DuckDB (RE2) gets the same set spelled out.
+WHITESPACE_RUN = r"(?U)[\s\x{1C}-\x{1F}]+"
+WHITESPACE_RUN_RE2 = (
     r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 )
-WHITESPACE_RUN = WHITESPACE_CLASS + "+"
 
 
 def signal(price: Column, prev: Column, low: float = BUY_BELOW, high: float = SELL_ABOVE) -> Column:
@@ -46,6 +48,11 @@ def split_whitespace(text: Column) -> Column:
     return F.filter(F.split(text, WHITESPACE_RUN), lambda x: x != F.lit(""))
 
 
+def split_whitespace_raw(text: Column) -> Column:
+    """Regex split on whitespace runs; may hold one leading/trailing empty token."""
+    return F.split(text, WHITESPACE_RUN)
+
+
 def upper(c: Column) -> Column:
     return F.upper(c)
 

@@ -1,0 +1,19 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the input has fewer partitions than cores.
+
+    A file written as one big row group scans as one task however large it
+    is; CPU-heavy per-row work (tokenizing text) then runs on one core. On a
+    cluster-sized input the scan already has more splits than cores and this
+    is a no-op, so the extra shuffle is paid only where it buys parallelism.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -13,7 +13,7 @@ DECIMAL and round differently at the thresholds.
 
 from __future__ import annotations
 
-from tideline.functions.scalar import WHITESPACE_RUN
+from tideline.functions.scalar import WHITESPACE_RUN_RE2
 from tideline.sources.generators import LEHMER_MOD, LEHMER_MUL, T0_MS
 
 _H_US = 3_600_000_000
@@ -29,7 +29,7 @@ _SIGNAL_CASE = """
 
 _WORD_COUNT = f"""
 SELECT word, COUNT(*) AS "count"
-FROM (SELECT unnest(regexp_split_to_array(text, '{WHITESPACE_RUN}')) AS word FROM documents) t
+FROM (SELECT unnest(regexp_split_to_array(text, '{WHITESPACE_RUN_RE2}')) AS word FROM documents) t
 WHERE word <> ''
 GROUP BY word
 """
