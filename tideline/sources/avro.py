@@ -12,7 +12,8 @@ class AvroUnavailable(RuntimeError):
 def avro_available(spark: SparkSession) -> bool:
     """True when the ``avro`` data source can be resolved on this session."""
     try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroFileFormat")
+        conf = spark._jsparkSession.sessionState().conf()
+        spark._jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource("avro", conf)
         return True
     except Exception:
         return False
