@@ -155,3 +155,52 @@ def test_stream_expiring_dedup_processing_time(spark):
         q.stop()
     got = sorted(r.orderId for r in spark.sql(f"SELECT * FROM {name}").collect())
     assert got == [1, 1, 2, 2, 3, 3, 4, 4]
+
+
+def test_stream_idle_watermark_job_equals_batch(spark):
+    """The reference's watermark job as a stream equals the batch trace for closed windows."""
+    from tideline.plans.queries import IDLE_JOB_T0_MS, q_idle_cycle_window_sum
+    from tideline.sources import generators as gen
+    from tideline.streaming.watermark import stream_idle_watermark_windows
+
+    seq = events(spark, SF001).select(F.col("event_id").alias("n"))
+    src = gen.idle_cycle(seq, "n", 20_000, 50_000, t0_ms=IDLE_JOB_T0_MS).withColumn("source", F.lit(0))
+    d = os.path.join(tempfile.mkdtemp(prefix="tideline-idle-"), "src")
+    src.repartitionByRange(6, "arrival_ms").sortWithinPartitions("arrival_ms").write.parquet(d)
+    parts = sorted(f for f in os.listdir(d) if f.endswith(".parquet"))
+    now = time.time()
+    for i, f in enumerate(parts):
+        os.utime(os.path.join(d, f), (now - 100 + i, now - 100 + i))
+    stream = read_parquet_stream(spark, d, src.schema, 1)
+    out = stream_idle_watermark_windows(stream, "source", "name", "ts_ms", "arrival_ms", "ts_ms")
+    got = {(r.name, r.window_start_ms, r.window_end_ms): int(r.total) for r in _run(out, "t5_idle").collect()}
+    want = {(r.name, r.window_start_ms, r.window_end_ms): r.sum_ts_ms
+            for r in q_idle_cycle_window_sum(spark, SF001).collect()}
+    final_wm = src.agg(F.max("ts_ms")).first()[0] - 10_001
+    assert got.items() <= want.items()
+    assert {k for k in want if k[2] - 1 <= final_wm} <= set(got)
+
+
+def test_stream_generators(spark):
+    from tideline.sources import generators as gen
+    s = gen.incremental(gen.stream_sequence(spark, rows_per_batch=5))
+    q = memory(s, "s8_inc", processingTime="200 milliseconds")
+    try:
+        end = time.time() + 60
+        while time.time() < end and spark.sql("SELECT count(*) FROM s8_inc").first()[0] < 15:
+            time.sleep(0.25)
+    finally:
+        q.stop()
+    rows = spark.sql("SELECT * FROM s8_inc ORDER BY n").collect()
+    assert [r.n for r in rows[:15]] == list(range(15))
+    assert rows[3].name == "Event3" and rows[3].ts_ms - rows[0].ts_ms == 3000
+
+
+def test_system_lag_late_filter(spark):
+    from tideline.streaming.watermark import drop_system_lag_late
+    df = spark.createDataFrame([(1, "2024-01-01 00:00:01"), (2, "2024-01-01 00:00:09"), (3, "2024-01-01 00:00:12")],
+                               "i int, t string").withColumn("t", F.col("t").cast("timestamp"))
+    now = F.lit("2024-01-01 00:01:00").cast("timestamp")
+    # lag 50 s: wm = 00:00:10; window [0,5) and [5,10) end-1ms <= wm are late; [10,15) is not.
+    kept = drop_system_lag_late(df, "t", "5 seconds", "50 seconds", now=now).collect()
+    assert [r.i for r in kept] == [3]

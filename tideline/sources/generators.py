@@ -79,3 +79,26 @@ def random_string(c: Column, length: int, seed: int = 0) -> Column:
     parts = [F.sha2(F.concat_ws(":", F.lit(str(seed)), F.lit(str(j)), c.cast("string")), 256)
              for j in range((length + 63) // 64)]
     return F.substring(F.concat(*parts), 1, length)
+
+
+def stream_sequence(spark: SparkSession, rows_per_batch: int = 10, start: int = 0,
+                    num_partitions: int | None = None) -> DataFrame:
+    """An unbounded sequence ``n = start, start+1, ...`` as a stream.
+
+    Uses the ``rate-micro-batch`` source, which emits a fixed number of rows
+    per trigger however long a batch takes, so replays are deterministic.
+    Any generator above maps it to events: ``incremental(stream_sequence(spark))``.
+    """
+    r = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch)
+         .option("startTimestamp", 0).option("advanceMillisPerBatch", 1000))
+    if num_partitions:
+        r = r.option("numPartitions", num_partitions)
+    return r.load().select((F.col("value") + F.lit(start)).alias("n"))
+
+
+def stream_sequence_table(spark: SparkSession, start: int = 1, end: int = 10, string_length: int = 100,
+                          rows_per_batch: int = 10, seed: int = 0) -> DataFrame:
+    """Streaming form of ``sequence_table``: ids past ``end`` are filtered out."""
+    seq = stream_sequence(spark, rows_per_batch, start).filter(F.col("n") <= F.lit(end))
+    return seq.select(F.col("n").cast("int").alias("id"),
+                      random_string(F.col("n"), string_length, seed).alias("data"))
