@@ -62,15 +62,18 @@ def epoch_us(df: DataFrame, col: str) -> Column:
 
     NTZ values are read as UTC wall time, independent of the session zone.
     """
-    dt = time_type(df, col)
-    c = F.col(col)
+    return epoch_us_of(time_type(df, col), F.col(col), col)
+
+
+def epoch_us_of(dt: T.DataType, c: Column, name: str = "column") -> Column:
+    """``epoch_us`` for an expression of a known type."""
     if isinstance(dt, T.TimestampNTZType):
         return F.timestamp_diff("MICROSECOND", F.lit(_dt.datetime(1970, 1, 1)), c)
     if isinstance(dt, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dt, (T.LongType, T.IntegerType)):
         return c.cast("long") * US_PER_MS  # epoch milliseconds, as the reference's tuples
-    raise TypeError(f"column {col} has type {dt}, expected a timestamp or epoch-ms long")
+    raise TypeError(f"{name} has type {dt}, expected a timestamp or epoch-ms long")
 
 
 def ntz_from_us(us: Column) -> Column:

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.functions.time import duration_us, epoch_us
+from tideline.functions.time import duration_us, epoch_us, epoch_us_of
 
 _NULL_TIME_BUCKET = -(2 ** 63)
 # Rows of one key in one bucket, at most, when the input is split automatically.
@@ -58,13 +58,20 @@ def ffill(expr: Column | str, name: str) -> Scan:
 
 def choose_split_us(df: DataFrame, time_col: str, split="auto",
                     rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> int | None:
-    """Bucket width in microseconds, or None for the plain per-key window."""
+    """Bucket width in microseconds, or None for the plain per-key window.
+
+    ``split`` may be ``'auto'``, None, a duration string, or an int already
+    in microseconds (a decision taken once and shared by chained scans).
+    """
     if split is None:
         return None
     if split != "auto":
         return max(1, duration_us(split))
-    t = epoch_us(df, time_col)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi")).first()
+    # min/max on the raw column (cheap, vectorized); only the two results are converted.
+    dtype = df.schema[time_col].dataType
+    agg = df.agg(F.count(F.lit(1)).alias("n"), F.min(time_col).alias("lo"), F.max(time_col).alias("hi"))
+    row = agg.select("n", epoch_us_of(dtype, F.col("lo")).alias("lo"),
+                     epoch_us_of(dtype, F.col("hi")).alias("hi")).first()
     n, lo, hi = row["n"], row["lo"], row["hi"]
     if n is None or n <= rows_per_split or lo is None or hi is None or hi <= lo:
         return None
@@ -73,6 +80,12 @@ def choose_split_us(df: DataFrame, time_col: str, split="auto",
     return max(1, math.ceil((hi - lo + 1) * rows_per_split / n))
 
 
+def resolve_split(df: DataFrame, time_col: str, split="auto",
+                  rows_per_split: int = DEFAULT_ROWS_PER_SPLIT):
+    """Decide the split once for several scans over the same rows: None or an int (us)."""
+    return choose_split_us(df, time_col, split, rows_per_split)
+
+
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[Scan],
                split="auto", rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> DataFrame:
     """Add one column per ``Scan``, computed per key in ``order`` (ascending).

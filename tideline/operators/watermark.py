@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.time import US_PER_MS, duration_us, epoch_us
-from tideline.operators.ordered import DEFAULT_ROWS_PER_SPLIT, ffill, keyed_scan, lag, max_before
+from tideline.operators.ordered import DEFAULT_ROWS_PER_SPLIT, ffill, keyed_scan, lag, max_before, resolve_split
 
 
 def floor_div(c: Column, n: int) -> Column:
@@ -61,6 +61,7 @@ def watermark_trace(df: DataFrame, sources: str | list[str], time: str, arrival:
         raise ValueError("align must be positive")
     delay = ooo if bounded_delay is None else _ms(bounded_delay)
     base = df.withColumn("ts_ms", to_ms(df, time)).withColumn("arrival_ms", to_ms(df, arrival))
+    split = resolve_split(df, arrival, split, rows_per_split)
     s1 = keyed_scan(base, srcs, [arrival, *ties],
                     [max_before("ts_ms", "__max_before"), lag("arrival_ms", "__prev_arrival")],
                     split, rows_per_split)
