@@ -204,3 +204,13 @@ def test_system_lag_late_filter(spark):
     # lag 50 s: wm = 00:00:10; window [0,5) and [5,10) end-1ms <= wm are late; [10,15) is not.
     kept = drop_system_lag_late(df, "t", "5 seconds", "50 seconds", now=now).collect()
     assert [r.i for r in kept] == [3]
+
+
+def test_stream_tag_duplicates_equals_batch(spark, event_files):
+    from tideline.operators.dedup import tag_duplicates
+    keys = ["user_id", "event_type"]
+    s = stream_tag_duplicates(_stream(spark, event_files), keys, "event_id")
+    got = {r.event_id: r.is_duplicate for r in _run(s, "t2_tag").collect()}
+    want = {r.event_id: r.is_duplicate
+            for r in tag_duplicates(events(spark, SF001), keys, "event_id", "event_id").collect()}
+    assert got == want

@@ -40,12 +40,28 @@ class TagDuplicatesProcessor(StatefulProcessor):
         self.seen = handle.getValueState("seen", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
-        dup = [True] * len(pdf)
-        if not self.seen.exists():
-            dup[0] = False
-            self.seen.update((True,))
-        yield pdf.assign(is_duplicate=dup)
+        # Chunks stream through; only the earliest row seen so far is held back,
+        # so a hot key's batch is never gathered into one frame.
+        first_ever = not self.seen.exists()
+        best = None
+        for pdf in rows:
+            if pdf.empty:
+                continue
+            i = pdf[self.order].idxmin()
+            cand = pdf.loc[[i]]
+            rest = pdf.drop(index=i)
+            if best is not None and best[self.order].iloc[0] <= cand[self.order].iloc[0]:
+                rest = pd.concat([rest, cand])
+            else:
+                if best is not None:
+                    rest = pd.concat([rest, best])
+                best = cand
+            if len(rest):
+                yield rest.assign(is_duplicate=True)
+        if best is not None:
+            if first_ever:
+                self.seen.update((True,))
+            yield best.assign(is_duplicate=not first_ever)
 
     def close(self) -> None:
         pass
@@ -82,12 +98,18 @@ class ExpiringDedupProcessor(StatefulProcessor):
             for t in due:
                 self.handle.deleteTimer(t)
             self.seen.clear()
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
+        best = None
+        for pdf in rows:  # keep only the earliest row; chunks are not gathered
+            if pdf.empty:
+                continue
+            cand = pdf.loc[[pdf[self.order].idxmin()]]
+            if best is None or cand[self.order].iloc[0] < best[self.order].iloc[0]:
+                best = cand
         self.handle.registerTimer(now + self.ttl_ms)
-        if self.seen.exists():
+        if best is None or self.seen.exists():
             return
         self.seen.update((True,))
-        yield pdf.iloc[:1]
+        yield best
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.seen.clear()
