@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tideline.functions.scalar import split_whitespace_raw
 from tideline.functions.udtf import register_split_words
 from tideline.operators.partitioning import spread_if_narrow
+from tideline.session import ship_package
 
 
 def words(df: DataFrame, text: str, word: str = "word", spread: bool = True) -> DataFrame:
@@ -38,6 +39,7 @@ def word_counts(df: DataFrame, text: str, word: str = "word", count: str = "coun
 def word_counts_sql(spark: SparkSession, df: DataFrame, text: str, view: str = "tideline_text",
                     function: str = "split_words", spread: bool = True) -> DataFrame:
     """The same count through a registered Python UDTF and SQL (the reference's form)."""
+    ship_package(spark)
     register_split_words(spark, function)
     src = df.select(F.col(text).alias("line"))
     if spread:

@@ -69,3 +69,49 @@ def checkpoint_root(spark: SparkSession) -> str:
 def new_checkpoint_location(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint root for one streaming query."""
     return os.path.join(checkpoint_root(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def _pickle_worker_code_by_value() -> None:
+    """Serialize the classes that run in Python workers together with their code.
+
+    ``transformWithState`` also unpickles the processor in a driver-side
+    Python runner that does not see ``addPyFile`` paths; by-value pickling
+    makes the processors and the UDTF self-contained.
+    """
+    import importlib
+
+    from pyspark import cloudpickle
+    for name in ("tideline.functions.udtf", "tideline.streaming.signals",
+                 "tideline.streaming.dedup", "tideline.streaming.watermark"):
+        cloudpickle.register_pickle_by_value(importlib.import_module(name))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tideline`` importable in Python workers (UDTFs, stateful processors).
+
+    Zips the package once per application and registers it with
+    ``addPyFile``, so executors get it on their ``sys.path`` wherever the
+    driver was started from (the same as ``--py-files`` at submit time).
+    Worker-side classes are also pickled by value (see above).
+    """
+    _pickle_worker_code_by_value()
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import tempfile
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="tideline-pyfiles-"), f"tideline-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    p = os.path.join(d, f)
+                    z.write(p, os.path.relpath(p, root))
+    spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)

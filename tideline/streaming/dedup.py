@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.functions.time import duration_us
+from tideline.session import ship_package
 
 
 def stream_keep_first(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -69,6 +70,7 @@ class TagDuplicatesProcessor(StatefulProcessor):
 
 def stream_tag_duplicates(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """All rows plus ``is_duplicate`` (false for the first row of each key)."""
+    ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField("is_duplicate", T.BooleanType())])
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=TagDuplicatesProcessor(order), outputStructType=schema,
@@ -121,6 +123,7 @@ class ExpiringDedupProcessor(StatefulProcessor):
 
 def stream_dedup_expiring(df: DataFrame, keys: list[str], order: str, ttl="10 minutes") -> DataFrame:
     """Rows emitted by the expiring dedup; needs a processing-time trigger."""
+    ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields)
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=ExpiringDedupProcessor(order, duration_us(ttl) // 1000),

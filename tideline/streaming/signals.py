@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.functions.scalar import BUY_BELOW, SELL_ABOVE, signal
 from tideline.functions.time import as_event_time
+from tideline.session import ship_package
 
 _ROW = "t_us long, tie long, v double"
 
@@ -47,22 +48,30 @@ class EventTimeLagProcessor(StatefulProcessor):
             fresh.extend(zip(pdf["t_us"].astype("int64"), pdf["tie"].astype("int64"), pdf["v"].astype("float64")))
         if fresh:
             self.pending.appendList([(int(t), int(i), float(v)) for t, i, v in fresh])
-            for t_ms in {int(t) // 1000 for t, _, _ in fresh}:
-                self.handle.registerTimer(t_ms)
+            # One timer per key, at the earliest pending row.
+            earliest = min(int(t) for t, _, _ in fresh) // 1000
+            timers = list(self.handle.listTimers())
+            if not timers or earliest < min(timers):
+                for t in timers:
+                    self.handle.deleteTimer(t)
+                self.handle.registerTimer(earliest)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_ms = timerValues.getCurrentWatermarkInMs()
-        buf = list(self.pending.get()) if self.pending.exists() else []
+        buf = list(self.pending.get())  # empty when the list does not exist
         ready = sorted(r for r in buf if r[0] // 1000 <= wm_ms)
         if not ready:
+            if buf:
+                self.handle.registerTimer(min(r[0] for r in buf) // 1000)
             return iter([])
         keep = [r for r in buf if r[0] // 1000 > wm_ms]
         if keep:
             self.pending.put(keep)
+            self.handle.registerTimer(min(r[0] for r in keep) // 1000)
         else:
             self.pending.clear()
-        last = self.last.get() if self.last.exists() else None
+        last = self.last.get()  # None when unset
         prev, out = (last[2] if last else None), []
         for t, i, v in ready:
             out.append((t, i, v, prev))
@@ -83,6 +92,7 @@ def stream_with_previous(df: DataFrame, key: str, value: str, time: str, tie: st
 
     Output ``(key, time, tie, value, prev)``; ``time`` becomes TIMESTAMP.
     """
+    ship_package(df.sparkSession)
     ev = as_event_time(df, time)
     key_type = ev.schema[key].dataType.simpleString()
     narrow = ev.select(F.col(key), F.col(time),

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.functions.time import US_PER_MS, duration_us
+from tideline.session import ship_package
 
 _GEN = "max_ts long, last_wm long, seen_at long"
 _NO_WM = -(2 ** 63)
@@ -88,6 +89,7 @@ def stream_idle_watermark_windows(df: DataFrame, source: str, name: str, ts_ms:
                                   value: str, size="5 seconds", out_of_orderness="10 seconds",
                                   idle="5 seconds", align="10 seconds") -> DataFrame:
     """Windowed sums under the idle-advancing watermark, one state per source."""
+    ship_package(df.sparkSession)
     ms = lambda d: duration_us(d) // US_PER_MS
     narrow = df.select(F.col(source).alias("source"), F.col(name).cast("string").alias("name"),
                        F.col(ts_ms).cast("long").alias("ts_ms"), F.col(arrival_ms).cast("long").alias("arrival_ms"),
