@@ -16,6 +16,11 @@ from pyspark.sql import types as T
 US_PER_MS = 1_000
 US_PER_S = 1_000_000
 
+
+def _EPOCH_NTZ() -> Column:
+    """1970-01-01 as TIMESTAMP_NTZ: NTZ arithmetic against it never consults a time zone."""
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+
 _UNITS_US = {
     "us": 1, "microsecond": 1, "microseconds": 1,
     "ms": 1_000, "millisecond": 1_000, "milliseconds": 1_000,
@@ -68,7 +73,7 @@ def epoch_us(df: DataFrame, col: str) -> Column:
 def epoch_us_of(dt: T.DataType, c: Column, name: str = "column") -> Column:
     """``epoch_us`` for an expression of a known type."""
     if isinstance(dt, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit(_dt.datetime(1970, 1, 1)), c)
+        return F.timestamp_diff("MICROSECOND", _EPOCH_NTZ(), c)
     if isinstance(dt, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dt, (T.LongType, T.IntegerType)):
@@ -78,7 +83,7 @@ def epoch_us_of(dt: T.DataType, c: Column, name: str = "column") -> Column:
 
 def ntz_from_us(us: Column) -> Column:
     """Epoch microseconds -> TIMESTAMP_NTZ (UTC wall time)."""
-    return F.timestamp_add("MICROSECOND", us, F.lit(_dt.datetime(1970, 1, 1)))
+    return F.timestamp_add("MICROSECOND", us, _EPOCH_NTZ())
 
 
 def as_event_time(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
