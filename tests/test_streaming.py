@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import tempfile
 import time
@@ -214,3 +215,39 @@ def test_stream_tag_duplicates_equals_batch(spark, event_files):
     want = {r.event_id: r.is_duplicate
             for r in tag_duplicates(events(spark, SF001), keys, "event_id", "event_id").collect()}
     assert got == want
+
+
+def test_stream_sessions_and_sliding_equal_batch(spark, event_files):
+    from tideline.operators.windows import sessionize, sliding
+    from tideline.streaming.windows import stream_session_aggregate
+    aggs = [F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("s")]
+    ev = events(spark, SF001)
+    max_ts = ev.agg(F.max("ts")).first()[0]
+
+    def closed(rows, horizon):
+        return bag([(r[0], r.window_start.replace(tzinfo=None), r.window_end.replace(tzinfo=None), r.n, r.s)
+                    for r in rows if r.window_end.replace(tzinfo=None) < horizon])
+
+    s = stream_session_aggregate(_stream(spark, event_files), ["user_id"], "ts", "6 hours", aggs, delay="5 seconds")
+    got = _run(s, "t10_sess").collect()
+    want = sessionize(ev, ["user_id"], "ts", "6 hours", aggs, tie="event_id").collect()
+    horizon = max_ts - dt.timedelta(hours=7)
+    assert closed(got, horizon) == closed(want, horizon) and len(got) > 0
+
+    s2 = stream_window_aggregate(_stream(spark, event_files), ["event_type"], "ts", "2 hours", aggs,
+                                 slide="30 minutes", delay="5 seconds")
+    got2 = _run(s2, "t9_slide").collect()
+    want2 = sliding(ev, ["event_type"], "ts", "2 hours", "30 minutes", aggs).collect()
+    horizon2 = max_ts - dt.timedelta(hours=1)
+    assert closed(got2, horizon2) == closed(want2, horizon2)
+
+
+def test_append_to_table(spark):
+    from tideline.sinks.writers import append_to_table
+    from tideline.sources import generators as gen
+    loc = tempfile.mkdtemp(prefix="tideline-sink-")
+    spark.sql("DROP TABLE IF EXISTS tideline_sink_table")
+    spark.sql(f"CREATE TABLE tideline_sink_table (id INT, data STRING) USING parquet LOCATION '{loc}'")
+    src = gen.sequence_table(spark, 1, 10)
+    append_to_table(src.select((F.col("id") + 1).alias("id"), "data"), "tideline_sink_table")
+    assert sorted(r.id for r in spark.table("tideline_sink_table").collect()) == list(range(2, 12))
