@@ -93,3 +93,12 @@ def test_spread_if_narrow(spark):
     assert spread_if_narrow(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(0, 10, numPartitions=6)
     assert spread_if_narrow(many, 4).rdd.getNumPartitions() == 6
+
+
+def test_scale_conf():
+    from tideline.session import scale_conf
+    big = scale_conf(100 * 10 ** 12, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "50000"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
+    small = scale_conf(10 ** 6, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"

@@ -115,3 +115,28 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(p, os.path.relpath(p, root))
     spark.sparkContext.addPyFile(out)
     _SHIPPED.add(app)
+
+
+_MIB = 1 << 20
+
+
+def scale_conf(input_bytes: int, total_cores: int, scan_split_bytes: int = 512 * _MIB,
+               shuffle_partition_bytes: int = 256 * _MIB, max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+    """Scan and shuffle sizing for a job reading ``input_bytes`` on ``total_cores``.
+
+    * scans split at ``scan_split_bytes`` (fewer, larger map tasks: at 100 TB
+      and 512 MiB that is about 200k tasks, not 800k);
+    * the first shuffle starts at one partition per ``shuffle_partition_bytes``
+      of input, at least two waves of cores, at most ``max_shuffle_partitions``
+      (map x reduce shuffle blocks stay manageable); AQE then coalesces
+      toward the advisory size and splits skewed join partitions.
+    """
+    parts = max(2 * total_cores, min(max_shuffle_partitions, -(-input_bytes // shuffle_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_partition_bytes),
+    }
