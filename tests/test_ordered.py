@@ -18,16 +18,28 @@ def _scan(df, keys, split, rows_per_split=10):
         split=split, rows_per_split=rows_per_split)
 
 
-@pytest.mark.parametrize("split", ["1 day", "37 minutes", "auto"])
+@pytest.mark.parametrize("split,rows_per_split", [("1 day", 10), ("37 minutes", 10), ("auto", 10), ("auto", 70)])
 @pytest.mark.parametrize("keys", [["user_id"], ["event_type"], []])
-def test_bucketed_equals_plain(spark, split, keys):
+def test_bucketed_equals_plain(spark, split, rows_per_split, keys):
+    # rows_per_split=70 makes some users hot (split) and leaves the others whole.
     ev = events(spark, SF01)
     plain = _scan(ev, keys, None).collect()
-    split_rows = _scan(ev, keys, split).collect()
+    split_rows = _scan(ev, keys, split, rows_per_split).collect()
     assert len(plain) == 10000
     assert bag(plain) == bag(split_rows)
 
 
+def test_auto_plan_marks_only_hot_keys(spark):
+    from tideline.operators.ordered import plan_split
+    ev = events(spark, SF01)
+    plan = plan_split(ev, ["user_id"], "ts", "auto", rows_per_split=70)
+    n_hot = plan.hot.count()
+    counts = ev.groupBy("user_id").count()
+    assert n_hot == counts.filter("count > 70").count() > 0
+    assert n_hot < counts.count()
+    assert plan_split(ev, ["user_id"], "ts", "auto", rows_per_split=10_000) is None
+
+
 def test_matches_duckdb(spark, duck):
     ev = events(spark, SF01)
     got = _scan(ev, ["user_id"], "6 hours").select("event_id", "prev_v", "max_v", "last_click").collect()

@@ -6,23 +6,28 @@ order. A plain ``Window.partitionBy(key).orderBy(time)`` sends every row of a
 key to one task, so a key that holds a third of the data becomes one task
 sorting a third of the data.
 
-``keyed_scan`` splits each key's timeline into time buckets and runs the
-window on ``(key, bucket)``. The only information that crosses a bucket
-boundary is one value per scan (the last value, the running max, the last
-non-null value of the earlier buckets). That is computed from a per-bucket
-summary (a partial aggregate, so it is combined map-side) with a window over
-the summary, which holds one row per non-empty bucket. The carried value is
-injected as one extra row at the head of each bucket, so the main data is
-shuffled exactly once, on ``(key, bucket)``.
-
-Bucket width is picked from a one-pass count/min/max when ``split='auto'``:
-inputs small enough to sort per key in one task use the plain window.
+``keyed_scan`` splits the timeline of each *hot* key into time buckets and
+runs the window on ``(key, bucket)``; other keys keep a single bucket. The
+only information that crosses a bucket boundary is one value per scan (the
+last value, the running max, the last non-null value of the earlier
+buckets). It comes from a per-bucket summary of the hot keys (a partial
+aggregate, combined map-side) and a window over that summary, which holds
+one row per non-empty bucket. The carried value is injected as one extra row
+at the head of each bucket, so the main data is shuffled exactly once, on
+``(key, bucket)``.
+
+With ``split='auto'`` one hash aggregate per key (count, min, max of time)
+finds the hot keys: those with more than ``rows_per_split`` rows. There are
+at most ``rows / rows_per_split`` of them, so the table of hot keys and their
+bucket widths has a proven size bound and is broadcast. Each hot key gets a
+width that puts about ``rows_per_split`` of its rows in a bucket when its
+times are spread evenly. Without hot keys the plan is the plain window.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +35,7 @@ from pyspark.sql import functions as F
 from tideline.functions.time import duration_us, epoch_us, epoch_us_of
 
 _NULL_TIME_BUCKET = -(2 ** 63)
-# Rows of one key in one bucket, at most, when the input is split automatically.
+# A key with more rows than this is split into time buckets of about this many rows.
 DEFAULT_ROWS_PER_SPLIT = 4_000_000
 
 
@@ -56,34 +61,45 @@ def ffill(expr: Column | str, name: str) -> Scan:
     return Scan("ffill", F.col(expr) if isinstance(expr, str) else expr, name)
 
 
-def choose_split_us(df: DataFrame, time_col: str, split="auto",
-                    rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> int | None:
-    """Bucket width in microseconds, or None for the plain per-key window.
+@dataclass(frozen=True)
+class SplitPlan:
+    """How a scan is split: every key by one width, or only the listed hot keys."""
+    width_us: int | None = None          # one width for all keys
+    hot: DataFrame | None = None         # (keys..., __w) for hot keys only
+
 
-    ``split`` may be ``'auto'``, None, a duration string, or an int already
-    in microseconds (a decision taken once and shared by chained scans).
+def plan_split(df: DataFrame, keys: list[str], time_col: str, split="auto",
+               rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> SplitPlan | None:
+    """Decide the split once; the result can be shared by chained scans.
+
+    ``split``: ``'auto'``, None (plain window), a duration / int microseconds
+    (every key bucketed by that width), or an existing ``SplitPlan``.
     """
-    if split is None:
-        return None
+    if split is None or isinstance(split, SplitPlan):
+        return split
     if split != "auto":
-        return max(1, duration_us(split))
-    # min/max on the raw column (cheap, vectorized); only the two results are converted.
+        return SplitPlan(width_us=max(1, duration_us(split)))
     dtype = df.schema[time_col].dataType
-    agg = df.agg(F.count(F.lit(1)).alias("n"), F.min(time_col).alias("lo"), F.max(time_col).alias("hi"))
-    row = agg.select("n", epoch_us_of(dtype, F.col("lo")).alias("lo"),
-                     epoch_us_of(dtype, F.col("hi")).alias("hi")).first()
-    n, lo, hi = row["n"], row["lo"], row["hi"]
-    if n is None or n <= rows_per_split or lo is None or hi is None or hi <= lo:
+    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(time_col).alias("__lo"),
+                                  F.max(time_col).alias("__hi"))
+    lo, hi = epoch_us_of(dtype, F.col("__lo")), epoch_us_of(dtype, F.col("__hi"))
+    width = F.greatest(F.lit(1).cast("long"),
+                       F.ceil((hi - lo + F.lit(1)) * F.lit(rows_per_split) / F.col("__n")).cast("long"))
+    hot = (stats.filter((F.col("__n") > F.lit(rows_per_split)) & (hi > lo))
+                .select(*keys, width.alias("__w")))
+    # At most rows / rows_per_split hot keys: a small table, materialized once.
+    rows = hot.collect()
+    if not rows:
         return None
-    # Even if every row belonged to one key, a bucket would hold about
-    # rows_per_split rows when times are spread evenly.
-    return max(1, math.ceil((hi - lo + 1) * rows_per_split / n))
+    if not keys:
+        return SplitPlan(width_us=int(rows[0]["__w"]))
+    return SplitPlan(hot=df.sparkSession.createDataFrame(rows, hot.schema))
 
 
-def resolve_split(df: DataFrame, time_col: str, split="auto",
-                  rows_per_split: int = DEFAULT_ROWS_PER_SPLIT):
-    """Decide the split once for several scans over the same rows: None or an int (us)."""
-    return choose_split_us(df, time_col, split, rows_per_split)
+def resolve_split(df: DataFrame, keys: list[str], time_col: str, split="auto",
+                  rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> SplitPlan | None:
+    """Alias of ``plan_split`` for operators that chain several scans."""
+    return plan_split(df, keys, time_col, split, rows_per_split)
 
 
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[Scan],
@@ -92,16 +108,16 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[Sca
 
     ``order[0]`` must be the event-time column (timestamp or epoch-ms long);
     further columns break ties. ``split`` is ``'auto'``, ``None`` (plain
-    window) or a fixed bucket width such as ``'1 day'``.
+    window), a fixed bucket width such as ``'1 day'``, or a ``SplitPlan``.
     """
-    width = choose_split_us(df, order[0], split, rows_per_split)
+    plan = plan_split(df, keys, order[0], split, rows_per_split)
     cols = df.columns
     tmp = [f"__s{i}" for i in range(len(scans))]
     base = df
     for c, s in zip(tmp, scans):
         base = base.withColumn(c, s.expr)
 
-    if width is None:
+    if plan is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         out = base
         for c, s in zip(tmp, scans):
@@ -109,11 +125,21 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[Sca
         return out.select(*cols, *[s.name for s in scans])
 
     t = epoch_us(df, order[0])
-    bucket = F.when(t.isNull(), F.lit(_NULL_TIME_BUCKET)).otherwise(F.floor(t / F.lit(width))).cast("long")
+    if plan.width_us is not None:
+        width = F.lit(plan.width_us)
+    else:
+        hot = plan.hot.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)], "__w")
+        cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hk{i}")) for i, k in enumerate(keys)])
+        base = base.join(F.broadcast(hot), cond, "left").drop(*[f"__hk{i}" for i in range(len(keys))])
+        width = F.col("__w")
+    bucket = (F.when(width.isNull(), F.lit(0))  # not a hot key: one bucket
+               .when(t.isNull(), F.lit(_NULL_TIME_BUCKET))
+               .otherwise(F.floor(t / width)).cast("long"))
     base = base.withColumn("__b", bucket)
 
-    # One summary row per non-empty (key, bucket); partial aggregation keeps
-    # the shuffle at (keys x buckets) rows, whatever the skew.
+    # One summary row per non-empty (hot key, bucket); partial aggregation
+    # keeps that shuffle at (keys x buckets) rows, whatever the skew.
+    split_rows = base if plan.width_us is not None else base.filter(F.col("__w").isNotNull())
     order_struct = F.struct(*[F.col(o) for o in order])
     aggs = []
     for c, s in zip(tmp, scans):
@@ -125,9 +151,10 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[Sca
             aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(c))
         else:
             raise ValueError(s.kind)
-    summary = base.groupBy(*keys, "__b").agg(*aggs)
+    summary = split_rows.groupBy(*keys, "__b").agg(*aggs)
 
-    # Value carried into each bucket from all earlier buckets of its key.
+    # Value carried into each bucket from all earlier buckets of its key; the
+    # first bucket of a key receives nothing.
     wb = Window.partitionBy(*keys).orderBy("__b")
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
     carried = []
@@ -138,9 +165,14 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[Sca
             carried.append(F.max(c).over(before).alias(c))
         else:
             carried.append(F.last(c, ignorenulls=True).over(before).alias(c))
-    carry = summary.select(*keys, "__b", *carried, F.lit(0).alias("__k"))
+    carry = (summary.select(*keys, "__b", *carried, F.lag(F.lit(1)).over(wb).alias("__has_prev"))
+                    .filter(F.col("__has_prev").isNotNull())
+                    .drop("__has_prev")
+                    .withColumn("__k", F.lit(0)))
 
     rows = base.withColumn("__k", F.lit(1))
+    if "__w" in rows.columns:
+        rows = rows.drop("__w")
     merged = rows.unionByName(carry, allowMissingColumns=True)
     w = Window.partitionBy(*keys, "__b").orderBy("__k", *order)
     out = merged
@@ -157,3 +189,14 @@ def _window_expr(kind: str, c: str, w) -> Column:
     if kind == "ffill":
         return F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     raise ValueError(kind)
+
+
+def choose_split_us(df: DataFrame, time_col: str, split="auto",
+                    rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> int | None:
+    """Bucket width if all rows were one key, or None when no split is needed."""
+    if split is None:
+        return None
+    if split != "auto":
+        return max(1, duration_us(split))
+    p = plan_split(df, [], time_col, "auto", rows_per_split)
+    return None if p is None else p.width_us

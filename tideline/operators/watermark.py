@@ -61,7 +61,7 @@ def watermark_trace(df: DataFrame, sources: str | list[str], time: str, arrival:
         raise ValueError("align must be positive")
     delay = ooo if bounded_delay is None else _ms(bounded_delay)
     base = df.withColumn("ts_ms", to_ms(df, time)).withColumn("arrival_ms", to_ms(df, arrival))
-    split = resolve_split(df, arrival, split, rows_per_split)
+    split = resolve_split(df, srcs, arrival, split, rows_per_split)
     s1 = keyed_scan(base, srcs, [arrival, *ties],
                     [max_before("ts_ms", "__max_before"), lag("arrival_ms", "__prev_arrival")],
                     split, rows_per_split)

@@ -70,7 +70,7 @@ def assign_sessions(df: DataFrame, keys: list[str], time: str, gap, tie: str | l
     t = epoch_us(df, time)
     gap_us = gap if isinstance(gap, Column) else F.lit(duration_us(gap))
     base = df.withColumn("__t_us", t).withColumn("__end_us", t + gap_us.cast("long"))
-    split = resolve_split(df, time, split, rows_per_split)
+    split = resolve_split(df, keys, time, split, rows_per_split)
     s1 = keyed_scan(base, keys, [time, *ties], [max_before("__end_us", "__prev_end")], split, rows_per_split)
     starts = F.when(F.col("__prev_end").isNull() | (F.col("__t_us") > F.col("__prev_end")), F.col("__t_us"))
     s2 = keyed_scan(s1.withColumn("__start_flag", starts), keys, [time, *ties],
