@@ -56,9 +56,11 @@ def test_stream_keep_first_equals_batch(spark, event_files):
     assert bag(got) == bag(want)
 
 
-def test_stream_lag_equals_batch(spark, event_files):
-    s = stream_with_previous(_stream(spark, event_files), "user_id", "value", "ts", tie="event_id", delay="5 seconds")
-    got = {r.event_id: r.prev for r in _run(s, "t6_lag").collect()}
+@pytest.mark.parametrize("engine", ["group_state", "state_v2"])
+def test_stream_lag_equals_batch(spark, event_files, engine):
+    s = stream_with_previous(_stream(spark, event_files), "user_id", "value", "ts", tie="event_id",
+                             delay="5 seconds", engine=engine)
+    got = {r.event_id: r.prev for r in _run(s, "t6_lag_" + engine).collect()}
     batch = with_previous(events(spark, SF001), "user_id", "value", "ts", tie="event_id").collect()
     want = {r.event_id: r.prev for r in batch}
     max_ts = max(r.ts for r in batch)

@@ -86,11 +86,53 @@ class EventTimeLagProcessor(StatefulProcessor):
         pass
 
 
+_GROUP_STATE = "has_last boolean, last_v double, pend_t array<long>, pend_i array<long>, pend_v array<double>"
+
+
+def _lag_with_group_state(key_name: str):
+    """``applyInPandasWithState`` body: same rule as ``EventTimeLagProcessor``.
+
+    The key's state (last price + rows not yet passed by the watermark)
+    travels with the batch instead of one state-store call per access, and
+    one event-time timeout per key is set at the earliest pending row.
+    """
+    def fn(key, pdfs, state):
+        wm_ms = state.getCurrentWatermarkMs()
+        if state.exists:
+            has_last, last_v, pt, pi, pv = state.get
+            pend = list(zip(pt, pi, pv))
+        else:
+            has_last, last_v, pend = False, None, []
+        for pdf in pdfs:
+            if wm_ms > 0:
+                pdf = pdf[pdf["t_us"] // 1000 > wm_ms]  # late rows are dropped
+            pend.extend(zip(pdf["t_us"].astype("int64").tolist(), pdf["tie"].astype("int64").tolist(),
+                            pdf["v"].astype("float64").tolist()))
+        ready = sorted(r for r in pend if r[0] // 1000 <= wm_ms)
+        keep = [r for r in pend if r[0] // 1000 > wm_ms]
+        out = []
+        prev = last_v if has_last else None
+        for t, i, v in ready:
+            out.append((key[0], t, i, v, prev))
+            prev = v
+        if ready:
+            has_last, last_v = True, ready[-1][2]
+        state.update((has_last, last_v, [r[0] for r in keep], [r[1] for r in keep], [r[2] for r in keep]))
+        if keep:
+            state.setTimeoutTimestamp(min(r[0] for r in keep) // 1000)
+        if out:
+            yield pd.DataFrame(out, columns=[key_name, "t_us", "tie", "v", "prev"])
+    return fn
+
+
 def stream_with_previous(df: DataFrame, key: str, value: str, time: str, tie: str | None = None,
-                         delay: str = "5 seconds") -> DataFrame:
+                         delay: str = "5 seconds", engine: str = "group_state") -> DataFrame:
     """Streaming ``LAG(value) OVER (PARTITION BY key ORDER BY time)``.
 
     Output ``(key, time, tie, value, prev)``; ``time`` becomes TIMESTAMP.
+    ``engine``: ``'group_state'`` (``applyInPandasWithState``, faster: the
+    state moves with the batch) or ``'state_v2'`` (``transformWithStateInPandas``
+    with ListState/ValueState and timers).
     """
     ship_package(df.sparkSession)
     ev = as_event_time(df, time)
@@ -99,19 +141,25 @@ def stream_with_previous(df: DataFrame, key: str, value: str, time: str, tie: st
                        F.unix_micros(F.col(time)).alias("t_us"),
                        (F.col(tie).cast("long") if tie else F.lit(0).cast("long")).alias("tie"),
                        F.col(value).cast("double").alias("v")).withWatermark(time, delay)
-    out = narrow.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=EventTimeLagProcessor([key]),
-        outputStructType=f"{key} {key_type}, t_us long, tie long, v double, prev double",
-        outputMode="Append", timeMode="EventTime")
+    schema = f"{key} {key_type}, t_us long, tie long, v double, prev double"
+    if engine == "group_state":
+        out = narrow.groupBy(key).applyInPandasWithState(
+            _lag_with_group_state(key), schema, _GROUP_STATE, "append", "EventTimeTimeout")
+    elif engine == "state_v2":
+        out = narrow.groupBy(key).transformWithStateInPandas(
+            statefulProcessor=EventTimeLagProcessor([key]), outputStructType=schema,
+            outputMode="Append", timeMode="EventTime")
+    else:
+        raise ValueError(f"unknown engine {engine!r}")
     return out.select(F.col(key), F.timestamp_micros(F.col("t_us")).alias(time),
                       F.col("tie").alias(tie or "tie"), F.col("v").alias(value), F.col("prev"))
 
 
 def stream_price_signals(df: DataFrame, key: str, price: str, time: str, tie: str | None = None,
                          delay: str = "5 seconds", low: float = BUY_BELOW,
-                         high: float = SELL_ABOVE) -> DataFrame:
+                         high: float = SELL_ABOVE, engine: str = "group_state") -> DataFrame:
     """The BUY/SELL job on a stream: ``(key, signal, price, time)``."""
-    lagged = stream_with_previous(df, key, price, time, tie, delay)
+    lagged = stream_with_previous(df, key, price, time, tie, delay, engine)
     out = lagged.select(F.col(key), signal(F.col(price), F.col("prev"), low, high).alias("signal"),
                         F.col(price), F.col(time))
     return out.filter(F.col("signal").isNotNull())
