@@ -102,3 +102,27 @@ def test_scale_conf():
     assert big["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
     small = scale_conf(10 ** 6, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_edges_window_end_session_gap_empty_line_negative_duration(spark):
+    import pytest as _pytest
+    from tideline.functions.time import duration_us
+    from tideline.operators.wordcount import words
+    df = spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-01 01:00:00"), (3, "2024-01-01 01:59:59.999999")],
+                               "i int, t string").withColumn("t", F.col("t").cast("timestamp_ntz")).withColumn("k", F.lit(1))
+    # A row exactly at a window end opens the next window: [start, end).
+    t = {r.window_start.hour: r.n for r in tumbling(df, ["k"], "t", "1 hour", [F.count(F.lit(1)).alias("n")]).collect()}
+    assert t == {0: 1, 1: 2}
+    # A row exactly one gap after the previous stays in the session (Spark's rule); one microsecond more splits it.
+    s = sessionize(df, ["k"], "t", "1 hour", [F.count(F.lit(1)).alias("n")], tie="i").collect()
+    assert [r.n for r in s] == [3]
+    s2 = sessionize(df, ["k"], "t", 3_599_999_999, [F.count(F.lit(1)).alias("n")], tie="i").collect()
+    assert sorted(r.n for r in s2) == [1, 2]  # gap 1 h - 1 us: 0:00 -> 1:00 splits, 1:00 -> 1:59:59.999999 stays
+    # Empty and blank lines produce no words (the lateral join drops the row).
+    lines = spark.createDataFrame([("",), ("   ",), (None,), (" a  b ",)], "line string")
+    assert sorted(r.word for r in words(lines, "line").collect()) == ["a", "b"]
+    # Negative durations are rejected, as the reference rejects negative lateness/idleness.
+    with _pytest.raises(ValueError):
+        duration_us("-5 seconds")
+    with _pytest.raises(ValueError):
+        duration_us(-1)
