@@ -117,7 +117,7 @@ FROM events
 """,
     "upper_names": "SELECT UPPER(c_name) AS f0 FROM customer",
     "add_one": "SELECT o_orderkey + 1 AS id, o_orderstatus AS data FROM orders",
-    "table_print": "SELECT CAST(FLOOR(o_totalprice) AS BIGINT) AS price, o_orderpriority AS script FROM orders",
+    "literal_rows": "SELECT CAST(FLOOR(o_totalprice) AS BIGINT) AS price, o_orderpriority AS script FROM orders",
     "word_count": _WORD_COUNT,
     "word_count_udtf": _WORD_COUNT,
     "tumbling_avg": f"""

@@ -84,7 +84,7 @@ def q_add_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(plus_one(F.col("o_orderkey")).alias("id"), F.col("o_orderstatus").alias("data"))
 
 
-def q_table_print(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A two-column table printed as is: duplicate rows are kept."""
     o = table(spark, sf_dir, "orders")
     return o.select(F.floor("o_totalprice").cast("long").alias("price"), F.col("o_orderpriority").alias("script"))
@@ -261,7 +261,7 @@ QUERIES: dict[str, Query] = {
     "lag_price": q_lag_price,
     "upper_names": q_upper_names,
     "add_one": q_add_one,
-    "table_print": q_table_print,
+    "literal_rows": q_literal_rows,
     "word_count": q_word_count,
     "word_count_udtf": q_word_count_udtf,
     "tumbling_avg": q_tumbling_avg,
