@@ -63,3 +63,13 @@ def test_null_times_sort_first(spark):
         out = keyed_scan(df, ["k"], ["ts", "event_id"], [lag("v", "p")], split=split)
         got = {r.v: r.p for r in out.collect()}
         assert got == {5.0: None, 1.0: 5.0, 2.0: 1.0, 3.0: 2.0}
+
+
+def test_too_many_hot_keys_falls_back_to_one_width(spark, monkeypatch):
+    import tideline.operators.ordered as o
+    ev = events(spark, SF01)
+    monkeypatch.setattr(o, "MAX_HOT_KEYS", 5)
+    plan = o.plan_split(ev, ["user_id"], "ts", "auto", rows_per_split=10)
+    assert plan.hot is None and plan.width_us > 0
+    got = _scan(ev, ["user_id"], plan).collect()
+    assert bag(got) == bag(_scan(ev, ["user_id"], None).collect())

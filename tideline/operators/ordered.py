@@ -37,6 +37,8 @@ from tideline.functions.time import duration_us, epoch_us, epoch_us_of
 _NULL_TIME_BUCKET = -(2 ** 63)
 # A key with more rows than this is split into time buckets of about this many rows.
 DEFAULT_ROWS_PER_SPLIT = 4_000_000
+# Most hot keys listed individually; beyond it every key shares one bucket width.
+MAX_HOT_KEYS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -88,11 +90,15 @@ def plan_split(df: DataFrame, keys: list[str], time_col: str, split="auto",
     hot = (stats.filter((F.col("__n") > F.lit(rows_per_split)) & (hi > lo))
                 .select(*keys, width.alias("__w")))
     # At most rows / rows_per_split hot keys: a small table, materialized once.
-    rows = hot.collect()
+    rows = hot.limit(MAX_HOT_KEYS + 1).collect()
     if not rows:
         return None
     if not keys:
         return SplitPlan(width_us=int(rows[0]["__w"]))
+    if len(rows) > MAX_HOT_KEYS:
+        # So many large keys that listing them is not worth it: bucket every
+        # key with the narrowest width any hot key needs.
+        return SplitPlan(width_us=int(hot.agg(F.min("__w")).first()[0]))
     return SplitPlan(hot=df.sparkSession.createDataFrame(rows, hot.schema))
 
 
@@ -189,14 +195,3 @@ def _window_expr(kind: str, c: str, w) -> Column:
     if kind == "ffill":
         return F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     raise ValueError(kind)
-
-
-def choose_split_us(df: DataFrame, time_col: str, split="auto",
-                    rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> int | None:
-    """Bucket width if all rows were one key, or None when no split is needed."""
-    if split is None:
-        return None
-    if split != "auto":
-        return max(1, duration_us(split))
-    p = plan_split(df, [], time_col, "auto", rows_per_split)
-    return None if p is None else p.width_us
