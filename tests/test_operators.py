@@ -126,3 +126,17 @@ def test_edges_window_end_session_gap_empty_line_negative_duration(spark):
         duration_us("-5 seconds")
     with _pytest.raises(ValueError):
         duration_us(-1)
+
+
+def test_bucketed_table_avoids_shuffle(spark):
+    import tempfile
+    from tideline.operators.signals import with_previous
+    from tideline.sources.tables import save_bucketed
+    ev = events(spark, SF01)
+    save_bucketed(ev, "tideline_events_by_user", ["user_id"], 8, tempfile.mkdtemp(prefix="tideline-bkt-"),
+                  sort_by=["ts", "event_id"])
+    t = spark.table("tideline_events_by_user")
+    out = with_previous(t, "user_id", "value", "ts", tie="event_id", split=None)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert bag(out.collect()) == bag(with_previous(ev, "user_id", "value", "ts", tie="event_id", split=None).collect())

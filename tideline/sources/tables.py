@@ -28,3 +28,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
+
+
+def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str,
+                  sort_by: list[str] | None = None) -> None:
+    """Store ``df`` hash-bucketed by ``keys`` (and sorted within buckets) as a table at ``path``.
+
+    Several keyed jobs over the same events (signals, sessions, dedup,
+    watermark traces) then read partitions already clustered by key: a
+    window or aggregate on ``keys`` needs no shuffle. ``path`` should be in
+    shared storage; choose ``buckets`` so one bucket file is a few hundred MB.
+    """
+    w = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys)
+    if sort_by:
+        w = w.sortBy(*sort_by)
+    w.saveAsTable(table)
