@@ -253,3 +253,15 @@ def test_append_to_table(spark):
     src = gen.sequence_table(spark, 1, 10)
     append_to_table(src.select((F.col("id") + 1).alias("id"), "data"), "tideline_sink_table")
     assert sorted(r.id for r in spark.table("tideline_sink_table").collect()) == list(range(2, 12))
+
+
+def test_stream_udtf_word_count(spark):
+    from tideline.operators.wordcount import word_counts_sql
+    d = tempfile.mkdtemp(prefix="tideline-udtf-")
+    for i, chunk in enumerate(["Hi\nHello Hi\n", "Hi\nHey\nHi\n"]):
+        with open(os.path.join(d, f"part{i}.csv"), "w") as f:
+            f.write(chunk)
+    lines = read_csv(spark, d, "word string", stream=True, max_files_per_trigger=1)
+    counts = word_counts_sql(spark, lines, "word", view="tideline_stream_lines")
+    out = _run(counts, "j1_udtf_stream", mode="complete").collect()
+    assert {r.word: r["count"] for r in out} == {"Hi": 4, "Hello": 1, "Hey": 1}

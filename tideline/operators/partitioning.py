@@ -13,6 +13,8 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     cluster-sized input the scan already has more splits than cores and this
     is a no-op, so the extra shuffle is paid only where it buys parallelism.
     """
+    if df.isStreaming:  # micro-batch partitioning comes from the source
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
