@@ -265,3 +265,45 @@ def test_stream_udtf_word_count(spark):
     counts = word_counts_sql(spark, lines, "word", view="tideline_stream_lines")
     out = _run(counts, "j1_udtf_stream", mode="complete").collect()
     assert {r.word: r["count"] for r in out} == {"Hi": 4, "Hello": 1, "Hey": 1}
+
+
+def test_stream_dynamic_gap_sessions_equal_batch(spark, event_files):
+    from tideline.operators.windows import sessionize
+    from tideline.plans.queries import dynamic_gap_us
+    from tideline.streaming.windows import stream_session_aggregate
+    aggs = [F.count(F.lit(1)).alias("n")]
+    gap = (F.when(F.col("event_type") == "purchase", F.lit("12 hours"))
+            .when(F.col("event_type") == "error", F.lit("1 hours")).otherwise(F.lit("6 hours")))
+    got = _run(stream_session_aggregate(_stream(spark, event_files), ["user_id"], "ts", gap, aggs, delay="5 seconds"),
+               "t11_sess").collect()
+    ev = events(spark, SF001)
+    want = sessionize(ev, ["user_id"], "ts", dynamic_gap_us(), aggs, tie="event_id").collect()
+    horizon = ev.agg(F.max("ts")).first()[0] - dt.timedelta(hours=13)
+
+    def closed(rows):
+        return bag([(r.user_id, r.window_start.replace(tzinfo=None), r.window_end.replace(tzinfo=None), r.n)
+                    for r in rows if r.window_end.replace(tzinfo=None) < horizon])
+    assert closed(got) == closed(want) and len(got) > 0
+
+
+def test_stream_lag_drops_late_rows(spark):
+    base = tempfile.mkdtemp(prefix="tideline-late-")
+    src = os.path.join(base, "in")
+    rows = [[("A", "2024-01-01 00:00:00", 1, 10.0), ("A", "2024-01-01 00:01:00", 2, 11.0)],
+            [("A", "2024-01-01 00:00:30", 3, 99.0), ("A", "2024-01-01 00:02:00", 4, 12.0)],  # 00:00:30 is late
+            [("A", "2024-01-01 00:10:00", 5, 13.0)]]
+    now = time.time()
+    for i, chunk in enumerate(rows):
+        df = spark.createDataFrame(chunk, "sym string, t string, i long, p double") \
+            .withColumn("t", F.col("t").cast("timestamp"))
+        d = os.path.join(base, "stage", str(i))
+        df.coalesce(1).write.parquet(d)
+        f = [x for x in os.listdir(d) if x.endswith(".parquet")][0]
+        os.makedirs(src, exist_ok=True)
+        os.rename(os.path.join(d, f), os.path.join(src, f"{i}.parquet"))
+        os.utime(os.path.join(src, f"{i}.parquet"), (now - 100 + i, now - 100 + i))
+    stream = read_parquet_stream(spark, src, "sym string, t timestamp, i long, p double", 1)
+    out = stream_with_previous(stream, "sym", "p", "t", tie="i", delay="5 seconds")
+    got = {r.i: r.prev for r in _run(out, "t6_late").collect()}
+    assert 3 not in got                      # behind the watermark (00:00:55) when it arrived
+    assert got[1] is None and got[2] == 10.0 and got[4] == 11.0
