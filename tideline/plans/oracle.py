@@ -27,6 +27,19 @@ _SIGNAL_CASE = """
          WHEN {p} / prev > 1.05::DOUBLE THEN 'SELL'
     END"""
 
+def _avg6(col: str) -> str:
+    """Exact AVG rounded half-up to 6 decimals, matching the Spark side step by step.
+
+    The sum is exact in DECIMAL(38,8) (as integer units of 1e-8); the mean is
+    rounded half-up to 12 places (Spark's decimal AVG), then to 6; the exact
+    decimal becomes a double by one correctly rounded division.
+    """
+    s8 = f"CAST(SUM(CAST({col} AS DECIMAL(38,8))) * 100000000 AS HUGEINT)"
+    q12 = f"(sign({s8}) * ((2 * abs({s8}) * 10000 + COUNT({col})) // (2 * COUNT({col}))))"
+    q6 = f"(sign({q12}) * ((2 * abs({q12}) + 1000000) // 2000000))"
+    return f"(CAST({q6} AS DOUBLE) / 1000000.0)"
+
+
 _WORD_COUNT = f"""
 SELECT word, COUNT(*) AS "count"
 FROM (SELECT unnest(regexp_split_to_array(text, '{WHITESPACE_RUN_RE2}')) AS word FROM documents) t
@@ -122,7 +135,7 @@ FROM events
     "word_count_udtf": _WORD_COUNT,
     "tumbling_avg": f"""
 SELECT user_id, make_timestamp(w) AS window_start, make_timestamp(w + {_H_US}) AS window_end,
-       COUNT(*) AS n, ROUND(AVG(value), 6) AS avg_value
+       COUNT(*) AS n, {_avg6('value')} AS avg_value
 FROM (SELECT user_id, value, (epoch_us(ts) // {_H_US}) * {_H_US} AS w FROM events) t
 GROUP BY user_id, w
 """,
@@ -134,7 +147,7 @@ GROUP BY event_type, w
 """,
     "sliding_avg": f"""
 SELECT event_type, make_timestamp(w) AS window_start, make_timestamp(w + {2 * _H_US}) AS window_end,
-       COUNT(*) AS n, ROUND(AVG(value), 6) AS avg_value
+       COUNT(*) AS n, {_avg6('value')} AS avg_value
 FROM (SELECT event_type, value, (epoch_us(ts) // {_H_US // 2} - k) * {_H_US // 2} AS w
       FROM events CROSS JOIN range(4) AS r(k)) t
 GROUP BY event_type, w

@@ -6,9 +6,9 @@ reference states in seconds are scaled to the ``events`` table, which spans 30
 days (see ``EVENTS_*`` below); the reference's own values are the library
 defaults.
 
-Averages and double sums are rounded to 6 decimals in the output so the
-comparison does not depend on summation order; the operators themselves
-return full precision.
+Averages are computed in decimal and rounded half-up to 6 decimals, and
+double sums are rounded to 6 decimals, so the comparison does not depend on
+summation order; the operators themselves take any aggregate.
 """
 
 from __future__ import annotations
@@ -50,6 +50,17 @@ def _r6(c):
     return F.round(c, 6)
 
 
+def _avg6(col: str):
+    """AVG rounded half-up to 6 decimals, computed exactly in decimal arithmetic.
+
+    A double average can sit exactly on a rounding tie (n = 64 gives
+    x.xxxxxx5), and then the last bit of a summation-order-dependent double
+    decides the digit. Summing in DECIMAL(38,8) and dividing in decimal (HALF_UP
+    at 12 places, as Spark's decimal AVG does) removes that dependence.
+    """
+    return F.round(F.avg(F.col(col).cast("decimal(38,8)")), 6).cast("double")
+
+
 def with_arrival(ev: DataFrame, name: str = "arrival") -> DataFrame:
     shift = F.pmod(F.col("event_id") * F.lit(ARRIVAL_MUL), F.lit(ARRIVAL_MOD_S))
     return ev.withColumn(name, F.timestamp_add("SECOND", shift, F.col("ts")))
@@ -106,7 +117,7 @@ def q_tumbling_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, window_start, window_end, AVG over 1-hour tumbling windows."""
     ev = events(spark, sf_dir)
     return tumbling(ev, ["user_id"], "ts", EVENTS_TUMBLE,
-                    [F.count(F.lit(1)).alias("n"), _r6(F.avg("value")).alias("avg_value")])
+                    [F.count(F.lit(1)).alias("n"), _avg6("value").alias("avg_value")])
 
 
 def q_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +130,7 @@ def q_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_sliding_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     return sliding(ev, ["event_type"], "ts", EVENTS_SLIDE_SIZE, EVENTS_SLIDE_STEP,
-                   [F.count(F.lit(1)).alias("n"), _r6(F.avg("value")).alias("avg_value")])
+                   [F.count(F.lit(1)).alias("n"), _avg6("value").alias("avg_value")])
 
 
 def q_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
