@@ -140,3 +140,11 @@ def test_bucketed_table_avoids_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert bag(out.collect()) == bag(with_previous(ev, "user_id", "value", "ts", tie="event_id", split=None).collect())
+
+
+def test_tag_duplicates_fast_path_equals_general(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (1, 3, "c"), (2, 5, "d"), (2, 4, "e"), (3, None, "f")],
+                               "k int, i int, tag string")
+    fast = {r.tag: r.is_duplicate for r in tag_duplicates(df, "k", "i", "i").collect()}
+    general = {r.tag: r.is_duplicate for r in tag_duplicates(df, "k", ["i", "tag"], "i").collect()}
+    assert fast == general == {"a": False, "b": True, "c": True, "d": True, "e": False, "f": False}

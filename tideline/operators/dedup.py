@@ -46,12 +46,18 @@ def tag_duplicates(df: DataFrame, keys: str | list[str], arrival: str | list[str
     ``row_id`` must identify a row within its key (often the arrival column).
     """
     keys, arrival, row_id = _as_list(keys), _as_list(arrival), _as_list(row_id)
-    firsts = (df.groupBy(*keys)
-                .agg(F.min_by(F.struct(*[F.col(c) for c in row_id]),
-                              F.struct(*[F.col(c) for c in arrival])).alias("__fid"))
-                .select(*[F.col(k).alias(f"__fk_{i}") for i, k in enumerate(keys)],
-                        *[F.col(f"__fid.{c}").alias(f"__fr_{i}") for i, c in enumerate(row_id)],
-                        F.lit(True).alias("__is_first")))
+    if len(row_id) == 1 and row_id == arrival:
+        # The first row's id is the smallest arrival: a plain min, which
+        # Spark aggregates with a hash map instead of sorting.
+        # A null arrival orders first, as in the general min_by form.
+        c = F.col(row_id[0])
+        first_ids = [F.when(F.count(F.lit(1)) > F.count(c), F.lit(None)).otherwise(F.min(c)).alias("__fr_0")]
+    else:
+        fid = F.min_by(F.struct(*[F.col(c) for c in row_id]), F.struct(*[F.col(c) for c in arrival]))
+        first_ids = [fid.getField(c).alias(f"__fr_{i}") for i, c in enumerate(row_id)]
+    firsts = (df.groupBy(*[F.col(k).alias(f"__fk_{i}") for i, k in enumerate(keys)])
+                .agg(*first_ids)
+                .withColumn("__is_first", F.lit(True)))
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"__fk_{i}")) for i, k in enumerate(keys)]
                   + [F.col(c).eqNullSafe(F.col(f"__fr_{i}")) for i, c in enumerate(row_id)])
