@@ -57,3 +57,18 @@ def test_query_matches_oracle(spark, duck001, name):
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _bag(rows, df.columns) == _bag(cur.fetchall(), ocols)
+
+
+_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+          "boolean": "BOOLEAN", "int": "INTEGER"}
+
+
+def test_column_types_match_oracle(spark, duck001):
+    bad = {}
+    for name, q in E.queries().items():
+        spark_types = dict(q(spark, SF001).dtypes)
+        duck_types = {d[0]: d[1] for d in duck001.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+        diff = {c: (t, duck_types.get(c)) for c, t in spark_types.items() if _TYPES.get(t, t) != duck_types.get(c)}
+        if diff:
+            bad[name] = diff
+    assert bad == {}

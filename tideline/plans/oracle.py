@@ -141,7 +141,7 @@ GROUP BY user_id, w
 """,
     "tumbling_sum": f"""
 SELECT event_type, make_timestamp(w) AS window_start, make_timestamp(w + {_H_US}) AS window_end,
-       SUM(epoch_us(ts) // 1000) AS sum_ts_ms
+       CAST(SUM(epoch_us(ts) // 1000) AS BIGINT) AS sum_ts_ms
 FROM (SELECT event_type, ts, (epoch_us(ts) // {_H_US}) * {_H_US} AS w FROM events) t
 GROUP BY event_type, w
 """,
@@ -195,7 +195,7 @@ FROM ({_EVENTS_SRC}) a
 """,
     "idle_cycle_window_sum": "WITH " + _trace(_IDLE_SRC, 10_000, 5_000, 10_000, 10_000) + """
 SELECT name, (ts_ms // 5000) * 5000 AS window_start_ms, (ts_ms // 5000) * 5000 + 5000 AS window_end_ms,
-       SUM(ts_ms) AS sum_ts_ms
+       CAST(SUM(ts_ms) AS BIGINT) AS sum_ts_ms
 FROM tr
 WHERE NOT COALESCE(((ts_ms // 5000) * 5000 + 5000) - 1 <= wm_idle_ms, FALSE)
 GROUP BY 1, 2, 3
