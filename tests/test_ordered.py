@@ -73,3 +73,20 @@ def test_too_many_hot_keys_falls_back_to_one_width(spark, monkeypatch):
     assert plan.hot is None and plan.width_us > 0
     got = _scan(ev, ["user_id"], plan).collect()
     assert bag(got) == bag(_scan(ev, ["user_id"], None).collect())
+
+
+def test_one_key_with_a_third_of_the_rows(spark):
+    from tideline.operators.ordered import plan_split
+    ev = events(spark, SF01).withColumn(
+        "k", F.when(F.pmod(F.col("event_id"), F.lit(3)) == 0, F.lit(0)).otherwise(F.col("user_id") + 1))
+    plan = plan_split(ev, ["k"], "ts", "auto", rows_per_split=500)
+    hot = plan.hot.collect()
+    assert [r.k for r in hot] == [0]                      # only the hot key is split
+    span_us = 30 * 86_400_000_000
+    assert span_us // hot[0]["__w"] >= 6                  # into several time buckets
+    got = _scan(ev, ["k"], plan).collect()
+    assert bag(got) == bag(_scan(ev, ["k"], None).collect())
+    # bucket sizes of the hot key stay near rows_per_split
+    sizes = (ev.filter("k = 0").groupBy(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / hot[0]["__w"]))
+               .count().collect())
+    assert max(r["count"] for r in sizes) < 3 * 500
