@@ -90,3 +90,25 @@ def test_one_key_with_a_third_of_the_rows(spark):
     sizes = (ev.filter("k = 0").groupBy(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / hot[0]["__w"]))
                .count().collect())
     assert max(r["count"] for r in sizes) < 3 * 500
+
+
+@pytest.mark.parametrize("op", ["signals", "sessions", "expiring", "watermark"])
+def test_operators_equal_with_a_hot_key_split(spark, op):
+    from tideline.operators.dedup import dedup_expiring
+    from tideline.operators.signals import price_signals
+    from tideline.operators.watermark import watermark_trace
+    from tideline.operators.windows import sessionize
+    ev = events(spark, SF01).withColumn(
+        "k", F.when(F.pmod(F.col("event_id"), F.lit(3)) == 0, F.lit(0)).otherwise(F.col("user_id") + 1))
+
+    def run(**kw):
+        if op == "signals":
+            return price_signals(ev, "k", "value", "ts", tie="event_id", **kw)
+        if op == "sessions":
+            return sessionize(ev, ["k"], "ts", "2 hours", [F.count(F.lit(1)).alias("n")], tie="event_id", **kw)
+        if op == "expiring":
+            return dedup_expiring(ev, "k", "ts", "1 hour", tie="event_id", **kw)
+        arr = ev.withColumn("arrival", F.timestamp_add("SECOND", F.pmod(F.col("event_id") * 7919, F.lit(7200)), "ts"))
+        return watermark_trace(arr, "k", "ts", "arrival", tie="event_id", out_of_orderness="1 hour",
+                               idle="30 minutes", align="1 hour", **kw)
+    assert bag(run(split="auto", rows_per_split=500).collect()) == bag(run(split=None).collect())
