@@ -6,6 +6,11 @@ Each query runs once to warm up, then BENCH_RUNS times; the median wall time
 of a full execution (``write.format('noop')``, no collect to the driver) is
 reported. ``value`` is the sum of the medians.
 
+With BENCH_SKEW=1 (default) ``skew`` times price_signals on a key holding a
+third of all rows, with the hot-key split forced at this small size and with
+the plain window: the difference is the split's fixed cost, which buys
+bounded tasks once a key has millions of rows.
+
 With BENCH_STREAMING=1 (default) the events table is also replayed as a
 stream (10 time-ordered files, 5 per trigger) through the streaming dedup
 and the event-time LAG; ``streaming`` reports rows per second for each.
@@ -48,6 +53,7 @@ def main() -> None:
 
         once()  # warm-up: JIT, file listing, Python workers
         results[name] = round(statistics.median(once() for _ in range(runs)), 4)
+    skew = bench_skew(spark, sf_dir, runs) if os.environ.get("BENCH_SKEW", "1") == "1" else {}
     streaming = bench_streaming(spark, sf_dir) if os.environ.get("BENCH_STREAMING", "1") == "1" else {}
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -59,10 +65,37 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "runs": runs,
+        "skew": skew,
         "streaming": streaming,
     }))
 
 
+def bench_skew(spark, sf_dir: str, runs: int) -> dict[str, float]:
+    """price_signals where one key holds a third of all rows: hot-key split vs plain window.
+
+    ``rows_per_split`` is scaled so the hot key is split into about 8 buckets
+    at this data size (at cluster scale the 4M-row default does the same).
+    """
+    from pyspark.sql import functions as F
+
+    from tideline.operators.signals import price_signals
+    from tideline.sources.tables import events
+
+    ev = events(spark, sf_dir)
+    ev = ev.withColumn("k", F.when(F.pmod(F.col("event_id"), F.lit(3)) == 0, F.lit(0)).otherwise(F.col("user_id") + 1))
+    rows_per_split = max(100, ev.count() // 24)
+    out = {}
+    for label, kw in (("hot_key_split_sec", {"split": "auto", "rows_per_split": rows_per_split}),
+                      ("plain_window_sec", {"split": None})):
+        def once() -> float:
+            t0 = time.perf_counter()
+            price_signals(ev, "k", "value", "ts", tie="event_id", **kw).write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - t0
+        once()
+        out[label] = round(statistics.median(once() for _ in range(runs)), 4)
+    return out
+
+
 def bench_streaming(spark, sf_dir: str) -> dict[str, float]:
     """Rows/s of file replays through the stateful streaming operators."""
     import tempfile
