@@ -122,6 +122,18 @@ SELECT user_id, signal, value, ts FROM (
         FROM events) t
 ) s
 WHERE signal IS NOT NULL
+""",
+    "signals_kafka_value": f"""
+SELECT CAST(user_id AS VARCHAR) AS key,
+       '{{"user_id":' || user_id || ',"signal":"' || signal || '","value":' || CAST(value AS VARCHAR)
+         || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || '"}}' AS value
+FROM (
+  SELECT user_id, value, ts, {_SIGNAL_CASE.format(p="value")} AS signal
+  FROM (SELECT user_id, value, ts,
+               LAG(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
+        FROM events) t
+) s
+WHERE signal IS NOT NULL
 """,
     "lag_price": """
 SELECT event_id, user_id, ts, value,

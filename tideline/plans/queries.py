@@ -80,6 +80,13 @@ def q_lag_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_previous(ev, "user_id", "value", "ts", tie="event_id", name="prev_value")
 
 
+def q_signals_kafka_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship's signals as the sink writes them: Kafka ``(key, value)`` with ISO-8601 JSON."""
+    from tideline.sinks.writers import to_kafka_records
+    sig = q_price_signals(spark, sf_dir)
+    return to_kafka_records(sig, ["user_id", "signal", "value", "ts"], key_col="user_id")
+
+
 # --- projections and tables (P1, P2, S3, X1-X3) -------------------------------
 
 def q_upper_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,6 +277,7 @@ def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "price_signals": q_price_signals,
     "lag_price": q_lag_price,
+    "signals_kafka_value": q_signals_kafka_value,
     "upper_names": q_upper_names,
     "add_one": q_add_one,
     "literal_rows": q_literal_rows,
