@@ -307,3 +307,27 @@ def test_stream_lag_drops_late_rows(spark):
     got = {r.i: r.prev for r in _run(out, "t6_late").collect()}
     assert 3 not in got                      # behind the watermark (00:00:55) when it arrived
     assert got[1] is None and got[2] == 10.0 and got[4] == 11.0
+
+
+def test_stream_idle_watermark_late_side_output(spark):
+    """The audit side output holds exactly the rows the batch trace marks late."""
+    from tideline.operators.watermark import mark_late, watermark_trace
+    from tideline.sources import generators as gen
+    from tideline.streaming.watermark import stream_idle_watermark_windows
+
+    seq = spark.range(0, 45).withColumnRenamed("id", "n")
+    src = gen.idle_cycle(seq, "n", 20_000, 50_000, t0_ms=5_500).withColumn("source", F.lit(0))
+    d = os.path.join(tempfile.mkdtemp(prefix="tideline-late-audit-"), "src")
+    src.repartitionByRange(3, "arrival_ms").sortWithinPartitions("arrival_ms").write.parquet(d)
+    now = time.time()
+    for i, f in enumerate(sorted(f for f in os.listdir(d) if f.endswith(".parquet"))):
+        os.utime(os.path.join(d, f), (now - 100 + i, now - 100 + i))
+    out = stream_idle_watermark_windows(read_parquet_stream(spark, d, src.schema, 1), "source", "name", "ts_ms",
+                                        "arrival_ms", "ts_ms", emit_late=True)
+    rows = _run(out, "t12_audit").collect()
+    late = sorted(int(r.total) for r in rows if r.kind == "late")
+    tr = watermark_trace(src, "source", "ts_ms", "arrival_ms", tie="n", out_of_orderness="10 seconds",
+                         idle="5 seconds", align="10 seconds")
+    want = sorted(r.ts_ms for r in mark_late(tr, "ts_ms", "wm_idle_ms", "5 seconds").filter("is_late").collect())
+    assert late == want and len(late) == 10
+    assert {r.kind for r in rows} == {"late", "window"}

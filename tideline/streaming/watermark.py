@@ -39,10 +39,16 @@ _NO_WM = -(2 ** 63)
 
 
 class IdleWatermarkWindowProcessor(StatefulProcessor):
-    """Input ``(source, name, ts_ms, arrival_ms, v)``; output fired windows."""
+    """Input ``(source, name, ts_ms, arrival_ms, v)``; output fired windows.
 
-    def __init__(self, ooo_ms: int, idle_ms: int, align_ms: int, size_ms: int):
+    With ``emit_late`` each dropped row is also emitted, as a record of kind
+    'late' carrying its window bounds and value (an audit side output; the
+    reference drops them silently). Window records then have kind 'window'.
+    """
+
+    def __init__(self, ooo_ms: int, idle_ms: int, align_ms: int, size_ms: int, emit_late: bool = False):
         self.ooo, self.idle, self.align, self.size = ooo_ms, idle_ms, align_ms, size_ms
+        self.emit_late = emit_late
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.gen = handle.getValueState("gen", _GEN)
@@ -51,7 +57,7 @@ class IdleWatermarkWindowProcessor(StatefulProcessor):
     def _fire(self, wm: int, out: list) -> None:
         done = [(k, v) for k, v in self.windows.iterator() if k[1] + self.size - 1 <= wm]
         for (name, start), (total, n) in done:
-            out.append((name, start, start + self.size, total, n))
+            out.append((name, start, start + self.size, total, n, "window"))
             self.windows.removeKey((name, start))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -71,6 +77,8 @@ class IdleWatermarkWindowProcessor(StatefulProcessor):
             if not start + self.size - 1 <= wm:  # rows of fired windows are dropped
                 cur = self.windows.getValue((name, start)) if self.windows.containsKey((name, start)) else (0.0, 0)
                 self.windows.updateValue((name, start), (cur[0] + float(v), cur[1] + 1))
+            elif self.emit_late:
+                out.append((name, start, start + self.size, float(v), 1, "late"))
             max_ts = ts if max_ts is None else max(max_ts, ts)
             seen = arrival
             p = max_ts - self.ooo - 1
@@ -79,7 +87,8 @@ class IdleWatermarkWindowProcessor(StatefulProcessor):
                 self._fire(wm, out)
         self.gen.update((max_ts, wm, seen))
         if out:
-            yield pd.DataFrame(out, columns=["name", "window_start_ms", "window_end_ms", "total", "n"])
+            pdf = pd.DataFrame(out, columns=["name", "window_start_ms", "window_end_ms", "total", "n", "kind"])
+            yield pdf if self.emit_late else pdf.drop(columns=["kind"])
 
     def close(self) -> None:
         pass
@@ -87,16 +96,22 @@ class IdleWatermarkWindowProcessor(StatefulProcessor):
 
 def stream_idle_watermark_windows(df: DataFrame, source: str, name: str, ts_ms: str, arrival_ms: str,
                                   value: str, size="5 seconds", out_of_orderness="10 seconds",
-                                  idle="5 seconds", align="10 seconds") -> DataFrame:
-    """Windowed sums under the idle-advancing watermark, one state per source."""
+                                  idle="5 seconds", align="10 seconds", emit_late: bool = False) -> DataFrame:
+    """Windowed sums under the idle-advancing watermark, one state per source.
+
+    ``emit_late=True`` adds a ``kind`` column and also emits every dropped
+    row as kind 'late' (filter ``kind = 'late'`` for the audit stream).
+    """
     ship_package(df.sparkSession)
     ms = lambda d: duration_us(d) // US_PER_MS
     narrow = df.select(F.col(source).alias("source"), F.col(name).cast("string").alias("name"),
                        F.col(ts_ms).cast("long").alias("ts_ms"), F.col(arrival_ms).cast("long").alias("arrival_ms"),
                        F.col(value).cast("double").alias("v"))
     return narrow.groupBy("source").transformWithStateInPandas(
-        statefulProcessor=IdleWatermarkWindowProcessor(ms(out_of_orderness), ms(idle), ms(align), ms(size)),
-        outputStructType="name string, window_start_ms long, window_end_ms long, total double, n long",
+        statefulProcessor=IdleWatermarkWindowProcessor(ms(out_of_orderness), ms(idle), ms(align), ms(size),
+                                                       emit_late),
+        outputStructType="name string, window_start_ms long, window_end_ms long, total double, n long"
+                         + (", kind string" if emit_late else ""),
         outputMode="Append", timeMode="None")
 
 
