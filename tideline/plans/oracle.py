@@ -165,6 +165,7 @@ FROM (SELECT event_type, value, (epoch_us(ts) // {_H_US // 2} - k) * {_H_US // 2
 GROUP BY event_type, w
 """,
     "session_stats": _sessions(str(6 * _H_US)),
+    "session_native": _sessions(str(6 * _H_US)),
     "session_dynamic": _sessions(
         f"CASE event_type WHEN 'purchase' THEN 12 WHEN 'error' THEN 1 ELSE 6 END * {_H_US}"),
     "dedup_first": """

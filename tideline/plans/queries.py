@@ -147,6 +147,14 @@ def q_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
                       tie="event_id")
 
 
+def q_session_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sessions through Spark's ``session_window`` (the form streaming uses)."""
+    from tideline.operators.windows import session_window_native
+    ev = events(spark, sf_dir)
+    return session_window_native(ev, ["user_id"], "ts", EVENTS_SESSION_GAP,
+                                 [F.count(F.lit(1)).alias("n"), _r6(F.sum("value")).alias("total_value")])
+
+
 def dynamic_gap_us():
     expr = F.lit(EVENTS_DYNAMIC_GAP_DEFAULT_H)
     cases = None
@@ -288,6 +296,7 @@ QUERIES: dict[str, Query] = {
     "sliding_avg": q_sliding_avg,
     "session_stats": q_session_stats,
     "session_dynamic": q_session_dynamic,
+    "session_native": q_session_native,
     "dedup_first": q_dedup_first,
     "dedup_unique": q_dedup_unique,
     "dedup_duplicates": q_dedup_duplicates,
