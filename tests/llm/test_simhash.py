@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import random
+
+import xxhash
+
+from tideline.llm.components import connected_components
+from tideline.llm.simhash import links_within, near_duplicates, text_fingerprint
+
+
+def brute_fingerprint(text, k=3):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    for c in "\t\n\v\f\r":
+        words = words.replace(c, " ")
+    words = [w for w in words.split(" ") if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + k]) for i in range(max(1, len(words) - k + 1))]
+    h = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(nodes, linked):
+    label = {n: n for n in nodes}
+    for a in nodes:
+        for b in nodes:
+            if linked(a, b):
+                low, high = sorted((label[a], label[b]))
+                label = {n: low if x == high else x for n, x in label.items()}
+    return label
+
+
+def test_fingerprint_bits():
+    for text in ("", "  \t\n", "One", "Two  words", "ÀB c d e\x0bf G h", "a b c " * 40):
+        assert text_fingerprint(text, 3) % 2 ** 64 == brute_fingerprint(text)
+
+
+def test_links_reach_what_brute_force_reaches(spark):
+    rng = random.Random(3)
+    centres = [rng.getrandbits(64) for _ in range(12)]
+    fps = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for c in centres for _ in range(25)}
+    fps = sorted(fps | {rng.getrandbits(64) for _ in range(100)} | {0, 7, 2 ** 64 - 1})
+    signed = [f - 2 ** 64 if f >= 2 ** 63 else f for f in fps]
+    links = links_within(spark.createDataFrame([(f,) for f in signed], "fingerprint long"))
+    got = {r.node: r.label for r in connected_components(links).collect()}
+    want = brute_components(signed, lambda a, b: bin((a ^ b) % 2 ** 64).count("1") <= 3)
+    assert {n: got.get(n, n) for n in signed} == want
+
+
+def test_long_chain_of_links(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
+    assert {r.label for r in connected_components(links).collect()} == {0}
+
+
+def test_operator_edge_rows(spark):
+    base = "alpha beta gamma delta epsilon zeta eta theta iota kappa " * 30
+    rows = [(4, base, 1), (2, base, 1), (2, base, 1), (9, None, 1), (8, "", 1), (None, "  ", 1), (7, "lone text here now", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fingerprint int")
+    got = near_duplicates(df).collect()
+    assert len(got) == len(rows)
+    by = {(r.doc_id, r.text_hash): r for r in got}
+    assert {r.component_id for r in got if r.doc_id in (2, 4)} == {2}
+    assert {r.component_id for r in got if r.doc_id in (8, 9, None)} == {8}
+    assert sorted(r.doc_id for r in got if r.keep) == [2, 2, 7, 8] and len(by) == 6
+    assert near_duplicates(df.limit(0)).collect() == []
+
+
+def test_query_against_brute_force(spark):
+    from conftest import SF001
+
+    from tideline.llm.queries import op8_simhash
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
+    rows = op8_simhash(spark, SF001).collect()
+    fps = {d: brute_fingerprint(t) for d, t in texts.items()}
+    assert {r.doc_id: r.fingerprint for r in rows} == {d: f"{f:016x}" for d, f in fps.items()}
+    want = brute_components(sorted(fps), lambda a, b: bin(fps[a] ^ fps[b]).count("1") <= 3)
+    assert {r.doc_id: r.component_id for r in rows} == want

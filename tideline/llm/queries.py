@@ -6,9 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.common import table
+from tideline.llm.simhash import near_duplicates
 from tideline.llm.token_counts import count_tokens
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by byte_bpe_50k.json, and whether they exceed 1,024."""
     docs = table(spark, sf_dir, "documents")
@@ -18,6 +25,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_simhash": op8_simhash,
     "op10_token_counts": op10_token_counts,
 }
 
