@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import table
+from tideline.llm import langid
+from tideline.llm.common import remainder, table
 from tideline.llm.simhash import near_duplicates
 from tideline.llm.token_counts import count_tokens
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; folds with remainder 1 are held out of training."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 3) == 1)
+    model = langid.fit(docs.filter(~F.col("held_out")))
+    found = langid.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
@@ -25,6 +34,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_langid": op4_langid,
     "op8_simhash": op8_simhash,
     "op10_token_counts": op10_token_counts,
 }
