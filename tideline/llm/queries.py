@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import langid
+from tideline.llm import langid, toxicity
 from tideline.llm.common import remainder, table
 from tideline.llm.simhash import near_duplicates
 from tideline.llm.token_counts import count_tokens
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; folds with remainder 2 are held out of training."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 4) == 2)
+    labels = table(spark, sf_dir, "labels").filter(remainder("doc_id", 4) != 2)
+    model = toxicity.fit(docs.filter(~F.col("held_out")), labels)
+    found = toxicity.classify(docs.select("doc_id", "held_out", "text", "lang"), model)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return found.select("doc_id", "held_out", "score", predicted, "lang_threshold", "flagged")
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; folds with remainder 1 are held out of training."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 3) == 1)
@@ -34,6 +44,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op4_langid": op4_langid,
     "op8_simhash": op8_simhash,
     "op10_token_counts": op10_token_counts,
