@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import langid, toxicity
+from tideline.llm.backoff_lm import score_corpus
 from tideline.llm.common import remainder, table
 from tideline.llm.simhash import near_duplicates
 from tideline.llm.token_counts import count_tokens
@@ -21,6 +22,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", predicted, "lang_threshold", "flagged")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log10 probability of every document; folds with remainder 2 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (remainder("doc_id", 7) == 2).alias("held_out"))
+    return score_corpus(docs, order=2)
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; folds with remainder 1 are held out of training."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 3) == 1)
@@ -45,6 +52,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_lm_scoring": op2_lm_scoring,
     "op4_langid": op4_langid,
     "op8_simhash": op8_simhash,
     "op10_token_counts": op10_token_counts,
