@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tideline.llm.token_counts import count_tokens, load_tokenizer, spliced_count
+from tideline.llm.token_counts import Counter, count_tokens, load_tokenizer, spliced_count
 
 NAME = "byte_bpe_50k.json"
 
@@ -21,11 +21,18 @@ def whole(tokenizer, text):
 def test_splices_equal_whole_encoding(tokenizer):
     rng = random.Random(5)
     parts = ["the", " and", "  ", "\n\n\n", "   x", "don't", "<|endoftext|>", "<|endof", "text|>", "é", "日本語", "😀", "12 345", "!!!",
-             "a" * 90, " " * 70, "'re", "\t\t ", "x" * 300]
+             "a" * 90, " " * 70, "'re", "\t\t ", "x" * 300, " ", " ", "\u00a0", "\x1c", "\x85 "]
     for _ in range(150):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 160)))
         for chunk, overlap in ((64, 8), (100, 40), (257, 3)):
             assert spliced_count(tokenizer, text, chunk, overlap) == whole(tokenizer, text)
+        assert Counter(tokenizer).counts([text, "", text + " x"]) == [whole(tokenizer, t) for t in (text, "", text + " x")]
+
+
+def test_other_tokenizers_count_whole_texts():
+    tokenizer = load_tokenizer("word_bpe_49k.json")
+    counter = Counter(tokenizer)
+    assert not counter.by_part and counter.counts(["Ab  cd", "x"]) == [whole(tokenizer, t) for t in ("Ab  cd", "x")]
 
 
 def test_endless_word_widens(tokenizer):
