@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tideline.llm import langid, toxicity
 from tideline.llm.backoff_lm import score_corpus
 from tideline.llm.common import remainder, table
+from tideline.llm.mixing import mix, word_count
 from tideline.llm.simhash import near_duplicates
 from tideline.llm.token_counts import count_tokens
 
@@ -42,6 +43,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes, for weights 1, 2, 3 in turn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"))
+    return mix(docs, "size").select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by byte_bpe_50k.json, and whether they exceed 1,024."""
     docs = table(spark, sf_dir, "documents")
@@ -55,6 +62,7 @@ QUERIES = {
     "op2_lm_scoring": op2_lm_scoring,
     "op4_langid": op4_langid,
     "op8_simhash": op8_simhash,
+    "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
 }
 
