@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tideline.llm import langid, toxicity
 from tideline.llm.backoff_lm import score_corpus
 from tideline.llm.common import remainder, table
+from tideline.llm.decontamination import contaminated
 from tideline.llm.mixing import mix, word_count
 from tideline.llm.simhash import near_duplicates
 from tideline.llm.token_counts import count_tokens
@@ -29,6 +30,12 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_corpus(docs, order=2)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item, with the item and the passage's place and likeness."""
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; folds with remainder 1 are held out of training."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 3) == 1)
@@ -60,6 +67,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_decontamination": op3_decontamination,
     "op4_langid": op4_langid,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
