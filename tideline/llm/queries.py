@@ -10,6 +10,7 @@ from tideline.llm.backoff_lm import score_corpus
 from tideline.llm.common import remainder, table
 from tideline.llm.decontamination import contaminated
 from tideline.llm.mixing import mix, word_count
+from tideline.llm.sanitise import find_spans, listed
 from tideline.llm.simhash import near_duplicates
 from tideline.llm.token_counts import count_tokens
 
@@ -44,6 +45,14 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts by kind, and the spans with those of disclosing terms."""
+    found = find_spans(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in ("email", "ip", "card", "phone")],
+                        F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
@@ -69,6 +78,7 @@ QUERIES = {
     "op2_lm_scoring": op2_lm_scoring,
     "op3_decontamination": op3_decontamination,
     "op4_langid": op4_langid,
+    "op7_sanitise": op7_sanitise,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
