@@ -9,6 +9,7 @@ from tideline.llm import langid, toxicity
 from tideline.llm.backoff_lm import score_corpus
 from tideline.llm.common import remainder, table
 from tideline.llm.decontamination import contaminated
+from tideline.llm.merkle import edited_fingerprints
 from tideline.llm.mixing import mix, word_count
 from tideline.llm.sanitise import find_spans, listed
 from tideline.llm.simhash import near_duplicates
@@ -45,6 +46,11 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of every document and of its edited text, and their likeness."""
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: counts by kind, and the spans with those of disclosing terms."""
     found = find_spans(table(spark, sf_dir, "documents"))
@@ -78,6 +84,7 @@ QUERIES = {
     "op2_lm_scoring": op2_lm_scoring,
     "op3_decontamination": op3_decontamination,
     "op4_langid": op4_langid,
+    "op5_merkle": op5_merkle,
     "op7_sanitise": op7_sanitise,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
