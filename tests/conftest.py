@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,9 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tideline.session import build_session
-    s = build_session("local[8]", app_name="tideline-tests", shuffle_partitions=8)
+    # Jobs resume under their names, so every run of the tests has a folder of its own.
+    s = build_session("local[8]", app_name="tideline-tests", shuffle_partitions=8,
+                      extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tideline-tests-")})
     yield s
     s.stop()
 

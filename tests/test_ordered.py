@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01, bag
-from tideline.operators.ordered import ffill, keyed_scan, lag, max_before
+from tideline.operators import ordered
+from tideline.operators.ordered import ffill, keyed_scan, lag, max_before, plan_split
 from tideline.sources.tables import events
 
 
@@ -30,14 +33,12 @@ def test_bucketed_equals_plain(spark, split, rows_per_split, keys):
 
 
 def test_auto_plan_marks_only_hot_keys(spark):
-    from tideline.operators.ordered import plan_split
     ev = events(spark, SF01)
-    plan = plan_split(ev, ["user_id"], "ts", "auto", rows_per_split=70)
-    n_hot = plan.hot.count()
+    plan = plan_split(ev, ["user_id"], ["ts", "event_id"], "auto", rows_per_split=70)
     counts = ev.groupBy("user_id").count()
-    assert n_hot == counts.filter("count > 70").count() > 0
-    assert n_hot < counts.count()
-    assert plan_split(ev, ["user_id"], "ts", "auto", rows_per_split=10_000) is None
+    assert plan.cuts.count() == counts.filter("count > 70").count() > 0
+    assert plan.cuts.count() < counts.count()
+    assert plan_split(ev, ["user_id"], ["ts", "event_id"], "auto", rows_per_split=10_000) is None
 
 
 def test_matches_duckdb(spark, duck):
@@ -65,31 +66,75 @@ def test_null_times_sort_first(spark):
         assert got == {5.0: None, 1.0: 5.0, 2.0: 1.0, 3.0: 2.0}
 
 
-def test_too_many_hot_keys_falls_back_to_one_width(spark, monkeypatch):
-    import tideline.operators.ordered as o
-    ev = events(spark, SF01)
-    monkeypatch.setattr(o, "MAX_HOT_KEYS", 5)
-    plan = o.plan_split(ev, ["user_id"], "ts", "auto", rows_per_split=10)
-    assert plan.hot is None and plan.width_us > 0
-    got = _scan(ev, ["user_id"], plan).collect()
-    assert bag(got) == bag(_scan(ev, ["user_id"], None).collect())
+def _sizes(df, keys, order, rows_per_split):
+    plan = plan_split(df, keys, order, "auto", rows_per_split)
+    rows, _ = ordered._bucketed(df, keys, order, plan)
+    return plan, [(r.k, r["count"]) for r in rows.groupBy(*keys, "__b").count().collect()]
 
 
 def test_one_key_with_a_third_of_the_rows(spark):
-    from tideline.operators.ordered import plan_split
     ev = events(spark, SF01).withColumn(
         "k", F.when(F.pmod(F.col("event_id"), F.lit(3)) == 0, F.lit(0)).otherwise(F.col("user_id") + 1))
-    plan = plan_split(ev, ["k"], "ts", "auto", rows_per_split=500)
-    hot = plan.hot.collect()
-    assert [r.k for r in hot] == [0]                      # only the hot key is split
-    span_us = 30 * 86_400_000_000
-    assert span_us // hot[0]["__w"] >= 6                  # into several time buckets
+    plan, sizes = _sizes(ev, ["k"], ["ts", "event_id"], 500)
+    assert [r["__ck0"] for r in plan.cuts.collect()] == [0]  # only the hot key is split
+    assert len([k for k, _ in sizes if k == 0]) >= 6 and max(n for k, n in sizes if k == 0) <= 2 * 500
     got = _scan(ev, ["k"], plan).collect()
     assert bag(got) == bag(_scan(ev, ["k"], None).collect())
-    # bucket sizes of the hot key stay near rows_per_split
-    sizes = (ev.filter("k = 0").groupBy(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / hot[0]["__w"]))
-               .count().collect())
-    assert max(r["count"] for r in sizes) < 3 * 500
+
+
+@pytest.mark.parametrize("times", ["burst", "one instant", "null", "no tie"])
+def test_largest_bucket_stays_near_the_target(spark, times):
+    """Bursts, rows of one instant, rows without time, and rows that no order column parts."""
+    at = {"burst": "if(id < 500, id * 3600, 2000000 + id / 1000.0)", "null": "cast(null as double)"}.get(times, "1.0")
+    df = spark.range(200_000).selectExpr(
+        "1 k", "id event_id", f"timestamp_seconds({at}) ts", "cast(id % 97 as double) value", "'click' event_type")
+    order = ["ts"] if times == "no tie" else ["ts", "event_id"]
+    _, sizes = _sizes(df, ["k"], order, 10_000)
+    assert len(sizes) >= 15 and max(n for _, n in sizes) <= 2 * 10_000 and sum(n for _, n in sizes) == 200_000
+    if times != "no tie":
+        total = lambda d: d.agg(F.sum(F.xxhash64(*d.columns).cast("decimal(38,0)"))).first()[0]
+        assert total(_scan(df, ["k"], "auto", 10_000)) == total(_scan(df, ["k"], None))
+
+
+@pytest.fixture(scope="module")
+def wide_key(spark):
+    """One key of 4.1 million rows over 30 days, as the events table, and some small keys."""
+    d = tempfile.mkdtemp(prefix="tideline-hot-") + "/events"
+    n = 4_100_000
+    spark.range(n + 1000).selectExpr(
+        "id event_id", f"timestamp_micros(1704067200000000 + cast(id * {30 * 86_400_000_000 // n} as bigint)) ts",
+        f"if(id < {n}, 7, id % 50 + 100) user_id", "element_at(array('click', 'view', 'purchase', 'error'), cast(id % 4 + 1 as int)) event_type",
+        "cast(id * 7919 % 1000 as double) / 10 + 1 value").write.parquet(d)
+    return spark.read.parquet(d)
+
+
+def _digest(df):
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*[F.col(c).cast("string") for c in df.columns]).cast("decimal(38,0)"))).first())
+
+
+@pytest.mark.parametrize("op", ["signals", "sessions", "dynamic", "expiring", "watermark"])
+def test_a_hot_key_at_default_settings(spark, wide_key, op):
+    """Each split operator on a key beyond the default threshold equals the plain window."""
+    from tideline.operators.dedup import dedup_expiring
+    from tideline.operators.signals import price_signals
+    from tideline.operators.watermark import watermark_trace
+    from tideline.operators.windows import sessionize
+    n = [F.count(F.lit(1)).alias("n")]
+    gap = F.when(F.col("event_type") == "purchase", F.lit(30)).otherwise(F.lit(0)).cast("long") * 1_000_000
+
+    def run(**kw):
+        if op == "signals":
+            return price_signals(wide_key, "user_id", "value", "ts", tie="event_id", **kw)
+        if op == "sessions":
+            return sessionize(wide_key, ["user_id"], "ts", "500 milliseconds", n, tie="event_id", **kw)
+        if op == "dynamic":
+            return sessionize(wide_key, ["user_id"], "ts", gap, n, tie="event_id", **kw)
+        if op == "expiring":
+            return dedup_expiring(wide_key, "user_id", "ts", "10 minutes", tie="event_id", **kw)
+        arr = wide_key.withColumn("arrival", F.timestamp_add("SECOND", F.pmod(F.col("event_id") * 7919, F.lit(7200)), "ts"))
+        return watermark_trace(arr, "user_id", "ts", "arrival", tie="event_id", out_of_orderness="1 hour",
+                               idle="1 second", align="1 hour", **kw).drop("value")
+    assert _digest(run()) == _digest(run(split=None))
 
 
 @pytest.mark.parametrize("op", ["signals", "sessions", "expiring", "watermark"])

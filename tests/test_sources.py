@@ -85,3 +85,21 @@ def test_avro_guard(spark):
 def test_labelled(spark):
     df = labelled(spark.createDataFrame([(1,)], "orderId int"), "Unique Order")
     assert df.columns == ["label", "orderId"] and df.first().label == "Unique Order"
+
+
+def test_times_with_any_fraction_and_zone(spark):
+    texts = ["2024-01-01T00:00:01", "2024-01-01T00:00:01.250", "2024-01-01T00:00:01.250001", "2024-01-01T00:00:01Z",
+             "2024-01-01T02:00:01.5+02:00"]
+    want = [dt.datetime(2024, 1, 1, 0, 0, 1, us) for us in (0, 250000, 250001, 0, 500000)]
+    rows = [{"stock_symbol": str(i), "price": 1.0, "event_time": t} for i, t in enumerate(texts)]
+    read = read_json(spark, _jsonl(rows), TICK_SCHEMA).orderBy("stock_symbol").collect()
+    raw = spark.createDataFrame([(json.dumps(r).encode(),) for r in rows], "value binary")
+    decoded = kafka.decode_json_value(raw, TICK_SCHEMA).orderBy("stock_symbol").collect()
+    for got in (read, decoded):
+        assert [r.event_time.replace(tzinfo=None) for r in got] == want
+
+
+def test_null_fields_stay_in_records(spark):
+    df = spark.createDataFrame([(None, 1.0), ("x", None)], "a string, b double")
+    values = sorted(r.value for r in to_kafka_records(df, ["a", "b"]).collect())
+    assert values == ['{"a":"x","b":null}', '{"a":null,"b":1.0}']

@@ -15,7 +15,7 @@ from conftest import SF001, bag
 from tideline.operators.dedup import keep_first
 from tideline.operators.signals import price_signals, with_previous
 from tideline.operators.windows import tumbling
-from tideline.session import new_checkpoint_location
+from tideline.session import checkpoint_location
 from tideline.sinks.writers import memory, parquet_batch_writer, two_sinks
 from tideline.sources import literals
 from tideline.sources.files import read_csv, read_parquet_stream
@@ -51,7 +51,7 @@ def _run(df, name, mode="append"):
 
 def test_stream_keep_first_equals_batch(spark, event_files):
     keys = ["user_id", "event_type"]
-    got = _run(stream_keep_first(_stream(spark, event_files), keys), "t1_first").collect()
+    got = _run(stream_keep_first(_stream(spark, event_files), keys, "event_id"), "t1_first").collect()
     want = keep_first(events(spark, SF001), keys, "event_id").collect()
     assert bag(got) == bag(want)
 
@@ -111,7 +111,7 @@ def test_side_output_two_sinks(spark):
     tagged = stream_tag_duplicates(stream, ["orderId"], "seq")
     main, side = os.path.join(base, "unique"), os.path.join(base, "dups")
     q = (tagged.writeStream.foreachBatch(two_sinks("is_duplicate", parquet_batch_writer(main), parquet_batch_writer(side)))
-         .option("checkpointLocation", new_checkpoint_location(spark, "side")).trigger(availableNow=True).start())
+         .option("checkpointLocation", checkpoint_location(spark, "side")).trigger(availableNow=True).start())
     q.awaitTermination(300)
     assert sorted(r.orderId for r in spark.read.parquet(main).collect()) == [1, 2, 3, 4]
     assert sorted(r.orderId for r in spark.read.parquet(side).collect()) == [1, 3]
@@ -160,30 +160,6 @@ def test_stream_expiring_dedup_processing_time(spark):
     assert got == [1, 1, 2, 2, 3, 3, 4, 4]
 
 
-def test_stream_idle_watermark_job_equals_batch(spark):
-    """The reference's watermark job as a stream equals the batch trace for closed windows."""
-    from tideline.plans.queries import IDLE_JOB_T0_MS, q_idle_cycle_window_sum
-    from tideline.sources import generators as gen
-    from tideline.streaming.watermark import stream_idle_watermark_windows
-
-    seq = events(spark, SF001).select(F.col("event_id").alias("n"))
-    src = gen.idle_cycle(seq, "n", 20_000, 50_000, t0_ms=IDLE_JOB_T0_MS).withColumn("source", F.lit(0))
-    d = os.path.join(tempfile.mkdtemp(prefix="tideline-idle-"), "src")
-    src.repartitionByRange(6, "arrival_ms").sortWithinPartitions("arrival_ms").write.parquet(d)
-    parts = sorted(f for f in os.listdir(d) if f.endswith(".parquet"))
-    now = time.time()
-    for i, f in enumerate(parts):
-        os.utime(os.path.join(d, f), (now - 100 + i, now - 100 + i))
-    stream = read_parquet_stream(spark, d, src.schema, 1)
-    out = stream_idle_watermark_windows(stream, "source", "name", "ts_ms", "arrival_ms", "ts_ms")
-    got = {(r.name, r.window_start_ms, r.window_end_ms): int(r.total) for r in _run(out, "t5_idle").collect()}
-    want = {(r.name, r.window_start_ms, r.window_end_ms): r.sum_ts_ms
-            for r in q_idle_cycle_window_sum(spark, SF001).collect()}
-    final_wm = src.agg(F.max("ts_ms")).first()[0] - 10_001
-    assert got.items() <= want.items()
-    assert {k for k in want if k[2] - 1 <= final_wm} <= set(got)
-
-
 def test_stream_generators(spark):
     from tideline.sources import generators as gen
     s = gen.incremental(gen.stream_sequence(spark, rows_per_batch=5))
@@ -309,25 +285,117 @@ def test_stream_lag_drops_late_rows(spark):
     assert got[1] is None and got[2] == 10.0 and got[4] == 11.0
 
 
-def test_stream_idle_watermark_late_side_output(spark):
-    """The audit side output holds exactly the rows the batch trace marks late."""
-    from tideline.operators.watermark import mark_late, watermark_trace
-    from tideline.sources import generators as gen
-    from tideline.streaming.watermark import stream_idle_watermark_windows
+def _files(spark, chunks, schema, order=None):
+    """One parquet file per chunk, modified in the order given (file number by default)."""
+    base = tempfile.mkdtemp(prefix="tideline-files-")
+    src, now = os.path.join(base, "in"), time.time()
+    os.makedirs(src)
+    for i, chunk in enumerate(chunks):
+        d = os.path.join(base, "stage", str(i))
+        spark.createDataFrame(chunk, schema).coalesce(1).write.parquet(d)
+        f = [x for x in os.listdir(d) if x.endswith(".parquet")][0]
+        os.rename(os.path.join(d, f), os.path.join(src, f"{i}.parquet"))
+        t = now - 100 + (order[i] if order else i)
+        os.utime(os.path.join(src, f"{i}.parquet"), (t, t))
+    return src
 
-    seq = spark.range(0, 45).withColumnRenamed("id", "n")
-    src = gen.idle_cycle(seq, "n", 20_000, 50_000, t0_ms=5_500).withColumn("source", F.lit(0))
-    d = os.path.join(tempfile.mkdtemp(prefix="tideline-late-audit-"), "src")
-    src.repartitionByRange(3, "arrival_ms").sortWithinPartitions("arrival_ms").write.parquet(d)
-    now = time.time()
-    for i, f in enumerate(sorted(f for f in os.listdir(d) if f.endswith(".parquet"))):
-        os.utime(os.path.join(d, f), (now - 100 + i, now - 100 + i))
-    out = stream_idle_watermark_windows(read_parquet_stream(spark, d, src.schema, 1), "source", "name", "ts_ms",
-                                        "arrival_ms", "ts_ms", emit_late=True)
-    rows = _run(out, "t12_audit").collect()
-    late = sorted(int(r.total) for r in rows if r.kind == "late")
-    tr = watermark_trace(src, "source", "ts_ms", "arrival_ms", tie="n", out_of_orderness="10 seconds",
-                         idle="5 seconds", align="10 seconds")
-    want = sorted(r.ts_ms for r in mark_late(tr, "ts_ms", "wm_idle_ms", "5 seconds").filter("is_late").collect())
-    assert late == want and len(late) == 10
-    assert {r.kind for r in rows} == {"late", "window"}
+
+def test_stream_keep_first_takes_the_smallest_arrival_of_shuffled_files(spark):
+    import random
+    rows = [(i % 5, i) for i in range(40)]
+    random.Random(1).shuffle(rows)
+    src = _files(spark, [rows[i * 5:i * 5 + 5] for i in range(8)], "k int, seq int")
+    stream = read_parquet_stream(spark, src, "k int, seq int", 8)  # one micro-batch
+    got = _run(stream_keep_first(stream, ["k"], "seq"), "t1_shuffled").collect()
+    assert sorted((r.k, r.seq) for r in got) == [(k, k) for k in range(5)]
+
+
+def test_stream_keep_first_goes_on_after_a_restart(spark):
+    base = tempfile.mkdtemp(prefix="tideline-restart-")
+    src, out = os.path.join(base, "in"), []
+    os.makedirs(src)
+
+    def run(i, rows):
+        staged = _files(spark, [rows], "orderId int, seq int")
+        os.rename(os.path.join(staged, "0.parquet"), os.path.join(src, f"{i}.parquet"))
+        from tideline.plans.jobs import dedup_job
+        stream = read_parquet_stream(spark, src, "orderId int, seq int", 1)
+        q = dedup_job(stream, mode="first", job="restarted", availableNow=True,
+                      main=lambda b, _: out.extend((r.orderId, r.seq) for r in b.collect()))
+        q.awaitTermination(300)
+
+    run(0, [(1, 0), (2, 1), (1, 2)])
+    run(1, [(2, 3), (3, 4), (None, 5), (1, 6)])
+    assert sorted(out, key=str) == [(1, 0), (2, 1), (3, 4), (None, 5)]
+
+
+@pytest.mark.parametrize("engine", ["group_state", "state_v2"])
+def test_stream_lag_survives_bad_rows(spark, engine):
+    """Null keys, times and prices: the stream equals the batch over the valid rows."""
+    from tideline.streaming.signals import split_valid
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s) if s is not None else None
+    rows = [[("A", t(0), 1, 10.0), (None, t(1), 2, 5.0), ("A", None, 3, 7.0), ("A", t(2), 4, None)],
+            [("A", t(3), 5, 11.5), ("B", t(3), 6, float("nan")), ("B", t(4), 7, 2.0), ("A", t(4), 8, 9.0)],
+            [("Z", t(600), 9, 1.0)]]
+    schema = "sym string, t timestamp, i long, p double"
+    src = _files(spark, rows, schema)
+    valid, rejected = split_valid(read_parquet_stream(spark, src, schema, 1), "sym", "t")
+    q = memory(stream_with_previous(valid, "sym", "p", "t", tie="i", engine=engine), f"t6_bad_{engine}", availableNow=True)
+    q.awaitTermination(300)
+    got = {r.i: repr((r.p, r.prev)) for r in spark.sql(f"SELECT * FROM t6_bad_{engine}").collect()}
+    batch = spark.createDataFrame([r for c in rows for r in c if r[0] and r[1]], schema)
+    want = {r.i: repr((r.p, r.prev)) for r in with_previous(batch, "sym", "p", "t", tie="i", name="prev").collect()}
+    assert got == {i: v for i, v in want.items() if i != 9}
+    counted = [p["observedMetrics"]["input"] for p in q.recentProgress if "input" in p["observedMetrics"]]
+    assert sum(c["rejected"] for c in counted) == 2 and sum(c["valid"] for c in counted) == 7
+    assert sorted(r.i for r in _run(rejected, f"t6_rejected_{engine}").collect()) == [2, 3]
+
+
+@pytest.mark.parametrize("engine", ["group_state", "state_v2"])
+def test_stream_lag_counts_and_keeps_late_rows(spark, engine):
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    schema = "sym string, t timestamp, i long, p double"
+    src = _files(spark, [[("A", t(0), 1, 1.0), ("A", t(60), 2, 2.0)], [("A", t(30), 3, 9.0), ("A", t(120), 4, 4.0)],
+                         [("A", t(600), 5, 5.0)]], schema)
+    stream = read_parquet_stream(spark, src, schema, 1)
+    q = memory(stream_with_previous(stream, "sym", "p", "t", tie="i", engine=engine, emit_late=True), f"t6_late_{engine}",
+               availableNow=True)
+    q.awaitTermination(300)
+    got = {r.i: (r.prev, r.late) for r in spark.sql(f"SELECT * FROM t6_late_{engine}").collect()}
+    assert got == {1: (None, False), 2: (1.0, False), 3: (None, True), 4: (2.0, False)}
+    counted = [p["observedMetrics"]["lag"]["late"] for p in q.recentProgress if "lag" in p["observedMetrics"]]
+    assert sum(counted) == 1
+
+
+def test_print_sink_prints_every_row(spark):
+    from tideline.sinks.writers import console, print_table
+    lines: list[str] = []
+    print_table(spark.range(1000), "Order", lines.append)
+    assert sorted(lines) == sorted(f"Order> {i}" for i in range(1000))
+    src = _files(spark, [[(i,) for i in range(1000)]], "id int")
+    streamed: list[str] = []
+    q = console(read_parquet_stream(spark, src, "id int"), "print-all", write=streamed.append, availableNow=True)
+    q.awaitTermination(300)
+    assert sorted(map(int, streamed)) == list(range(1000))
+
+
+def test_jobs_need_a_shared_checkpoint_folder(spark, monkeypatch):
+    from tideline import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+    assert session.checkpoint_location(spark, "a-job") == session.checkpoint_location(spark, "a-job")
+    with pytest.raises(ValueError, match="name"):
+        session.checkpoint_location(spark, "../elsewhere")

@@ -68,13 +68,18 @@ ISO_8601_MS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
 def to_json_record(*cols: str, timestamp_format: str = ISO_8601_MS) -> Column:
-    """One JSON object per row from the named columns (a Kafka ``value``)."""
+    """One JSON object per row from the named columns (a Kafka ``value``); null fields are written as null."""
     return F.to_json(F.struct(*[F.col(c) for c in cols]),
-                     {"timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format})
+                     {"timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format,
+                      "ignoreNullFields": "false"})
 
 
 def from_json_record(value: Column, schema: str, timestamp_format: str | None = None) -> Column:
-    """Parse a JSON object column against a DDL schema string."""
+    """Parse a JSON object column against a DDL schema string.
+
+    Without a format, times are ISO-8601 with any fraction of seconds, and
+    with or without a zone.
+    """
     opts = {}
     if timestamp_format:
         opts = {"timestampFormat": timestamp_format, "timestampNTZFormat": timestamp_format}

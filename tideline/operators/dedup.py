@@ -6,10 +6,11 @@
 * ``dedup_expiring``  - first row per key, where every arrival (kept or not)
   arms a timer at ``arrival + ttl`` and any timer firing forgets the key.
 
-All forms avoid a per-key sort of the raw rows: ``keep_first`` is a
-``min_by`` aggregate (combined map-side), tagging joins on ``(key, row id)`` so
-a hot key spreads over the join's partitions, and the expiring form runs on
-the hot-key safe ordered scan.
+Keep-first and tagging join rows to the first arrival of their key on
+``(key, row id)``, so a hot key spreads over the join's partitions. The first
+arrivals are a hash aggregate where one column gives the arrival; with several
+they are a ``min_by`` over structs, which sorts. The expiring form runs on the
+hot-key safe ordered scan.
 """
 
 from __future__ import annotations
@@ -29,9 +30,17 @@ def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def keep_first(df: DataFrame, keys: str | list[str], arrival: str | list[str]) -> DataFrame:
-    """First row of each key by ``arrival`` (ascending; list the tie-breakers too)."""
+def keep_first(df: DataFrame, keys: str | list[str], arrival: str | list[str], unique: bool = False) -> DataFrame:
+    """First row of each key by ``arrival`` (ascending; list the tie-breakers too).
+
+    ``unique``: no two rows of a key have the same arrival. Then the first
+    arrivals are a hash aggregate over narrow columns, joined back to the
+    rows. Otherwise rows are compared as structs, which Spark aggregates by
+    sorting.
+    """
     keys, arrival = _as_list(keys), _as_list(arrival)
+    if unique and len(arrival) == 1:
+        return split_duplicates(df, keys, arrival, arrival)[0]
     cols = df.columns
     first = (df.groupBy(*keys)
                .agg(F.min_by(F.struct(*[F.col(c) for c in cols]),
@@ -100,11 +109,14 @@ def dedup_expiring(df: DataFrame, keys: str | list[str], arrival: str, ttl="10 m
         return s.filter(keep).select(*cols)
     if policy != "timers":
         raise ValueError(f"unknown policy {policy!r}")
-    arrivals = df.withColumn("__seq", F.timestamp_micros(t)).withColumn("__kind", F.lit(1))
-    timers = df.select(*keys, *ties, F.timestamp_micros(t + F.lit(ttl_us)).alias("__seq"),
-                       F.lit(0).alias("__kind"))
-    merged = arrivals.unionByName(timers, allowMissingColumns=True)
-    s = keyed_scan(merged, keys, ["__seq", "__kind", *ties], [lag("__kind", "__prev_kind")],
-                   split, rows_per_split)
-    keep = (F.col("__kind") == 1) & (F.col("__prev_kind").isNull() | (F.col("__prev_kind") == 0))
-    return s.filter(keep).select(*cols)
+    # One scan: each row becomes its arrival, which carries the row, and its timer, which carries nothing.
+    row = F.struct(*[F.col(c) for c in cols])
+    element = lambda at, kind, payload: F.struct(
+        F.timestamp_micros(at).alias("at"), F.lit(kind).alias("kind"), payload.alias("row"))
+    pair = F.array(element(t, 1, row), element(t + F.lit(ttl_us), 0, F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType)))
+    names = [f"__k{i}" for i in range(len(keys))], [f"__t{i}" for i in range(len(ties))]
+    merged = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names[0])], *[F.col(c).alias(n) for c, n in zip(ties, names[1])],
+                       F.explode(pair).alias("__e")).select(*names[0], *names[1], "__e.at", "__e.kind", "__e.row")
+    s = keyed_scan(merged, names[0], ["at", "kind", *names[1]], [lag("kind", "__prev_kind")], split, rows_per_split)
+    keep = (F.col("kind") == 1) & (F.col("__prev_kind").isNull() | (F.col("__prev_kind") == 0))
+    return s.filter(keep).select("row.*")

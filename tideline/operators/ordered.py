@@ -6,39 +6,40 @@ order. A plain ``Window.partitionBy(key).orderBy(time)`` sends every row of a
 key to one task, so a key that holds a third of the data becomes one task
 sorting a third of the data.
 
-``keyed_scan`` splits the timeline of each *hot* key into time buckets and
-runs the window on ``(key, bucket)``; other keys keep a single bucket. The
-only information that crosses a bucket boundary is one value per scan (the
-last value, the running max, the last non-null value of the earlier
-buckets). It comes from a per-bucket summary of the hot keys (a partial
-aggregate, combined map-side) and a window over that summary, which holds
-one row per non-empty bucket. The carried value is injected as one extra row
-at the head of each bucket, so the main data is shuffled exactly once, on
-``(key, bucket)``.
-
-With ``split='auto'`` one hash aggregate per key (count, min, max of time)
-finds the hot keys: those with more than ``rows_per_split`` rows. There are
-at most ``rows / rows_per_split`` of them, so the table of hot keys and their
-bucket widths has a proven size bound and is broadcast. Each hot key gets a
-width that puts about ``rows_per_split`` of its rows in a bucket when its
-times are spread evenly. Without hot keys the plan is the plain window.
+With ``split='auto'`` one hash aggregate per key finds the hot keys, those of
+more than ``rows_per_split`` rows. A sample of a hot key's rows, drawn by
+hash, gives its cut points: every so many sampled rows, in the scan's own
+order, ties included. So a burst, and rows of one instant, are cut like any
+others. Cut points, one per ``rows_per_split`` rows of the table at most, are
+written as a small table, which Spark's own size check joins to the rows.
+
+Rows are shuffled once, on ``(key, bucket)``, scanned within their bucket and
+written. The last row of each bucket says what the bucket hands on; a window
+over those few rows gives what each bucket receives from all earlier ones, and
+that corrects the rows where they lie. Chained scans (sessions, watermarks)
+state how their steps combine, so a chain costs no further shuffle. Without
+hot keys the plan is the plain window.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tideline.functions.time import duration_us, epoch_us, epoch_us_of
+from tideline.functions.time import duration_us, epoch_us
+from tideline.session import written
 
-_NULL_TIME_BUCKET = -(2 ** 63)
-# A key with more rows than this is split into time buckets of about this many rows.
+# A key with more rows than this is split into buckets of about this many rows.
 DEFAULT_ROWS_PER_SPLIT = 4_000_000
-# Most hot keys listed individually; beyond it every key shares one bucket width.
-MAX_HOT_KEYS = 1_000_000
+# Sampled rows per bucket: cut points are this exact.
+_SAMPLES = 256
+# Cut points are searched in groups of this many.
+_GROUP = 64
 
 
 @dataclass(frozen=True)
@@ -65,47 +66,138 @@ def ffill(expr: Column | str, name: str) -> Scan:
 
 @dataclass(frozen=True)
 class SplitPlan:
-    """How a scan is split: every key by one width, or only the listed hot keys."""
-    width_us: int | None = None          # one width for all keys
-    hot: DataFrame | None = None         # (keys..., __w) for hot keys only
+    """How a scan is split: every key by one width of time, or the hot keys at their cut points."""
+    width_us: int | None = None
+    cuts: DataFrame | None = None          # (__ck0.., __coarse, __fine): sorted arrays of order structs
+    hashed: tuple[str, ...] = ()           # the columns whose hash breaks the last ties
 
 
-def plan_split(df: DataFrame, keys: list[str], time_col: str, split="auto",
+@dataclass(frozen=True)
+class Chain:
+    """A scan in steps, and how its result combines over consecutive buckets of a key.
+
+    ``steps(w)``: columns over the window ``w`` of a bucket's rows, a dict per
+    step; later steps may use earlier ones. ``hand_on``: what the bucket's last
+    row tells. ``receive(w)``: likewise steps over the buckets of a key.
+    ``result``: the scan's columns, from those of ``steps`` and ``receive``;
+    what a first bucket receives is null.
+    """
+    steps: Callable[[Window], list[dict[str, Column]]]
+    hand_on: dict[str, Column]
+    receive: Callable[[Window], list[dict[str, Column]]]
+    result: dict[str, Column]
+
+
+def _order_struct(order: list[str]) -> Column:
+    return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+
+
+def _same(a: list[str], b: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(p).eqNullSafe(F.col(q)) for p, q in zip(a, b)], F.lit(True))
+
+
+def _hashable(df: DataFrame) -> tuple[str, ...]:
+    return tuple(f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType)))
+
+
+def _with_row_hash(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """A last tie-breaker, so that rows alike in all order columns can be parted too."""
+    return df.withColumn("__h", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+
+
+def plan_split(df: DataFrame, keys: list[str], order: str | list[str], split="auto",
                rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> SplitPlan | None:
-    """Decide the split once; the result can be shared by chained scans.
+    """Decide how a scan is split.
 
     ``split``: ``'auto'``, None (plain window), a duration / int microseconds
-    (every key bucketed by that width), or an existing ``SplitPlan``.
+    (every key bucketed by that width), or an existing ``SplitPlan``. Cut
+    points hold for the columns of ``df`` and the ``order`` given here.
     """
     if split is None or isinstance(split, SplitPlan):
         return split
     if split != "auto":
         return SplitPlan(width_us=max(1, duration_us(split)))
-    dtype = df.schema[time_col].dataType
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(time_col).alias("__lo"),
-                                  F.max(time_col).alias("__hi"))
-    lo, hi = epoch_us_of(dtype, F.col("__lo")), epoch_us_of(dtype, F.col("__hi"))
-    width = F.greatest(F.lit(1).cast("long"),
-                       F.ceil((hi - lo + F.lit(1)) * F.lit(rows_per_split) / F.col("__n")).cast("long"))
-    hot = (stats.filter((F.col("__n") > F.lit(rows_per_split)) & (hi > lo))
-                .select(*keys, width.alias("__w")))
-    # At most rows / rows_per_split hot keys: a small table, materialized once.
-    rows = hot.limit(MAX_HOT_KEYS + 1).collect()
-    if not rows:
+    order = [order] if isinstance(order, str) else list(order)
+    names = [f"__ck{i}" for i in range(len(keys))]
+    hot = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("__n")).filter(
+        F.col("__n") > F.lit(rows_per_split))
+    hot = written(hot, "hot-keys")
+    if hot.isEmpty():
         return None
-    if not keys:
-        return SplitPlan(width_us=int(rows[0]["__w"]))
-    if len(rows) > MAX_HOT_KEYS:
-        # So many large keys that listing them is not worth it: bucket every
-        # key with the narrowest width any hot key needs.
-        return SplitPlan(width_us=int(hot.agg(F.min("__w")).first()[0]))
-    return SplitPlan(hot=df.sparkSession.createDataFrame(rows, hot.schema))
+    every = max(1, rows_per_split // _SAMPLES)
+    step = max(1, rows_per_split // every)
+    hashed = _hashable(df)
+    rows = _with_row_hash(df, hashed)
+    sampled = rows.filter(F.pmod(F.xxhash64("__h", F.lit(1)), F.lit(every)) == 0)
+    sampled = sampled.join(hot.select(*names, F.lit(1).alias("__hot")), _same(keys, names)).select(
+        *names, _order_struct([*order, "__h"]).alias("__o"))
+    place = F.row_number().over(Window.partitionBy(*names).orderBy("__o"))
+    at = sampled.withColumn("__r", place).filter(F.pmod("__r", F.lit(step)) == 0)
+    fine = F.array_sort(F.collect_list("__o"))
+    cuts = at.groupBy(*names).agg(fine.alias("__fine")).withColumn(
+        "__coarse", F.filter("__fine", lambda c, i: F.pmod(i, F.lit(_GROUP)) == 0))
+    return SplitPlan(cuts=written(cuts, "cut-points"), hashed=hashed)
+
+
+def _bucketed(df: DataFrame, keys: list[str], order: list[str], plan: SplitPlan) -> tuple[DataFrame, list[str]]:
+    """``df`` with its bucket ``__b``, and the order within it."""
+    if plan.width_us is not None:
+        t = epoch_us(df, order[0])
+        return df.withColumn("__b", F.when(t.isNull(), F.lit(-(2 ** 63))).otherwise(
+            F.floor(t / F.lit(plan.width_us))).cast("long")), order
+    order = [*order, "__h"]
+    rows = _with_row_hash(df, plan.hashed)
+    names = [c for c in plan.cuts.columns if c.startswith("__ck")]
+    joined = rows.join(plan.cuts, _same(keys, names), "left").withColumn("__o", _order_struct(order))
+    # Two short searches instead of one through all cut points of a key.
+    group = F.size(F.filter("__coarse", lambda c: c <= F.col("__o")))
+    in_group = F.slice("__fine", (F.col("__g") - 1) * _GROUP + 1, F.lit(_GROUP))
+    below = F.when(F.coalesce(F.col("__g"), F.lit(0)) < 1, F.lit(0)).otherwise(
+        (F.col("__g") - 1) * _GROUP + F.size(F.filter(in_group, lambda c: c <= F.col("__o"))))
+    return (joined.withColumn("__g", group).withColumn("__b", below.cast("long"))
+            .drop(*names, "__coarse", "__fine", "__o", "__g")), order
+
+
+def _stepped(df: DataFrame, steps: list[dict[str, Column]]) -> DataFrame:
+    for step in steps:
+        df = df.withColumns(step)
+    return df
+
+
+def keyed_chain(df: DataFrame, keys: list[str], order: list[str], chain: Chain, split="auto",
+                rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> DataFrame:
+    """``df`` and the chain's result columns, per key in ``order`` (ascending)."""
+    plan = plan_split(df, keys, order, split, rows_per_split)
+    cols = df.columns
+    if plan is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        rows = _stepped(df, chain.steps(w))
+        # Each key is one bucket and receives nothing.
+        told = rows.select(*keys, F.lit(0).alias("__b"), *_hand_on(chain))
+        types = _stepped(told, chain.receive(Window.partitionBy(*keys).orderBy("__b"))).schema
+        received = {n: F.lit(None).cast(types[n].dataType) for n in _received(chain)}
+        return rows.withColumns(received).withColumns(chain.result).select(*cols, *chain.result)
 
+    rows, order = _bucketed(df, keys, order, plan)
+    w = Window.partitionBy(*keys, "__b").orderBy(*order)
+    rows = _stepped(rows, chain.steps(w)).withColumn("__last", F.lead(F.lit(1)).over(w).isNull())
+    rows = written(rows, "scanned")
+    names = [f"__rk{i}" for i in range(len(keys))]
+    last = rows.filter("__last").select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("__b").alias("__rb"),
+                                        *_hand_on(chain))
+    received = _stepped(last, chain.receive(Window.partitionBy(*names).orderBy("__rb")))
+    received = written(received.select(*names, "__rb", *_received(chain)), "received")
+    on = _same(keys, names) & (F.col("__b") == F.col("__rb"))
+    joined = rows.join(received, on, "left")
+    return joined.withColumns(chain.result).select(*cols, *chain.result)
 
-def resolve_split(df: DataFrame, keys: list[str], time_col: str, split="auto",
-                  rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> SplitPlan | None:
-    """Alias of ``plan_split`` for operators that chain several scans."""
-    return plan_split(df, keys, time_col, split, rows_per_split)
+
+def _hand_on(chain: Chain) -> list[Column]:
+    return [c.alias(n) for n, c in chain.hand_on.items()]
+
+
+def _received(chain: Chain) -> list[str]:
+    return [n for step in chain.receive(Window.orderBy(F.lit(0))) for n in step]
 
 
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[Scan],
@@ -116,78 +208,35 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], scans: list[Sca
     further columns break ties. ``split`` is ``'auto'``, ``None`` (plain
     window), a fixed bucket width such as ``'1 day'``, or a ``SplitPlan``.
     """
-    plan = plan_split(df, keys, order[0], split, rows_per_split)
-    cols = df.columns
-    tmp = [f"__s{i}" for i in range(len(scans))]
-    base = df
-    for c, s in zip(tmp, scans):
-        base = base.withColumn(c, s.expr)
-
+    plan = plan_split(df, keys, order, split, rows_per_split)
+    own = {f"__s{i}": s.expr for i, s in enumerate(scans)}
+    base = df.withColumns(own)
     if plan is None:
         w = Window.partitionBy(*keys).orderBy(*order)
-        out = base
-        for c, s in zip(tmp, scans):
-            out = out.withColumn(s.name, _window_expr(s.kind, c, w))
-        return out.select(*cols, *[s.name for s in scans])
+        return base.withColumns({s.name: _local(s.kind, c, w) for s, c in zip(scans, own)}).select(
+            *df.columns, *[s.name for s in scans])
 
-    t = epoch_us(df, order[0])
-    if plan.width_us is not None:
-        width = F.lit(plan.width_us)
-    else:
-        hot = plan.hot.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)], "__w")
-        cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hk{i}")) for i, k in enumerate(keys)])
-        base = base.join(F.broadcast(hot), cond, "left").drop(*[f"__hk{i}" for i in range(len(keys))])
-        width = F.col("__w")
-    bucket = (F.when(width.isNull(), F.lit(0))  # not a hot key: one bucket
-               .when(t.isNull(), F.lit(_NULL_TIME_BUCKET))
-               .otherwise(F.floor(t / width)).cast("long"))
-    base = base.withColumn("__b", bucket)
-
-    # One summary row per non-empty (hot key, bucket); partial aggregation
-    # keeps that shuffle at (keys x buckets) rows, whatever the skew.
-    split_rows = base if plan.width_us is not None else base.filter(F.col("__w").isNotNull())
-    order_struct = F.struct(*[F.col(o) for o in order])
-    aggs = []
-    for c, s in zip(tmp, scans):
+    hand_on, result = {}, {}
+    for c, s in zip(own, scans):
+        local, got = F.col(f"{c}l"), F.col(f"{c}r")
         if s.kind == "lag":
-            aggs.append(F.max_by(F.col(c), order_struct).alias(c))
+            hand_on[f"{c}h"] = F.col(c)
+            result[s.name] = F.when(F.col("__first"), got).otherwise(local)
         elif s.kind == "max_before":
-            aggs.append(F.max(c).alias(c))
-        elif s.kind == "ffill":
-            aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(c))
+            hand_on[f"{c}h"] = F.greatest(local, F.col(c))
+            result[s.name] = F.greatest(local, got)
         else:
-            raise ValueError(s.kind)
-    summary = split_rows.groupBy(*keys, "__b").agg(*aggs)
-
-    # Value carried into each bucket from all earlier buckets of its key; the
-    # first bucket of a key receives nothing.
-    wb = Window.partitionBy(*keys).orderBy("__b")
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    carried = []
-    for c, s in zip(tmp, scans):
-        if s.kind == "lag":
-            carried.append(F.lag(c).over(wb).alias(c))
-        elif s.kind == "max_before":
-            carried.append(F.max(c).over(before).alias(c))
-        else:
-            carried.append(F.last(c, ignorenulls=True).over(before).alias(c))
-    carry = (summary.select(*keys, "__b", *carried, F.lag(F.lit(1)).over(wb).alias("__has_prev"))
-                    .filter(F.col("__has_prev").isNotNull())
-                    .drop("__has_prev")
-                    .withColumn("__k", F.lit(0)))
-
-    rows = base.withColumn("__k", F.lit(1))
-    if "__w" in rows.columns:
-        rows = rows.drop("__w")
-    merged = rows.unionByName(carry, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, "__b").orderBy("__k", *order)
-    out = merged
-    for c, s in zip(tmp, scans):
-        out = out.withColumn(s.name, _window_expr(s.kind, c, w))
-    return out.filter(F.col("__k") == 1).select(*cols, *[s.name for s in scans])
-
-
-def _window_expr(kind: str, c: str, w) -> Column:
+            hand_on[f"{c}h"] = local
+            result[s.name] = F.coalesce(local, got)
+    chain = Chain(
+        lambda w: [{f"{c}l": _local(s.kind, c, w) for c, s in zip(own, scans)} | {"__first": F.row_number().over(w) == 1}],
+        hand_on,
+        lambda w: [{f"{c}r": _before(s.kind, f"{c}h", w) for c, s in zip(own, scans)}],
+        result)
+    return keyed_chain(base, keys, order, chain, plan, rows_per_split).select(*df.columns, *[s.name for s in scans])
+
+
+def _local(kind: str, c: str, w) -> Column:
     if kind == "lag":
         return F.lag(c).over(w)
     if kind == "max_before":
@@ -195,3 +244,11 @@ def _window_expr(kind: str, c: str, w) -> Column:
     if kind == "ffill":
         return F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     raise ValueError(kind)
+
+
+def _before(kind: str, c: str, w) -> Column:
+    """What a bucket receives of a scan from the buckets before it."""
+    if kind == "lag":
+        return F.lag(c).over(w)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    return F.max(c).over(before) if kind == "max_before" else F.last(c, ignorenulls=True).over(before)

@@ -23,11 +23,11 @@ task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.time import US_PER_MS, duration_us, epoch_us
-from tideline.operators.ordered import DEFAULT_ROWS_PER_SPLIT, ffill, keyed_scan, lag, max_before, resolve_split
+from tideline.operators.ordered import DEFAULT_ROWS_PER_SPLIT, Chain, keyed_chain
 
 
 def floor_div(c: Column, n: int) -> Column:
@@ -61,19 +61,34 @@ def watermark_trace(df: DataFrame, sources: str | list[str], time: str, arrival:
         raise ValueError("align must be positive")
     delay = ooo if bounded_delay is None else _ms(bounded_delay)
     base = df.withColumn("ts_ms", to_ms(df, time)).withColumn("arrival_ms", to_ms(df, arrival))
-    split = resolve_split(df, srcs, arrival, split, rows_per_split)
-    s1 = keyed_scan(base, srcs, [arrival, *ties],
-                    [max_before("ts_ms", "__max_before"), lag("arrival_ms", "__prev_arrival")],
-                    split, rows_per_split)
-    idle_gap = (F.col("arrival_ms") - F.col("__prev_arrival")) > F.lit(idle_ms)
-    s2 = keyed_scan(s1.withColumn("__idle_max", F.when(idle_gap, F.col("__max_before"))),
-                    srcs, [arrival, *ties], [ffill("__idle_max", "__last_idle_max")],
-                    split, rows_per_split)
+    ts, arrived = F.col("ts_ms"), F.col("arrival_ms")
+    got_max, got_arrival, first = F.col("__got_max"), F.col("__got_arrival"), F.col("__first_arrival")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
+    chain = Chain(
+        # Idle rows of a bucket are those long after the row before them; its first row is judged by what it receives.
+        steps=lambda w: [
+            {"__own_max": F.max(ts).over(before(w)), "__own_arrival": F.lag(arrived).over(w),
+             "__first_arrival": F.first(arrived).over(so_far(w))},
+            {"__own_idle": F.last(F.when(arrived - F.col("__own_arrival") > idle_ms, F.col("__own_max")), ignorenulls=True)
+             .over(so_far(w))}],
+        hand_on={"__told_max": F.greatest("__own_max", ts), "__told_arrival": arrived, "__told_first": first,
+                 "__told_idle": F.col("__own_idle")},
+        receive=lambda w: [
+            {"__got_max": F.max("__told_max").over(before(w)), "__got_arrival": F.lag("__told_arrival").over(w)},
+            {"__idle": F.when(F.col("__told_idle").isNotNull(), F.greatest("__told_idle", got_max))
+             .when(F.col("__told_first") - got_arrival > idle_ms, got_max)},
+            {"__got_idle": F.last("__idle", ignorenulls=True).over(before(w))}],
+        result={
+            "__max_before": F.greatest("__own_max", got_max),
+            "__last_idle_max": F.when(F.col("__own_idle").isNotNull(), F.greatest("__own_idle", got_max))
+            .when(first - got_arrival > idle_ms, got_max).otherwise(F.col("__got_idle"))})
+    traced = keyed_chain(base, srcs, [arrival, *ties], chain, split, rows_per_split)
     p = F.col("__max_before") - F.lit(ooo + 1)
     q = floor_div(F.col("__last_idle_max"), align_ms) * F.lit(align_ms) + F.lit(ooo + 1)
-    return (s2.withColumn("wm_bounded_ms", F.col("__max_before") - F.lit(delay))
-              .withColumn("wm_idle_ms", F.greatest(p, q))
-              .drop("__max_before", "__prev_arrival", "__idle_max", "__last_idle_max"))
+    return (traced.withColumn("wm_bounded_ms", F.col("__max_before") - F.lit(delay))
+                  .withColumn("wm_idle_ms", F.greatest(p, q))
+                  .drop("__max_before", "__last_idle_max"))
 
 
 def tumbling_bounds_ms(ts_ms: Column, size) -> tuple[Column, Column]:

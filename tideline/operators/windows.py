@@ -10,18 +10,19 @@ per map task and window.
 Sessions: a row joins the open session of its key when its time is at most
 the largest ``time + gap`` of the earlier rows (Spark's merge rule, which
 keeps a row exactly at the session end inside). ``sessionize`` computes that
-with the hot-key safe ordered scan; ``session_window_native`` uses Spark's
-``session_window`` (also what the streaming form uses).
+with the hot-key safe ordered scan, in one shuffle of the rows;
+``session_window_native`` uses Spark's ``session_window`` (also what the
+streaming form uses), which sorts all rows of a key in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.time import duration_us, epoch_us, ntz_from_us, spark_interval
-from tideline.operators.ordered import DEFAULT_ROWS_PER_SPLIT, ffill, keyed_scan, max_before, resolve_split
+from tideline.operators.ordered import DEFAULT_ROWS_PER_SPLIT, Chain, keyed_chain
 
 
 def _flatten(grouped: DataFrame, keys: list[str], wcol: str) -> DataFrame:
@@ -70,12 +71,22 @@ def assign_sessions(df: DataFrame, keys: list[str], time: str, gap, tie: str | l
     t = epoch_us(df, time)
     gap_us = gap if isinstance(gap, Column) else F.lit(duration_us(gap))
     base = df.withColumn("__t_us", t).withColumn("__end_us", t + gap_us.cast("long"))
-    split = resolve_split(df, keys, time, split, rows_per_split)
-    s1 = keyed_scan(base, keys, [time, *ties], [max_before("__end_us", "__prev_end")], split, rows_per_split)
-    starts = F.when(F.col("__prev_end").isNull() | (F.col("__t_us") > F.col("__prev_end")), F.col("__t_us"))
-    s2 = keyed_scan(s1.withColumn("__start_flag", starts), keys, [time, *ties],
-                    [ffill("__start_flag", "__sess_start_us")], split, rows_per_split)
-    return s2.drop("__prev_end", "__start_flag")
+    end, at = F.col("__end_us"), F.col("__t_us")
+    own, got = F.col("__own_start"), F.col("__got_end")
+    chain = Chain(
+        # A row opens a session of its bucket if it is behind every earlier end there; the last opener up to each row.
+        steps=lambda w: [
+            {"__own_end": F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))},
+            {"__own_start": F.last(F.when(F.col("__own_end").isNull() | (at > F.col("__own_end")), at), ignorenulls=True)
+             .over(w.rowsBetween(Window.unboundedPreceding, 0))}],
+        hand_on={"__told_end": F.greatest("__own_end", end), "__told_start": own},
+        # It opens one of its key too if it is behind the ends of the earlier buckets; else their last session goes on.
+        receive=lambda w: [
+            {"__got_end": F.max("__told_end").over(w.rowsBetween(Window.unboundedPreceding, -1))},
+            {"__open": F.when(got.isNull() | (F.col("__told_start") > got), F.col("__told_start"))},
+            {"__got_start": F.last("__open", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))}],
+        result={"__sess_start_us": F.when(got.isNull() | (own > got), own).otherwise(F.col("__got_start"))})
+    return keyed_chain(base, keys, [time, *ties], chain, split, rows_per_split)
 
 
 def sessionize(df: DataFrame, keys: list[str], time: str, gap, aggs: list[Column],

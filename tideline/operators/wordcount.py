@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from tideline.functions.scalar import split_whitespace_raw
 from tideline.functions.udtf import register_split_words
-from tideline.operators.partitioning import spread_if_narrow
 from tideline.session import ship_package
 
 
-def words(df: DataFrame, text: str, word: str = "word", spread: bool = True) -> DataFrame:
+def words(df: DataFrame, text: str, word: str = "word") -> DataFrame:
     """One row per whitespace token, as Python's ``str.split()``.
 
     Rows with no token produce nothing (a lateral join with an empty table
@@ -19,32 +18,25 @@ def words(df: DataFrame, text: str, word: str = "word", spread: bool = True) ->
     token at each end; it is filtered after the explode, which keeps the
     whole projection inside generated code.
     """
-    src = df.select(text)
-    if spread:
-        src = spread_if_narrow(src)
-    return (src.select(F.explode(split_whitespace_raw(F.col(text))).alias(word))
-               .filter(F.col(word) != F.lit("")))
+    return (df.select(F.explode(split_whitespace_raw(F.col(text))).alias(word))
+              .filter(F.col(word) != F.lit("")))
 
 
-def word_counts(df: DataFrame, text: str, word: str = "word", count: str = "count",
-                spread: bool = True) -> DataFrame:
+def word_counts(df: DataFrame, text: str, word: str = "word", count: str = "count") -> DataFrame:
     """``SELECT w, COUNT(*) FROM t, LATERAL split(text) GROUP BY w``.
 
     The count aggregates partially before the shuffle, so frequent words
     are combined map-side instead of landing on one reducer unreduced.
     """
-    return words(df, text, word, spread).groupBy(word).agg(F.count(F.lit(1)).alias(count))
+    return words(df, text, word).groupBy(word).agg(F.count(F.lit(1)).alias(count))
 
 
 def word_counts_sql(spark: SparkSession, df: DataFrame, text: str, view: str = "tideline_text",
-                    function: str = "split_words", spread: bool = True) -> DataFrame:
+                    function: str = "split_words") -> DataFrame:
     """The same count through a registered Python UDTF and SQL (the reference's form)."""
     ship_package(spark)
     register_split_words(spark, function)
-    src = df.select(F.col(text).alias("line"))
-    if spread:
-        src = spread_if_narrow(src)
-    src.createOrReplaceTempView(view)
+    df.select(F.col(text).alias("line")).createOrReplaceTempView(view)
     return spark.sql(f"""
         SELECT T.word AS word, COUNT(*) AS `count`
         FROM {view}, LATERAL {function}(line) AS T

@@ -13,15 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tideline.functions.scalar import ISO_8601_MS, to_json_record
-from tideline.session import new_checkpoint_location
+from tideline.session import checkpoint_location
 from tideline.sinks import writers
 from tideline.sources import generators as gen
 from tideline.sources import kafka as kafka_src
 from tideline.sources import literals
 from tideline.sources.files import read_csv, read_json
 from tideline.streaming.dedup import stream_dedup_expiring, stream_keep_first, stream_tag_duplicates
-from tideline.streaming.signals import stream_price_signals
-from tideline.streaming.watermark import stream_idle_watermark_windows
+from tideline.streaming.signals import split_valid, stream_price_signals
 from tideline.streaming.windows import stream_word_counts
 
 # The schemas of the reference's stock source and signal sink tables.
@@ -30,42 +29,57 @@ STOCK_SIGNAL_COLUMNS = ["stock_symbol", "signal", "price", "event_time"]
 
 
 def stocks_signals_job(spark: SparkSession, source: str | dict, sink: str | dict, fmt: str = "kafka",
-                       topic: str = "stock_signals_topic", delay: str = "5 seconds",
-                       checkpoint: str | None = None, **trigger) -> StreamingQuery:
+                       topic: str = "stock_signals_topic", delay: str = "5 seconds", job: str = "stocks-signals",
+                       rejects: str | None = None, **trigger) -> list[StreamingQuery]:
     """Stock ticks (JSON, ISO-8601) -> BUY/SELL on >5% moves vs the previous tick -> JSON sink.
 
     ``fmt='kafka'``: ``source``/``sink`` are option dicts (see ``sources.kafka``).
-    ``fmt='json'``: ``source``/``sink`` are folders of JSON lines.
+    ``fmt='json'``: ``source``/``sink`` are folders of JSON lines. A restart
+    under the same ``job`` name resumes. Ticks without symbol or time (a record
+    that cannot be decoded has neither) do not reach the operator: with
+    ``rejects`` a second query writes them to that folder as text. The number
+    of rejected and late rows of each batch is in the query's progress, under
+    observedMetrics. Returns the queries, the signals first.
     """
     if fmt == "kafka":
-        ticks = kafka_src.read_json_topic(spark, source, STOCK_TICK_SCHEMA)
+        raw = spark.readStream.format("kafka").options(**source).load()
+        ticks = kafka_src.decode_json_value(raw, STOCK_TICK_SCHEMA, keep=["value"]).withColumn("raw", F.col("value").cast("string"))
     else:
-        ticks = read_json(spark, source, STOCK_TICK_SCHEMA, stream=True)
-    signals = stream_price_signals(ticks, "stock_symbol", "price", "event_time", delay=delay)
+        ticks = read_json(spark, source, STOCK_TICK_SCHEMA, stream=True, raw="raw")
+    valid, rejected = split_valid(ticks, "stock_symbol", "event_time")
+    signals = stream_price_signals(valid, "stock_symbol", "price", "event_time", delay=delay)
     signals = signals.select(*STOCK_SIGNAL_COLUMNS)
-    loc = checkpoint or new_checkpoint_location(spark, "stocks-signals")
+    loc = checkpoint_location(spark, job)
     if fmt == "kafka":
-        return writers.kafka(signals, sink, topic, STOCK_SIGNAL_COLUMNS, key_col="stock_symbol",
-                             checkpoint=loc, **trigger)
-    out = signals.select(to_json_record(*STOCK_SIGNAL_COLUMNS, timestamp_format=ISO_8601_MS).alias("value"))
-    w = out.writeStream.format("text").option("path", sink).option("checkpointLocation", loc)
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
+        queries = [writers.kafka(signals, sink, topic, STOCK_SIGNAL_COLUMNS, key_col="stock_symbol",
+                                 checkpoint=loc, **trigger)]
+    else:
+        out = signals.select(to_json_record(*STOCK_SIGNAL_COLUMNS, timestamp_format=ISO_8601_MS).alias("value"))
+        queries = [_to_text(out, sink, loc, trigger)]
+    if rejects:
+        record = F.coalesce("raw", to_json_record("stock_symbol", "price", "event_time"))
+        queries.append(_to_text(rejected.select(record.alias("value")), rejects, checkpoint_location(spark, f"{job}-rejects"), trigger))
+    return queries
+
+
+def _to_text(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    w = df.writeStream.format("text").option("path", path).option("checkpointLocation", checkpoint)
+    return (w.trigger(**trigger) if trigger else w).start()
 
 
 def dedup_job(orders: DataFrame, key: str = "orderId", order: str = "seq", mode: str = "first",
-              ttl: str = "10 minutes", main=None, side=None, checkpoint: str | None = None,
+              ttl: str = "10 minutes", main=None, side=None, job: str | None = None,
               **trigger) -> StreamingQuery:
     """Keyed dedup of an order stream: ``mode`` = 'first', 'side_output' or 'expiring'.
 
     ``main``/``side`` are ``foreachBatch``-style writers ``(df, epoch_id)``;
-    by default rows are printed with the reference's labels.
+    by default rows are printed with the reference's labels. A restart under
+    the same ``job`` name (default: by the mode) goes on with its state.
     """
     spark = orders.sparkSession
-    loc = checkpoint or new_checkpoint_location(spark, f"dedup-{mode}")
+    loc = checkpoint_location(spark, job or f"dedup-{mode}")
     if mode == "first":
-        out = stream_keep_first(orders, [key])
+        out = stream_keep_first(orders, [key], order)
     elif mode == "expiring":
         out = stream_dedup_expiring(orders, [key], order, ttl)
     elif mode == "side_output":
@@ -81,43 +95,29 @@ def dedup_job(orders: DataFrame, key: str = "orderId", order: str = "seq", mode:
 
 def _printer(label: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        writers.labelled(batch, label).show(truncate=False)
+        writers.print_table(batch, label)
     return write
 
 
-def custom_watermark_job(spark: SparkSession, rows_per_batch: int = 20, active_ms: int = 20_000,
-                         idle_ms: int = 50_000, query_name: str | None = None,
-                         checkpoint: str | None = None, **trigger) -> StreamingQuery:
-    """Active/idle generator -> idle-advancing watermark (10 s, 5 s) -> 5 s windows summing event time."""
-    src = gen.idle_cycle(gen.stream_sequence(spark, rows_per_batch), "n", active_ms, idle_ms)
-    sums = stream_idle_watermark_windows(src.withColumn("source", F.lit(0)), "source", "name", "ts_ms",
-                                         "arrival_ms", "ts_ms")
-    sums = sums.select("name", "window_start_ms", "window_end_ms", F.col("total").cast("long").alias("sum_ts_ms"))
-    if query_name:
-        return writers.memory(sums, query_name, checkpoint=checkpoint, **trigger)
-    return writers.console(sums, checkpoint=checkpoint, **trigger)
-
-
-def word_count_job(spark: SparkSession, path: str, query_name: str | None = None,
-                   checkpoint: str | None = None, **trigger) -> StreamingQuery:
-    """CSV lines -> lateral split -> continuous COUNT per word (complete mode)."""
+def word_count_job(spark: SparkSession, path: str, query_name: str | None = None, job: str = "word-count",
+                   **trigger) -> StreamingQuery:
+    """CSV lines -> lateral split -> continuous COUNT per word; each batch gives the words that changed."""
     counts = stream_word_counts(read_csv(spark, path, "word string", stream=True), "word")
     if query_name:
-        return writers.memory(counts, query_name, "complete", checkpoint=checkpoint, **trigger)
-    return writers.console(counts, output_mode="complete", checkpoint=checkpoint, **trigger)
+        return writers.memory(counts, query_name, "update", **trigger)
+    return writers.console(counts, job, output_mode="update", **trigger)
 
 
-def datagen_job(spark: SparkSession, end: int = 10, query_name: str | None = None,
-                checkpoint: str | None = None, **trigger) -> StreamingQuery:
+def datagen_job(spark: SparkSession, end: int = 10, query_name: str | None = None, job: str = "datagen",
+                **trigger) -> StreamingQuery:
     """Sequence source 1..end with random data -> ``SELECT id + 1, data`` -> print sink."""
     src = gen.stream_sequence_table(spark, 1, end)
     out = src.select((F.col("id") + 1).alias("id"), "data")
     if query_name:
-        return writers.memory(out, query_name, checkpoint=checkpoint, **trigger)
-    return writers.console(out, checkpoint=checkpoint, **trigger)
+        return writers.memory(out, query_name, **trigger)
+    return writers.console(out, job, **trigger)
 
 
 def table_print_job(spark: SparkSession) -> DataFrame:
     """Strings -> table -> temp view -> ``SELECT UPPER(f0)`` -> rows."""
-    literals.names(spark).createOrReplaceTempView("InputTable")
-    return spark.sql("SELECT UPPER(f0) AS f0 FROM InputTable")
+    return spark.sql("SELECT UPPER(f0) AS f0 FROM {names}", names=literals.names(spark))

@@ -59,7 +59,7 @@ g AS (
   SELECT *, SUM(CASE WHEN prev_end IS NULL OR t > prev_end THEN 1 ELSE 0 END)
               OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM f)
 SELECT user_id, make_timestamp(MIN(t)) AS window_start, make_timestamp(MAX(e_us)) AS window_end,
-       COUNT(*) AS n, ROUND(SUM(value), 6) AS total_value
+       COUNT(*) AS n, CAST(ROUND(SUM(CAST(value AS DECIMAL(28,8))), 6) AS DOUBLE) AS total_value
 FROM g GROUP BY user_id, sid
 """
 
@@ -97,21 +97,16 @@ tr AS (
   FROM c)"""
 
 
-_EVENTS_SRC = """
-  SELECT event_type AS src_key, event_id AS rid, event_type, event_id, value,
-         epoch_us(ts) // 1000 AS ts_ms,
-         (epoch_us(ts) + ((event_id * 7919) % 7200) * 1000000) // 1000 AS arrival_ms
-  FROM events"""
-_EVENTS_TRACE = "WITH " + _trace(_EVENTS_SRC, 3_600_000, 1_800_000, 3_600_000, 3_600_000)
-_H_MS = 3_600_000
-_LATE = f"((ts_ms // {_H_MS}) * {_H_MS} + {_H_MS}) - 1 <= wm_idle_ms"
-
-_IDLE_T0 = T0_MS + 5_500
-_IDLE_SRC = f"""
-  SELECT 0 AS src_key, event_id AS rid, 'Event' || CAST(event_id % 20 AS VARCHAR) AS name,
-         {_IDLE_T0} + event_id * 1000 AS ts_ms,
-         {_IDLE_T0} + (event_id // 20) * 70000 + (event_id % 20) * 1000 AS arrival_ms
-  FROM events"""
+_DAY_MS = 86_400_000
+_REPLAY_SRC = """
+  SELECT o_orderpriority AS src_key, (l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rid,
+         o_orderpriority, l_orderkey, l_linenumber, l_quantity,
+         epoch_us(o_orderdate) // 1000 AS ts_ms, epoch_us(l_shipdate) // 1000 AS arrival_ms
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+_REPLAY_TRACE = "WITH " + _trace(_REPLAY_SRC, 90 * _DAY_MS, _DAY_MS // 2, _DAY_MS, 90 * _DAY_MS)
+_W_MS = 30 * _DAY_MS
+_LATE = f"((ts_ms // {_W_MS}) * {_W_MS} + {_W_MS}) - 1 <= wm_bounded_ms"
+_BOUNDS = f"(ts_ms // {_W_MS}) * {_W_MS} AS window_start_ms, (ts_ms // {_W_MS}) * {_W_MS} + {_W_MS} AS window_end_ms"
 
 ORACLE_SQL: dict[str, str] = {
     "price_signals": f"""
@@ -142,7 +137,6 @@ FROM events
 """,
     "upper_names": "SELECT UPPER(c_name) AS f0 FROM customer",
     "add_one": "SELECT o_orderkey + 1 AS id, o_orderstatus AS data FROM orders",
-    "literal_rows": "SELECT CAST(FLOOR(o_totalprice) AS BIGINT) AS price, o_orderpriority AS script FROM orders",
     "word_count": _WORD_COUNT,
     "word_count_udtf": _WORD_COUNT,
     "tumbling_avg": f"""
@@ -185,51 +179,23 @@ WHERE rn > 1
 """,
     "dedup_expiring": _dedup_expiring("10 MINUTE"),
     "dedup_expiring_day": _dedup_expiring("1 DAY"),
-    "watermark_trace": _EVENTS_TRACE + """
-SELECT event_type, event_id, ts_ms, arrival_ms, wm_bounded_ms, wm_idle_ms FROM tr
+    "watermark_trace": _REPLAY_TRACE + """
+SELECT o_orderpriority, l_orderkey, l_linenumber, ts_ms, arrival_ms, wm_bounded_ms, wm_idle_ms FROM tr
 """,
-    "late_rows": _EVENTS_TRACE + f"""
-SELECT event_type, event_id, ts_ms, arrival_ms, (ts_ms // {_H_MS}) * {_H_MS} AS window_start_ms,
-       (ts_ms // {_H_MS}) * {_H_MS} + {_H_MS} AS window_end_ms, wm_idle_ms
+    "late_rows": _REPLAY_TRACE + f"""
+SELECT o_orderpriority, l_orderkey, l_linenumber, ts_ms, arrival_ms, {_BOUNDS}, wm_bounded_ms
 FROM tr WHERE {_LATE}
 """,
-    "on_time_tumbling": _EVENTS_TRACE + f"""
-SELECT event_type, (ts_ms // {_H_MS}) * {_H_MS} AS window_start_ms,
-       (ts_ms // {_H_MS}) * {_H_MS} + {_H_MS} AS window_end_ms,
-       COUNT(*) AS n, ROUND(SUM(value), 6) AS total_value
+    "on_time_tumbling": _REPLAY_TRACE + f"""
+SELECT o_orderpriority, {_BOUNDS}, COUNT(*) AS n,
+       CAST(ROUND(SUM(CAST(l_quantity AS DECIMAL(28,8))), 6) AS DOUBLE) AS total_quantity
 FROM tr WHERE NOT COALESCE({_LATE}, FALSE)
 GROUP BY 1, 2, 3
 """,
     "lag_watermark": f"""
-SELECT event_type, event_id, ts_ms, arrival_ms, (ts_ms // {_H_MS}) * {_H_MS} AS window_start_ms,
-       (ts_ms // {_H_MS}) * {_H_MS} + {_H_MS} AS window_end_ms, arrival_ms - 3000000 AS wm_ms,
-       ((ts_ms // {_H_MS}) * {_H_MS} + {_H_MS}) - 1 <= arrival_ms - 3000000 AS is_late
-FROM ({_EVENTS_SRC}) a
-""",
-    "idle_cycle_window_sum": "WITH " + _trace(_IDLE_SRC, 10_000, 5_000, 10_000, 10_000) + """
-SELECT name, (ts_ms // 5000) * 5000 AS window_start_ms, (ts_ms // 5000) * 5000 + 5000 AS window_end_ms,
-       CAST(SUM(ts_ms) AS BIGINT) AS sum_ts_ms
-FROM tr
-WHERE NOT COALESCE(((ts_ms // 5000) * 5000 + 5000) - 1 <= wm_idle_ms, FALSE)
-GROUP BY 1, 2, 3
-""",
-    "generator_incremental": f"""
-SELECT event_id AS n, 'Event' || CAST(event_id AS VARCHAR) AS name,
-       {T0_MS} + event_id * 1000 AS ts_ms, {T0_MS} + event_id * 500 AS arrival_ms
-FROM events
-""",
-    "generator_idle_cycle": f"""
-SELECT event_id AS n, event_id // 20 AS cycle, 'Event' || CAST(event_id % 20 AS VARCHAR) AS name,
-       {T0_MS} + event_id * 1000 AS ts_ms,
-       {T0_MS} + (event_id // 20) * 70000 + (event_id % 20) * 1000 AS arrival_ms
-FROM events
-""",
-    "generator_random": f"""
-SELECT n, 'Event' || CAST(r1 % 10000 AS VARCHAR) AS name,
-       {T0_MS} + n * 500 - ((r1 % {LEHMER_MOD}) * {LEHMER_MUL} % {LEHMER_MOD}) % 10000 AS ts_ms,
-       {T0_MS} + n * 500 AS arrival_ms
-FROM (SELECT event_id AS n, (((event_id + 1) % {LEHMER_MOD}) * {LEHMER_MUL}) % {LEHMER_MOD} AS r1
-      FROM events) t
+SELECT o_orderpriority, l_orderkey, l_linenumber, ts_ms, arrival_ms, {_BOUNDS}, arrival_ms - {60 * _DAY_MS} AS wm_ms,
+       ((ts_ms // {_W_MS}) * {_W_MS} + {_W_MS}) - 1 <= arrival_ms - {60 * _DAY_MS} AS is_late
+FROM ({_REPLAY_SRC}) a
 """,
     "json_roundtrip": """
 SELECT event_id, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts, value,

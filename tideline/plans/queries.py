@@ -6,9 +6,9 @@ reference states in seconds are scaled to the ``events`` table, which spans 30
 days (see ``EVENTS_*`` below); the reference's own values are the library
 defaults.
 
-Averages are computed in decimal and rounded half-up to 6 decimals, and
-double sums are rounded to 6 decimals, so the comparison does not depend on
-summation order; the operators themselves take any aggregate.
+Averages and sums are computed in decimal and rounded half-up to 6 decimals,
+so the comparison does not depend on summation order; the operators themselves
+take any aggregate.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from tideline.operators.signals import price_signals, with_previous
 from tideline.operators.watermark import mark_late, system_lag_watermark, to_ms, watermark_trace
 from tideline.operators.windows import sessionize, sliding, tumbling
 from tideline.operators.wordcount import word_counts, word_counts_sql
-from tideline.sources import generators as gen
 from tideline.sources.tables import documents, events, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,17 +36,15 @@ EVENTS_SESSION_GAP = "6 hours"
 EVENTS_DYNAMIC_GAP_H = {"purchase": 12, "error": 1}
 EVENTS_DYNAMIC_GAP_DEFAULT_H = 6
 EVENTS_DEDUP_KEYS = ["user_id", "event_type"]
-# Derived arrival order for replays: ts + ((event_id * 7919) mod 7200) seconds.
-ARRIVAL_MUL, ARRIVAL_MOD_S = 7919, 7200
-# Reference: 10 s out-of-orderness, 5 s idleness, 10 s alignment; scaled to hours.
-EVENTS_OOO, EVENTS_IDLE, EVENTS_ALIGN = "1 hour", "30 minutes", "1 hour"
-EVENTS_SYSTEM_LAG = "50 minutes"  # reference: 50000 ms
-# The reference's watermark job: 20 s active, 50 s idle, 10 s lateness, 5 s idle, 5 s windows.
-IDLE_JOB_T0_MS = gen.T0_MS + 5_500
+# Replays: a line item's event time is its order's date, and it arrives when it ships. Days instead of seconds.
+REPLAY_OOO, REPLAY_IDLE, REPLAY_ALIGN, REPLAY_WINDOW = "90 days", "12 hours", "1 day", "30 days"
+REPLAY_LAG = "60 days"
 
 
-def _r6(c):
-    return F.round(c, 6)
+
+def _sum6(col: str):
+    """SUM rounded to 6 decimals, exact in decimal arithmetic (see ``_avg6``)."""
+    return F.round(F.sum(F.col(col).cast("decimal(28,8)")), 6).cast("double")
 
 
 def _avg6(col: str):
@@ -61,9 +58,12 @@ def _avg6(col: str):
     return F.round(F.avg(F.col(col).cast("decimal(38,8)")), 6).cast("double")
 
 
-def with_arrival(ev: DataFrame, name: str = "arrival") -> DataFrame:
-    shift = F.pmod(F.col("event_id") * F.lit(ARRIVAL_MUL), F.lit(ARRIVAL_MOD_S))
-    return ev.withColumn(name, F.timestamp_add("SECOND", shift, F.col("ts")))
+def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items in the order in which they ship, each with its order's date as event time."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                                                    F.col("l_shipdate").alias("arrival"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", F.col("o_orderdate").alias("ts"))
+    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
 
 
 # --- signals (W1, W2, P3-P5) -------------------------------------------------
@@ -92,8 +92,7 @@ def q_signals_kafka_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_upper_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Table -> temp view -> ``SELECT UPPER(f0)`` -> rows."""
     names = table(spark, sf_dir, "customer").select(F.col("c_name").alias("f0"))
-    names.createOrReplaceTempView("tideline_input_table")
-    return spark.sql("SELECT UPPER(f0) AS f0 FROM tideline_input_table")
+    return spark.sql("SELECT UPPER(f0) AS f0 FROM {names}", names=names)
 
 
 def q_add_one(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,12 +101,6 @@ def q_add_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(plus_one(F.col("o_orderkey")).alias("id"), F.col("o_orderstatus").alias("data"))
 
 
-def q_literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A two-column table printed as is: duplicate rows are kept."""
-    o = table(spark, sf_dir, "orders")
-    return o.select(F.floor("o_totalprice").cast("long").alias("price"), F.col("o_orderpriority").alias("script"))
-
-
 # --- word count (P7, J1, A1, U1, U2) -------------------------------------------
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +136,7 @@ def q_sliding_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     return sessionize(ev, ["user_id"], "ts", EVENTS_SESSION_GAP,
-                      [F.count(F.lit(1)).alias("n"), _r6(F.sum("value")).alias("total_value")],
+                      [F.count(F.lit(1)).alias("n"), _sum6("value").alias("total_value")],
                       tie="event_id")
 
 
@@ -152,7 +145,7 @@ def q_session_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tideline.operators.windows import session_window_native
     ev = events(spark, sf_dir)
     return session_window_native(ev, ["user_id"], "ts", EVENTS_SESSION_GAP,
-                                 [F.count(F.lit(1)).alias("n"), _r6(F.sum("value")).alias("total_value")])
+                                 [F.count(F.lit(1)).alias("n"), _sum6("value").alias("total_value")])
 
 
 def dynamic_gap_us():
@@ -169,14 +162,14 @@ def q_session_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions whose gap depends on the row (custom windowing)."""
     ev = events(spark, sf_dir)
     return sessionize(ev, ["user_id"], "ts", dynamic_gap_us(),
-                      [F.count(F.lit(1)).alias("n"), _r6(F.sum("value")).alias("total_value")],
+                      [F.count(F.lit(1)).alias("n"), _sum6("value").alias("total_value")],
                       tie="event_id")
 
 
 # --- dedup (T1-T3) ----------------------------------------------------------------
 
 def q_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep_first(events(spark, sf_dir), EVENTS_DEDUP_KEYS, "event_id")
+    return keep_first(events(spark, sf_dir), EVENTS_DEDUP_KEYS, "event_id", unique=True)
 
 
 def q_dedup_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,78 +191,41 @@ def q_dedup_expiring_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- watermarks and late rows (T4, T5, T7, T12, T13) ----------------------------------
 
-def _events_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = with_arrival(events(spark, sf_dir).select("event_id", "event_type", "ts", "value"))
-    return watermark_trace(ev, "event_type", "ts", "arrival", tie="event_id",
-                           out_of_orderness=EVENTS_OOO, idle=EVENTS_IDLE, align=EVENTS_ALIGN)
+def _trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return watermark_trace(replayed(spark, sf_dir), "o_orderpriority", "ts", "arrival",
+                           tie=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+                           out_of_orderness=REPLAY_OOO, idle=REPLAY_IDLE, align=REPLAY_ALIGN)
 
 
 def q_watermark_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tr = _events_trace(spark, sf_dir)
-    return tr.select("event_type", "event_id", "ts_ms", "arrival_ms", "wm_bounded_ms", "wm_idle_ms")
+    tr = _trace(spark, sf_dir)
+    return tr.select("o_orderpriority", "l_orderkey", "l_linenumber", "ts_ms", "arrival_ms", "wm_bounded_ms", "wm_idle_ms")
 
 
 def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows a 1-hour tumbling window would drop: their window fired before they arrived."""
-    m = mark_late(_events_trace(spark, sf_dir), "ts_ms", "wm_idle_ms", EVENTS_TUMBLE)
-    return m.filter("is_late").select("event_type", "event_id", "ts_ms", "arrival_ms",
-                                      "window_start_ms", "window_end_ms", "wm_idle_ms")
+    """Rows a 30-day tumbling window would drop: their window fired before they arrived."""
+    m = mark_late(_trace(spark, sf_dir), "ts_ms", "wm_bounded_ms", REPLAY_WINDOW)
+    return m.filter("is_late").select("o_orderpriority", "l_orderkey", "l_linenumber", "ts_ms", "arrival_ms",
+                                      "window_start_ms", "window_end_ms", "wm_bounded_ms")
 
 
 def q_on_time_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The windowed result the stream would emit: late rows silently dropped."""
-    m = mark_late(_events_trace(spark, sf_dir), "ts_ms", "wm_idle_ms", EVENTS_TUMBLE)
+    m = mark_late(_trace(spark, sf_dir), "ts_ms", "wm_bounded_ms", REPLAY_WINDOW)
     return (m.filter(~F.col("is_late"))
-             .groupBy("event_type", "window_start_ms", "window_end_ms")
-             .agg(F.count(F.lit(1)).alias("n"), _r6(F.sum("value")).alias("total_value")))
+             .groupBy("o_orderpriority", "window_start_ms", "window_end_ms")
+             .agg(F.count(F.lit(1)).alias("n"), _sum6("l_quantity").alias("total_quantity")))
 
 
 def q_lag_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processing-time-lag watermark: a row is late when ``arrival - lag`` passed its window."""
-    ev = with_arrival(events(spark, sf_dir).select("event_id", "event_type", "ts"))
-    w = system_lag_watermark(ev, "arrival", EVENTS_SYSTEM_LAG)
+    w = system_lag_watermark(replayed(spark, sf_dir), "arrival", REPLAY_LAG)
     w = w.withColumn("ts_ms", to_ms(w, "ts")).withColumn("arrival_ms", to_ms(w, "arrival"))
-    m = mark_late(w, "ts_ms", "wm_ms", EVENTS_TUMBLE)
-    return m.select("event_type", "event_id", "ts_ms", "arrival_ms", "window_start_ms",
+    m = mark_late(w, "ts_ms", "wm_ms", REPLAY_WINDOW)
+    return m.select("o_orderpriority", "l_orderkey", "l_linenumber", "ts_ms", "arrival_ms", "window_start_ms",
                     "window_end_ms", "wm_ms", "is_late")
 
 
-def q_idle_cycle_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's watermark job over ``events.event_id`` as the sequence.
-
-    Active/idle source (20 s / 50 s) -> idle-advancing watermark (10 s, 5 s)
-    -> key by name -> 5 s tumbling windows -> sum of the time field; late
-    rows are dropped. One source: the watermark trace is a single ordered
-    scan, split by arrival time.
-    """
-    seq = events(spark, sf_dir).select(F.col("event_id").alias("n"))
-    src = gen.idle_cycle(seq, "n", 20_000, 50_000, t0_ms=IDLE_JOB_T0_MS).withColumn("source", F.lit(0))
-    tr = watermark_trace(src, "source", "ts_ms", "arrival_ms", tie="n",
-                         out_of_orderness="10 seconds", idle="5 seconds", align="10 seconds")
-    m = mark_late(tr, "ts_ms", "wm_idle_ms", "5 seconds")
-    return (m.filter(~F.col("is_late"))
-             .groupBy("name", "window_start_ms", "window_end_ms")
-             .agg(F.sum("ts_ms").alias("sum_ts_ms")))
-
-
-# --- generators (S8-S10) ------------------------------------------------------------
-
-def _seq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(F.col("event_id").alias("n"))
-
-
-def q_generator_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gen.incremental(_seq(spark, sf_dir))
-
-
-def q_generator_idle_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gen.idle_cycle(_seq(spark, sf_dir))
-
-
-def q_generator_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gen.out_of_order(_seq(spark, sf_dir))
-
-
 # --- JSON (P8) ----------------------------------------------------------------------
 
 def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,7 +244,6 @@ QUERIES: dict[str, Query] = {
     "signals_kafka_value": q_signals_kafka_value,
     "upper_names": q_upper_names,
     "add_one": q_add_one,
-    "literal_rows": q_literal_rows,
     "word_count": q_word_count,
     "word_count_udtf": q_word_count_udtf,
     "tumbling_avg": q_tumbling_avg,
@@ -306,9 +261,5 @@ QUERIES: dict[str, Query] = {
     "late_rows": q_late_rows,
     "on_time_tumbling": q_on_time_tumbling,
     "lag_watermark": q_lag_watermark,
-    "idle_cycle_window_sum": q_idle_cycle_window_sum,
-    "generator_incremental": q_generator_incremental,
-    "generator_idle_cycle": q_generator_idle_cycle,
-    "generator_random": q_generator_random,
     "json_roundtrip": q_json_roundtrip,
 }

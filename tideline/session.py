@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every tideline job relies on. AQE re-plans joins and coalesces
 # shuffle partitions at runtime; the session zone pins window alignment and
@@ -47,28 +48,45 @@ def build_session(master: str | None = None, app_name: str = "tideline",
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and streaming state.
 
-    Read from ``spark.checkpoint.dir`` as the cluster configures it. Only
-    when it is unset (local tests) is a folder under the system temp dir
-    chosen and registered on the session.
+    Read from ``spark.checkpoint.dir`` as the cluster configures it. A folder
+    of this machine would be seen by nobody else, so one is chosen in local
+    mode only; elsewhere an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir is not set; {master} needs a folder that driver and executors share")
         import tempfile
-        root = os.path.join(tempfile.gettempdir(), "tideline-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tideline-checkpoints-")
+        root = _LOCAL_ROOTS[app]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
-def new_checkpoint_location(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint root for one streaming query."""
-    return os.path.join(checkpoint_root(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex}")
+def checkpoint_location(spark: SparkSession, job: str) -> str:
+    """The checkpoint folder of a streaming job: the same for every start of ``job``, so that it resumes."""
+    if not re.fullmatch(r"[\w.-]+", job):
+        raise ValueError(f"a job's name holds letters, digits, _, . and - only: {job!r}")
+    return f"{checkpoint_root(spark).rstrip('/')}/jobs/{job}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: its lineage ends there, its size is known."""
+    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()
@@ -85,7 +103,7 @@ def _pickle_worker_code_by_value() -> None:
 
     from pyspark import cloudpickle
     for name in ("tideline.functions.udtf", "tideline.streaming.signals",
-                 "tideline.streaming.dedup", "tideline.streaming.watermark"):
+                 "tideline.streaming.dedup"):
         cloudpickle.register_pickle_by_value(importlib.import_module(name))
 
 
@@ -121,17 +139,16 @@ _MIB = 1 << 20
 
 
 def scale_conf(input_bytes: int, total_cores: int, scan_split_bytes: int = 512 * _MIB,
-               shuffle_partition_bytes: int = 256 * _MIB, max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+               shuffle_partition_bytes: int = 256 * _MIB) -> dict[str, str]:
     """Scan and shuffle sizing for a job reading ``input_bytes`` on ``total_cores``.
 
     * scans split at ``scan_split_bytes`` (fewer, larger map tasks: at 100 TB
       and 512 MiB that is about 200k tasks, not 800k);
     * the first shuffle starts at one partition per ``shuffle_partition_bytes``
-      of input, at least two waves of cores, at most ``max_shuffle_partitions``
-      (map x reduce shuffle blocks stay manageable); AQE then coalesces
-      toward the advisory size and splits skewed join partitions.
+      of input and at least two waves of cores; AQE then coalesces toward the
+      advisory size and splits skewed join partitions.
     """
-    parts = max(2 * total_cores, min(max_shuffle_partitions, -(-input_bytes // shuffle_partition_bytes)))
+    parts = max(2 * total_cores, -(-input_bytes // shuffle_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
         "spark.sql.shuffle.partitions": str(parts),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tideline.functions.scalar import ISO_8601_MS, to_json_record
-from tideline.session import new_checkpoint_location
+from tideline.session import checkpoint_location
 
 
 def labelled(df: DataFrame, label: str | None) -> DataFrame:
@@ -17,16 +17,21 @@ def labelled(df: DataFrame, label: str | None) -> DataFrame:
     return df if label is None else df.select(F.lit(label).alias("label"), *df.columns)
 
 
-def print_table(df: DataFrame, n: int = 20, truncate: bool = False) -> None:
-    """Batch: print a result (``table.execute().print()``); for inspection only."""
-    df.show(n, truncate=truncate)
+def print_table(df: DataFrame, label: str | None = None, write: Callable[[str], None] = print) -> None:
+    """Print every row of a batch result, one line per row, with the label in front.
+
+    Rows come to the driver one partition at a time; meant for looking at results.
+    """
+    prefix = "" if label is None else f"{label}> "
+    for row in df.toLocalIterator():
+        write(prefix + ", ".join(map(str, row)))
 
 
-def console(df: DataFrame, label: str | None = None, output_mode: str = "append",
-            checkpoint: str | None = None, **trigger) -> StreamingQuery:
-    """Streaming print sink; one line per row, optionally labelled."""
-    w = labelled(df, label).writeStream.format("console").option("truncate", "false").outputMode(output_mode)
-    return _start(w, df, "console", checkpoint, trigger)
+def console(df: DataFrame, job: str, label: str | None = None, output_mode: str = "append",
+            checkpoint: str | None = None, write: Callable[[str], None] = print, **trigger) -> StreamingQuery:
+    """Streaming print sink; one line per row of each micro-batch, optionally labelled."""
+    w = df.writeStream.outputMode(output_mode).foreachBatch(lambda batch, epoch_id: print_table(batch, label, write))
+    return _start(w, df, job, checkpoint, trigger)
 
 
 def memory(df: DataFrame, query_name: str, output_mode: str = "append",
@@ -41,7 +46,7 @@ def append_to_table(df: DataFrame, table: str, checkpoint: str | None = None, **
     if not df.isStreaming:
         df.write.insertInto(table)
         return None
-    loc = checkpoint or new_checkpoint_location(df.sparkSession, f"append-{table}")
+    loc = checkpoint or checkpoint_location(df.sparkSession, f"append-{table}")
     w = df.writeStream.option("checkpointLocation", loc).outputMode("append")
     if trigger:
         w = w.trigger(**trigger)
@@ -116,7 +121,7 @@ def parquet_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def _start(w: DataStreamWriter, df: DataFrame, name: str, checkpoint: str | None, trigger: dict) -> StreamingQuery:
-    loc = checkpoint or new_checkpoint_location(df.sparkSession, name)
+    loc = checkpoint or checkpoint_location(df.sparkSession, name)
     w = w.option("checkpointLocation", loc)
     if trigger:
         w = w.trigger(**trigger)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.functions.scalar import ISO_8601_MS, from_json_record
+from tideline.functions.scalar import from_json_record
 from tideline.functions.time import spark_interval
 
 # The login module of the Kafka client itself (not a relocated copy of it).
@@ -51,9 +51,12 @@ def sasl_plain_options_from_conf(spark: SparkSession, prefix: str = "spark.tidel
                               group_id=g(prefix + "groupId", None))
 
 
-def decode_json_value(raw: DataFrame, schema: str, timestamp_format: str = ISO_8601_MS,
+def decode_json_value(raw: DataFrame, schema: str, timestamp_format: str | None = None,
                       keep: list[str] | None = None) -> DataFrame:
-    """Kafka ``value`` bytes -> the declared columns (malformed rows -> nulls)."""
+    """Kafka ``value`` bytes -> the declared columns (malformed rows -> nulls).
+
+    ``keep`` may name ``value``, the raw bytes, for a dead-letter output.
+    """
     parsed = raw.select(*(keep or []), from_json_record(F.col("value").cast("string"), schema,
                                                         timestamp_format).alias("__r"))
     return parsed.select(*(keep or []), "__r.*")
@@ -61,7 +64,7 @@ def decode_json_value(raw: DataFrame, schema: str, timestamp_format: str = ISO_8
 
 def read_json_topic(spark: SparkSession, options: dict[str, str], schema: str,
                     event_time: str | None = None, delay=None,
-                    timestamp_format: str = ISO_8601_MS) -> DataFrame:
+                    timestamp_format: str | None = None) -> DataFrame:
     """Streaming source table with an optional declared watermark."""
     raw = spark.readStream.format("kafka").options(**options).load()
     df = decode_json_value(raw, schema, timestamp_format)

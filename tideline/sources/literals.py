@@ -7,7 +7,6 @@ Each literal stream carries an arrival sequence ``seq`` so "first" is defined.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # The reference's order list, in arrival order (two duplicates).
 ORDERS_WITH_DUPLICATES = [
@@ -42,8 +41,3 @@ def from_elements(spark: SparkSession, rows: list[tuple], columns: list[str]) ->
 
 def price_rows(spark: SparkSession) -> DataFrame:
     return from_elements(spark, PRICE_ROWS, ["price", "script"])
-
-
-def with_sequence(df: DataFrame, name: str = "seq") -> DataFrame:
-    """Attach a sequence number in the DataFrame's current row order."""
-    return df.withColumn(name, F.monotonically_increasing_id())

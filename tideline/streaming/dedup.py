@@ -1,15 +1,15 @@
 """Keyed deduplication on a stream.
 
-* ``stream_keep_first``: ``dropDuplicates(keys)`` - first row per key, state
-  kept forever (the reference's plain dedup never clears it either).
 * ``TagDuplicatesProcessor`` / ``stream_tag_duplicates``: every row with
   ``is_duplicate``; split into a main and a side sink by ``two_sinks``.
+* ``stream_keep_first``: the rows that are no duplicates. State is kept
+  forever (the reference's plain dedup never clears it either).
 * ``ExpiringDedupProcessor`` / ``stream_dedup_expiring``: processing-time
   timers at ``arrival + ttl`` after every arrival; any timer clears the key.
 
-Within one micro-batch the rows of a key share one processing time; they
-are ordered by the ``order`` column (an arrival sequence) so "first" is
-well defined.
+Rows of one micro-batch arrive in the order of the ``order`` column, and
+batches one after the other, so "first" does not depend on how files or
+partitions happen to be read.
 """
 
 from __future__ import annotations
@@ -25,58 +25,59 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tideline.functions.time import duration_us
 from tideline.session import ship_package
 
-
-def stream_keep_first(df: DataFrame, keys: list[str]) -> DataFrame:
-    """First row per key; state is never evicted (as in the reference)."""
-    return df.dropDuplicates(keys)
+# Keys are dealt to this many groups: one Python call handles the rows of a group, and each key has its own state entry.
+KEY_GROUPS = 256
 
 
 class TagDuplicatesProcessor(StatefulProcessor):
-    """Pass every row through with ``is_duplicate``; one boolean of state per key."""
+    """Pass every row through with ``is_duplicate``; one entry of state per key.
+
+    The rows of a group come in chunks. Of each key only the earliest row so
+    far is held back; all others stream through.
+    """
 
-    def __init__(self, order: str):
-        self.order = order
+    def __init__(self, keys: list[str], order: str, columns: list[str]):
+        self.keys, self.order, self.columns = list(keys), order, list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean")
+        self.seen = handle.getMapState("seen", "key string", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # Chunks stream through; only the earliest row seen so far is held back,
-        # so a hot key's batch is never gathered into one frame.
-        first_ever = not self.seen.exists()
-        best = None
+        held = None
         for pdf in rows:
-            if pdf.empty:
-                continue
-            i = pdf[self.order].idxmin()
-            cand = pdf.loc[[i]]
-            rest = pdf.drop(index=i)
-            if best is not None and best[self.order].iloc[0] <= cand[self.order].iloc[0]:
-                rest = pd.concat([rest, cand])
-            else:
-                if best is not None:
-                    rest = pd.concat([rest, best])
-                best = cand
-            if len(rest):
-                yield rest.assign(is_duplicate=True)
-        if best is not None:
-            if first_ever:
-                self.seen.update((True,))
-            yield best.assign(is_duplicate=not first_ever)
+            both = pdf if held is None else pd.concat([held, pdf])
+            both = both.sort_values(self.order, kind="stable")
+            repeated = both.duplicated("tideline_key")
+            held = both[~repeated]
+            if repeated.any():
+                yield both.loc[repeated, self.columns].assign(is_duplicate=True)
+        if held is not None and len(held):
+            known = [self.seen.containsKey((k,)) for k in held["tideline_key"]]
+            for k, old in zip(held["tideline_key"], known):
+                if not old:
+                    self.seen.updateValue((k,), (True,))
+            yield held[self.columns].assign(is_duplicate=known)
 
     def close(self) -> None:
         pass
 
 
-def stream_tag_duplicates(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """All rows plus ``is_duplicate`` (false for the first row of each key)."""
+def stream_tag_duplicates(df: DataFrame, keys: list[str], order: str, key_groups: int = KEY_GROUPS) -> DataFrame:
+    """All rows plus ``is_duplicate`` (false for the first row of each key by ``order``)."""
     ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField("is_duplicate", T.BooleanType())])
-    return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=TagDuplicatesProcessor(order), outputStructType=schema,
+    keyed = df.withColumn("tideline_key", F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"}))
+    grouped = keyed.withColumn("tideline_group", F.pmod(F.xxhash64("tideline_key"), F.lit(key_groups)))
+    return grouped.groupBy("tideline_group").transformWithStateInPandas(
+        statefulProcessor=TagDuplicatesProcessor(keys, order, df.columns), outputStructType=schema,
         outputMode="Append", timeMode="None")
 
 
+def stream_keep_first(df: DataFrame, keys: list[str], order: str, key_groups: int = KEY_GROUPS) -> DataFrame:
+    """First row per key in arrival order; state is never evicted (as in the reference)."""
+    return stream_tag_duplicates(df, keys, order, key_groups).filter(~F.col("is_duplicate")).drop("is_duplicate")
+
+
 class ExpiringDedupProcessor(StatefulProcessor):
     """Reference semantics of the dedup with state clean-up.
 
@@ -104,7 +105,7 @@ class ExpiringDedupProcessor(StatefulProcessor):
         for pdf in rows:  # keep only the earliest row; chunks are not gathered
             if pdf.empty:
                 continue
-            cand = pdf.loc[[pdf[self.order].idxmin()]]
+            cand = pdf.sort_values(self.order, kind="stable").head(1)
             if best is None or cand[self.order].iloc[0] < best[self.order].iloc[0]:
                 best = cand
         self.handle.registerTimer(now + self.ttl_ms)
@@ -128,8 +129,3 @@ def stream_dedup_expiring(df: DataFrame, keys: list[str], order: str, ttl="10 mi
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=ExpiringDedupProcessor(order, duration_us(ttl) // 1000),
         outputStructType=schema, outputMode="Append", timeMode="ProcessingTime")
-
-
-def with_arrival_sequence(df: DataFrame, name: str = "arrival_seq") -> DataFrame:
-    """A per-batch arrival order for sources without one (file order within a batch)."""
-    return df.withColumn(name, F.monotonically_increasing_id())

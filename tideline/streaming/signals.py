@@ -2,15 +2,22 @@
 
 Structured Streaming refuses ``lag() OVER`` on a stream. The reference's
 engine orders a rowtime OVER window by buffering rows until the watermark
-passes them; ``EventTimeLagProcessor`` does the same with
-``transformWithStateInPandas``: per key, rows wait in a ListState, an
-event-time timer fires once the watermark reaches them, and they are emitted
-in (time, tie) order with the previous price taken from a ValueState. Rows
-that arrive at or behind the watermark are late and dropped, as the
-reference's engine drops them.
-
-State per key: one last row plus the rows not yet passed by the watermark
-(bounded by the watermark delay times the key's rate).
+passes them. Here rows wait in state until then and are emitted in (time, tie)
+order with the previous price of their key. Rows at or behind the watermark
+when they arrive are late: they are counted and dropped, as the reference's
+engine drops them, or kept in the output on request. Rows without key or time
+have no place in the order; ``split_valid`` sends them elsewhere and counts
+them.
+
+Two engines share one vectorized step: ``'group_state'``
+(``applyInPandasWithState``), whose state moves with the batch, and
+``'state_v2'`` (``transformWithStateInPandas``). Both take the rows of a group
+of keys at once (``key_groups`` groups), as one sort and one shift. A group's
+state is one last row per key and the rows not yet passed by the watermark.
+It is rewritten when the group has rows, so groups should grow in number
+with the keys: some thousands of keys each.
+
+Values cross into Python as strings, which keeps nulls, NaN and every digit.
 """
 
 from __future__ import annotations
@@ -26,140 +33,128 @@ from tideline.functions.scalar import BUY_BELOW, SELL_ABOVE, signal
 from tideline.functions.time import as_event_time
 from tideline.session import ship_package
 
-_ROW = "t_us long, tie long, v double"
+KEY_GROUPS = 256
+_FIELDS = ["k", "t_us", "tie", "v"]
+_STATE = ", ".join(f"{part}_k array<string>, {part}_t array<long>, {part}_i array<long>, {part}_v array<string>"
+                   for part in ("last", "wait"))
+_OUT = "k string, t_us long, tie long, v string, prev string, late boolean"
 
 
-class EventTimeLagProcessor(StatefulProcessor):
-    """Emit ``(keys..., t_us, tie, v, prev)`` once the watermark passes ``t_us``."""
+def split_valid(df: DataFrame, key: str, time: str) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) rows: rejected ones have no key or no time.
+
+    Their numbers in each micro-batch are the observed metric ``input`` of
+    the queries that read the valid rows.
+    """
+    ok = F.col(key).isNotNull() & F.col(time).isNotNull()
+    counted = df.observe("input", F.count(F.when(ok, 1)).alias("valid"), F.count(F.when(~ok, 1)).alias("rejected"))
+    return counted.filter(ok), df.filter(~ok)
+
 
-    def __init__(self, key_names: list[str]):
-        self.key_names = list(key_names)
+def _frame(columns: list[list]) -> pd.DataFrame:
+    return pd.DataFrame({"k": pd.Series(columns[0], dtype=object), "t_us": pd.Series(columns[1], dtype="int64"),
+                         "tie": pd.Series(columns[2], dtype="int64"), "v": pd.Series(columns[3], dtype=object)})
+
+
+def lag_step(fresh: list[pd.DataFrame], last: pd.DataFrame, wait: pd.DataFrame, wm_ms: int):
+    """One micro-batch of a group: (output rows, last rows, waiting rows).
+
+    ``last`` holds the last emitted row of each key, ``wait`` those behind
+    which the watermark still is.
+    """
+    rows = pd.concat([f[_FIELDS] for f in fresh], ignore_index=True) if fresh else wait.iloc[:0]
+    behind = rows["t_us"] // 1000 <= wm_ms if wm_ms > 0 else pd.Series(False, index=rows.index)
+    late = rows[behind].assign(prev=None, late=True)
+    rows = pd.concat([wait, rows[~behind]], ignore_index=True)
+    due = rows["t_us"] // 1000 <= wm_ms
+    ready, wait = rows[due], rows[~due]
+    ready = ready.sort_values(["k", "t_us", "tie"], kind="stable")
+    before = ready["v"].shift(1)
+    first = ready["k"] != ready["k"].shift(1)
+    known = dict(zip(last["k"], last["v"]))
+    prev = before.astype(object).where(~first, ready["k"].map(known))
+    out = ready.assign(prev=prev.astype(object).where(prev.notna(), None), late=False)
+    last = pd.concat([last, ready], ignore_index=True).drop_duplicates("k", keep="last")
+    return pd.concat([out, late], ignore_index=True) if len(late) else out, last, wait
+
+
+class EventTimeLagProcessor(StatefulProcessor):
+    """The step over a group's state, woken by a timer at its earliest waiting row."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", _ROW)
-        self.pending = handle.getListState("pending", _ROW)
+        self.state = handle.getValueState("rows", _STATE)
+
+    def _step(self, fresh: list[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.state.get() if self.state.exists() else None
+        parts = [list(x or []) for x in held] if held else [[] for _ in range(8)]
+        out, last, wait = lag_step(fresh, _frame(parts[:4]), _frame(parts[4:]), timerValues.getCurrentWatermarkInMs())
+        self.state.update(tuple(x[c].tolist() for x in (last, wait) for c in _FIELDS))
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if len(wait):
+            self.handle.registerTimer(int(wait["t_us"].min()) // 1000)
+        if len(out):
+            yield out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        wm_ms = timerValues.getCurrentWatermarkInMs()
-        fresh = []
-        for pdf in rows:
-            pdf = pdf[pdf["t_us"] // 1000 > wm_ms] if wm_ms > 0 else pdf  # late rows are dropped
-            fresh.extend(zip(pdf["t_us"].astype("int64"), pdf["tie"].astype("int64"), pdf["v"].astype("float64")))
-        if fresh:
-            self.pending.appendList([(int(t), int(i), float(v)) for t, i, v in fresh])
-            # One timer per key, at the earliest pending row.
-            earliest = min(int(t) for t, _, _ in fresh) // 1000
-            timers = list(self.handle.listTimers())
-            if not timers or earliest < min(timers):
-                for t in timers:
-                    self.handle.deleteTimer(t)
-                self.handle.registerTimer(earliest)
-        return iter([])
+        return self._step(list(rows), timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wm_ms = timerValues.getCurrentWatermarkInMs()
-        buf = list(self.pending.get())  # empty when the list does not exist
-        ready = sorted(r for r in buf if r[0] // 1000 <= wm_ms)
-        if not ready:
-            if buf:
-                self.handle.registerTimer(min(r[0] for r in buf) // 1000)
-            return iter([])
-        keep = [r for r in buf if r[0] // 1000 > wm_ms]
-        if keep:
-            self.pending.put(keep)
-            self.handle.registerTimer(min(r[0] for r in keep) // 1000)
-        else:
-            self.pending.clear()
-        last = self.last.get()  # None when unset
-        prev, out = (last[2] if last else None), []
-        for t, i, v in ready:
-            out.append((t, i, v, prev))
-            prev = v
-        self.last.update(ready[-1])
-        pdf = pd.DataFrame(out, columns=["t_us", "tie", "v", "prev"])
-        for n, k in zip(self.key_names, key):
-            pdf[n] = k
-        return iter([pdf[[*self.key_names, "t_us", "tie", "v", "prev"]]])
+        return self._step([], timerValues)
 
     def close(self) -> None:
         pass
 
 
-_GROUP_STATE = "has_last boolean, last_v double, pend_t array<long>, pend_i array<long>, pend_v array<double>"
-
-
-def _lag_with_group_state(key_name: str):
-    """``applyInPandasWithState`` body: same rule as ``EventTimeLagProcessor``.
-
-    The key's state (last price + rows not yet passed by the watermark)
-    travels with the batch instead of one state-store call per access, and
-    one event-time timeout per key is set at the earliest pending row.
-    """
-    def fn(key, pdfs, state):
-        wm_ms = state.getCurrentWatermarkMs()
-        if state.exists:
-            has_last, last_v, pt, pi, pv = state.get
-            pend = list(zip(pt, pi, pv))
-        else:
-            has_last, last_v, pend = False, None, []
-        for pdf in pdfs:
-            if wm_ms > 0:
-                pdf = pdf[pdf["t_us"] // 1000 > wm_ms]  # late rows are dropped
-            pend.extend(zip(pdf["t_us"].astype("int64").tolist(), pdf["tie"].astype("int64").tolist(),
-                            pdf["v"].astype("float64").tolist()))
-        ready = sorted(r for r in pend if r[0] // 1000 <= wm_ms)
-        keep = [r for r in pend if r[0] // 1000 > wm_ms]
-        out = []
-        prev = last_v if has_last else None
-        for t, i, v in ready:
-            out.append((key[0], t, i, v, prev))
-            prev = v
-        if ready:
-            has_last, last_v = True, ready[-1][2]
-        state.update((has_last, last_v, [r[0] for r in keep], [r[1] for r in keep], [r[2] for r in keep]))
-        if keep:
-            state.setTimeoutTimestamp(min(r[0] for r in keep) // 1000)
-        if out:
-            yield pd.DataFrame(out, columns=[key_name, "t_us", "tie", "v", "prev"])
-    return fn
+def _group_state_step(key, pdfs, state):
+    parts = [list(x) for x in state.get] if state.exists else [[] for _ in range(8)]
+    out, last, wait = lag_step(list(pdfs), _frame(parts[:4]), _frame(parts[4:]), state.getCurrentWatermarkMs())
+    state.update(tuple(x[c].tolist() for x in (last, wait) for c in _FIELDS))
+    if len(wait):
+        state.setTimeoutTimestamp(int(wait["t_us"].min()) // 1000)
+    if len(out):
+        yield out
 
 
 def stream_with_previous(df: DataFrame, key: str, value: str, time: str, tie: str | None = None,
-                         delay: str = "5 seconds", engine: str = "group_state") -> DataFrame:
+                         delay: str = "5 seconds", engine: str = "group_state", emit_late: bool = False,
+                         key_groups: int = KEY_GROUPS) -> DataFrame:
     """Streaming ``LAG(value) OVER (PARTITION BY key ORDER BY time)``.
 
-    Output ``(key, time, tie, value, prev)``; ``time`` becomes TIMESTAMP.
-    ``engine``: ``'group_state'`` (``applyInPandasWithState``, faster: the
-    state moves with the batch) or ``'state_v2'`` (``transformWithStateInPandas``
-    with ListState/ValueState and timers).
+    Output ``(key, time, tie, value, prev)``; ``time`` becomes TIMESTAMP. Rows
+    without key or time are left out. Late rows are left out too, and counted
+    as the observed metric ``lag``; with ``emit_late`` they are kept, marked by
+    a column ``late``.
     """
     ship_package(df.sparkSession)
     ev = as_event_time(df, time)
-    key_type = ev.schema[key].dataType.simpleString()
-    narrow = ev.select(F.col(key), F.col(time),
-                       F.unix_micros(F.col(time)).alias("t_us"),
-                       (F.col(tie).cast("long") if tie else F.lit(0).cast("long")).alias("tie"),
-                       F.col(value).cast("double").alias("v")).withWatermark(time, delay)
-    schema = f"{key} {key_type}, t_us long, tie long, v double, prev double"
+    types = {c: ev.schema[c].dataType for c in (key, value)}
+    narrow = ev.filter(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
+        F.col(key).cast("string").alias("k"), F.col(time), F.unix_micros(F.col(time)).alias("t_us"),
+        F.coalesce(F.col(tie).cast("long") if tie else F.lit(0), F.lit(0)).cast("long").alias("tie"),
+        F.col(value).cast("string").alias("v")).withWatermark(time, delay)
+    grouped = narrow.withColumn("g", F.pmod(F.xxhash64("k"), F.lit(key_groups))).groupBy("g")
     if engine == "group_state":
-        out = narrow.groupBy(key).applyInPandasWithState(
-            _lag_with_group_state(key), schema, _GROUP_STATE, "append", "EventTimeTimeout")
+        out = grouped.applyInPandasWithState(_group_state_step, _OUT, _STATE, "append", "EventTimeTimeout")
     elif engine == "state_v2":
-        out = narrow.groupBy(key).transformWithStateInPandas(
-            statefulProcessor=EventTimeLagProcessor([key]), outputStructType=schema,
-            outputMode="Append", timeMode="EventTime")
+        out = grouped.transformWithStateInPandas(
+            statefulProcessor=EventTimeLagProcessor(), outputStructType=_OUT, outputMode="Append", timeMode="EventTime")
     else:
         raise ValueError(f"unknown engine {engine!r}")
-    return out.select(F.col(key), F.timestamp_micros(F.col("t_us")).alias(time),
-                      F.col("tie").alias(tie or "tie"), F.col("v").alias(value), F.col("prev"))
+    out = out.observe("lag", F.count(F.when(F.col("late"), 1)).alias("late"))
+    out = out if emit_late else out.filter(~F.col("late")).drop("late")
+    return out.select(F.col("k").cast(types[key]).alias(key), F.timestamp_micros(F.col("t_us")).alias(time),
+                      F.col("tie").alias(tie or "tie"), F.col("v").cast(types[value]).alias(value),
+                      F.col("prev").cast(types[value]).alias("prev"), *(["late"] if emit_late else []))
 
 
 def stream_price_signals(df: DataFrame, key: str, price: str, time: str, tie: str | None = None,
                          delay: str = "5 seconds", low: float = BUY_BELOW,
-                         high: float = SELL_ABOVE, engine: str = "group_state") -> DataFrame:
+                         high: float = SELL_ABOVE, engine: str = "group_state",
+                         key_groups: int = KEY_GROUPS) -> DataFrame:
     """The BUY/SELL job on a stream: ``(key, signal, price, time)``."""
-    lagged = stream_with_previous(df, key, price, time, tie, delay, engine)
+    lagged = stream_with_previous(df, key, price, time, tie, delay, engine, key_groups=key_groups)
     out = lagged.select(F.col(key), signal(F.col(price), F.col("prev"), low, high).alias("signal"),
                         F.col(price), F.col(time))
     return out.filter(F.col("signal").isNotNull())

@@ -1,118 +1,11 @@
-"""Custom watermarks on a stream.
-
-Spark keeps one global watermark per query (``withWatermark``: max event
-time minus a delay, advanced between micro-batches). The reference's custom
-generator also jumps forward when a source goes quiet, which Spark's
-watermark cannot express. ``IdleWatermarkWindowProcessor`` therefore runs
-the generator and the tumbling window it feeds inside one
-``transformWithStateInPandas`` operator keyed by source:
-
-* rows of a source are handled in arrival order; before each row the idle
-  rule is applied if the source was silent for more than ``idle``;
-* a row whose window already fired (``end - 1 <= watermark``) is dropped;
-* after each row ``max - ooo - 1`` may raise the watermark; every window
-  with ``end - 1 <= watermark`` is emitted once and its state removed.
-
-This is the same rule as ``operators.watermark.watermark_trace`` + the
-on-time window aggregate, so the stream's fired windows equal the batch
-result for windows that closed. State per source: the generator's three
-longs plus one entry per open window and name.
-
-``drop_system_lag_late`` is the processing-time-lag generator: a row is
-late when its window ended before ``now - lag``.
-"""
+"""Processing-time-lag watermark on a stream: a row is late when its window ended before ``now - lag``."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.functions.time import US_PER_MS, duration_us
-from tideline.session import ship_package
-
-_GEN = "max_ts long, last_wm long, seen_at long"
-_NO_WM = -(2 ** 63)
-
-
-class IdleWatermarkWindowProcessor(StatefulProcessor):
-    """Input ``(source, name, ts_ms, arrival_ms, v)``; output fired windows.
-
-    With ``emit_late`` each dropped row is also emitted, as a record of kind
-    'late' carrying its window bounds and value (an audit side output; the
-    reference drops them silently). Window records then have kind 'window'.
-    """
-
-    def __init__(self, ooo_ms: int, idle_ms: int, align_ms: int, size_ms: int, emit_late: bool = False):
-        self.ooo, self.idle, self.align, self.size = ooo_ms, idle_ms, align_ms, size_ms
-        self.emit_late = emit_late
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.gen = handle.getValueState("gen", _GEN)
-        self.windows = handle.getMapState("windows", "name string, start long", "total double, n long")
-
-    def _fire(self, wm: int, out: list) -> None:
-        done = [(k, v) for k, v in self.windows.iterator() if k[1] + self.size - 1 <= wm]
-        for (name, start), (total, n) in done:
-            out.append((name, start, start + self.size, total, n, "window"))
-            self.windows.removeKey((name, start))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["arrival_ms", "ts_ms"], kind="stable")
-        st = self.gen.get() if self.gen.exists() else None
-        max_ts, wm, seen = (st if st else (None, _NO_WM, None))
-        out: list = []
-        for name, ts, arrival, v in zip(pdf["name"], pdf["ts_ms"].astype("int64"),
-                                        pdf["arrival_ms"].astype("int64"), pdf["v"].astype("float64")):
-            ts, arrival = int(ts), int(arrival)
-            if max_ts is not None and arrival - seen > self.idle:
-                jump = (max_ts // self.align) * self.align + self.ooo + 1
-                if jump > wm:
-                    wm = jump
-                    self._fire(wm, out)
-            start = (ts // self.size) * self.size
-            if not start + self.size - 1 <= wm:  # rows of fired windows are dropped
-                cur = self.windows.getValue((name, start)) if self.windows.containsKey((name, start)) else (0.0, 0)
-                self.windows.updateValue((name, start), (cur[0] + float(v), cur[1] + 1))
-            elif self.emit_late:
-                out.append((name, start, start + self.size, float(v), 1, "late"))
-            max_ts = ts if max_ts is None else max(max_ts, ts)
-            seen = arrival
-            p = max_ts - self.ooo - 1
-            if p > wm:
-                wm = p
-                self._fire(wm, out)
-        self.gen.update((max_ts, wm, seen))
-        if out:
-            pdf = pd.DataFrame(out, columns=["name", "window_start_ms", "window_end_ms", "total", "n", "kind"])
-            yield pdf if self.emit_late else pdf.drop(columns=["kind"])
-
-    def close(self) -> None:
-        pass
-
-
-def stream_idle_watermark_windows(df: DataFrame, source: str, name: str, ts_ms: str, arrival_ms: str,
-                                  value: str, size="5 seconds", out_of_orderness="10 seconds",
-                                  idle="5 seconds", align="10 seconds", emit_late: bool = False) -> DataFrame:
-    """Windowed sums under the idle-advancing watermark, one state per source.
-
-    ``emit_late=True`` adds a ``kind`` column and also emits every dropped
-    row as kind 'late' (filter ``kind = 'late'`` for the audit stream).
-    """
-    ship_package(df.sparkSession)
-    ms = lambda d: duration_us(d) // US_PER_MS
-    narrow = df.select(F.col(source).alias("source"), F.col(name).cast("string").alias("name"),
-                       F.col(ts_ms).cast("long").alias("ts_ms"), F.col(arrival_ms).cast("long").alias("arrival_ms"),
-                       F.col(value).cast("double").alias("v"))
-    return narrow.groupBy("source").transformWithStateInPandas(
-        statefulProcessor=IdleWatermarkWindowProcessor(ms(out_of_orderness), ms(idle), ms(align), ms(size),
-                                                       emit_late),
-        outputStructType="name string, window_start_ms long, window_end_ms long, total double, n long"
-                         + (", kind string" if emit_late else ""),
-        outputMode="Append", timeMode="None")
 
 
 def drop_system_lag_late(df: DataFrame, time: str, size, lag="50 seconds", now: Column | None = None) -> DataFrame:
