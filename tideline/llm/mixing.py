@@ -13,10 +13,11 @@ Highest quotients need no loop over seats. With n parties and s seats, the
 final divisor lies between total / (s + n/2) and total / (s - n/2), so all but
 some 3 n quotients are decided beforehand, and only those are ranked.
 
-Texts are moved once, keyed by source and shard. Shards hold some
-``SHARD_WORDS`` words, so a source with a third of all words is many of them;
-their number depends on the data alone. Only the table of sources, one short
-row each, is ranked in one task.
+Rows fall into ``FINEST`` bins of a source by their draw, and bins into shards
+of some ``SHARD_WORDS`` words, whose number depends on the data alone. Rows are
+moved once, keyed by source and bin: a source with a third of all words is
+thousands of tasks' worth of bins. Only the table of sources, one short row
+each, is ranked in one task.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from tideline.llm.common import WORD_REGEX, written
 
 BLOCK = 16
 SHARD_WORDS = 4_000_000
-#: Finest shards of a source.
-FINEST = 4096
+#: Bins of a source.
+FINEST = 1 << 16
 
 
 def word_count(text: str) -> Column:
@@ -45,8 +46,8 @@ def apportion(parties: DataFrame, group: list[str], party: list[str], votes: str
     seat is dealt. Keys may be null. A group's parties are ranked in one task.
     """
     of_group = Window.partitionBy(*group)
-    v, s = F.col("__v"), F.col("__s")
-    known = parties.select(*group, *party, F.col(votes).cast("double").alias("__v"), F.col(seats).alias("__s")).filter(v > 0)
+    v, s = F.col("__v"), F.col("__seats")
+    known = parties.select(*group, *party, F.col(votes).cast("double").alias("__v"), F.col(seats).alias("__seats")).filter(v > 0)
     known = known.withColumn("__n", F.count(F.lit(1)).over(of_group)).withColumn("__t", F.sum("__v").over(of_group))
     low = F.greatest(F.lit(0), F.ceil(v * (s - F.col("__n") / 2) / F.col("__t") - 0.5) - 1).cast("long")
     high = (F.floor(v * (s + F.col("__n") / 2) / F.col("__t") + 0.5) + 1).cast("long")
@@ -91,34 +92,36 @@ def mix(df: DataFrame, size: str, source: str = "source", id_col: str = "doc_id"
     if new & set(df.columns):
         raise ValueError(f"the table already has one of {sorted(new)}")
     draw = F.xxhash64(F.lit(seed), F.col(id_col), F.col(size))
-    rows = df.withColumn("__h", draw).withColumn("__m", F.pmod(F.shiftrightunsigned("__h", 40), F.lit(FINEST)).cast("int"))
-
-    fine = written(rows.groupBy(F.col(source).alias("source"), F.col("__m").alias("m"))
-                   .agg(F.sum(size).alias("words")), "shards")
-    sources = _targets(fine.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, cap)
-    seats = sources.select("source", "source_size", "target", F.lit(0).alias("all"),
-                           F.round(F.sum("target").over(Window.partitionBy(F.lit(0))) / block).cast("long").alias("seats"))
-    won = apportion(seats, ["all"], ["source"], "target", "seats").select(F.col("source").alias("s"), "won")
-    sources = written(seats.join(won, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "source", "source_size", "target", F.coalesce("won", F.lit(0)).alias("quota")), "quotas")
-
-    of = sources.select(F.col("source").alias("s"), "source_size", "target", "quota", F.least(
-        F.lit(FINEST), F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("source_size") / shard_words))))
-    ).cast("int").alias("shards"))
-    fine = fine.join(of, F.col("source").eqNullSafe(F.col("s"))).withColumn("shard", F.pmod("m", "shards")).drop("s")
-    shards = fine.groupBy("source", "shard").agg(F.sum("words").alias("shard_size"), F.max("quota").alias("quota"))
-    dealt = apportion(shards, ["source"], ["shard"], "shard_size", "quota").select(
-        F.col("source").alias("s"), F.col("shard").alias("sh"), "won")
-    shards = shards.join(dealt, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("sh")), "left").select(
-        F.col("source").alias("s"), F.col("shard").alias("sh"), "shard_size",
-        F.least(F.coalesce("won", F.lit(0)) * block, cap * F.col("shard_size")).alias("due"))
-    plan = written(fine.join(shards, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("sh"))).select(
-        F.col("source").alias("__s"), F.col("m").alias("__pm"), "source_size", "target", F.col("shard").alias("__shard"),
+    key = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))  # the null source has a key too
+    rows = df.withColumn("__h", draw).withColumn("__s", key).withColumn(
+        "__m", F.pmod(F.shiftrightunsigned("__h", 40), F.lit(FINEST)).cast("int"))
+
+    bins = written(rows.groupBy("__s", F.col(source).alias("source"), F.col("__m").alias("m"))
+                   .agg(F.sum(size).alias("words")), "bins")
+    sources = _targets(bins.groupBy("__s", "source").agg(F.sum("words").alias("source_size")), weights, share, cap)
+    seats = sources.withColumn("all", F.lit(0)).withColumn(
+        "seats", F.round(F.sum("target").over(Window.partitionBy("all")) / block).cast("long"))
+    won = apportion(seats, ["all"], ["source"], "target", "seats").withColumn(
+        "__s", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
+    wanted = F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("source_size") / shard_words)))
+    sources = written(sources.join(won.select("__s", "won"), "__s", "left").select(
+        "__s", "source_size", "target", F.coalesce("won", F.lit(0)).alias("quota"),
+        F.least(F.lit(FINEST), F.pow(F.lit(2.0), wanted)).cast("int").alias("shards")), "quotas")
+
+    bins = bins.select("__s", "m", "words").join(sources, "__s").withColumn("shard", F.pmod("m", "shards"))
+    shards = bins.groupBy("__s", "shard").agg(F.sum("words").alias("shard_size"), F.max("quota").alias("quota"))
+    dealt = apportion(shards, ["__s"], ["shard"], "shard_size", "quota")
+    shards = shards.join(dealt, ["__s", "shard"], "left").select("__s", "shard", "shard_size", F.least(
+        F.coalesce("won", F.lit(0)) * block, cap * F.col("shard_size")).alias("due"))
+    in_shard = Window.partitionBy("__s", "shard").orderBy("m").rowsBetween(Window.unboundedPreceding, 0)
+    bins = bins.withColumn("first", F.sum("words").over(in_shard) - F.col("words"))
+    plan = written(bins.join(shards, ["__s", "shard"]).select(
+        "__s", F.col("m").alias("__m"), "source_size", "target", F.col("first").alias("__first"),
         F.col("shard_size").alias("__size"), F.col("due").alias("__due")), "plan")
 
-    joined = rows.join(plan, F.col(source).eqNullSafe(F.col("__s")) & (F.col("__m") == F.col("__pm")))
-    order = Window.partitionBy(source, "__shard").orderBy("__h", id_col, size)
-    start = F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col(size)
+    joined = rows.join(plan, ["__s", "__m"])
+    order = Window.partitionBy("__s", "__m").orderBy("__h", id_col, size).rowsBetween(Window.unboundedPreceding, 0)
+    start = F.col("__first") + F.sum(size).over(order) - F.col(size)
     rounds = F.when(F.col("__size") > 0, F.floor(F.col("__due") / F.col("__size"))).otherwise(0)
     rest = F.col("__due") - rounds * F.col("__size") - start
     taken = rounds * F.col(size) + F.greatest(F.lit(0), F.least(F.col(size), rest))
