@@ -17,6 +17,7 @@ tasks until its chosen path, one row of the result, is put together.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,19 +58,23 @@ def branches(messages: DataFrame, per_tree: int | None = 1) -> DataFrame:
     # above: the message 2^k steps up, if there is one; steps and score: of the path to there, or to the root.
     level = written(linked.select("tree", "id", F.col("i").alias("above"), "score",
                                   F.when(F.col("i").isNull(), 0).otherwise(1).cast("long").alias("steps")), "jumps")
-    jumps, reach = [level.select("tree", "id", "above")], 1
-    count = level.count()
-    while reach <= count and not level.filter("above is not null").isEmpty():
-        far = level.select(F.col("tree").alias("t"), F.col("id").alias("i"), F.col("above").alias("a2"),
-                           F.col("score").alias("s2"), F.col("steps").alias("n2"))
-        doubled = level.join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("above") == F.col("i")), "left").select(
-            "tree", "id", F.col("a2").alias("above"), (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score"),
-            (F.col("steps") + F.coalesce("n2", F.lit(0))).alias("steps"))
+    # Messages that have reached their root are done; a round moves the others only.
+    done, moving, reach = [level.filter("above is null")], level.filter("above is not null"), 1
+    jumps, count = [moving.select("tree", "id", "above")], level.count()
+    while reach <= count and not moving.isEmpty():
+        far = reduce(DataFrame.unionAll, [*done, moving]).select(
+            F.col("tree").alias("t"), F.col("id").alias("i"), F.col("above").alias("a2"), F.col("score").alias("s2"),
+            F.col("steps").alias("n2"))
+        doubled = moving.join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("above") == F.col("i"))).select(
+            "tree", "id", F.col("a2").alias("above"), (F.col("score") + F.col("s2")).alias("score"),
+            (F.col("steps") + F.col("n2")).alias("steps"))
         level, reach = written(doubled, "jumps"), reach * 2
-        jumps.append(level.select("tree", "id", "above"))
+        done.append(level.filter("above is null"))
+        moving = level.filter("above is not null")
+        jumps.append(moving.select("tree", "id", "above"))
 
     parents = own.select(F.col("tree").alias("t"), F.col("parent").alias("p")).filter("p is not null").distinct()
-    leaves = level.filter("above is null").join(
+    leaves = reduce(DataFrame.unionAll, done).join(
         parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("p")), "left_anti")
     best = [F.col("score").desc(), F.col("steps").desc(), F.col("id")]
     if per_tree == 1:  # one hash aggregate instead of a sort of each tree's leaves
@@ -82,7 +87,7 @@ def branches(messages: DataFrame, per_tree: int | None = 1) -> DataFrame:
     # From the longest jump to the shortest, every path's known messages jump; each is reached by one sum of jumps.
     path = chosen.select("tree", "leaf", "rank", F.col("leaf").alias("id"), F.col("steps").alias("depth"))
     for k in reversed(range(len(jumps))):
-        j = jumps[k].filter("above is not null").select(F.col("tree").alias("t"), F.col("id").alias("i"), "above")
+        j = jumps[k].select(F.col("tree").alias("t"), F.col("id").alias("i"), "above")
         more = path.join(j, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("i"))).select(
             "tree", "leaf", "rank", F.col("above").alias("id"), (F.col("depth") - 2 ** k).alias("depth"))
         path = written(path.unionAll(more), "paths")
