@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 import xxhash
 
 from tideline.llm.components import connected_components
@@ -35,13 +36,14 @@ def test_fingerprint_bits():
         assert text_fingerprint(text, 3) % 2 ** 64 == brute_fingerprint(text)
 
 
-def test_links_reach_what_brute_force_reaches(spark):
+@pytest.mark.parametrize("segments", [2, 4, 8])
+def test_links_reach_what_brute_force_reaches(spark, segments):
     rng = random.Random(3)
     centres = [rng.getrandbits(64) for _ in range(12)]
     fps = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for c in centres for _ in range(25)}
     fps = sorted(fps | {rng.getrandbits(64) for _ in range(100)} | {0, 7, 2 ** 64 - 1})
     signed = [f - 2 ** 64 if f >= 2 ** 63 else f for f in fps]
-    links = links_within(spark.createDataFrame([(f,) for f in signed], "fingerprint long"))
+    links = links_within(spark.createDataFrame([(f,) for f in signed], "fingerprint long"), segments=segments)
     got = {r.node: r.label for r in connected_components(links).collect()}
     want = brute_components(signed, lambda a, b: bin((a ^ b) % 2 ** 64).count("1") <= 3)
     assert {n: got.get(n, n) for n in signed} == want

@@ -34,6 +34,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few short columns that may be sent to every executor.
+BROADCAST_ROWS = 1_000_000
+
+
+def few(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A written table, marked for broadcast if it is small: ``rows`` (or as many as it has) up to ``BROADCAST_ROWS``.
+
+    Otherwise Spark shuffles both sides. For joins whose other side is long texts.
+    """
+    n = df.count() if rows is None else rows
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+
+
 def remainder(key: str, of: int) -> Column:
     """crc32 of a key written as text, modulo ``of``: the fold of a row (a null key is fold 0)."""
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(of)), F.lit(0).cast("long"))

@@ -3,7 +3,7 @@
 A document's fingerprint holds, for each of 64 bits, whether it is set in
 over half the XXH64 values (seed 42) of its word shingles. Distinct
 fingerprints, one row however many copies a text has, are laid out in tiles
-by the population counts of their four 16-bit quarters. A bit flip changes
+by the population counts of their four 16-bit quarters (``SEGMENTS``). A bit flip changes
 one of those counts by one, so fingerprints at ``radius`` bits or fewer lie
 in tiles whose counts differ by ``radius`` in sum at most: only such tile
 pairs meet, through an equi-join on the counts, and all others are skipped.
@@ -18,15 +18,17 @@ count is dealt to several tiles by hash, which all meet.
 
 from __future__ import annotations
 
-from itertools import product
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import with_fields, written
+from tideline.llm.common import few, with_fields, written
 from tideline.llm.components import connected_components
 
 TILE = 2048
+#: Parts of a fingerprint whose population counts make a tile's key.
+SEGMENTS = 4
 SEED = 42
 #: Shingles hashed at once within one document.
 BLOCK = 1 << 16
@@ -78,9 +80,17 @@ def simhash(df: DataFrame, text: str = "text", shingle: int = 3, name: str = "fi
     return rows.mapInArrow(hashed, with_fields(df.select(*kept).schema, **{name: "long"}))
 
 
-def _quarter_counts(fp: str) -> list:
-    quarter = lambda i: F.shiftrightunsigned(F.col(fp), 16 * i).bitwiseAND(F.lit(0xFFFF))
-    return [F.bit_count(quarter(i)).alias(f"q{i}") for i in range(4)]
+def _segment_counts(fp: str, segments: int) -> list:
+    bits = 64 // segments
+    segment = lambda i: F.shiftrightunsigned(F.col(fp), bits * i).bitwiseAND(F.lit((1 << bits) - 1))
+    return [F.bit_count(segment(i)).alias(f"q{i}") for i in range(segments)]
+
+
+def _offsets(places: int, radius: int) -> list[tuple[int, ...]]:
+    """All integer vectors whose absolute values add up to ``radius`` at most."""
+    if not places:
+        return [()]
+    return [(x, *rest) for x in range(-radius, radius + 1) for rest in _offsets(places - 1, radius - abs(x))]
 
 
 def tile_forest(a, b, radius: int):
@@ -104,22 +114,24 @@ def tile_forest(a, b, radius: int):
     return to[to != member], member[to != member]
 
 
-def links_within(fingerprints: DataFrame, radius: int = 3, fp: str = "fingerprint") -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints at ``radius`` bits or fewer (a spanning subset)."""
-    counts = written(fingerprints.select(F.col(fp).alias("fp"), *_quarter_counts(fp)), "fingerprints")
-    key = ["q0", "q1", "q2", "q3"]
-    crowd = counts.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))  # at most 17 ** 4 rows
-    dealt = counts.join(F.broadcast(crowd), key).withColumn(
-        "sub", F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / TILE)))
+def links_within(fingerprints: DataFrame, radius: int = 3, fp: str = "fingerprint", segments: int = SEGMENTS) -> DataFrame:
+    """Links (a, b) that connect all distinct fingerprints at ``radius`` bits or fewer (a spanning subset).
+
+    With 2, 4 or 8 ``segments`` tile pairs hold 0.24, 0.04 or 0.001 of all
+    pairs; more segments make more and smaller tiles, for more fingerprints.
+    """
+    counts = written(fingerprints.select(F.col(fp).alias("fp"), *_segment_counts(fp, segments)), "fingerprints")
+    key = [f"q{i}" for i in range(segments)]
+    crowd = written(counts.groupBy(*key).agg(F.count(F.lit(1)).alias("n")), "crowd")
+    dealt = counts.join(few(crowd), key).withColumn("sub", F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / TILE)))
     tiles = written(dealt.groupBy(*key, "sub").agg(F.collect_list("fp").alias("fps")), "tiles")
 
     # Each unordered pair of tiles meets once: the offset's first non-zero count is positive, or it is the same key.
-    offsets = [o for o in product(range(-radius, radius + 1), repeat=4)
-               if sum(map(abs, o)) <= radius and o >= (0, 0, 0, 0)]
+    offsets = [o for o in _offsets(segments, radius) if o >= (0,) * segments]
     near = F.explode(F.array(*[F.struct(*[F.lit(x).alias(f"d{i}") for i, x in enumerate(o)]) for o in offsets]))
     left = tiles.select(*key, F.col("sub").alias("sub_a"), F.col("fps").alias("a"), near.alias("d")).select(
         *[(F.col(k) + F.col(f"d.d{i}")).alias(k) for i, k in enumerate(key)], "sub_a", "a",
-        (F.abs("d.d0") + F.abs("d.d1") + F.abs("d.d2") + F.abs("d.d3") == 0).alias("same"))
+        reduce(lambda a, b: a & b, [F.col(f"d.d{i}") == 0 for i in range(segments)]).alias("same"))
     pairs = left.join(tiles.select(*key, F.col("sub").alias("sub_b"), F.col("fps").alias("b")), key).filter(
         ~F.col("same") | (F.col("sub_a") <= F.col("sub_b"))).select("a", "b")
 
