@@ -63,15 +63,37 @@ def main() -> None:
                    f"{'<br>'.join('`' + x + '`' for x in s['scans'])} |")
         if name in ("price_signals", "session_stats", "dedup_expiring", "word_count"):
             full += ["", f"## `{name}`", "", "```", plan.rstrip(), "```"]
-    # The same flagship with the hot-key split active (every user above 50 rows is split).
+    # The same operators with the hot-key split active (every user above 50 rows is split): one plan per written step.
+    from pyspark.sql import functions as F
+
+    from tideline.operators import ordered
+    from tideline.operators.dedup import dedup_expiring
     from tideline.operators.signals import price_signals
+    from tideline.operators.windows import sessionize
     from tideline.sources.tables import events
-    hot = price_signals(events(spark, a.sf_dir), "user_id", "value", "ts", tie="event_id", rows_per_split=50)
-    full += ["", "## `price_signals` with hot keys split (`rows_per_split=50`)", "",
-             "The per-key stats found the hot keys; their bucket widths are broadcast (a table bounded by",
-             "rows / rows_per_split). The raw rows are shuffled once on `(user_id, __b)`; the other shuffles move",
-             "the partially aggregated per-bucket summary and its carry window.", "",
-             "```", hot._jdf.queryExecution().executedPlan().toString().rstrip(), "```"]
+    steps: list[tuple[str, str]] = []
+    write = ordered.written
+
+    def recorded(df, name):
+        steps.append((name, df._jdf.queryExecution().executedPlan().toString().rstrip()))
+        return write(df, name)
+    ordered.written = recorded
+    ev = events(spark, a.sf_dir)
+    split = {"rows_per_split": 50}
+    for name, run in (
+            ("price_signals", lambda: price_signals(ev, "user_id", "value", "ts", tie="event_id", **split)),
+            ("session_stats", lambda: sessionize(ev, ["user_id"], "ts", "6 hours", [F.count(F.lit(1)).alias("n")], tie="event_id", **split)),
+            ("dedup_expiring", lambda: dedup_expiring(ev, "user_id", "ts", "10 minutes", tie="event_id", **split))):
+        steps.clear()
+        final = run()._jdf.queryExecution().executedPlan().toString().rstrip()
+        full += ["", f"## `{name}` with hot keys split (`rows_per_split=50`)", "",
+                 "`hot-keys` and `cut-points` are the statistics. `scanned` shuffles the raw rows, once; `received` reads",
+                 "the last row of each bucket from it; the result joins what each bucket receives to its rows."]
+        for step, plan in [*steps, ("result", final)]:
+            raw = len(re.findall(r"Exchange hashpartitioning\(.*__b#", plan)) if step == "scanned" else 0
+            note = f" ({raw} exchange of raw rows, {plan.count('FileScan')} file scans)" if step == "scanned" else ""
+            full += ["", f"### {step}{note}", "", "```", plan, "```"]
+    ordered.written = write
     spark.stop()
     with open(a.out, "w") as f:
         f.write("\n".join(out + full) + "\n")

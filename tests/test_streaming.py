@@ -238,7 +238,7 @@ def test_stream_udtf_word_count(spark):
         with open(os.path.join(d, f"part{i}.csv"), "w") as f:
             f.write(chunk)
     lines = read_csv(spark, d, "word string", stream=True, max_files_per_trigger=1)
-    counts = word_counts_sql(spark, lines, "word", view="tideline_stream_lines")
+    counts = word_counts_sql(spark, lines, "word")
     out = _run(counts, "j1_udtf_stream", mode="complete").collect()
     assert {r.word: r["count"] for r in out} == {"Hi": 4, "Hello": 1, "Hey": 1}
 

@@ -31,13 +31,11 @@ def word_counts(df: DataFrame, text: str, word: str = "word", count: str = "coun
     return words(df, text, word).groupBy(word).agg(F.count(F.lit(1)).alias(count))
 
 
-def word_counts_sql(spark: SparkSession, df: DataFrame, text: str, view: str = "tideline_text",
-                    function: str = "split_words") -> DataFrame:
+def word_counts_sql(spark: SparkSession, df: DataFrame, text: str, function: str = "split_words") -> DataFrame:
     """The same count through a registered Python UDTF and SQL (the reference's form)."""
     ship_package(spark)
     register_split_words(spark, function)
-    df.select(F.col(text).alias("line")).createOrReplaceTempView(view)
     return spark.sql(f"""
         SELECT T.word AS word, COUNT(*) AS `count`
-        FROM {view}, LATERAL {function}(line) AS T
-        GROUP BY T.word""")
+        FROM {{lines}}, LATERAL {function}(line) AS T
+        GROUP BY T.word""", lines=df.select(F.col(text).alias("line")))
