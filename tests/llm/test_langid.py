@@ -31,6 +31,10 @@ def test_forward_backward_is_the_sum_over_all_labellings():
     assert np.allclose(pairs, want_pairs)
 
 
+def test_words_hold_letters_only():
+    assert langid.letter_words(["The m\u00b2 \u00bd x_y 12a \u2167 \u00c9t\u00e9", "12 \u00bd"]) == [["the", "m", "x", "y", "a", "\u00e9t\u00e9"], []]
+
+
 def test_features_do_not_depend_on_neighbours():
     words = ["a", "ab", "straße", "été", "internationalisation", "x" * 300]
     together, sizes = langid.word_features(words)

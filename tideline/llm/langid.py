@@ -34,6 +34,20 @@ BLOCK_CHARS = 1 << 21
 LETTERS = r"[^\W\d_]+"
 
 
+def letter_words(texts: list[str]) -> list[list[str]]:
+    """Runs of letters of each text, lower-cased."""
+    import re
+
+    find = re.compile(LETTERS).findall
+    out = []
+    for text in texts:
+        words = find(text.lower())
+        if not all(map(str.isalpha, words)):  # signs like superscripts count as word characters there
+            words = [w for w in ("".join(filter(str.isalpha, x)) for x in words) if w]
+        out.append(words)
+    return out
+
+
 def word_features(words: list[str]):
     """Hashed features of all words, one word after the other, and how many each has.
 
@@ -160,16 +174,13 @@ def forward_backward(emit, mask, start, moves, expected: bool = True):
 
 def train(sample: list[tuple[str, str]], epochs: int = 6, rate: float = 0.3, seed: int = 7) -> Model:
     """Fit weights and transitions by adaptive gradient steps on the chains' log-likelihood."""
-    import re
-
     import numpy as np
 
     rng = np.random.default_rng(seed)
     labels = sorted({lang for _, lang in sample})
-    lexicon, find = Lexicon(1 << 62), re.compile(LETTERS).findall
-    chains = []
+    lexicon, chains = Lexicon(1 << 62), []
     for text, lang in sample:
-        numbers = lexicon.number([find(text.lower())])
+        numbers = lexicon.number(letter_words([text]))
         chains += [(numbers[i:i + CHAIN], labels.index(lang)) for i in range(0, len(numbers), CHAIN)]
     if chains:
         every, many = word_features(lexicon.words())
@@ -223,13 +234,11 @@ def train(sample: list[tuple[str, str]], epochs: int = 6, rate: float = 0.3, see
 
 def label_texts(model: Model, lexicon: Lexicon, texts: list[str]):
     """Of each text: the label probabilities, weighted by letters (zeros without letters)."""
-    import re
     from itertools import chain
 
     import numpy as np
 
-    find = re.compile(LETTERS).findall
-    words = [find(t.lower()) for t in texts]
+    words = letter_words(texts)
     out = np.zeros((len(texts), len(model.labels)))
     counts = np.array([len(w) for w in words], np.int64)
     if not counts.sum() or not model.labels:
