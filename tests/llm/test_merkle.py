@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tideline.llm import merkle
@@ -15,7 +16,7 @@ def md5(s):
 
 
 def brute_tree(text):
-    cut = lambda pattern, s: [p for p in re.split(pattern, s)] if s else [""]
+    cut = lambda pattern, s: regex.split(pattern, s, flags=regex.V1) if s else [""]
     return [[[md5(r) for r in cut(merkle.RUNS, p)] for p in cut(merkle.PARAGRAPHS, s)] for s in cut(merkle.SECTIONS, text)]
 
 
@@ -28,8 +29,10 @@ def brute_fingerprint(text):
 def brute_likeness(a, b):
     if a[:64] == b[:64]:
         return 1.0
-    x, y = (set(re.findall("[0-9a-f]{6}", f[65:])) for f in (a, b))
-    return 2 * len(x & y) / (len(x) + len(y))
+    leaves = lambda s: re.findall("[0-9a-f]{6}", s)
+    anywhere = [set(leaves(f[65:])) for f in (a, b)]
+    placed = [{(leaf, i) for p in re.split("[./]", f[65:]) for i, leaf in enumerate(leaves(p))} for f in (a, b)]
+    return max(2 * len(x & y) / (len(x) + len(y)) for x, y in (anywhere, placed))
 
 
 def brute(rows):
@@ -52,7 +55,7 @@ def values(r):
 @pytest.mark.parametrize("n", [1, 2, 3, 400])
 def test_equals_brute_force(spark, n):
     rng = random.Random(n)
-    parts = ["one ", "trees, ", "é ", "\n", "\n\n", "😀 ", "x", "end. ", "  ", "\t"]
+    parts = ["one ", "trees, ", "on ", "$$$ ", "one ", "é ", "\n", "\n\n", "😀 ", "x", "end. ", "  ", "\t"]
     rows = [(i * 7 - 50, "".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) or None) for i in range(n)]
     rng.shuffle(rows)
     got = merkle.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()

@@ -1,7 +1,8 @@
 """Document fingerprints: Merkle trees over paragraphs and sections.
 
 A section ends with an empty line, a paragraph with its line, and a paragraph
-is cut into short runs of words behind a blank that follows one of ``ENDS``.
+is cut into short runs of words behind a blank that follows a sign or one of
+two frequent letters.
 These boundaries depend on the characters beside them alone, so an edit
 changes the runs it touches and their ancestors, and leaves all else as it
 was. A run's hash is a leaf; each paragraph, section and the root hashes the
@@ -24,11 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Fixed set: a run of words ends behind a blank after one of these.
-ENDS = "es.,;:!?|"
 SECTIONS = r"(?<=\n\n)(?=[^\n])"
 PARAGRAPHS = r"(?<=\n)(?=[^\n])"
-RUNS = rf"(?<=[{ENDS}][ \t])(?=[^ \t])"
+RUNS = r"(?<=(?:[es]|[^\p{L}\p{N}])[ \t])(?=[^ \t])"
 ROOT_DIGITS = 64
 LEAF_DIGITS = 6
 
@@ -48,18 +47,31 @@ def fingerprint(leaves: Column) -> Column:
     return F.concat_ws(":", root, listed)
 
 
-def leaves_of(fp: Column) -> Column:
-    """Distinct leaves of a fingerprint."""
-    below = F.substr(fp, F.lit(ROOT_DIGITS + 2), F.length(fp))
-    return F.array_distinct(F.regexp_extract_all(below, F.lit(f"[0-9a-f]{{{LEAF_DIGITS}}}"), F.lit(0)))
+def _below(fp: Column) -> Column:
+    return F.substr(fp, F.lit(ROOT_DIGITS + 2), F.length(fp))
+
+
+def _leaves(listed: Column) -> Column:
+    return F.regexp_extract_all(listed, F.lit(f"[0-9a-f]{{{LEAF_DIGITS}}}"), F.lit(0))
+
+
+def _common(x: Column, y: Column) -> Column:
+    """2 common / (all of x + all of y) of two arrays of distinct elements."""
+    return 2 * F.size(F.array_intersect(x, y)) / (F.size(x) + F.size(y))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of common leaves of two fingerprints, 2 common / (all of a + all of b); 1 for equal roots."""
-    x, y = leaves_of(a), leaves_of(b)
-    share = 2 * F.size(F.array_intersect(x, y)) / (F.size(x) + F.size(y))
+    """Share of common leaves of two fingerprints; 1 for equal roots.
+
+    Leaves are common wherever they stand, once each; or leaves are common at
+    the same place of a paragraph, so that repeated runs count as often as they
+    stand. The larger of the two shares holds.
+    """
+    anywhere = [F.array_distinct(_leaves(_below(fp))) for fp in (a, b)]
+    placed = [F.array_distinct(F.flatten(F.transform(F.split(_below(fp), "[./]"), lambda p: F.transform(
+        _leaves(p), lambda leaf, i: F.concat_ws(" ", leaf, i))))) for fp in (a, b)]
     same = F.substring(a, 1, ROOT_DIGITS) == F.substring(b, 1, ROOT_DIGITS)
-    return F.when(same, F.lit(1.0)).otherwise(share)
+    return F.when(same, F.lit(1.0)).otherwise(F.greatest(_common(*anywhere), _common(*placed)))
 
 
 def _first_difference(a: Column, b: Column) -> Column:
@@ -74,15 +86,15 @@ def edit_place(a: Column, b: Column) -> Column:
     Descends from the root into the first differing section and there to the
     first differing paragraph.
     """
-    sections = [F.split(F.substr(fp, F.lit(ROOT_DIGITS + 2), F.length(fp)), "/") for fp in (a, b)]
+    sections = [F.split(_below(fp), "/") for fp in (a, b)]
     at = _first_difference(*sections)
     inside = [F.split(F.coalesce(F.get(s, at.cast("int")), F.lit("")), r"\.") for s in sections]
     place = F.struct(at.alias("section"), F.greatest(F.lit(0).cast("long"), _first_difference(*inside)).alias("paragraph"))
     return F.when(F.substring(a, 1, ROOT_DIGITS) != F.substring(b, 1, ROOT_DIGITS), place)
 
 
-def with_next(df: DataFrame, id_col: str, columns: dict[str, str], tie: str) -> DataFrame:
-    """``df`` and, for each name: column of ``columns``, that column of the row with the next id (after the last: the first).
+def with_next(df: DataFrame, id_col: str, column: str, name: str, tie: str) -> DataFrame:
+    """``df`` and, as ``name``, the ``column`` of the row with the next id (after the last: the first).
 
     Equal ids follow each other by ``tie``. A row without id has no next: null.
     """
@@ -97,23 +109,22 @@ def with_next(df: DataFrame, id_col: str, columns: dict[str, str], tie: str) ->
     known = F.array(*[F.lit(c) for c in cuts]).cast(f"array<{df.schema[id_col].dataType.simpleString()}>")
     own = F.size(F.filter(known, lambda c: c <= F.col(id_col)))
     before = F.when(own == 1, F.lit(len(cuts))).otherwise(own - 1)
-    copy = lambda b, ghost, wrap: F.struct(b.alias("b"), F.lit(ghost).alias("ghost"), wrap.alias("wrap"))
-    itself = copy(own, False, F.lit(False))
-    places = (F.when(F.col(id_col).isNull(), F.array(copy(-1 - F.pmod(F.xxhash64(tie), F.lit(ranges)).cast("int"), False, F.lit(False))))
-              .when(F.array_contains(known, F.col(id_col)), F.array(itself, copy(before, True, own == 1)))
+    place = lambda b, ghost, wrap: F.struct(b.alias("__b"), F.lit(ghost).alias("__ghost"), wrap.alias("__wrap"))
+    itself, alone = place(own, False, F.lit(False)), -1 - F.pmod(F.xxhash64(tie), F.lit(ranges)).cast("int")
+    places = (F.when(F.col(id_col).isNull(), F.array(place(alone, False, F.lit(False))))
+              .when(F.array_contains(known, F.col(id_col)), F.array(itself, place(before, True, own == 1)))
               .otherwise(F.array(itself)))
-    w = Window.partitionBy("__p.b").orderBy("__p.wrap", id_col, tie, "__p.ghost")
-    placed = df.withColumn("__p", F.explode(places))
-    for name, column in columns.items():
-        placed = placed.withColumn(name, F.when(F.col(id_col).isNotNull(), F.lead(column).over(w)))
-    return placed.filter(~F.col("__p.ghost")).drop("__p")
+    placed = df.select("*", F.inline(places))
+    w = Window.partitionBy("__b").orderBy("__wrap", id_col, tie, "__ghost")
+    led = placed.withColumn(name, F.lead(column).over(w))
+    led = led.withColumn(name, F.when(F.col(id_col).isNotNull(), F.col(name)))
+    return led.filter(~F.col("__ghost")).drop("__b", "__wrap", "__ghost")
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``df``: id, text, text_hash, fingerprint. A null text is empty; further columns are not read."""
-    docs = df.select(F.col(id_col), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    docs = docs.withColumn("text_hash", F.xxhash64("text")).withColumn("__tree", tree(F.col("text")))
-    return docs.withColumn("fingerprint", fingerprint(F.col("__tree"))).drop("__tree")
+def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
+    """``df`` and the fingerprint of a column's texts (null: as an empty one)."""
+    rows = df.withColumn("__tree", tree(F.coalesce(F.col(text), F.lit(""))))
+    return rows.withColumn(name, fingerprint(F.col("__tree"))).drop("__tree")
 
 
 def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -126,16 +137,19 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text: str = "text
     other by the hashes of their texts; a row without id has no next one, which
     counts as an empty text. An empty table gives an empty result.
     """
-    paired = with_next(fingerprints(df, id_col, text), id_col, {"__next": "text", "__next_fp": "fingerprint"}, "text_hash")
+    docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = with_next(docs.withColumn("th", F.xxhash64("text")), "id", "text", "next", "th")
     n = F.char_length("text")
     cut = F.floor(n / 4)
-    edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr(F.coalesce("__next", F.lit("")), F.lit(1), cut))
-    rows = paired.withColumn("__edited", edited).withColumn("__tree", tree(F.col("__edited")))
-    rows = rows.withColumn("edited_fingerprint", fingerprint(F.col("__tree")))
-    nothing = fingerprint(tree(F.lit("")))
-    place = edit_place(F.col("fingerprint"), F.col("edited_fingerprint"))
+    edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr(F.coalesce("next", F.lit("")), F.lit(1), cut))
+    # The fingerprints are made behind the shuffle, which moves plain texts only.
+    rows = rows.withColumn("edited", edited)
+    for column, name in (("text", "own"), ("edited", "edited_fp"), ("next", "next_fp")):
+        rows = with_fingerprint(rows, column, name)
+    place = edit_place(F.col("own"), F.col("edited_fp"))
     return rows.select(
-        id_col, n.cast("long").alias("n_chars"), F.sha2(F.col("__edited").cast("binary"), 256).alias("edited_sha256"),
-        "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.coalesce("__next_fp", nothing)).alias("near_next"),
+        F.col("id").alias(id_col), n.cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), F.col("own").alias("fingerprint"),
+        F.col("edited_fp").alias("edited_fingerprint"), likeness(F.col("own"), F.col("edited_fp")).alias("near_edited"),
+        likeness(F.col("own"), F.col("next_fp")).alias("near_next"),
         place["section"].alias("edit_section"), place["paragraph"].alias("edit_paragraph"))
