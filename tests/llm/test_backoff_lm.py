@@ -77,6 +77,8 @@ def test_packing_round_trips():
     for n in (1, 2, 1000):
         keys = np.unique(rng.integers(0, 1 << 60, n, dtype=np.uint64))
         assert np.array_equal(lm.unpack_sorted(lm.pack_sorted(keys)), keys)
+        tokens = rng.integers(0, 1 << 31, n)
+        assert np.array_equal(lm.unpack_tokens(lm.pack_tokens(tokens)), tokens)
         counts = rng.integers(0, 600, n)
         assert np.array_equal(lm.unpack_counts(lm.pack_counts(counts), n), counts)
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import written
 
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 #: Characters cut into words at once.
 BLOCK_CHARS = 1 << 21
 END = b"\n"  # no word holds white space
@@ -68,20 +68,40 @@ def unpack_sorted(data: bytes):
 
 
 def pack_counts(counts) -> bytes:
-    """One byte for each count; those of 255 and more follow."""
+    """One byte for each count; those of 255 and more follow. Compressed: most are 0 or 1."""
     import numpy as np
+    import zstandard
 
-    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u8").tobytes()
+    plain = np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u8").tobytes()
+    return zstandard.compress(plain, 1)
 
 
 def unpack_counts(data: bytes, n: int):
     import numpy as np
+    import zstandard
 
+    data = zstandard.decompress(data)
     counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
     counts[counts == 255] = np.frombuffer(data, "<u8", offset=n).astype(np.int64)
     return counts
 
 
+def pack_tokens(tokens) -> bytes:
+    """Word numbers, compressed byte by byte: frequent words come early and have small numbers."""
+    import numpy as np
+    import zstandard
+
+    return zstandard.compress(tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpack_tokens(data: bytes):
+    import numpy as np
+    import zstandard
+
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+
+
 class Grams:
     """The distinct n-grams of a block by order: index at every position, keys, and their parts.
 
@@ -258,7 +278,7 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text", held
                 counts += np.bincount(places[k][at[here]], minlength=len(keys))
             of = bucket_of(keys, buckets)
             cuts = np.searchsorted(of, np.arange(buckets + 1, dtype=np.uint64))
-            out = [(name, -1, None, None, None, list(ids), list(held), list(lengths), tokens.tobytes(), hashes.tobytes())]
+            out = [(name, -1, None, None, None, list(ids), list(held), list(lengths), pack_tokens(tokens), hashes.tobytes())]
             out += [(name, b, pack_sorted(keys[i:j]), pack_counts(counts[i:j]), int(j - i), *[None] * 5)
                     for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), schema.types)], names=names)
@@ -316,7 +336,7 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text", held
         import numpy as np
         import pyarrow as pa
 
-        tokens = np.frombuffer(docs["tokens"][0].as_py(), np.uint32).astype(np.int64)
+        tokens = unpack_tokens(docs["tokens"][0].as_py())
         hashes = np.frombuffer(docs["hashes"][0].as_py(), np.uint64)
         lengths = np.array(docs["lengths"][0].as_py())
         grams = Grams(tokens, hashes, order)
