@@ -253,39 +253,24 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text", held
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(held_out), F.lit(False)).alias("held"),
                      F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = df.schema[id_col].dataType.simpleString()
-    shape = (f"block string, bucket int, keys binary, counts binary, n long, "
-             f"ids array<{kind}>, held array<boolean>, lengths array<long>, tokens binary, hashes binary")
+    shape = f"block string, ids array<{kind}>, held array<boolean>, lengths array<long>, tokens binary, hashes binary"
+    from pyspark.sql.pandas.types import to_arrow_type
+    id_type = to_arrow_type(df.schema[id_col].dataType)  # looked up on the driver
 
     def blocks(batches):
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        context, made = TaskContext.get(), 0
+        partition, made = TaskContext.get().partitionId(), 0
         names = [f.split()[0] for f in shape.split(", ")]
+        types = [pa.string(), pa.list_(id_type), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+
+        def row_of(block: Block):
+            ids, held, lengths = (list(x) for x in zip(*block.rows))
+            row = (f"{partition}-{made}", ids, held, lengths, pack_tokens(np.concatenate(block.parts)), block.hashes().tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=names)
 
-        def rows_of(block: Block):
-            nonlocal made
-            name, made = f"{context.partitionId()}-{made}", made + 1
-            tokens, hashes = np.concatenate(block.parts), block.hashes()
-            ids, held, lengths = zip(*block.rows)
-            grams = Grams(tokens, hashes, order)
-            training = np.repeat(~np.array(held), lengths)
-            keys, places = grams.sorted_keys()
-            counts = np.zeros(len(keys), np.int64)
-            for k, at in grams.at.items():
-                here = training & (at >= 0)
-                counts += np.bincount(places[k][at[here]], minlength=len(keys))
-            of = bucket_of(keys, buckets)
-            cuts = np.searchsorted(of, np.arange(buckets + 1, dtype=np.uint64))
-            out = [(name, -1, None, None, None, list(ids), list(held), list(lengths), pack_tokens(tokens), hashes.tobytes())]
-            out += [(name, b, pack_sorted(keys[i:j]), pack_counts(counts[i:j]), int(j - i), *[None] * 5)
-                    for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), schema.types)], names=names)
-
-        schema = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()),
-                            ("n", pa.int64()), ("ids", pa.list_(id_type[0])), ("held", pa.list_(pa.bool_())),
-                            ("lengths", pa.list_(pa.int64())), ("tokens", pa.binary()), ("hashes", pa.binary())])
         block = Block()
         for batch in batches:
             ids, held, column = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
@@ -299,10 +284,33 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text", held
                 block.add(list(zip(ids[at:upto], held[at:upto])), texts)
                 at = upto
                 if block.tokens >= block_tokens:
-                    yield rows_of(block)
-                    block = Block()
+                    yield row_of(block)
+                    block, made = Block(), made + 1
         if block.rows:
-            yield rows_of(block)
+            yield row_of(block)
+
+    def asked(batches):
+        """The n-grams of each block by bucket, with the block's training counts."""
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(len(batch)):
+                name, held, lengths, packed, hashes = (batch.column(c)[i].as_py() for c in range(5))
+                tokens, hashes = unpack_tokens(packed), np.frombuffer(hashes, np.uint64)
+                grams = Grams(tokens, hashes, order)
+                training = np.repeat(~np.array(held), lengths)
+                keys, places = grams.sorted_keys()
+                counts = np.zeros(len(keys), np.int64)
+                for k, at in grams.at.items():
+                    here = training & (at >= 0)
+                    counts += np.bincount(places[k][at[here]], minlength=len(keys))
+                cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1, dtype=np.uint64))
+                full = np.flatnonzero(np.diff(cuts))
+                parts = [(keys[cuts[b]:cuts[b + 1]], counts[cuts[b]:cuts[b + 1]]) for b in full]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(full)), pa.array(full, pa.int32()), pa.array([pack_sorted(k) for k, _ in parts]),
+                     pa.array([pack_counts(c) for _, c in parts])], names=["block", "bucket", "keys", "counts"])
 
     def merged(table):
         import numpy as np
@@ -322,12 +330,10 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text", held
                          "total": pa.array([0] * len(sizes) + [int(words.sum())], pa.int64()),
                          "distinct": pa.array([0] * len(sizes) + [int((words > 0).sum())], pa.int64())})
 
-    # Arrow's type of the id is that of the column; it is looked up once, on the driver.
-    from pyspark.sql.pandas.types import to_arrow_type
-    id_type = [to_arrow_type(df.schema[id_col].dataType)]
-
     made = written(rows.mapInArrow(blocks, shape), "lm-blocks")
-    answers = written(made.filter("bucket >= 0").select("block", "bucket", "keys", "counts").groupBy("bucket").applyInArrow(
+    wanted = made.select("block", "held", "lengths", "tokens", "hashes").mapInArrow(
+        asked, "block string, bucket int, keys binary, counts binary")
+    answers = written(wanted.groupBy("bucket").applyInArrow(
         merged, "block string, bucket int, answer binary, n long, total long, distinct long"), "lm-answers")
     sums = answers.filter("block is null").agg(F.sum("total").alias("t"), F.sum("distinct").alias("d")).first()
     total, distinct = int(sums["t"] or 0), int(sums["d"] or 0)
@@ -354,8 +360,7 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text", held
                          "base_score": pa.array(base),
                          "score": pa.array(traverse(model, tokens.tolist(), len(hashes)), pa.float64())})
 
-    docs = made.filter("bucket = -1").select("block", "ids", "held", "lengths", "tokens", "hashes")
     replies = answers.filter("block is not null").select("block", "bucket", "answer", "n")
-    return replies.groupBy("block").cogroup(docs.groupBy("block")).applyInArrow(
+    return replies.groupBy("block").cogroup(made.groupBy("block")).applyInArrow(
         scored, f"`{id_col}` {kind}, `{held_out}` boolean, n_tokens long, n_known long, train_tokens long, "
                 f"base_score double, score double")
