@@ -65,8 +65,8 @@ def test_operator_edge_rows(spark, model):
     assert [r.lang_pred for r in got] == ["und", "und", "und", "en", "en", "de"]
     assert [r.score for r in got[:3]] == [0.0] * 3 and all(0 < r.score <= 1 for r in got[3:])
     assert langid.identify(df.limit(0), model).collect() == []
-    with pytest.raises(ValueError, match="already has"):
-        langid.identify(df.withColumn("score", df.label), model)
+    clash = langid.identify(df.selectExpr("doc_id", "'x' SCORE", "text", "1 lang_pred"), model)
+    assert clash.columns == ["doc_id", "text", "lang_pred", "score"] and clash.collect()[3].lang_pred == "en"
     nothing = langid.fit(df.selectExpr("doc_id", "text", "cast(null as string) lang"))
     assert {r.lang_pred for r in langid.identify(df, nothing).collect()} == {"und"}
 

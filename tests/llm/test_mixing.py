@@ -80,8 +80,8 @@ def test_edge_tables(spark):
     check(rows, mix(spark.createDataFrame(rows, schema), "size").collect())
     zero = mix(spark.createDataFrame([(1, "a", 0)], schema), "size").collect()[0]
     assert (zero.target, zero.taken) == (0.0, 0)
-    with pytest.raises(ValueError, match="already has"):
-        mix(spark.createDataFrame(rows, schema.replace("doc_id", "taken")), "size", id_col="taken")
+    clash = spark.createDataFrame(rows, schema).selectExpr("*", "'x' Taken", "0 target")
+    check(rows, mix(clash, "size").collect())
 
 
 def test_query_meets_targets(spark):

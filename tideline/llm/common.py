@@ -58,6 +58,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
+def without(df: DataFrame, names: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` without the columns that outputs of these names replace, in any case, but for those in ``keep``."""
+    gone = {n.lower() for n in names} - {k.lower() for k in keep}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
+
+
 def with_fields(schema: T.StructType, **fields: str) -> T.StructType:
     """``schema`` and further nullable fields, given as name=type."""
     out = T.StructType(list(schema.fields))

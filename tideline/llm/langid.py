@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import with_fields
+from tideline.llm.common import with_fields, without
 
 BUCKETS = 1 << 16
 CHAIN = 256
@@ -289,11 +289,10 @@ def identify(df: DataFrame, model: Model, text: str = "text", pred: str = "lang_
 
     A null text, one without letters, and any text if nothing was learned, is
     ``und`` with score 0. Ties go to the language first in code-point order.
-    Repeated rows are labelled alike; an empty table gives an empty result; a
-    column of ``df`` with the name of an output is an error.
+    Repeated rows are labelled alike; an empty table gives an empty result;
+    columns of ``df`` with the names of the outputs are replaced.
     """
-    if {pred, score} & set(df.columns):
-        raise ValueError(f"the table already has a column {pred!r} or {score!r}")
+    df = without(df, [pred, score], keep=(text,))
     where = df.columns.index(text)
 
     def labelled(batches):

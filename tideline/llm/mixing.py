@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import WORD_REGEX, written
+from tideline.llm.common import WORD_REGEX, without, written
 
 BLOCK = 16
 SHARD_WORDS = 4_000_000
@@ -85,12 +85,10 @@ def mix(df: DataFrame, size: str, source: str = "source", id_col: str = "doc_id"
     ``weights`` in turn; the mix holds ``share`` of all words. ``taken`` counts
     the words of a row in the mix with repeats, at most ``cap`` times its size.
     Rows alike in id and size are interchangeable; null ids are as good as
-    others; an empty table gives an empty result; a column of ``df`` with the
-    name of an output is an error.
+    others; an empty table gives an empty result; columns of ``df`` with the
+    names of the outputs are replaced.
     """
-    new = {"source_size", "target", "taken"}
-    if new & set(df.columns):
-        raise ValueError(f"the table already has one of {sorted(new)}")
+    df = without(df, ["source_size", "target", "taken"], keep=(size, source, id_col))
     draw = F.xxhash64(F.lit(seed), F.col(id_col), F.col(size))
     key = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))  # the null source has a key too
     rows = df.withColumn("__h", draw).withColumn("__s", key).withColumn(

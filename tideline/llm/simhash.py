@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import few, with_fields, written
+from tideline.llm.common import few, with_fields, without, written
 from tideline.llm.components import connected_components
 
 TILE = 2048
@@ -59,11 +59,11 @@ def simhash(df: DataFrame, text: str = "text", shingle: int = 3, name: str = "fi
     """``df`` with the fingerprint (long) of ``text`` in place of the text.
 
     A null or empty text, or one of white space only, has fingerprint 0; a
-    text of fewer words than a shingle counts as one shingle.
+    text of fewer words than a shingle counts as one shingle. A column of ``df``
+    called ``name`` already is replaced.
     """
+    df = without(df, [name], keep=(text,))
     kept = [c for c in df.columns if c != text]
-    if name in kept:
-        raise ValueError(f"the table already has a column {name!r}")
 
     def hashed(batches):
         import pyarrow as pa

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import with_fields
+from tideline.llm.common import with_fields, without
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 9
@@ -147,10 +147,9 @@ def count_tokens(df: DataFrame, tokenizer_path: str, text: str = "text", name: s
     Special strings inside texts count as the tokenizer's default has it; no
     begin, end or padding tokens are added. A null or empty text has 0 tokens;
     repeated rows are counted each; an empty table gives an empty result. A
-    column of ``df`` called ``name`` already is an error.
+    column of ``df`` called ``name`` already is replaced.
     """
-    if name in df.columns:
-        raise ValueError(f"the table already has a column {name!r}")
+    df = without(df, [name], keep=(text,))
     kept = [c for c in df.columns if c != text]
 
     def count(batches):
