@@ -8,6 +8,7 @@ forward-backward algorithm gives each word's label probabilities; a text's
 scores are their means over its words, weighted by letters.
 
 Training takes the language of a sampled document as the label of its words.
+A word repeated on the spot is one position of a chain, there and in scoring.
 Part of the training chains join pieces of documents in two languages, so
 that the transitions of switched text are learned too. The sample is bounded
 (``per_language`` documents of each language, by hash of the id); scoring
@@ -117,8 +118,6 @@ class Model:
         """Emission scores of all words of the lexicon, added to those it has kept."""
         import numpy as np
 
-        import numpy as np
-
         done = 0 if lexicon.scores is None else len(lexicon.scores)
         if done < len(lexicon.of):
             features, sizes = word_features(lexicon.words(done))
@@ -181,6 +180,7 @@ def train(sample: list[tuple[str, str]], epochs: int = 6, rate: float = 0.3, see
     lexicon, chains = Lexicon(1 << 62), []
     for text, lang in sample:
         numbers = lexicon.number(letter_words([text]))
+        numbers = numbers[np.diff(numbers, prepend=-1) != 0]
         chains += [(numbers[i:i + CHAIN], labels.index(lang)) for i in range(0, len(numbers), CHAIN)]
     if chains:
         every, many = word_features(lexicon.words())
@@ -245,6 +245,11 @@ def label_texts(model: Model, lexicon: Lexicon, texts: list[str]):
         return out
     numbers = lexicon.number(words)
     weight = np.fromiter(map(len, chain.from_iterable(words)), np.float64, len(numbers))
+    # A run of one word is one position: said over and over, it is no more evidence.
+    new = np.diff(numbers, prepend=-1) != 0
+    new[(np.cumsum(counts) - counts)[counts > 0]] = True
+    numbers, weight = numbers[new], weight[new]
+    counts = np.bincount(np.repeat(np.arange(len(texts)), counts)[new], minlength=len(texts))
     lengths = np.concatenate([np.full(n // CHAIN + 1, CHAIN) for n in counts])
     last = np.cumsum(counts // CHAIN + 1) - 1
     lengths[last] = counts % CHAIN
