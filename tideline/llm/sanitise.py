@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import written
+from tideline.llm.common import few, written
 
 CONTEXT = 64
 LEAST_TEXTS = 3
@@ -203,6 +203,7 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text: str = "text", **limits
     """``df`` with ``text`` rewritten; rows without spans are unchanged. Column order stays."""
     spans = find_spans(df, id_col, text, **limits).filter(F.size("spans") > 0).dropDuplicates([id_col, "text_hash"])
     spans = written(spans.select(F.col(id_col).alias("__i"), F.col("text_hash").alias("__t"), F.col("spans").alias("__spans")), "spans")
-    joined = df.join(spans, F.col(id_col).eqNullSafe(F.col("__i")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__t")), "left")
+    size = spans.agg(F.sum(1 + F.size("__spans"))).first()[0] or 0
+    joined = df.join(few(spans, size), F.col(id_col).eqNullSafe(F.col("__i")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__t")), "left")
     new = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(rewritten(F.col(text), F.col("__spans")))
     return joined.withColumn(text, new).select(*df.columns)
