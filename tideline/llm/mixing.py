@@ -65,14 +65,14 @@ def _targets(sources: DataFrame, weights: tuple[float, ...], share: float, cap:
     pick = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (turn % len(weights) + 1).cast("int"))
     sources = written(sources.withColumn("w", pick), "sources")
     most = F.lit(float(cap)) * F.col("source_size")
-    level, before = 0.0, -1.0
-    total = None
-    while level != before:  # the level only rises, and each rise caps another source
+    level, full = 0.0, -1
+    while True:  # the level only rises, and each rise caps another source
         capped = most < F.col("w") * F.lit(level)
-        row = sources.agg(F.sum("source_size").alias("t"), F.sum(F.when(capped, most)).alias("c"),
-                          F.sum(F.when(~capped, F.col("w"))).alias("w")).first()
-        total = share * float(row["t"] or 0)
-        before, level = level, (total - (row["c"] or 0.0)) / row["w"] if row["w"] else level
+        row = sources.agg(F.sum("source_size").alias("t"), F.count(F.when(capped, 1)).alias("n"),
+                          F.sum(F.when(capped, most)).alias("c"), F.sum(F.when(~capped, F.col("w"))).alias("w")).first()
+        if row["n"] == full or not row["w"]:
+            break
+        full, level = row["n"], (share * float(row["t"] or 0) - (row["c"] or 0.0)) / row["w"]
     return sources.withColumn("target", F.least(most, F.col("w") * F.lit(level)))
 
 
