@@ -60,18 +60,25 @@ def _common(x: Column, y: Column) -> Column:
     return 2 * F.size(F.array_intersect(x, y)) / (F.size(x) + F.size(y))
 
 
-def likeness(a: Column, b: Column) -> Column:
+def leaf_sets(fp: Column) -> Column:
+    """Distinct leaves of a fingerprint, and distinct pairs of a leaf and its place in its paragraph."""
+    placed = F.transform(F.split(_below(fp), "[./]"), lambda p: F.transform(
+        _leaves(p), lambda leaf, i: F.concat_ws(" ", leaf, i)))
+    return F.struct(F.array_distinct(_leaves(_below(fp))).alias("leaves"), F.array_distinct(F.flatten(placed)).alias("placed"))
+
+
+def likeness(a: Column, b: Column, sets_a: Column | None = None, sets_b: Column | None = None) -> Column:
     """Share of common leaves of two fingerprints; 1 for equal roots.
 
     Leaves are common wherever they stand, once each; or leaves are common at
     the same place of a paragraph, so that repeated runs count as often as they
-    stand. The larger of the two shares holds.
+    stand. The larger of the two shares holds. ``leaf_sets`` of the
+    fingerprints may be given where they are at hand.
     """
-    anywhere = [F.array_distinct(_leaves(_below(fp))) for fp in (a, b)]
-    placed = [F.array_distinct(F.flatten(F.transform(F.split(_below(fp), "[./]"), lambda p: F.transform(
-        _leaves(p), lambda leaf, i: F.concat_ws(" ", leaf, i))))) for fp in (a, b)]
+    x, y = (leaf_sets(fp) if s is None else s for fp, s in ((a, sets_a), (b, sets_b)))
     same = F.substring(a, 1, ROOT_DIGITS) == F.substring(b, 1, ROOT_DIGITS)
-    return F.when(same, F.lit(1.0)).otherwise(F.greatest(_common(*anywhere), _common(*placed)))
+    return F.when(same, F.lit(1.0)).otherwise(F.greatest(
+        _common(x["leaves"], y["leaves"]), _common(x["placed"], y["placed"])))
 
 
 def _first_difference(a: Column, b: Column) -> Column:
@@ -145,11 +152,11 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text: str = "text
     # The fingerprints are made behind the shuffle, which moves plain texts only.
     rows = rows.withColumn("edited", edited)
     for column, name in (("text", "own"), ("edited", "edited_fp"), ("next", "next_fp")):
-        rows = with_fingerprint(rows, column, name)
+        rows = with_fingerprint(rows, column, name).withColumn(f"{name}_sets", leaf_sets(F.col(name)))
+    near = lambda other: likeness(F.col("own"), F.col(other), F.col("own_sets"), F.col(f"{other}_sets"))
     place = edit_place(F.col("own"), F.col("edited_fp"))
     return rows.select(
         F.col("id").alias(id_col), n.cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), F.col("own").alias("fingerprint"),
-        F.col("edited_fp").alias("edited_fingerprint"), likeness(F.col("own"), F.col("edited_fp")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next_fp")).alias("near_next"),
+        F.col("edited_fp").alias("edited_fingerprint"), near("edited_fp").alias("near_edited"), near("next_fp").alias("near_next"),
         place["section"].alias("edit_section"), place["paragraph"].alias("edit_paragraph"))
