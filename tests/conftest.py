@@ -17,7 +17,8 @@ def spark():
     from tideline.session import build_session
     # Jobs resume under their names, so every run of the tests has a folder of its own.
     s = build_session("local[8]", app_name="tideline-tests", shuffle_partitions=8,
-                      extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tideline-tests-")})
+                      extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tideline-tests-"),
+                                  "spark.driver.memory": "6g"})  # local mode: eight tasks share the driver's heap
     yield s
     s.stop()
 
