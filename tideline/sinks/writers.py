@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -36,9 +37,12 @@ def console(df: DataFrame, job: str, label: str | None = None, output_mode: str
 
 def memory(df: DataFrame, query_name: str, output_mode: str = "append",
            checkpoint: str | None = None, **trigger) -> StreamingQuery:
-    """Streaming sink into an in-memory table ``query_name`` (tests)."""
+    """Streaming sink into an in-memory table ``query_name`` (tests).
+
+    The table is lost with the session, so each start begins anew.
+    """
     w = df.writeStream.format("memory").queryName(query_name).outputMode(output_mode)
-    return _start(w, df, query_name, checkpoint, trigger)
+    return _start(w, df, f"{query_name}-{uuid.uuid4().hex}", checkpoint, trigger)
 
 
 def append_to_table(df: DataFrame, table: str, checkpoint: str | None = None, **trigger):
