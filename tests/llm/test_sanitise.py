@@ -148,3 +148,16 @@ def test_query_digests(spark):
         line = ",".join(f"{k}:{s}:{e}" for s, _, e, k, _ in base)
         assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
         assert r.spans == ",".join(f"{k}:{s}:{e}" for s, _, e, k in want[r.doc_id])
+
+
+def test_pairs_of_one_or_two_texts_are_estimated(spark):
+    """A name beside an address in one text of 1,000, another in two: no pair stands in three texts."""
+    rows = [(i, "the river and the bank are near the old town") for i in range(1000)]
+    rows[10] = (10, "the letter of Zebulon to zeb@mail.org and the river")
+    rows[20] = (20, "the river of Ottoline and oty@mail.org near the bank")
+    rows[30] = (30, "the bank says Ottoline or oty@mail.org and the river")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end, s.kind) for s in r.spans] for r in san.find_spans(df).collect()}
+    assert (14, 21, "general") in got[10] and (13, 21, "general") in got[20] and (14, 22, "general") in got[30]
+    # Words of nearly all texts disclose nothing, whatever they stand beside.
+    assert not [s for s in got[10] if s[0] == 0] and got[40] == []

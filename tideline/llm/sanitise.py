@@ -10,8 +10,9 @@ shows: with df the number of rows that hold something and D all rows,
 of the entity's information log2(D / df(entity)). Where that share reaches
 ``GENERALISE`` the term gives way to a general one, and where it reaches
 ``REMOVE`` to nothing, in every context of that entity. Chance meetings prove
-nothing: the pair has to stand in ``LEAST_TEXTS`` different texts. Rows
-without an entity are left as they are.
+little: ``DISCOUNT`` bits over the number of different texts that hold the
+pair are taken off first. Every pair is estimated, also that of a single
+text. Rows without an entity are left as they are.
 
 With DataFrame functions only. One scan finds entities and their contexts and
 writes them, a small table, to the shared folder; a second counts the corpus.
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 from tideline.llm.common import few, written
 
 CONTEXT = 64
-LEAST_TEXTS = 3
+#: Bits taken off for a pair of one text: log2(10). The one-sided 90 % lower confidence bound of a term's share of texts
+#: with the entity is 0.1 ** (1 / n) if all its n texts hold it.
+DISCOUNT = 3.321928094887362
 GENERALISE = 0.6
 REMOVE = 0.9
 #: In the order of spans that begin together; the last two are terms.
@@ -125,7 +128,7 @@ def _context_terms(text: Column, spans: Column) -> Column:
     return F.transform(spans, of)
 
 
-def find_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", least_texts: int = LEAST_TEXTS,
+def find_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", discount: float = DISCOUNT,
                generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """One row per row of ``df``: id, text_hash, base and spans.
 
@@ -149,15 +152,11 @@ def find_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", least_
     by_row = found.filter(F.size("contexts") > 0).select("th", F.explode(F.array_distinct(F.flatten(F.transform(
         "contexts", lambda c: F.transform(c["terms"], lambda t: F.struct(c["entity"].alias("entity"), t["term"].alias("term"))))))).alias("p"))
     by_text = by_row.groupBy("p.entity", "p.term", "th").agg(F.count(F.lit(1)).alias("n"))
-    pairs = written(by_text.groupBy("entity", "term").agg(F.sum("n").alias("df_pair"), F.count(F.lit(1)).alias("texts"))
-                    .filter(F.col("texts") >= least_texts), "pairs")
-    if pairs.isEmpty():
-        spans = F.col("base")
-        return found.select(F.col("id").alias(id_col), F.col("th").alias("text_hash"), _plain(spans).alias("base"), _plain(spans).alias("spans"))
+    pairs = written(by_text.groupBy("entity", "term").agg(F.sum("n").alias("df_pair"), F.count(F.lit(1)).alias("texts")), "pairs")
 
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
-    share = (F.log2(F.col("df_pair") * F.lit(float(rows)) / (F.col("df_term") * F.col("df_entity")))
+    share = ((F.log2(F.col("df_pair") * F.lit(float(rows)) / (F.col("df_term") * F.col("df_entity"))) - discount / F.col("texts"))
              / F.log2(F.lit(float(rows)) / F.col("df_entity")))
     # An entity that all rows hold has no information to disclose.
     disclosing = written(
