@@ -161,3 +161,16 @@ def test_pairs_of_one_or_two_texts_are_estimated(spark):
     assert (14, 21, "general") in got[10] and (13, 21, "general") in got[20] and (14, 22, "general") in got[30]
     # Words of nearly all texts disclose nothing, whatever they stand beside.
     assert not [s for s in got[10] if s[0] == 0] and got[40] == []
+
+
+def test_whole_texts_are_counted_and_rewritten(spark):
+    """A name far from its address, and one beside it that comes again far away, in texts of many words."""
+    filler = "the river and the bank are near the old town " * 60
+    rows = [(i, filler) for i in range(1000)]
+    for i in (10, 20, 30):
+        rows[i] = (i, f"{i} Zebulon {filler} Ottoline, oty@mail.org {filler} Ottoline again")
+    rows[40] = (40, f"Ottoline {filler}")
+    texts = {r.doc_id: r.text for r in san.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in (10, 20, 30):
+        assert not any(w in texts[i] for w in ("Zebulon", "Ottoline", "again", "@")) and texts[i].count(filler) == 2
+    assert texts[40] == rows[40][1] and texts[50] == filler

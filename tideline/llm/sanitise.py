@@ -1,25 +1,28 @@
 """Information-theoretic sanitisation of personal data.
 
 Protected entities are the e-mail and IP addresses, card and phone numbers of
-the texts. A term, a word of three letters or more that stands within
-``CONTEXT`` code points of an entity, discloses as much of it as the corpus
+the texts. A term, a word of three letters or more in a text that holds an
+entity, discloses as much of it as the corpus
 shows: with df the number of rows that hold something and D all rows,
 
     PMI(term, entity) = log2(df(term, entity) D / (df(term) df(entity)))
 
 of the entity's information log2(D / df(entity)). Where that share reaches
 ``GENERALISE`` the term gives way to a general one, and where it reaches
-``REMOVE`` to nothing, in every context of that entity. Chance meetings prove
+``REMOVE`` to nothing, wherever it stands in the texts of that entity. Chance meetings prove
 little: ``DISCOUNT`` bits over the number of different texts that hold the
 pair are taken off first. Every pair is estimated, also that of a single
 text. Rows without an entity are left as they are.
 
-With DataFrame functions only. One scan finds entities and their contexts and
-writes them, a small table, to the shared folder; a second counts the corpus.
-Everything is keyed by row, by pair or by term and combined map-side. A pair
-that a third of the rows hold is counted from partial counts; where it meets
-its rows again adaptive execution splits it. Texts are not shuffled for the
-spans, and once by row to rewrite them.
+With DataFrame functions only. One scan finds entities and, in the rows that
+hold one, the places of the words, and writes them to the shared folder; a
+second counts the corpus. As a pair is in no more rows than its entity, a term
+of more than D ** (1 - GENERALISE) df(entity) ** GENERALISE rows cannot reach
+``GENERALISE``; such terms are left out before pairs are formed. Everything is
+keyed by row, by pair or by term and combined map-side. A pair that a third of
+the rows hold is counted from partial counts; where it meets its rows again
+adaptive execution splits it. Texts are not shuffled for the spans, and once
+by row to rewrite them.
 """
 
 from __future__ import annotations
@@ -29,7 +32,10 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import few, written
 
-CONTEXT = 64
+#: Code points around an entity that are its context: more than a text has, so that each text is taken whole.
+CONTEXT = 1 << 31
+#: Matches of which the places are added up at once.
+PIECE = 256
 #: Bits taken off for a pair of one text: log2(10). The one-sided 90 % lower confidence bound of a term's share of texts
 #: with the entity is 0.1 ** (1 / n) if all its n texts hold it.
 DISCOUNT = 3.321928094887362
@@ -107,25 +113,34 @@ def _of_kind(text: Column, k: int, pattern: str, holds) -> Column:
                                                  F.lit(KINDS[k]).alias("kind"), s["value"].alias("value")))
 
 
-def _context_terms(text: Column, spans: Column) -> Column:
-    """Of each span: the terms of its context, those wholly within it and outside all spans."""
+def _terms(text: Column, spans: Column) -> Column:
+    """Array of (start, end, term) of the terms outside all spans, placed piece by piece: no long array is grown."""
+    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    gaps = F.split(text, TERM, -1)
+    place = "struct<start:long,end:long,term:string>"
+    none = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{place}>").alias("out"))
+    nothing = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<array<{place}>>").alias("out"))
 
-    def side(s: Column, begin: Column, end: Column) -> Column:
-        piece = F.substr(text, begin + 1, end - begin)
-        inside = F.filter(_matches(piece, TERM), lambda m: (
-            ((m["start"] > 0) | (begin == 0) | (begin == s["end"]))
-            & ((begin + m["end"] < end) | (end == F.char_length(text)) | (end == s["start"]))))
-        return F.transform(inside, lambda m: F.struct(
-            (begin + m["start"]).alias("start"), (begin + m["end"]).alias("end"), F.lower(m["value"]).alias("term")))
+    def put(begin: Column, end: Column, term: Column) -> Column:
+        return F.struct(begin.cast("long").alias("start"), end.cast("long").alias("end"), term.alias("term"))
 
-    def of(s: Column) -> Column:
-        before = side(s, F.greatest(F.lit(0).cast("long"), s["start"] - CONTEXT), s["start"])
-        after = side(s, s["end"], F.least(F.char_length(text).cast("long"), s["end"] + CONTEXT))
-        free = F.filter(F.concat(before, after), lambda t: ~F.exists(
-            spans, lambda o: (t["start"] < o["end"]) & (o["start"] < t["end"])))
-        return F.struct(F.concat_ws(":", s["kind"], F.lower(s["value"])).alias("entity"), free.alias("terms"))
+    def add(acc: Column, word: Column) -> Column:
+        begin = acc["at"] + word["gap"]
+        end = begin + F.char_length(word["value"])
+        return F.struct(end.cast("long").alias("at"), F.concat(acc["out"], F.array(put(begin, end, F.lower(word["value"])))).alias("out"))
 
-    return F.transform(spans, of)
+    def chain(acc: Column, piece: Column) -> Column:
+        moved = F.transform(piece["out"], lambda t: put(acc["at"] + t["start"], acc["at"] + t["end"], t["term"]))
+        return F.struct((acc["at"] + piece["at"]).alias("at"), F.concat(acc["out"], F.array(moved)).alias("out"))
+
+    def placed(words: Column) -> Column:
+        pieces = F.transform(F.sequence(F.lit(0), F.floor(F.size(words) / PIECE).cast("int")), lambda c: F.aggregate(
+            F.slice(words, c * PIECE + 1, F.lit(PIECE)), none, add))
+        return F.flatten(F.aggregate(pieces, nothing, chain, lambda acc: acc["out"]))
+
+    words = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, v: F.struct(F.char_length(g).alias("gap"), v.alias("value")))
+    return F.filter(F.transform(F.array(words), placed)[0], lambda t: ~F.exists(
+        spans, lambda o: (t["start"] < o["end"]) & (o["start"] < t["end"])))
 
 
 def find_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", discount: float = DISCOUNT,
@@ -140,32 +155,37 @@ def find_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", discou
     """
     body = F.coalesce(F.col(text), F.lit(""))
     docs = df.select(F.col(id_col).alias("id"), body.alias("text"), F.xxhash64(body).alias("th"))
+    entity = lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))
+    terms = F.when(F.size("base") > 0, _terms(F.col("text"), F.col("base")))
     found = written(docs.withColumn("base", base_spans(F.col("text"))).select(
-        "id", "th", "base", _context_terms(F.col("text"), F.col("base")).alias("contexts")), "entities")
+        "id", "th", "base", F.array_distinct(F.transform("base", entity)).alias("entities"), terms.alias("terms")), "entities")
 
     rows = found.count()
-    entities = found.select(F.explode(F.array_distinct(F.transform("contexts", lambda c: c["entity"]))).alias("entity")
-                            ).groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
-    near = found.filter(F.size("contexts") > 0).select("id", "th", F.explode("contexts").alias("c")).select(
-        "id", "th", "c.entity", F.explode("c.terms").alias("t")).select(
-        "id", "th", "entity", "t.term", "t.start", "t.end")
-    by_row = found.filter(F.size("contexts") > 0).select("th", F.explode(F.array_distinct(F.flatten(F.transform(
-        "contexts", lambda c: F.transform(c["terms"], lambda t: F.struct(c["entity"].alias("entity"), t["term"].alias("term"))))))).alias("p"))
-    by_text = by_row.groupBy("p.entity", "p.term", "th").agg(F.count(F.lit(1)).alias("n"))
-    pairs = written(by_text.groupBy("entity", "term").agg(F.sum("n").alias("df_pair"), F.count(F.lit(1)).alias("texts")), "pairs")
-
+    held = found.filter(F.size("base") > 0)
+    # An entity that all rows hold has no information to disclose.
+    entities = written(held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
+                       .filter(F.col("df_entity") < rows), "entity-counts")
+    most = rows ** (1 - generalise) * (entities.agg(F.max("df_entity")).first()[0] or 0) ** generalise
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
+    frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("df_term")).filter(F.col("df_term") <= most * (1 + 1e-9))
+    met = written(held.select("id", "th", "entities", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
+                  .join(frequency, "term"), "met")
+
+    by_text = met.select("th", "term", "df_term", F.explode("entities").alias("entity")).groupBy("entity", "term", "df_term", "th").agg(
+        F.count(F.lit(1)).alias("n"))
+    pairs = by_text.groupBy("entity", "term", "df_term").agg(F.sum("n").alias("df_pair"), F.count(F.lit(1)).alias("texts"))
     share = ((F.log2(F.col("df_pair") * F.lit(float(rows)) / (F.col("df_term") * F.col("df_entity"))) - discount / F.col("texts"))
              / F.log2(F.lit(float(rows)) / F.col("df_entity")))
-    # An entity that all rows hold has no information to disclose.
     disclosing = written(
-        pairs.join(frequency, "term").join(entities, "entity").filter(F.col("df_entity") < rows)
-        .withColumn("share", share).filter(F.col("share") >= generalise)
+        pairs.join(entities, "entity").withColumn("share", share).filter(F.col("share") >= generalise)
         .select("entity", "term", F.when(F.col("share") >= remove, 5).otherwise(4).alias("k")), "disclosing")
 
     kinds = F.array(*[F.lit(k) for k in KINDS])
-    hits = near.join(disclosing, ["entity", "term"]).groupBy("id", "th", "start", "end").agg(F.max("k").alias("k"))
+    told = met.select(F.col("id").alias("i"), F.col("th").alias("t"), "term", F.explode("entities").alias("entity")).join(
+        disclosing, ["entity", "term"]).groupBy("i", "t", F.col("term").alias("w")).agg(F.max("k").alias("k"))
+    near = held.select("id", "th", F.explode("terms").alias("p")).select("id", "th", "p.term", "p.start", "p.end")
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")) & (F.col("term") == F.col("w"))
+    hits = near.join(told, same).groupBy("id", "th", "start", "end").agg(F.max("k").alias("k"))
     added = hits.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(F.collect_list(F.struct(
         "start", "k", "end", kinds[F.col("k")].alias("kind"))).alias("added"))
     out = found.join(added, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")), "left")
