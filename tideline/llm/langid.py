@@ -85,11 +85,21 @@ def word_features(words: list[str]):
     return out, sizes
 
 
+def word_trigrams(words: list[str]):
+    """Trigrams of all words between spaces, as numbers, one word after the other, and how many each has."""
+    import numpy as np
+
+    n = np.fromiter(map(len, words), np.int64, len(words))
+    chars = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    at = np.repeat(np.cumsum(n + 1) - n, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return chars[at - 1] << np.uint64(42) | chars[at] << np.uint64(21) | chars[at + 1], n
+
+
 class Lexicon:
     """Numbers words as they come; starts afresh once it has grown to ``most`` words."""
 
     def __init__(self, most: int = CACHE):
-        self.most, self.of, self.scores = most, None, None
+        self.most, self.of, self.scores, self.margins = most, None, None, None
 
     def number(self, texts: list[list[str]]):
         import numpy as np
@@ -97,7 +107,7 @@ class Lexicon:
         from itertools import chain
 
         if self.of is None or len(self.of) > self.most:
-            self.of, self.scores = defaultdict(), None
+            self.of, self.scores, self.margins = defaultdict(), None, None
             self.of.default_factory = self.of.__len__
         return np.fromiter(map(self.of.__getitem__, chain.from_iterable(texts)), np.int64)
 
@@ -113,6 +123,23 @@ class Model:
     weights: object  # BUCKETS x labels
     start: object    # labels
     moves: object    # labels x labels
+    seen: object = None    # the trigrams of all training texts, sorted
+    missing: float = 0.5   # share of a language's trigrams that training has not seen
+    chance: float = 1.0    # the same if all trigrams of the training's letters were equally frequent
+
+    def margins(self, lexicon: Lexicon):
+        """Of all words of the lexicon: log odds of their trigrams in a learned language over letters at random."""
+        import numpy as np
+
+        done = 0 if lexicon.margins is None else len(lexicon.margins)
+        if done < len(lexicon.of):
+            trigrams, sizes = word_trigrams(lexicon.words(done))
+            known = in_sorted(trigrams, self.seen)
+            rest = max(1 - self.chance, 1e-9)
+            each = np.where(known, np.log((1 - self.missing) / rest), np.log(self.missing / self.chance))
+            new = np.add.reduceat(each, np.cumsum(sizes) - sizes)
+            lexicon.margins = np.concatenate((lexicon.margins, new)) if done else new
+        return lexicon.margins
 
     def emissions(self, lexicon: Lexicon):
         """Emission scores of all words of the lexicon, added to those it has kept."""
@@ -171,6 +198,43 @@ def forward_backward(emit, mask, start, moves, expected: bool = True):
     return (forward / (forward @ one)[:, :, None]).transpose(1, 0, 2), pairs
 
 
+def in_sorted(values, of):
+    """Which values are in the sorted array."""
+    import numpy as np
+
+    if not len(of):
+        return np.zeros(len(values), bool)
+    return of[np.minimum(np.searchsorted(of, values), len(of) - 1)] == values
+
+
+def learn_trigrams(model: Model, sample: list[tuple[str, str]]) -> None:
+    """The model's trigrams from all texts, and the share that is new in each language's every fifth text, kept back for that.
+
+    The language with most new ones counts. Without texts to keep back the
+    share is one half.
+    """
+    from collections import Counter
+
+    import numpy as np
+
+    nth, parts = Counter(), ([], [])
+    for text, lang in sample:
+        nth[lang] += 1
+        words = letter_words([text])[0]
+        if words:
+            parts[nth[lang] % 5 == 0].append((word_trigrams(words)[0], lang))
+    learned = np.unique(np.concatenate([np.zeros(0, np.uint64), *(t for t, _ in parts[0])]))
+    new, of = Counter(), Counter()
+    for trigrams, lang in parts[1]:
+        new[lang] += int((~in_sorted(trigrams, learned)).sum())
+        of[lang] += len(trigrams)
+    model.seen = np.union1d(learned, np.concatenate([np.zeros(0, np.uint64), *(t for t, _ in parts[1])]))
+    letters = len(np.unique(model.seen >> np.uint64(21) & np.uint64((1 << 21) - 1)))
+    # The letter in the middle and, on each side, a letter or the space.
+    model.chance = max(1 - len(model.seen) / max(letters * (letters + 1) ** 2, 1), 1e-9)
+    model.missing = min(max(((new[x] + 1) / (of[x] + 2) for x in of), default=0.5), model.chance)
+
+
 def train(sample: list[tuple[str, str]], epochs: int = 6, rate: float = 0.3, seed: int = 7) -> Model:
     """Fit weights and transitions by adaptive gradient steps on the chains' log-likelihood."""
     import numpy as np
@@ -187,6 +251,7 @@ def train(sample: list[tuple[str, str]], epochs: int = 6, rate: float = 0.3, see
         begin = np.cumsum(many) - many
     k = len(labels)
     model = Model(labels, np.zeros((BUCKETS, k)), np.zeros(k), np.zeros((k, k)))
+    learn_trigrams(model, sample)
     if not chains:
         return model
     size = {"weights": np.full((BUCKETS, k), 1e-6), "start": np.full(k, 1e-6), "moves": np.full((k, k), 1e-6)}
@@ -232,8 +297,11 @@ def train(sample: list[tuple[str, str]], epochs: int = 6, rate: float = 0.3, see
     return model
 
 
-def label_texts(model: Model, lexicon: Lexicon, texts: list[str]):
-    """Of each text: the label probabilities, weighted by letters (zeros without letters)."""
+def label_texts(model: Model, lexicon: Lexicon, texts: list[str], margins=None):
+    """Of each text: the label probabilities, weighted by letters (zeros without letters).
+
+    An array ``margins`` of zeros gets the sums of its words' margins.
+    """
     from itertools import chain
 
     import numpy as np
@@ -261,6 +329,8 @@ def label_texts(model: Model, lexicon: Lexicon, texts: list[str]):
     firsts = (np.cumsum(counts) - counts)[full]
     sums = np.add.reduceat(by_word, firsts, axis=0)
     out[full] = sums / sums.sum(axis=1, keepdims=True)
+    if margins is not None:
+        margins[full] = np.add.reduceat(model.margins(lexicon)[numbers], firsts)
     return out
 
 
@@ -289,15 +359,20 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "do
 
 
 def identify(df: DataFrame, model: Model, text: str = "text", pred: str = "lang_pred",
-             score: str = "score") -> DataFrame:
+             score: str = "score", margin: str | None = None) -> DataFrame:
     """``df`` and two columns: the predicted language and its probability.
 
+    ``margin`` names a third: the log odds that the text's trigrams are of a
+    learned language rather than letters at random, whatever the number of
+    languages. It is 0 for ``und``.
+
     A null text, one without letters, and any text if nothing was learned, is
     ``und`` with score 0. Ties go to the language first in code-point order.
     Repeated rows are labelled alike; an empty table gives an empty result;
     columns of ``df`` with the names of the outputs are replaced.
     """
-    df = without(df, [pred, score], keep=(text,))
+    more = [margin] if margin else []
+    df = without(df, [pred, score, *more], keep=(text,))
     where = df.columns.index(text)
 
     def labelled(batches):
@@ -313,13 +388,15 @@ def identify(df: DataFrame, model: Model, text: str = "text", pred: str = "lang_
                     texts.append(column[upto].as_py() or "")
                     held += len(texts[-1])
                     upto += 1
-                found = label_texts(model, lexicon, texts)
+                margins = np.zeros(len(texts)) if margin else None
+                found = label_texts(model, lexicon, texts, margins)
                 best = found.argmax(axis=1) if found.shape[1] else np.zeros(len(texts), int)
                 top = found.max(axis=1, initial=0.0)
                 names = [model.labels[i] if p > 0 else "und" for i, p in zip(best, top)]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(at, upto - at).columns, pa.array(names, pa.string()), pa.array(top, pa.float64())],
-                    names=[*batch.schema.names, pred, score])
+                    [*batch.slice(at, upto - at).columns, pa.array(names, pa.string()), pa.array(top, pa.float64()),
+                     *[pa.array(margins, pa.float64()) for _ in more]],
+                    names=[*batch.schema.names, pred, score, *more])
                 at = upto
 
-    return df.mapInArrow(labelled, with_fields(df.schema, **{pred: "string", score: "double"}))
+    return df.mapInArrow(labelled, with_fields(df.schema, **{pred: "string", score: "double"}, **dict.fromkeys(more, "double")))
