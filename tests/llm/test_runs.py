@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from tideline.llm.runs import find_runs, runs_of
+
+
+def brute(words, least=24, power=3):
+    """Every stretch by every period, compared word by word."""
+    n, out = len(words), []
+    for q in range(1, n // power + 1):
+        i = q
+        while i < n:
+            if words[i] != words[i - q]:
+                i += 1
+                continue
+            start = i - q
+            while i < n and words[i] == words[i - q]:
+                i += 1
+            if i - start >= max(least, power * q):
+                part = words[start:i]
+                if not any(part[p:] == part[:-p] for p in range(1, q)):
+                    out.append((start, i - start, q))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def numbered(words):
+    names = {}
+    return np.array([names.setdefault(w, len(names)) for w in words], np.int64)
+
+
+def cases():
+    rng = random.Random(11)
+    yield []
+    yield list("a" * 23)
+    yield list("a" * 24)
+    yield list("a" * 400)
+    yield list("ab" * 12 + "a")
+    yield list(("x" * 30 + "y") * 5)
+    yield list("abac" * 10 + "ab" * 20 + "abac" * 9)
+    for _ in range(400):
+        words = []
+        while len(words) < rng.randint(20, 260):
+            block = [rng.choice("abcd"[:rng.randint(1, 4)]) for _ in range(rng.choice([1, 2, 3, 5, 8, 15, 16, 17, 18, 31, 33, 40]))]
+            words += block * rng.randint(1, 12)
+            words = words[:len(words) - rng.randint(0, min(3, len(words)))]
+            if rng.random() < 0.3:
+                words += [str(rng.random())] * rng.randint(1, 2)
+        yield words
+
+
+def test_runs_equal_brute_force():
+    found = 0
+    for words in cases():
+        want = brute(words)
+        assert runs_of(numbered(words)) == want, words
+        found += len(want)
+    assert found > 500
+
+
+@pytest.mark.parametrize("least,power", [(1, 3), (7, 3), (24, 5), (9, 4), (40, 3)])
+def test_other_limits_equal_brute_force(least, power):
+    for words in list(cases())[:150]:
+        assert runs_of(numbered(words), least, power) == brute(words, least, power), words
+
+
+def test_one_word_many_times_is_fast():
+    assert runs_of(np.zeros(300_000, np.int64)) == [(0, 300_000, 1)]
+    block = np.concatenate([np.zeros(20_000, np.int64), [1]])
+    assert runs_of(np.tile(block, 4))[-1][2] == 1 and (0, 80_004, 20_001) in runs_of(np.tile(block, 4))
+
+
+def collapsed(words, runs):
+    return " ".join(w for i, w in enumerate(words) if not any(s + q <= i < s + n for s, n, q in runs))
+
+
+def test_edge_rows(spark):
+    loop = "one two  three\t" * 12
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, loop), (4, loop), (None, "x " * 50_000), (5, "é b " * 30), (6, "a " * 20)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = find_runs(df)
+    assert got.columns == ["id", "n_words", "runs", "collapsed"]
+    by = {}
+    for r in got.collect():
+        by.setdefault(r.id, []).append((r.n_words, [tuple(x) for x in r.runs], r.collapsed))
+    assert by[1] == by[2] == by[3] == [(0, [], "")]
+    assert by[4] == [(36, [(0, 36, 3)], "one two three")] * 2
+    assert by[None] == [(50_000, [(0, 50_000, 1)], "x")]
+    assert by[5] == [(30, [(0, 30, 1)], "é b")]
+    assert by[6] == [(20, [], " ".join("a" * 20))]
+    assert find_runs(df.limit(0)).collect() == []
+    clash = find_runs(df.selectExpr("id `a.b`", "'x' Runs", "text", "1 __x", "2 collapsed"))
+    assert clash.columns == ["a.b", "__x", "n_words", "runs", "collapsed"] and clash.count() == 8
+    with pytest.raises(ValueError):
+        find_runs(df, power=2)
+
+
+def planted(doc_id, words):
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[a + (i - a) % p] if i >= a else w for i, w in enumerate(words)]
+
+
+def test_query_against_brute_force(spark):
+    from conftest import SF001
+
+    from tideline.llm.queries import op12_runs
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
+    rows, some = op12_runs(spark, SF001).collect(), 0
+    assert len(rows) == len(texts)
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for r in rows:
+        words = planted(r.doc_id, re.findall(r"[^\x20\x09-\x0D]+", texts[r.doc_id]))
+        if len(words) > 4000 and not r.n_runs:
+            continue  # brute force takes long there; the query itself does not
+        runs = brute(words) if len(words) <= 4000 else runs_of(numbered(words))
+        best = min(runs, key=lambda x: (-Fraction(x[1], x[2]), x[0], x[2]), default=(None,) * 3)
+        assert (r.n_runs, r.start, r.length, r.period) == (len(runs), *best)
+        assert r.exponent_milli == (None if best[0] is None else 1000 * best[1] // best[2])
+        assert r.runs_sha256 == digest("".join(f"{s},{n},{q}\n" for s, n, q in runs))
+        assert r.collapsed_sha256 == digest(collapsed(words, runs))
+        some += len(runs)
+    assert some >= 10

@@ -70,3 +70,15 @@ def with_fields(schema: T.StructType, **fields: str) -> T.StructType:
     for name, kind in fields.items():
         out.add(name, kind)
     return out
+
+
+def arrow_map(df: DataFrame, kept: list[str], value: Column, function, **fields: str) -> DataFrame:
+    """Columns ``kept`` of ``df`` and new ones, given as name=type, by ``mapInArrow``.
+
+    ``function`` gets record batches whose last column is ``value`` and yields
+    batches with the new columns in its place. Names may hold any character.
+    """
+    plain = [f"__c{i}" for i in range(len(kept))]
+    rows = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, plain)], value.alias("__value"))
+    added = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in fields.items()))
+    return rows.mapInArrow(function, T.StructType([*rows.drop("__value").schema.fields, *added.fields])).toDF(*kept, *fields)

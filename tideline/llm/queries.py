@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, langid, toxicity
+from tideline.llm import chat, langid, pieces, runs, toxicity, vector_codes
 from tideline.llm.backoff_lm import score_corpus
-from tideline.llm.common import remainder, table, written
+from tideline.llm.common import few, remainder, table, written
 from tideline.llm.decontamination import contaminated
 from tideline.llm.merkle import edited_fingerprints
 from tideline.llm.mixing import mix, word_count
@@ -88,6 +88,37 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document by piece_bpe_32k.model, the bytes their spans cover, and the text decoded from them."""
+    model = "piece_bpe_32k.model"
+    coded = pieces.encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    covered = F.coalesce(F.try_element_at("ends", F.lit(-1)) - F.try_element_at("begins", F.lit(1)), F.lit(0)).cast("long")
+    told = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(pieces.listed(F.col("ids")), 256).alias("ids_sha256"),
+                        covered.alias("n_bytes"), "ids")
+    decoded = pieces.decode_pieces(told, model)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "n_bytes")
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, of which every tenth has one planted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.find_runs(runs.with_planted_runs(docs)).withColumn("best", runs.strongest(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(runs.listed(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every whole vector of ``embeddings``, its error and that of its label, and the codebooks' digest."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books = vector_codes.fit(vectors, "embedding", "vec_id")
+    coded = written(vector_codes.encode(vectors, books, "embedding"), "codes")
+    by_label = written(coded.groupBy(F.col("label").alias("__l")).agg(F.sum("error").alias("label_error")), "label-errors")
+    digest = F.sha2(F.lit(books.numbers()), 256).alias("codebooks_sha256")
+    return coded.join(few(by_label), F.col("label").eqNullSafe(F.col("__l"))).select("vec_id", "code", "error", "label_error", digest)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_lm_scoring": op2_lm_scoring,
@@ -99,6 +130,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
+    "op11_pieces": op11_pieces,
+    "op12_runs": op12_runs,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 #: DuckDB SQL of the queries that SQL can express at the tables' size.
