@@ -32,7 +32,7 @@ def made_up(n, seed=3):
 
 def test_ids_texts_and_spans_equal_the_library(model, library):
     for text in ["", " ", *made_up(500), "ab" * 30_000, "日本" * 5_000, "á" * 3_000]:
-        ids, begins, ends = model.encode(text)
+        ids, begins, ends = model.encode([text])[0]
         assert ids.tolist() == library.encode(text)
         assert model.decode(ids) == library.decode(ids.tolist())
         if not text:
@@ -50,7 +50,7 @@ def test_ids_texts_and_spans_equal_the_library(model, library):
 def test_spans_show_the_pieces(model):
     for text in made_up(200, 4):
         source = text.encode()
-        for i, a, b in zip(*model.encode(text)):
+        for i, a, b in zip(*model.encode([text])[0]):
             if i not in model.value:
                 assert source[a:b].decode().replace("▁", " ") == (model.shows[i] if a or source[:1] in b" \xe2" and b - a == len(model.shows[i])
                                                                  else model.shows[i][len(model.shows[i]) - len(source[a:b].decode()):])

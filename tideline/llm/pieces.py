@@ -11,8 +11,9 @@ original bytes: spans join without a gap, and the blank put in front of the
 text has none. A character without a piece becomes one piece for each byte.
 
 A merge crosses the place between two characters only if some piece holds the
-two side by side. Text is cut at all other places, first before blanks, and
-the pieces of a short part are kept for the next texts. A map over all texts: nothing is shuffled, and a task holds
+two side by side. Text is cut before blanks, where none does, and long parts at
+all such places. The pieces of a short part are kept for the next texts, and
+those of many new parts are found together, a join of each at a time. A map over all texts: nothing is shuffled, and a task holds
 some texts at a time and the pieces of at most ``MEMO`` parts.
 """
 
@@ -22,8 +23,10 @@ import heapq
 import os
 import re
 import struct
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from itertools import chain
+from operator import add
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -35,10 +38,13 @@ BLANK = "▁"
 _BLANK = BLANK.encode()
 #: Parts up to ``MEMO_CHARS`` characters are kept, at most ``MEMO`` of them.
 MEMO, MEMO_CHARS = 400_000, 48
+#: Parts whose pieces are found together.
+MERGED = 4096
 #: Characters of the texts that are turned into one record batch, but for a longer text by itself.
 BATCH_CHARS = 1 << 20
 # Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
+_NEVER = 1 << 30
 _PARTS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 
 
@@ -177,7 +183,7 @@ class Normaliser:
 
 
 class Pieces(dict):
-    """A byte-pair model; as a dict the pieces of parts seen, made when first asked for."""
+    """A byte-pair model; as a dict the ids of parts seen, packed as 32-bit numbers, made when first asked for."""
 
     def __init__(self, data: bytes):
         pieces, trainer, normaliser = [], {}, b""
@@ -201,6 +207,20 @@ class Pieces(dict):
             raise ValueError("a model with all byte pieces and blanks only in front of pieces is needed")
         #: Pairs of neighbouring characters within pieces: no merge crosses the place between any other two.
         self.inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        # Symbols are the pieces and the characters that they are made of; pairs of symbols that make a piece, sorted.
+        symbols = dict(self.ids)
+        for c in sorted({c for p in self.ids for c in p} - symbols.keys()):
+            symbols[c] = len(pieces) + len(symbols)
+        self.many = len(pieces) + len(symbols)
+        order = {x: i for i, x in enumerate(sorted(set(self.rank.values())))}
+        pairs = sorted((symbols[p[:i]] * self.many + symbols[p[i:]], order[self.rank[p]], self.ids[p])
+                       for p in self.ids for i in range(1, len(p)) if p[:i] in symbols and p[i:] in symbols)
+        table = np.array(pairs or [(-1, 0, 0)], np.int64).T
+        self.pair, self.pair_rank, self.pair_id = table[0].copy(), table[1].astype(np.int32), table[2].astype(np.int32)
+        self.of_point = np.full(0x110000, -1, np.int32)
+        for c, i in symbols.items():
+            if len(c) == 1:
+                self.of_point[ord(c)] = i
         value = {i: b for b, i in self.bytes.items()}
         unknown = trainer.get(44, " ⁇ ".encode()).decode()
         self.kinds = np.array([k for *_, k in pieces], np.int8)
@@ -214,30 +234,15 @@ class Pieces(dict):
         self.size = np.array([1 if k == BYTE else len(p.encode()) for p, _, k in pieces], np.int64)
         self.source_size = self.size - 2 * np.array([p.count(BLANK) if k == NORMAL else 0 for p, _, k in pieces])
 
-    def merged(self, part: str) -> list[int]:
-        """Ids of a part: the pair of the best score is joined first, of equal ones the leftmost."""
-        symbols = self._joined_short(part) if len(part) <= MEMO_CHARS else self._joined_long(part)
-        out = []
+    def _packed(self, symbols: list[str]) -> bytes:
+        out = array("i")
         for s in symbols:
             found = self.ids.get(s)
-            out += [found] if found is not None else [self.bytes[b] for b in s.encode()]
-        return out
+            out.extend([found] if found is not None else [self.bytes[b] for b in s.encode()])
+        return out.tobytes()
 
-    def _joined_short(self, part: str) -> list[str]:
-        symbols, rank = list(part), self.rank.get
-        never = float("inf")
-        ranks = [rank(a + b, never) for a, b in zip(symbols, symbols[1:])]
-        while ranks and (best := min(ranks)) < never:
-            i = ranks.index(best)
-            symbols[i] = joined = symbols[i] + symbols.pop(i + 1)
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = rank(joined + symbols[i + 1], never)
-            if i:
-                ranks[i - 1] = rank(symbols[i - 1] + joined, never)
-        return symbols
-
-    def _joined_long(self, part: str) -> list[str]:
+    def merged(self, part: str) -> bytes:
+        """Ids of a part, packed: the pair of the best score is joined first, of equal ones the leftmost."""
         symbols: list[str | None] = list(part)
         n, rank = len(symbols), self.rank
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -256,29 +261,86 @@ class Pieces(dict):
                     heapq.heappush(heap, (rank[p], i, p))
             if (h := before[i]) >= 0 and (p := symbols[h] + pair) in rank:
                 heapq.heappush(heap, (rank[p], h, p))
-        return [s for s in symbols if s is not None]
+        return self._packed([s for s in symbols if s is not None])
+
+    def _looked_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, id) of the pieces that pairs of symbols make; the rank is ``_NEVER`` for those that make none."""
+        key = np.where((left < 0) | (right < 0), -2, left.astype(np.int64) * self.many + right)
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        hit = self.pair[at] == key
+        return np.where(hit, self.pair_rank[at], _NEVER), self.pair_id[at]
+
+    def merged_many(self, parts: list[str]) -> list[bytes]:
+        """``merged`` of short parts of similar length, one join of every part at a time."""
+        sizes = np.array([len(p) for p in parts])
+        width, n = int(sizes.max()) + 1, len(parts)
+        column = np.arange(width, dtype=np.int32)
+        table = np.full((n, width), -1, np.int32)  # symbols; -1: none, or past the end
+        table[column < sizes[:, None]] = self.of_point[np.frombuffer("".join(parts).encode("utf-32-le"), np.int32)]
+        begins = np.broadcast_to(column, (n, width)).copy()  # where a symbol begins in its part
+        rank, made = self._looked_up(table[:, :-1], table[:, 1:])
+        live = np.arange(n)
+        while len(live):
+            best = rank[live].argmin(1)
+            go = rank[live, best] < _NEVER
+            live, best = live[go], best[go]
+            table[live, best] = made[live, best]
+            # What stands behind the joined pair moves up by one.
+            moved = column[:-1] + (column[:-1] >= best[:, None] + 1)
+            for grid in (table, begins):
+                grid[live, :-1] = np.take_along_axis(grid[live], moved, 1)
+                grid[live, -1] = -1
+            moved = np.minimum(moved, width - 2)
+            rank[live], made[live] = np.take_along_axis(rank[live], moved, 1), np.take_along_axis(made[live], moved, 1)
+            rank[live, -1] = _NEVER
+            sizes[live] -= 1
+            for at in (best - 1, best):
+                some, place = live[at >= 0], at[at >= 0]
+                inner = place < width - 1
+                some, place = some[inner], place[inner]
+                rank[some, place], made[some, place] = self._looked_up(table[some, place], table[some, place + 1])
+        held = column < sizes[:, None]
+        bare = (held & ((table < 0) | (table >= len(self.kinds)))).any(1)  # parts with a character that is no piece
+        flat, ends = table[held].tobytes(), np.cumsum(sizes) * 4
+        out = [flat[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        for i in np.flatnonzero(bare).tolist():
+            cut = [*begins[i, :sizes[i]].tolist(), len(parts[i])]
+            out[i] = self._packed([parts[i][a:b] for a, b in zip(cut, cut[1:])])
+        return out
 
-    def __missing__(self, part: str) -> list[int]:
+    def _cut(self, part: str) -> list[str]:
+        """Sub-parts between which no merge is possible."""
         inside = self.inside
-        cuts = [i for i in range(1, len(part)) if part[i - 1:i + 1] not in inside]
-        found = (list(chain.from_iterable(self[part[a:b]] for a, b in zip([0, *cuts], [*cuts, len(part)]))) if cuts
-                 else self.merged(part))
-        if len(part) <= MEMO_CHARS:
-            if len(self) >= MEMO:
-                self.clear()
-            self[part] = found
-        return found
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, and where each piece begins and ends in the UTF-8 bytes of ``text``."""
-        plain = self.normaliser.plain(text)
-        norm, origin = (plain, None) if plain is not None else self.normaliser.aligned(text)
-        ids = np.fromiter(chain.from_iterable(map(self.__getitem__, _PARTS.findall(norm))), np.int32)
-        if origin is None:  # a blank is one byte of the source; the one put in front is none
+        cuts = [i for i, pair in enumerate(map(add, part, part[1:]), 1) if pair not in inside]
+        return [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)])] if cuts else [part]
+
+    def learn(self, parts: Iterable[str]) -> None:
+        """Keep the ids of short parts, found together."""
+        if len(self) > MEMO:
+            self.clear()
+        new = sorted({p for p in parts if p not in self and len(p) <= MEMO_CHARS}, key=len)
+        for at in range(0, len(new), MERGED):
+            some = new[at:at + MERGED]
+            self.update(zip(some, self.merged_many(some)))
+
+    def __missing__(self, part: str) -> bytes:
+        cut = self._cut(part)
+        return b"".join(map(self.__getitem__, cut)) if len(cut) > 1 else self.merged(part)
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text the ids, and where each piece begins and ends in the text's UTF-8 bytes."""
+        plain = [self.normaliser.plain(t) for t in texts]
+        origins = [None if p is not None else self.normaliser.aligned(t) for t, p in zip(texts, plain)]
+        parts = [_PARTS.findall(p if o is None else o[0]) for p, o in zip(plain, origins)]
+        self.learn(chain.from_iterable(parts))
+        return [self._spans(np.frombuffer(b"".join(map(self.__getitem__, ps)), np.int32), o) for ps, o in zip(parts, origins)]
+
+    def _spans(self, ids: np.ndarray, aligned: tuple[str, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if aligned is None:  # a blank is one byte of the source; the one put in front is none
             ends = np.cumsum(self.source_size[ids]) - (1 if self.normaliser.prefix else 0)
             return ids, np.concatenate([[0], ends[:-1]])[:len(ids)], ends
         ends = np.cumsum(self.size[ids])
-        return ids, origin[np.concatenate([[0], ends[:-1]])[:len(ids)]], origin[ends]
+        return ids, aligned[1][np.concatenate([[0], ends[:-1]])[:len(ids)]], aligned[1][ends]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ``ids``: blanks for their sign, without that of the front; a byte that ends no character is U+FFFD."""
@@ -358,7 +420,7 @@ def encode_pieces(df: DataFrame, model_path: str, text: str = "text") -> DataFra
         for batch in batches:
             at, others = 0, batch.columns[:-1]
             for texts in _some(batch.column(batch.num_columns - 1)):
-                found = [model.encode(t) for t in texts]
+                found = model.encode(texts)
                 offsets = pa.array(np.cumsum([0, *[len(f[0]) for f in found]]), pa.int32())
                 arrays = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x).astype(np.int32))) for x in zip(*found)]
                 yield pa.RecordBatch.from_arrays([*[c.slice(at, len(texts)) for c in others], *arrays],
