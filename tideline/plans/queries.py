@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from tideline.functions.scalar import from_json_record, plus_one, to_json_record
 from tideline.operators.dedup import dedup_expiring, keep_first, split_duplicates
 from tideline.operators.signals import price_signals, with_previous
+from tideline.operators import partials
 from tideline.operators.watermark import mark_late, system_lag_watermark, to_ms, watermark_trace
-from tideline.operators.windows import sessionize, sliding, tumbling
+from tideline.operators.windows import session_intervals, session_intervals_native, sliding_panes, tumbling
 from tideline.operators.wordcount import word_counts, word_counts_sql
 from tideline.sources.tables import documents, events, table
 
@@ -58,6 +59,21 @@ def _avg6(col: str):
     return F.round(F.avg(F.col(col).cast("decimal(38,8)")), 6).cast("double")
 
 
+def _divided(total, n):
+    """Decimal quotient at 18 places, rounded half-up to 12 as Spark's decimal AVG does."""
+    return F.round(total.cast("decimal(28,8)") / n.cast("decimal(10,0)"), 12)
+
+
+def _mean6(col: str, name: str) -> partials.Agg:
+    """``_avg6`` in two steps."""
+    return partials.mapped(partials.mean(F.col(col).cast("decimal(38,8)"), name, _divided), lambda c: F.round(c, 6).cast("double"))
+
+
+def _total6(col: str, name: str) -> partials.Agg:
+    """``_sum6`` in two steps."""
+    return partials.mapped(partials.total(F.col(col).cast("decimal(28,8)"), name), lambda c: F.round(c, 6).cast("double"))
+
+
 def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items in the order in which they ship, each with its order's date as event time."""
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
@@ -129,23 +145,19 @@ def q_tumbling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_sliding_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
-    return sliding(ev, ["event_type"], "ts", EVENTS_SLIDE_SIZE, EVENTS_SLIDE_STEP,
-                   [F.count(F.lit(1)).alias("n"), _avg6("value").alias("avg_value")])
+    return sliding_panes(ev, ["event_type"], "ts", EVENTS_SLIDE_SIZE, EVENTS_SLIDE_STEP,
+                         [partials.count("n"), _mean6("value", "avg_value")])
 
 
 def q_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
-    return sessionize(ev, ["user_id"], "ts", EVENTS_SESSION_GAP,
-                      [F.count(F.lit(1)).alias("n"), _sum6("value").alias("total_value")],
-                      tie="event_id")
+    return session_intervals(ev, ["user_id"], "ts", EVENTS_SESSION_GAP, [partials.count("n"), _total6("value", "total_value")])
 
 
 def q_session_native(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same sessions through Spark's ``session_window`` (the form streaming uses)."""
-    from tideline.operators.windows import session_window_native
+    """The same sessions through Spark's ``session_window`` (the form streaming uses), over intervals."""
     ev = events(spark, sf_dir)
-    return session_window_native(ev, ["user_id"], "ts", EVENTS_SESSION_GAP,
-                                 [F.count(F.lit(1)).alias("n"), _sum6("value").alias("total_value")])
+    return session_intervals_native(ev, ["user_id"], "ts", EVENTS_SESSION_GAP, [partials.count("n"), _total6("value", "total_value")])
 
 
 def dynamic_gap_us():
@@ -161,9 +173,7 @@ def dynamic_gap_us():
 def q_session_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions whose gap depends on the row (custom windowing)."""
     ev = events(spark, sf_dir)
-    return sessionize(ev, ["user_id"], "ts", dynamic_gap_us(),
-                      [F.count(F.lit(1)).alias("n"), _sum6("value").alias("total_value")],
-                      tie="event_id")
+    return session_intervals(ev, ["user_id"], "ts", dynamic_gap_us(), [partials.count("n"), _total6("value", "total_value")])
 
 
 # --- dedup (T1-T3) ----------------------------------------------------------------
