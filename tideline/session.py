@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Streaming session windows merge the sessions of a map partition before the shuffle.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     # transformWithState needs the RocksDB state store.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -102,8 +104,8 @@ def _pickle_worker_code_by_value() -> None:
     import importlib
 
     from pyspark import cloudpickle
-    for name in ("tideline.functions.udtf", "tideline.streaming.signals",
-                 "tideline.streaming.dedup"):
+    for name in ("tideline.functions.udtf", "tideline.streaming.state", "tideline.streaming.signals",
+                 "tideline.streaming.dedup", "tideline.streaming.changelog"):
         cloudpickle.register_pickle_by_value(importlib.import_module(name))
 
 

@@ -10,13 +10,20 @@
 Rows of one micro-batch arrive in the order of the ``order`` column, and
 batches one after the other, so "first" does not depend on how files or
 partitions happen to be read.
+
+Keys are dealt to ``key_groups`` groups, and a group's exact keys are read
+once and written once a batch, as blocks (see ``streaming.state``).
+``key_groups`` bounds the parallelism and belongs to the checkpoint: choose it
+for the cluster, at some thousands of keys a group, before the first start.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,52 +31,61 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.functions.time import duration_us
 from tideline.session import ship_package
+from tideline.streaming.state import Levels
+
+KEY_GROUPS = 64
+_KEYS = pa.schema([("k", pa.string())])
 
-# Keys are dealt to this many groups: one Python call handles the rows of a group, and each key has its own state entry.
-KEY_GROUPS = 256
+
+def _firsts(rows: Iterator[pd.DataFrame], order: str) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
+    """(earliest row of each key so far, rows that later or earlier ones outdo) after each chunk."""
+    held = None
+    for pdf in rows:
+        both = pdf if held is None else pd.concat([held, pdf])
+        both = both.sort_values(order, kind="stable")
+        repeated = both.duplicated("tideline_key")
+        held = both[~repeated]
+        yield held, both[repeated]
 
 
 class TagDuplicatesProcessor(StatefulProcessor):
-    """Pass every row through with ``is_duplicate``; one entry of state per key.
+    """Pass every row through with ``is_duplicate``.
 
     The rows of a group come in chunks. Of each key only the earliest row so
     far is held back; all others stream through.
     """
 
-    def __init__(self, keys: list[str], order: str, columns: list[str]):
-        self.keys, self.order, self.columns = list(keys), order, list(columns)
+    def __init__(self, order: str, columns: list[str]):
+        self.order, self.columns = order, list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "key string", "seen boolean")
+        self.seen = Levels(handle, "seen", _KEYS)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         held = None
-        for pdf in rows:
-            both = pdf if held is None else pd.concat([held, pdf])
-            both = both.sort_values(self.order, kind="stable")
-            repeated = both.duplicated("tideline_key")
-            held = both[~repeated]
-            if repeated.any():
-                yield both.loc[repeated, self.columns].assign(is_duplicate=True)
+        for held, rest in _firsts(rows, self.order):
+            if len(rest):
+                yield rest[self.columns].assign(is_duplicate=True)
         if held is not None and len(held):
-            known = [self.seen.containsKey((k,)) for k in held["tideline_key"]]
-            for k, old in zip(held["tideline_key"], known):
-                if not old:
-                    self.seen.updateValue((k,), (True,))
+            known = held["tideline_key"].isin(self.seen.read()["k"])
+            self.seen.add(pd.DataFrame({"k": held.loc[~known, "tideline_key"]}))
             yield held[self.columns].assign(is_duplicate=known)
 
     def close(self) -> None:
         pass
 
 
+def _by_group(df: DataFrame, keys: list[str], key_groups: int):
+    ship_package(df.sparkSession)
+    keyed = df.withColumn("tideline_key", F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"}))
+    return keyed.withColumn("tideline_group", F.pmod(F.xxhash64("tideline_key"), F.lit(key_groups))).groupBy("tideline_group")
+
+
 def stream_tag_duplicates(df: DataFrame, keys: list[str], order: str, key_groups: int = KEY_GROUPS) -> DataFrame:
     """All rows plus ``is_duplicate`` (false for the first row of each key by ``order``)."""
-    ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField("is_duplicate", T.BooleanType())])
-    keyed = df.withColumn("tideline_key", F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"}))
-    grouped = keyed.withColumn("tideline_group", F.pmod(F.xxhash64("tideline_key"), F.lit(key_groups)))
-    return grouped.groupBy("tideline_group").transformWithStateInPandas(
-        statefulProcessor=TagDuplicatesProcessor(keys, order, df.columns), outputStructType=schema,
+    return _by_group(df, keys, key_groups).transformWithStateInPandas(
+        statefulProcessor=TagDuplicatesProcessor(order, df.columns), outputStructType=schema,
         outputMode="Append", timeMode="None")
 
 
@@ -79,53 +95,77 @@ def stream_keep_first(df: DataFrame, keys: list[str], order: str, key_groups: in
 
 
 class ExpiringDedupProcessor(StatefulProcessor):
-    """Reference semantics of the dedup with state clean-up.
+    """Reference semantics of the dedup with state clean-up, for a group of keys.
 
     Every arrival registers a processing-time timer at ``now + ttl``; timers
     are never deleted by later arrivals; whichever fires first clears the
     key. Timers already due when new rows come in are applied first, so a
     timer at the same instant as an arrival counts before it.
+
+    All rows of a batch arrive at one instant, so their timers are one entry
+    of a map from instants to the keys that arrived; one timer of the group
+    stands for them. Entries due are applied at once. The live keys are one
+    set, which holds no key that is past its timers.
     """
 
-    def __init__(self, order: str, ttl_ms: int):
-        self.order, self.ttl_ms = order, ttl_ms
+    def __init__(self, order: str, ttl_ms: int, columns: list[str]):
+        self.order, self.ttl_ms, self.columns = order, ttl_ms, list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "seen boolean")
+        self.live = handle.getValueState("live", "keys binary")
+        self.arrived = handle.getMapState("arrived", "at long", "keys binary")
+
+    def _live(self) -> set[str]:
+        return pickle.loads(bytes(self.live.get()[0])) if self.live.exists() else set()
+
+    def _expire(self, live: set[str], due: list[int]) -> None:
+        for at in due:
+            held = self.arrived.getValue((at,))
+            if held is not None:
+                live -= pickle.loads(bytes(held[0]))
+                self.arrived.removeKey((at,))
+
+    def _keep(self, live: set[str]) -> None:
+        if live:
+            self.live.update((pickle.dumps(live, 5),))
+        else:
+            self.live.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
+        live, held = self._live(), None
         due = [t for t in self.handle.listTimers() if t <= now]
-        if due:
-            for t in due:
-                self.handle.deleteTimer(t)
-            self.seen.clear()
-        best = None
-        for pdf in rows:  # keep only the earliest row; chunks are not gathered
-            if pdf.empty:
-                continue
-            cand = pdf.sort_values(self.order, kind="stable").head(1)
-            if best is None or cand[self.order].iloc[0] < best[self.order].iloc[0]:
-                best = cand
-        self.handle.registerTimer(now + self.ttl_ms)
-        if best is None or self.seen.exists():
-            return
-        self.seen.update((True,))
-        yield best
+        self._expire(live, due)
+        for t in due:
+            self.handle.deleteTimer(t)
+        for held, _ in _firsts(rows, self.order):
+            pass
+        if held is not None and len(held):
+            keys = set(held["tideline_key"])
+            before = self.arrived.getValue((now + self.ttl_ms,))
+            timers = keys | pickle.loads(bytes(before[0])) if before is not None else keys
+            self.arrived.updateValue((now + self.ttl_ms,), (pickle.dumps(timers, 5),))
+            self.handle.registerTimer(now + self.ttl_ms)
+            new = held[~held["tideline_key"].isin(live)]
+            live |= keys
+            if len(new):
+                yield new[self.columns]
+        self._keep(live)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
+        live = self._live()
+        self._expire(live, [expiredTimerInfo.getExpiryTimeInMs()])
+        self._keep(live)
         return iter([])
 
     def close(self) -> None:
         pass
 
 
-def stream_dedup_expiring(df: DataFrame, keys: list[str], order: str, ttl="10 minutes") -> DataFrame:
+def stream_dedup_expiring(df: DataFrame, keys: list[str], order: str, ttl="10 minutes",
+                          key_groups: int = KEY_GROUPS) -> DataFrame:
     """Rows emitted by the expiring dedup; needs a processing-time trigger."""
-    ship_package(df.sparkSession)
-    schema = T.StructType(df.schema.fields)
-    return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=ExpiringDedupProcessor(order, duration_us(ttl) // 1000),
-        outputStructType=schema, outputMode="Append", timeMode="ProcessingTime")
+    return _by_group(df, keys, key_groups).transformWithStateInPandas(
+        statefulProcessor=ExpiringDedupProcessor(order, duration_us(ttl) // 1000, df.columns),
+        outputStructType=T.StructType(df.schema.fields), outputMode="Append", timeMode="ProcessingTime")

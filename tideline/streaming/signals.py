@@ -9,13 +9,17 @@ engine drops them, or kept in the output on request. Rows without key or time
 have no place in the order; ``split_valid`` sends them elsewhere and counts
 them.
 
-Two engines share one vectorized step: ``'group_state'``
-(``applyInPandasWithState``), whose state moves with the batch, and
-``'state_v2'`` (``transformWithStateInPandas``). Both take the rows of a group
-of keys at once (``key_groups`` groups), as one sort and one shift. A group's
-state is one last row per key and the rows not yet passed by the watermark.
-It is rewritten when the group has rows, so groups should grow in number
-with the keys: some thousands of keys each.
+Two engines share one vectorized step, which takes the rows of a group of keys
+at once (``key_groups`` groups), as one sort and one shift. State is the last
+row of each key and the rows not yet passed by the watermark.
+
+* ``'state_v2'`` (``transformWithStateInPandas``) keeps the last rows in
+  levelled blocks (see ``streaming.state``): a batch writes the rows of its own
+  keys and those that wait, however many idle keys there are.
+* ``'group_state'`` (``applyInPandasWithState``) moves a group's whole state
+  with each batch that has rows for it: for few keys.
+
+``key_groups`` bounds the parallelism and belongs to the checkpoint.
 
 Values cross into Python as strings, which keeps nulls, NaN and every digit.
 """
@@ -25,6 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -32,9 +37,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tideline.functions.scalar import BUY_BELOW, SELL_ABOVE, signal
 from tideline.functions.time import as_event_time
 from tideline.session import ship_package
+from tideline.streaming.state import Levels, packed, unpacked
 
-KEY_GROUPS = 256
+KEY_GROUPS = 64
 _FIELDS = ["k", "t_us", "tie", "v"]
+_ROWS = pa.schema([("k", pa.string()), ("t_us", pa.int64()), ("tie", pa.int64()), ("v", pa.string())])
 _STATE = ", ".join(f"{part}_k array<string>, {part}_t array<long>, {part}_i array<long>, {part}_v array<string>"
                    for part in ("last", "wait"))
 _OUT = "k string, t_us long, tie long, v string, prev string, late boolean"
@@ -57,7 +64,7 @@ def _frame(columns: list[list]) -> pd.DataFrame:
 
 
 def lag_step(fresh: list[pd.DataFrame], last: pd.DataFrame, wait: pd.DataFrame, wm_ms: int):
-    """One micro-batch of a group: (output rows, last rows, waiting rows).
+    """One micro-batch of a group: (output rows, new last rows of the keys emitted, waiting rows).
 
     ``last`` holds the last emitted row of each key, ``wait`` those behind
     which the watermark still is.
@@ -74,8 +81,7 @@ def lag_step(fresh: list[pd.DataFrame], last: pd.DataFrame, wait: pd.DataFrame,
     known = dict(zip(last["k"], last["v"]))
     prev = before.astype(object).where(~first, ready["k"].map(known))
     out = ready.assign(prev=prev.astype(object).where(prev.notna(), None), late=False)
-    last = pd.concat([last, ready], ignore_index=True).drop_duplicates("k", keep="last")
-    return pd.concat([out, late], ignore_index=True) if len(late) else out, last, wait
+    return (pd.concat([out, late], ignore_index=True) if len(late) else out), ready.drop_duplicates("k", keep="last"), wait
 
 
 class EventTimeLagProcessor(StatefulProcessor):
@@ -83,17 +89,20 @@ class EventTimeLagProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("rows", _STATE)
+        self.last = Levels(handle, "last", _ROWS)
+        self.wait = handle.getValueState("wait", "rows binary")
 
     def _step(self, fresh: list[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.state.get() if self.state.exists() else None
-        parts = [list(x or []) for x in held] if held else [[] for _ in range(8)]
-        out, last, wait = lag_step(fresh, _frame(parts[:4]), _frame(parts[4:]), timerValues.getCurrentWatermarkInMs())
-        self.state.update(tuple(x[c].tolist() for x in (last, wait) for c in _FIELDS))
+        wait = unpacked(bytes(self.wait.get()[0]), _ROWS) if self.wait.exists() else _frame([[], [], [], []])
+        out, last, wait = lag_step(fresh, self.last.read(), wait, timerValues.getCurrentWatermarkInMs())
+        self.last.add(last)
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
         if len(wait):
+            self.wait.update((packed(wait, _ROWS),))
             self.handle.registerTimer(int(wait["t_us"].min()) // 1000)
+        else:
+            self.wait.clear()
         if len(out):
             yield out
 
@@ -109,7 +118,8 @@ class EventTimeLagProcessor(StatefulProcessor):
 
 def _group_state_step(key, pdfs, state):
     parts = [list(x) for x in state.get] if state.exists else [[] for _ in range(8)]
-    out, last, wait = lag_step(list(pdfs), _frame(parts[:4]), _frame(parts[4:]), state.getCurrentWatermarkMs())
+    out, new, wait = lag_step(list(pdfs), _frame(parts[:4]), _frame(parts[4:]), state.getCurrentWatermarkMs())
+    last = pd.concat([_frame(parts[:4]), new], ignore_index=True).drop_duplicates("k", keep="last")
     state.update(tuple(x[c].tolist() for x in (last, wait) for c in _FIELDS))
     if len(wait):
         state.setTimeoutTimestamp(int(wait["t_us"].min()) // 1000)
@@ -118,14 +128,16 @@ def _group_state_step(key, pdfs, state):
 
 
 def stream_with_previous(df: DataFrame, key: str, value: str, time: str, tie: str | None = None,
-                         delay: str = "5 seconds", engine: str = "group_state", emit_late: bool = False,
+                         delay: str = "5 seconds", engine: str = "state_v2", emit_late: bool = False,
                          key_groups: int = KEY_GROUPS) -> DataFrame:
     """Streaming ``LAG(value) OVER (PARTITION BY key ORDER BY time)``.
 
     Output ``(key, time, tie, value, prev)``; ``time`` becomes TIMESTAMP. Rows
-    without key or time are left out. Late rows are left out too, and counted
-    as the observed metric ``lag``; with ``emit_late`` they are kept, marked by
-    a column ``late``.
+    without key or time are left out. Late rows are left out too. Those behind
+    the watermark of the batch before do not reach the operator; Spark counts
+    them (``watermark.dropped_by_watermark``). The others are counted as the
+    observed metric ``lag``; with ``emit_late`` they are kept, marked by a
+    column ``late``.
     """
     ship_package(df.sparkSession)
     ev = as_event_time(df, time)
@@ -151,7 +163,7 @@ def stream_with_previous(df: DataFrame, key: str, value: str, time: str, tie: st
 
 def stream_price_signals(df: DataFrame, key: str, price: str, time: str, tie: str | None = None,
                          delay: str = "5 seconds", low: float = BUY_BELOW,
-                         high: float = SELL_ABOVE, engine: str = "group_state",
+                         high: float = SELL_ABOVE, engine: str = "state_v2",
                          key_groups: int = KEY_GROUPS) -> DataFrame:
     """The BUY/SELL job on a stream: ``(key, signal, price, time)``."""
     lagged = stream_with_previous(df, key, price, time, tie, delay, engine, key_groups=key_groups)
