@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tideline.functions.scalar import ISO_8601_MS, to_json_record
+from tideline.functions.time import duration_us, epoch_us
 from tideline.session import checkpoint_location
 
 
@@ -117,6 +119,72 @@ def two_sinks(flag: str, write_main: Callable[[DataFrame, int], None],
     return run
 
 
+_COMMIT = "main_rows long, side_rows long, latest_us long, epoch long"
+
+
+def _write_jointly(batch: DataFrame, flag: str, epoch_id: int, root: str, main: str, side: str, latest: Column) -> None:
+    batch.persist()
+    try:
+        for name, rows in ((main, batch.filter(~F.col(flag))), (side, batch.filter(F.col(flag)))):
+            rows.drop(flag).write.mode("overwrite").parquet(f"{root}/{name}/epoch={epoch_id}")
+        commit = batch.agg(F.count(F.when(~F.col(flag), 1)).alias("main_rows"), F.count(F.when(F.col(flag), 1)).alias("side_rows"),
+                           F.max(latest).cast("long").alias("latest_us"))
+        commit.coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/epoch={epoch_id}")
+    finally:
+        batch.unpersist()
+
+
+def joint_sinks(flag: str, root: str, main: str = "main", side: str = "side") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body that commits both outputs of an operator together.
+
+    Each output of a micro-batch is written to a folder of its epoch, and a
+    commit of the epoch last. ``read_committed`` shows epochs that have one. A
+    batch that fails between the writes is shown by neither output; when it
+    runs again, with the same epoch and rows, it replaces what it left.
+    """
+    root = root.rstrip("/")
+    return lambda batch, epoch_id: _write_jointly(batch, flag, epoch_id, root, main, side, F.lit(None))
+
+
+def late_sinks(root: str, time: str, size, delay="5 seconds", main: str = "on_time", side: str = "late") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body that parts the rows of a windowed job: those in time, and those whose window had closed.
+
+    The watermark of a batch is the largest time of all batches before it, as
+    their commits tell, less ``delay``; a row is late when its tumbling window
+    of ``size`` ended at or before it. So a restart goes on with the same
+    watermark, and a batch that runs again decides as before. Rows without a
+    time are in no window and not late. Both outputs are committed together,
+    with their numbers of rows (``committed_epochs``); no row is dropped.
+    """
+    root, size_us, delay_us = root.rstrip("/"), duration_us(size), duration_us(delay)
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        epochs = committed_epochs(batch.sparkSession, root)
+        latest = epochs.filter(F.col("epoch") < epoch_id).agg(F.max("latest_us")).first()[0] if epochs is not None else None
+        at = epoch_us(batch, time)
+        ended = at - F.pmod(at, F.lit(size_us)) + F.lit(size_us)
+        late = F.lit(False) if latest is None else F.coalesce(ended <= F.lit(latest - delay_us), F.lit(False))
+        _write_jointly(batch.withColumn("__late", late), "__late", epoch_id, root, main, side, at)
+    return run
+
+
+def committed_epochs(spark: SparkSession, root: str) -> DataFrame | None:
+    """(epoch, main_rows, side_rows, latest_us) of each committed epoch; None before the first."""
+    try:
+        return spark.read.schema(_COMMIT).parquet(f"{root.rstrip('/')}/commits")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_committed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The rows of one output of ``joint_sinks`` or ``late_sinks`` and their ``epoch``, of committed epochs only."""
+    rows, epochs = spark.read.parquet(f"{root.rstrip('/')}/{name}"), committed_epochs(spark, root)
+    rows = rows.withColumn("epoch", F.col("epoch").cast("long"))
+    return rows.filter(F.lit(False)) if epochs is None else rows.join(epochs.select("epoch"), "epoch", "left_semi").select(*rows.columns)
+
+
 def parquet_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """Append each micro-batch to a parquet folder (one sub-folder per epoch, so retries overwrite)."""
     def write(batch: DataFrame, epoch_id: int) -> None:
