@@ -34,17 +34,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows of a few short columns that may be sent to every executor.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a table that may be sent to every executor.
+BROADCAST_BYTES = 32 << 20
 
 
-def few(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """A written table, marked for broadcast if it is small: ``rows`` (or as many as it has) up to ``BROADCAST_ROWS``.
+def _held(kind: T.DataType, value: Column) -> Column:
+    """Bytes that a value takes, about: its own for texts and arrays, 16 for others."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return 16 + F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType)):
+            return 16 + F.coalesce(F.aggregate(value, F.lit(0), lambda n, x: n + _held(kind.elementType, x).cast("int")), F.lit(0))
+        return 16 + 64 * F.greatest(F.size(value), F.lit(0))
+    return F.lit(16)
+
+
+def few(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if its rows take at most ``BROADCAST_BYTES``, read and added up.
 
     Otherwise Spark shuffles both sides. For joins whose other side is long texts.
     """
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+    size = sum((_held(f.dataType, F.col(f"`{f.name}`")) for f in df.schema.fields), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def remainder(key: str, of: int) -> Column:

@@ -9,38 +9,51 @@ shows: with df the number of rows that hold something and D all rows,
 
 of the entity's information log2(D / df(entity)). Where that share reaches
 ``GENERALISE`` the term gives way to a general one, and where it reaches
-``REMOVE`` to nothing, wherever it stands in the texts of that entity. Chance meetings prove
-little: ``DISCOUNT`` bits over the number of different texts that hold the
-pair are taken off first. Every pair is estimated, also that of a single
-text. Rows without an entity are left as they are.
+``REMOVE`` to nothing, wherever it stands in the texts of that entity.
+
+That estimate alone proves nothing: any rare word meets the entity of its one
+text by chance, and there are many words. So a pair counts only if chance does
+not explain it. By chance each occurrence of a term falls into a text with the
+entity with probability w, the entity's share of all distinct terms of all
+rows; of df(term) occurrences some L = df(term) w do. The chance that k or
+more independent ones do is at most L^k / k!, and the corpus offers T E pairs
+of a term and an entity to choose from. A pair counts if the number of such
+pairs expected by chance in the whole corpus, T E L^k / k!, is at most
+``CHANCE_PAIRS`` (k! by Stirling's lower bound). k is the number of independent texts that hold both: copies
+of a text, exact or near, hold the same words for another reason and are one
+(near: by minimum hashes of the text's terms, ``BANDS`` bands of ``BAND``
+hashes, of which one is the same: at a likeness of 0.93, that of the terms of
+near copies, 98 % of pairs, at 0.4 2 %). The
+rule has no smallest number of texts; how many are needed follows from the
+corpus. Rows without an entity are left as they are.
 
 With DataFrame functions only. One scan finds entities and, in the rows that
 hold one, the places of the words, and writes them to the shared folder; a
-second counts the corpus. As a pair is in no more rows than its entity, a term
-of more than D ** (1 - GENERALISE) df(entity) ** GENERALISE rows cannot reach
-``GENERALISE``; such terms are left out before pairs are formed. Everything is
-keyed by row, by pair or by term and combined map-side. A pair that a third of
-the rows hold is counted from partial counts; where it meets its rows again
-adaptive execution splits it. Texts are not shuffled for the spans, and once
-by row to rewrite them.
+second counts the terms of the corpus. Before any pair is formed, entities
+leave of which no term could count, as they stand in too few independent
+texts; entities that stand in the same texts are one; and terms of too many
+rows to reach ``GENERALISE`` leave, all without loss. So a page of many
+addresses that are found nowhere else forms no pairs. Pairs are formed once
+for each different text and combined map-side; spans too are found once for
+each different text.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import few, written
 
-#: Code points around an entity that are its context: more than a text has, so that each text is taken whole.
-CONTEXT = 1 << 31
 #: Matches of which the places are added up at once.
 PIECE = 256
-#: Bits taken off for a pair of one text: log2(10). The one-sided 90 % lower confidence bound of a term's share of texts
-#: with the entity is 0.1 ** (1 / n) if all its n texts hold it.
-DISCOUNT = 3.321928094887362
+#: Pairs expected by chance in the whole corpus among those that count.
+CHANCE_PAIRS = 1.0
 GENERALISE = 0.6
 REMOVE = 0.9
+BANDS, BAND = 4, 6
 #: In the order of spans that begin together; the last two are terms.
 KINDS = ("email", "ip", "card", "phone", "general", "removed")
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "general": "[TERM]", "removed": ""}
@@ -143,15 +156,48 @@ def _terms(text: Column, spans: Column) -> Column:
         spans, lambda o: (t["start"] < o["end"]) & (o["start"] < t["end"])))
 
 
-def find_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", discount: float = DISCOUNT,
+def _independent(entity_texts: DataFrame) -> DataFrame:
+    """(entity, th, label): texts of an entity with the same label are copies or near copies of each other.
+
+    A text takes the smallest label among those with the same hash of one
+    band, and then, with its new label, of the next.
+    """
+    out = entity_texts.withColumn("label", F.col("th"))
+    for band in range(BANDS):
+        m = f"m{band}"
+        least = out.groupBy(F.col("entity").alias("__e"), F.col(m).alias("__m")).agg(F.min("label").alias("__l"))
+        out = out.join(least, (F.col("entity") == F.col("__e")) & (F.col(m) == F.col("__m"))).select(
+            *entity_texts.columns, F.col("__l").alias("label"))
+    return out.select("entity", "th", "label")
+
+
+def _bands(own: Column, text_hash: Column) -> list[Column]:
+    """A hash of each band over the terms ``own``; of a text without terms the text's own."""
+    hashes = F.transform(own, lambda t: F.xxhash64(t))
+
+    def least(k: int) -> Column:
+        return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(k))))
+
+    return [F.when(F.size(own) > 0, F.xxhash64(*[least(band * BAND + i) for i in range(BAND)])).otherwise(text_hash).alias(f"m{band}")
+            for band in range(BANDS)]
+
+
+def _bits(k: Column, chance: Column) -> Column:
+    """-log2 of L^k / k!, with Stirling's lower bound of k!."""
+    stirling = (k + 0.5) * F.log2(k) + (0.5 * math.log2(2 * math.pi) - math.log2(math.e) * k)
+    return stirling - k * F.log2(chance)
+
+
+def find_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", chance_pairs: float = CHANCE_PAIRS,
                generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """One row per row of ``df``: id, text_hash, base and spans.
 
     ``base`` are the spans of the four kinds and ``spans`` these and the
     disclosing terms, each (start, k, end, kind) by start and then kind. A
-    null text is empty. Rows repeated in full have the same spans and count
-    as often as they come; an empty table gives an empty result; further
-    columns are not read.
+    null text is empty. A very long text is one text, whatever it holds; its
+    terms are counted and rewritten throughout. Rows repeated in full have the
+    same spans and count as often as they come, but for independent texts;
+    an empty table gives an empty result; further columns are not read.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     docs = df.select(F.col(id_col).alias("id"), body.alias("text"), F.xxhash64(body).alias("th"))
@@ -159,39 +205,59 @@ def find_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", discou
     terms = F.when(F.size("base") > 0, _terms(F.col("text"), F.col("base")))
     found = written(docs.withColumn("base", base_spans(F.col("text"))).select(
         "id", "th", "base", F.array_distinct(F.transform("base", entity)).alias("entities"), terms.alias("terms")), "entities")
-
     rows = found.count()
+    spans = _plain(F.col("base"))
+
+    # Different texts that hold an entity, with the number of their rows, distinct terms and hashes of bands.
     held = found.filter(F.size("base") > 0)
+    texts = held.groupBy("th").agg(F.count(F.lit(1)).alias("copies"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
+    texts = texts.withColumn("own", F.array_distinct(F.transform("terms", lambda t: t["term"])))
+    texts = written(texts.select("*", F.size("own").alias("n"), *_bands(F.col("own"), F.col("th"))), "texts")
+    bands = [f"m{band}" for band in range(BANDS)]
+    meetings = written(texts.select(F.explode("entities").alias("entity"), "th", "copies", "n", *bands), "entity-texts")
+    labels = _independent(meetings.select("entity", "th", *bands))
+    # Entities of the same texts are one: the first of them stands for all.
+    place = lambda s: F.sum(F.xxhash64("th", F.lit(s)).cast("decimal(20,0)")).alias(f"s{s}")
+    stats = meetings.groupBy("entity").agg(F.sum("copies").alias("df_entity"), F.sum(F.col("copies") * F.col("n")).alias("w"), place(1), place(2))
+    stats = stats.join(labels.groupBy("entity").agg(F.countDistinct("label").alias("most_k")), "entity")
+    entities = written(stats, "entity-counts")
     # An entity that all rows hold has no information to disclose.
-    entities = written(held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
-                       .filter(F.col("df_entity") < rows), "entity-counts")
-    most = rows ** (1 - generalise) * (entities.agg(F.max("df_entity")).first()[0] or 0) ** generalise
+    alike = entities.filter(F.col("df_entity") < rows).groupBy("df_entity", "w", "most_k", "s1", "s2").agg(F.min("entity").alias("entity"))
+
+    about = entities.agg(F.count(F.lit(1)).alias("n"), F.max("df_entity").alias("most")).first()
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("df_term")).filter(F.col("df_term") <= most * (1 + 1e-9))
-    met = written(held.select("id", "th", "entities", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
-                  .join(frequency, "term"), "met")
-
-    by_text = met.select("th", "term", "df_term", F.explode("entities").alias("entity")).groupBy("entity", "term", "df_term", "th").agg(
-        F.count(F.lit(1)).alias("n"))
-    pairs = by_text.groupBy("entity", "term", "df_term").agg(F.sum("n").alias("df_pair"), F.count(F.lit(1)).alias("texts"))
-    share = ((F.log2(F.col("df_pair") * F.lit(float(rows)) / (F.col("df_term") * F.col("df_entity"))) - discount / F.col("texts"))
+    frequency = written(words.groupBy("term").agg(F.count(F.lit(1)).alias("df_term")), "terms")
+    corpus = frequency.agg(F.count(F.lit(1)).alias("terms"), F.sum("df_term").alias("held")).first()
+    tests = max(1.0, float(corpus["terms"]) * about["n"])
+    share_of = F.col("w") / F.lit(float(corpus["held"] or 1))
+    needed = math.log2(tests) - math.log2(chance_pairs)
+    # No term of an entity counts for more than one that stands in its independent texts only, or in one of them.
+    able = alike.filter(F.greatest(_bits(F.col("most_k"), F.col("most_k") * share_of), -F.log2(share_of)) >= needed)
+    chosen = written(able.select(F.col("entity").alias("e"), "df_entity", share_of.alias("w")), "able")
+    if chosen.isEmpty():
+        return found.select(F.col("id").alias(id_col), F.col("th").alias("text_hash"), spans.alias("base"), spans.alias("spans"))
+
+    by_text = meetings.join(chosen, F.col("entity") == F.col("e")).select("entity", "df_entity", "w", "th", "copies").join(labels, ["entity", "th"])
+    by_text = written(by_text, "able-texts")
+    most = rows ** (1 - generalise) * about["most"] ** generalise
+    own = texts.join(by_text.select("th").distinct(), "th", "left_semi").select("th", F.explode("own").alias("term"))
+    met = own.join(frequency.filter(F.col("df_term") <= most * (1 + 1e-9)), "term")
+    pairs = by_text.join(met, "th").groupBy("entity", "df_entity", "w", "term", "df_term", "label").agg(F.sum("copies").alias("n"))
+    pairs = pairs.groupBy("entity", "df_entity", "w", "term", "df_term").agg(F.sum("n").alias("df_pair"), F.count(F.lit(1)).alias("k"))
+    share = (F.log2(F.col("df_pair") * F.lit(float(rows)) / (F.col("df_term") * F.col("df_entity")))
              / F.log2(F.lit(float(rows)) / F.col("df_entity")))
-    disclosing = written(
-        pairs.join(entities, "entity").withColumn("share", share).filter(F.col("share") >= generalise)
-        .select("entity", "term", F.when(F.col("share") >= remove, 5).otherwise(4).alias("k")), "disclosing")
+    telling = pairs.filter(_bits(F.col("k"), F.col("df_term") * F.col("w")) >= needed).withColumn("share", share)
+    disclosing = written(telling.filter(F.col("share") >= generalise).select(
+        "entity", "term", F.when(F.col("share") >= remove, 5).otherwise(4).alias("kind")), "disclosing")
 
     kinds = F.array(*[F.lit(k) for k in KINDS])
-    told = met.select(F.col("id").alias("i"), F.col("th").alias("t"), "term", F.explode("entities").alias("entity")).join(
-        disclosing, ["entity", "term"]).groupBy("i", "t", F.col("term").alias("w")).agg(F.max("k").alias("k"))
-    near = held.select("id", "th", F.explode("terms").alias("p")).select("id", "th", "p.term", "p.start", "p.end")
-    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")) & (F.col("term") == F.col("w"))
-    hits = near.join(told, same).groupBy("id", "th", "start", "end").agg(F.max("k").alias("k"))
-    added = hits.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(F.collect_list(F.struct(
+    told = by_text.select("entity", "th").join(disclosing, "entity").groupBy("th", "term").agg(F.max("kind").alias("k"))
+    near = texts.select("th", F.explode("terms").alias("p")).select("th", "p.term", "p.start", "p.end")
+    added = near.join(told, ["th", "term"]).groupBy(F.col("th").alias("t")).agg(F.collect_list(F.struct(
         "start", "k", "end", kinds[F.col("k")].alias("kind"))).alias("added"))
-    out = found.join(added, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")), "left")
-    spans = F.array_sort(F.concat(_plain(F.col("base")), F.coalesce(F.col("added"), F.array().cast(SPAN))))
-    return out.select(F.col("id").alias(id_col), F.col("th").alias("text_hash"), _plain(F.col("base")).alias("base"),
-                      spans.alias("spans"))
+    out = found.join(few(written(added, "term-spans")), F.col("th") == F.col("t"), "left")
+    all_spans = F.array_sort(F.concat(spans, F.coalesce(F.col("added"), F.array().cast(SPAN))))
+    return out.select(F.col("id").alias(id_col), F.col("th").alias("text_hash"), spans.alias("base"), all_spans.alias("spans"))
 
 
 def _plain(spans: Column) -> Column:
@@ -222,7 +288,6 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text: str = "text", **limits
     """``df`` with ``text`` rewritten; rows without spans are unchanged. Column order stays."""
     spans = find_spans(df, id_col, text, **limits).filter(F.size("spans") > 0).dropDuplicates([id_col, "text_hash"])
     spans = written(spans.select(F.col(id_col).alias("__i"), F.col("text_hash").alias("__t"), F.col("spans").alias("__spans")), "spans")
-    size = spans.agg(F.sum(1 + F.size("__spans"))).first()[0] or 0
-    joined = df.join(few(spans, size), F.col(id_col).eqNullSafe(F.col("__i")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__t")), "left")
+    joined = df.join(few(spans), F.col(id_col).eqNullSafe(F.col("__i")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__t")), "left")
     new = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(rewritten(F.col(text), F.col("__spans")))
     return joined.withColumn(text, new).select(*df.columns)
