@@ -1,14 +1,19 @@
-"""Python table function that splits a line into words (``str.split()``).
+"""Python table functions that split lines into words (``str.split()``).
 
-Kept for SQL users who write ``FROM t, LATERAL split_words(col)``. The native
-``explode(split_whitespace(col))`` gives the same rows without leaving the JVM
-and is what ``word_counts`` uses by default.
+* ``SplitColumn``: ``FROM split_lines(TABLE(lines))``. It is given the first
+  column of the table as Arrow batches and gives words as Arrow columns, one
+  call per batch.
+* ``SplitWords``: ``FROM lines, LATERAL split_words(line)``. Spark runs
+  lateral table functions row by row; Arrow ones are refused there.
+
+The native ``explode(split_whitespace(col))`` gives the same rows without
+leaving the JVM and is what ``word_counts`` uses by default.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udtf, udtf
 
 
 @udtf(returnType="word string", useArrow=True)
@@ -20,7 +25,22 @@ class SplitWords:
             yield (w,)
 
 
+@arrow_udtf(returnType="word string")
+class SplitColumn:
+    def eval(self, batch):
+        import pyarrow as pa
+
+        words = [w for line in batch.column(0).to_pylist() if line is not None for w in line.split()]
+        yield pa.table({"word": pa.array(words, pa.string())})
+
+
 def register_split_words(spark: SparkSession, name: str = "split_words") -> str:
-    """Register the table function for SQL under ``name``."""
+    """Register the row-wise table function for lateral joins in SQL under ``name``."""
     spark.udtf.register(name, SplitWords)
     return name
+
+
+def register_split_lines(spark: SparkSession, name: str = "split_lines") -> str:
+    """Register the vectorized table function, which takes a table of one text column, under ``name``."""
+    spark.udtf.register(name, SplitColumn)
+    return name

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.scalar import split_whitespace_raw
-from tideline.functions.udtf import register_split_words
+from tideline.functions.udtf import register_split_lines, register_split_words
 from tideline.session import ship_package
 
 
@@ -31,11 +31,16 @@ def word_counts(df: DataFrame, text: str, word: str = "word", count: str = "coun
     return words(df, text, word).groupBy(word).agg(F.count(F.lit(1)).alias(count))
 
 
-def word_counts_sql(spark: SparkSession, df: DataFrame, text: str, function: str = "split_words") -> DataFrame:
-    """The same count through a registered Python UDTF and SQL (the reference's form)."""
+def word_counts_sql(spark: SparkSession, df: DataFrame, text: str, function: str | None = None) -> DataFrame:
+    """The same count through a registered Python table function and SQL (the reference's form).
+
+    A bounded table goes to the vectorized function as a table argument; a
+    stream is joined laterally with the row-wise one.
+    """
     ship_package(spark)
-    register_split_words(spark, function)
-    return spark.sql(f"""
-        SELECT T.word AS word, COUNT(*) AS `count`
-        FROM {{lines}}, LATERAL {function}(line) AS T
-        GROUP BY T.word""", lines=df.select(F.col(text).alias("line")))
+    lines = df.select(F.col(text).alias("line"))
+    if df.isStreaming:
+        words_of = f"{{lines}}, LATERAL {register_split_words(spark, function or 'split_words')}(line) AS T"
+    else:
+        words_of = f"{register_split_lines(spark, function or 'split_lines')}(TABLE({{lines}})) AS T"
+    return spark.sql(f"SELECT T.word AS word, COUNT(*) AS `count` FROM {words_of} GROUP BY T.word", lines=lines)

@@ -108,7 +108,31 @@ _W_MS = 30 * _DAY_MS
 _LATE = f"((ts_ms // {_W_MS}) * {_W_MS} + {_W_MS}) - 1 <= wm_bounded_ms"
 _BOUNDS = f"(ts_ms // {_W_MS}) * {_W_MS} AS window_start_ms, (ts_ms // {_W_MS}) * {_W_MS} + {_W_MS} AS window_end_ms"
 
+# Each ship year is one micro-batch; its watermark is the largest order date of the years before, less 90 days.
+_SHIPPED = f"""
+WITH s AS (
+  SELECT o_orderpriority, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, CAST(o_orderdate AS TIMESTAMP) AS ts,
+         CAST(year(l_shipdate) AS INTEGER) AS ship_year
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+b AS (
+  SELECT ship_year, row_number() OVER (ORDER BY ship_year) - 1 AS epoch,
+         MAX(MAX(ts)) OVER (ORDER BY ship_year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 90 DAY AS wm
+  FROM s GROUP BY ship_year),
+m AS (
+  SELECT s.*, b.epoch, (epoch_ms(ts) // {_W_MS}) * 30 AS window_start_day,
+         coalesce(make_timestamp(((epoch_ms(ts) // {_W_MS}) + 1) * {_W_MS} * 1000) <= wm, FALSE) AS is_late
+  FROM s JOIN b USING (ship_year))"""
+
 ORACLE_SQL: dict[str, str] = {
+    "word_count_changelog": _WORD_COUNT,
+    "late_rows_stream": _SHIPPED + """
+SELECT o_orderpriority, l_orderkey, l_linenumber, l_partkey, l_suppkey, ts, ship_year, epoch FROM m WHERE is_late
+""",
+    "on_time_stream": _SHIPPED + """
+SELECT o_orderpriority, window_start_day, COUNT(*) AS n,
+       CAST(ROUND(SUM(CAST(l_quantity AS DECIMAL(28,8))), 6) AS DOUBLE) AS total_quantity
+FROM m WHERE NOT is_late GROUP BY 1, 2
+""",
     "price_signals": f"""
 SELECT user_id, signal, value, ts FROM (
   SELECT user_id, value, ts, {_SIGNAL_CASE.format(p="value")} AS signal

@@ -25,6 +25,7 @@ from tideline.operators import partials
 from tideline.operators.watermark import mark_late, system_lag_watermark, to_ms, watermark_trace
 from tideline.operators.windows import session_intervals, session_intervals_native, sliding_panes, tumbling
 from tideline.operators.wordcount import word_counts, word_counts_sql
+from tideline.plans.replays import q_late_rows_stream, q_on_time_stream, q_word_count_changelog
 from tideline.sources.tables import documents, events, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,4 +273,7 @@ QUERIES: dict[str, Query] = {
     "on_time_tumbling": q_on_time_tumbling,
     "lag_watermark": q_lag_watermark,
     "json_roundtrip": q_json_roundtrip,
+    "word_count_changelog": q_word_count_changelog,
+    "late_rows_stream": q_late_rows_stream,
+    "on_time_stream": q_on_time_stream,
 }

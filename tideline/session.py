@@ -21,8 +21,8 @@ DEFAULT_CONF = {
     # Streaming session windows merge the sessions of a map partition before the shuffle.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     # transformWithState needs the RocksDB state store.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    **(ROCKSDB := {"spark.sql.streaming.stateStore.providerClass":
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}),
 }
 
 
@@ -84,9 +84,14 @@ def checkpoint_location(spark: SparkSession, job: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/jobs/{job}"
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: its lineage ends there, its size is known."""
-    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
