@@ -1,0 +1,25 @@
+"""The SQL of this subpackage's queries agrees with them on a small table."""
+
+from __future__ import annotations
+
+import collections
+
+import duckdb
+import pytest
+
+from conftest import SF001
+from tideline.llm.queries import ORACLE_SQL, QUERIES
+
+
+@pytest.mark.parametrize("name", ["op12_runs", "op13_vector_codes"])
+def test_oracle_sql_agrees(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
+    cur = con.execute(ORACLE_SQL[name])
+    columns = [d[0] for d in cur.description]
+    df = QUERIES[name](spark, SF001)
+    assert sorted(df.columns) == sorted(columns)
+    assert collections.Counter(map(tuple, df.select(*columns).collect())) == collections.Counter(cur.fetchall())
+    types = {"bigint": "BIGINT", "string": "VARCHAR"}
+    assert {c: types[t] for c, t in df.dtypes} == {d[0]: str(d[1]) for d in con.execute("DESCRIBE " + ORACLE_SQL[name]).fetchall()}

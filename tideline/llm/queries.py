@@ -151,4 +151,92 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(length(head) + length(body) + 24) AS BIGINT) AS formatted_chars
         FROM coded GROUP BY conv_id""",
+    "op12_runs": r"""
+        WITH hashed AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+                   xor(list_reduce([4294967295] || list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+                                                                  lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT)),
+                                   lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                                            lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS h
+            FROM documents),
+        dealt AS (
+            SELECT doc_id, ws, h, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM hashed),
+        docs AS MATERIALIZED (
+            SELECT row_number() OVER () AS rid, doc_id, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN list_transform(range(0, len(ws)), lambda i:
+                       ws[1 + CASE WHEN i >= a THEN a + (i - a) % (1 + (len(ws) - a) // (3 + (h // 10) % 8)) ELSE i END]) ELSE ws END AS ws
+            FROM dealt),
+        -- Every run has 16 words in a row that equal those one period before.
+        grams AS MATERIALIZED (
+            SELECT rid, n, i, hash(ws[i + 1:i + 16]) AS g FROM (SELECT rid, ws, len(ws) AS n, unnest(range(0, len(ws) - 15)) AS i FROM docs WHERE len(ws) >= 24) x),
+        again AS MATERIALIZED (
+            SELECT * FROM grams SEMI JOIN (SELECT rid, g FROM grams GROUP BY rid, g HAVING count(*) > 1) r USING (rid, g)),
+        matches AS (
+            SELECT x.rid, x.i, x.i - y.i AS q FROM again x JOIN again y ON x.rid = y.rid AND x.g = y.g AND y.i < x.i AND 3 * (x.i - y.i) <= x.n),
+        diagonals AS (
+            SELECT rid, q AS period, min(i) - q AS start, count(*) + 15 + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM matches) x GROUP BY rid, q, island
+            HAVING count(*) + 15 + q >= greatest(24, 3 * q)),
+        runs AS MATERIALIZED (
+            SELECT * FROM diagonals d WHERE NOT EXISTS (
+                SELECT 1 FROM diagonals e WHERE e.rid = d.rid AND e.period < d.period AND e.start <= d.start AND e.start + e.length >= d.start + d.length)),
+        told AS (
+            SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+                   arg_min(CAST(row(start, length, period) AS STRUCT(start BIGINT, length BIGINT, period BIGINT)),
+                           row(-CAST(length AS DOUBLE) / period, start, period)) AS best
+            FROM runs GROUP BY rid),
+        dropped AS (
+            SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+        kept AS (
+            SELECT w.rid, string_agg(w.w, ' ' ORDER BY w.i) AS collapsed
+            FROM (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i FROM docs) w ANTI JOIN dropped d ON w.rid = d.rid AND w.i = d.i GROUP BY w.rid)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+               1000 * best.length // best.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+               sha256(coalesce(collapsed, '')) AS collapsed_sha256
+        FROM docs LEFT JOIN told USING (rid) LEFT JOIN kept USING (rid)""",
+    "op13_vector_codes": r"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS MATERIALIZED (
+            SELECT rid, pos, v[pos * len(v) // 16 + 1:(pos + 1) * len(v) // 16] AS part FROM kept CROSS JOIN range(16) AS r(pos)),
+        b0 AS MATERIALIZED (SELECT pos, rid - 1 AS entry, part FROM parts WHERE rid <= 64),
+        a0 AS MATERIALIZED (
+            SELECT rid, pos, min(d * 64 + entry) % 64 AS entry, min(d * 64 + entry) // 64 AS dist
+            FROM (SELECT p.rid, p.pos, b.entry,
+                         CAST(list_sum(list_transform(list_zip(p.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+                  FROM parts p JOIN b0 b ON p.pos = b.pos) x
+            GROUP BY rid, pos),
+        m1 AS MATERIALIZED (
+            SELECT pos, entry, list(CAST(m AS BIGINT) ORDER BY k) AS part
+            FROM (SELECT a.pos, a.entry, k, (sum(p.part[k]) - ((sum(p.part[k]) % count(*)) + count(*)) % count(*)) // count(*) AS m
+                  FROM a0 a JOIN parts p ON a.rid = p.rid AND a.pos = p.pos, range(1, len(p.part) + 1) AS t(k)
+                  GROUP BY a.pos, a.entry, k) x GROUP BY pos, entry),
+        b1 AS MATERIALIZED (
+            SELECT b.pos, b.entry, coalesce(m.part, b.part) AS part FROM b0 b LEFT JOIN m1 m ON b.pos = m.pos AND b.entry = m.entry),
+        a1 AS MATERIALIZED (
+            SELECT rid, pos, min(d * 64 + entry) % 64 AS entry, min(d * 64 + entry) // 64 AS dist
+            FROM (SELECT p.rid, p.pos, b.entry,
+                         CAST(list_sum(list_transform(list_zip(p.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+                  FROM parts p JOIN b1 b ON p.pos = b.pos) x
+            GROUP BY rid, pos),
+        m2 AS MATERIALIZED (
+            SELECT pos, entry, list(CAST(m AS BIGINT) ORDER BY k) AS part
+            FROM (SELECT a.pos, a.entry, k, (sum(p.part[k]) - ((sum(p.part[k]) % count(*)) + count(*)) % count(*)) // count(*) AS m
+                  FROM a1 a JOIN parts p ON a.rid = p.rid AND a.pos = p.pos, range(1, len(p.part) + 1) AS t(k)
+                  GROUP BY a.pos, a.entry, k) x GROUP BY pos, entry),
+        b2 AS MATERIALIZED (
+            SELECT b.pos, b.entry, coalesce(m.part, b.part) AS part FROM b1 b LEFT JOIN m2 m ON b.pos = m.pos AND b.entry = m.entry),
+        a2 AS MATERIALIZED (
+            SELECT rid, pos, min(d * 64 + entry) % 64 AS entry, min(d * 64 + entry) // 64 AS dist
+            FROM (SELECT p.rid, p.pos, b.entry,
+                         CAST(list_sum(list_transform(list_zip(p.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+                  FROM parts p JOIN b2 b ON p.pos = b.pos) x
+            GROUP BY rid, pos),
+        coded AS (
+            SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY pos) AS code, CAST(sum(dist) AS BIGINT) AS error FROM a2 GROUP BY rid)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY pos, entry)) FROM b2) AS codebooks_sha256
+        FROM coded JOIN kept USING (rid)""",
 }
