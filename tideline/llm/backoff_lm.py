@@ -243,8 +243,8 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text", held
     """One row per row of ``df``: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Rows whose ``held_out`` is false or null are the training texts. A null
-    text is empty: its only token is the end. Repeated rows count as often as
-    they come; without training texts every probability is 1. An empty table
+    text is empty: its only token is the end; a very long one is counted and
+    traversed whole. Repeated rows count as often as they come; without training texts every probability is 1. An empty table
     gives an empty result. Further columns of ``df`` are not read.
     """
     spark = df.sparkSession

@@ -51,6 +51,8 @@ def branches(messages: DataFrame, per_tree: int | None = 1) -> DataFrame:
     messages that reply in a circle belong to no path. Paths rank by the sum
     of their scores (null: 0), then by length and the smaller id of the leaf.
     Returns tree, leaf, rank, id, depth (0: the root). Null trees are one tree.
+    Neither texts, whatever their length, nor further columns are read; an
+    empty table has no paths.
     """
     own = messages.select("tree", "id", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     up = own.select(F.col("tree").alias("t"), F.col("id").alias("i"))
@@ -99,7 +101,8 @@ def format_paths(paths: DataFrame, messages: DataFrame) -> DataFrame:
 
     ``messages``: tree, id, role, text; a null role or text is empty.
     loss_spans: (start, end) of each assistant text in ``formatted``, in code
-    points, in order.
+    points, in order. Very long texts are kept whole, one conversation in one
+    row; empty tables give an empty result; further columns are not read.
     """
     own = messages.select(F.col("tree").alias("t"), F.col("id").alias("i"),
                           _escaped(F.coalesce("role", F.lit("")), ROLE_ESCAPES).alias("role"),
@@ -132,7 +135,10 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 
 
 def digests(conversations: DataFrame) -> DataFrame:
-    """What the output of ``format_paths`` says when it is read: tree, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
+    """What the output of ``format_paths`` says when it is read: tree, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
+
+    An empty table gives an empty result; further columns are not read.
+    """
     from tideline.llm.common import with_fields
 
     columns = {"n_turns": "long", "turns_sha256": "string", "loss_chars": "long", "loss_sha256": "string", "formatted_chars": "long"}

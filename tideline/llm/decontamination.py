@@ -67,7 +67,8 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text:
 
     Columns: id, item_id, matched and window (of the best passage, the first
     of several), similarity, doc_start (its place in tokens), text_hash. Rows
-    repeated in full are one; null texts and empty tables share nothing. Items
+    repeated in full are one; null texts and empty tables share nothing. Very
+    long texts are searched whole. Items
     of fewer than ``WINDOW`` tokens must occur in full; those of fewer than
     ``SPAN`` tokens are told from chance by nothing and never found. Further
     columns are not read.

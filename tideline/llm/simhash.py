@@ -159,6 +159,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
     component_id is the smallest id that links of at most ``radius`` differing
     bits reach, itself included. ``keep`` is true for the row of that id with
     the smallest text hash: rows repeated in full are all kept or all not.
+    A null or empty text has fingerprint zero and links like any other; a very
+    long one has one fingerprint of all its shingles.
     A null id never is a component_id unless a component has no other; an
     empty table gives an empty result; further columns of ``df`` are not read.
     """
