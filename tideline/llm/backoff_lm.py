@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from tideline.llm.common import written
 
 BLOCK_TOKENS = 1 << 19
+#: N-grams of all blocks, repeats over blocks included, that one bucket adds up: the number of buckets grows with the input.
+BUCKET_GRAMS = 4_000_000
 #: Characters cut into words at once.
 BLOCK_CHARS = 1 << 21
 END = b"\n"  # no word holds white space
@@ -244,12 +246,12 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text", held
 
     Rows whose ``held_out`` is false or null are the training texts. A null
     text is empty: its only token is the end; a very long one is counted and
-    traversed whole. Repeated rows count as often as they come; without training texts every probability is 1. An empty table
-    gives an empty result. Further columns of ``df`` are not read.
+    traversed whole. Repeated rows count as often as they come; without
+    training texts every probability is 1. An empty table gives an empty
+    result. Further columns of ``df`` are not read.
     """
     spark = df.sparkSession
     prior = {**PRIOR, **(prior or {})}
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(held_out), F.lit(False)).alias("held"),
                      F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = df.schema[id_col].dataType.simpleString()
@@ -331,6 +333,8 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text", held
                          "distinct": pa.array([0] * len(sizes) + [int((words > 0).sum())], pa.int64())})
 
     made = written(rows.mapInArrow(blocks, shape), "lm-blocks")
+    tokens = made.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda n, x: n + x))).first()[0] or 0
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-order * tokens // BUCKET_GRAMS))
     wanted = made.select("block", "held", "lengths", "tokens", "hashes").mapInArrow(
         asked, "block string, bucket int, keys binary, counts binary")
     answers = written(wanted.groupBy("bucket").applyInArrow(
