@@ -61,7 +61,7 @@ def main() -> None:
         out.append(f"| `{name}` | {s['shuffles']} | {s['broadcasts']} | {s['sorts']} | {s['windows']} | {s['hash_aggs']} | "
                    f"{s['sort_aggs']} | {', '.join(s['joins']) or '-'} | {s['codegen_ops']} | "
                    f"{'<br>'.join('`' + x + '`' for x in s['scans'])} |")
-        if name in ("price_signals", "session_stats", "dedup_expiring", "word_count"):
+        if name in ("price_signals", "session_stats", "session_native", "sliding_avg", "dedup_expiring", "word_count"):
             full += ["", f"## `{name}`", "", "```", plan.rstrip(), "```"]
     # The same operators with the hot-key split active (every user above 50 rows is split): one plan per written step.
     from pyspark.sql import functions as F

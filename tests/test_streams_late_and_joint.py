@@ -75,6 +75,29 @@ def test_changelog_goes_on_after_a_restart(spark):
     assert bag(log.filter("op = '-U'").select("k", "count").collect()) == Counter({(1, 1): 1, (None, 1): 1})
 
 
+def test_keys_of_any_type_keep_their_value(spark):
+    """Times that differ by a microsecond are two keys, in the changelog and in the dedup; nulls, NaN and blanks too."""
+    from tideline.streaming.dedup import stream_keep_first
+    for n, (kind, values) in enumerate({
+            "timestamp": [at(0), at(0) + dt.timedelta(microseconds=1), None, at(0)],
+            "timestamp_ntz": [at(0), at(0) + dt.timedelta(microseconds=7), None, at(0)],
+            "double": [0.1, float("nan"), None, 1e-300, float("nan"), 0.1],
+            "string": ["", " ", None, "a\"b\n", "é", "", "null"],
+            "decimal(30,10)": [None, 1, 2, 1]}.items()):
+        from decimal import Decimal
+        rows = [(Decimal(v).quantize(Decimal("1e-10")) if kind.startswith("dec") and v is not None else v, i) for i, v in enumerate(values)]
+        src = _files(spark, [rows[:2], rows[2:]], f"k {kind}, i int")
+        read = lambda: read_parquet_stream(spark, src, f"k {kind}, i int", 1)  # noqa: E731, B023
+        memory(stream_changelog_counts(read(), "k"), f"keys_log_{n}", availableNow=True).awaitTermination(300)
+        got = Counter({str(r.k): r["count"] for r in replayed_counts(spark.table(f"keys_log_{n}"), "k").collect()})
+        assert got == Counter(str(v) for v, _ in rows), kind
+        memory(stream_keep_first(read(), ["k"], "i"), f"keys_first_{n}", availableNow=True).awaitTermination(300)
+        first = {}
+        for v, i in rows:
+            first.setdefault(str(v), i)
+        assert {r.i for r in spark.table(f"keys_first_{n}").collect()} == set(first.values()), kind
+
+
 def late_chunks():
     rng, chunks, now = random.Random(6), [], 0
     for b in range(7):

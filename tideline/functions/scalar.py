@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The signal thresholds of the reference's stock job
 # (BUY when price / previous < 0.95, SELL when > 1.05, both strict).
@@ -53,6 +54,20 @@ def split_whitespace_raw(text: Column) -> Column:
     return F.split(text, WHITESPACE_RUN)
 
 
+# Times as text to the microsecond; nulls kept.
+_KEY_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+             "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def key_text(**columns: Column) -> Column:
+    """One text for values of any type; equal for equal values only, so that it can stand for them as a key."""
+    return F.to_json(F.struct(*[c.alias(name) for name, c in columns.items()]), _KEY_JSON)
+
+
+def from_key_text(text: Column, schema: T.StructType) -> Column:
+    return F.from_json(text, schema, _KEY_JSON)
+
+
 def upper(c: Column) -> Column:
     return F.upper(c)
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tideline.functions.scalar import from_key_text, key_text
 from tideline.operators.wordcount import words
 from tideline.session import ship_package
 from tideline.streaming.state import Levels
@@ -67,12 +68,12 @@ def stream_changelog_counts(df: DataFrame, key: str, count: str = "count", op: s
     """
     ship_package(df.sparkSession)
     kind = df.schema[key].dataType
-    coded = df.select(F.to_json(F.struct(F.col(key).alias("k")), {"ignoreNullFields": "false"}).alias("k"))
+    coded = df.select(key_text(k=F.col(key)).alias("k"))
     partial = coded.mapInArrow(_counted_here, "k string, n long")
     grouped = partial.withColumn("g", F.pmod(F.xxhash64("k"), F.lit(key_groups))).groupBy("g")
     out = grouped.transformWithStateInPandas(statefulProcessor=ChangelogProcessor(), outputStructType="k string, n long, op string",
                                              outputMode="Append", timeMode="None")
-    value = F.from_json("k", T.StructType([T.StructField("k", kind)]))["k"]
+    value = from_key_text(F.col("k"), T.StructType([T.StructField("k", kind)]))["k"]
     return out.select(F.col("op").alias(op), value.alias(key), F.col("n").alias(count))
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tideline.functions.scalar import key_text
 from tideline.functions.time import duration_us
 from tideline.session import ship_package
 from tideline.streaming.state import Levels
@@ -77,7 +78,7 @@ class TagDuplicatesProcessor(StatefulProcessor):
 
 def _by_group(df: DataFrame, keys: list[str], key_groups: int):
     ship_package(df.sparkSession)
-    keyed = df.withColumn("tideline_key", F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"}))
+    keyed = df.withColumn("tideline_key", key_text(**{f"k{i}": F.col(k) for i, k in enumerate(keys)}))
     return keyed.withColumn("tideline_group", F.pmod(F.xxhash64("tideline_key"), F.lit(key_groups))).groupBy("tideline_group")
 
 
