@@ -151,6 +151,12 @@ def session_intervals(df: DataFrame, keys: list[str], time: str, gap, aggs: list
     ``gap`` is a duration or a Column of microseconds, not negative. Rows
     without time or gap are in no session.
     """
+    if split == "auto" and not isinstance(gap, Column):
+        # A key has no more intervals than gaps fit into the table's time; if those are few, no key needs a split.
+        at = epoch_us(df, time)
+        first, last = df.agg(F.min(at), F.max(at)).first()
+        if first is None or (last - first) // max(1, duration_us(gap)) + 2 <= rows_per_split:
+            split = None
     made = _intervals(df, keys, time, gap, aggs)
     merged = assign_sessions(made, keys, "__from_at", F.col("__reach"), "__gap_us", split, rows_per_split)
     g = merged.groupBy(*keys, "__sess_start_us").agg(F.max("__end_us").alias("__sess_end_us"), *merges(aggs))
