@@ -86,3 +86,49 @@ def test_held_out_accuracy(spark):
     p = np.array([r.predicted for r in held])
     f1 = 2 * (p * y).sum() / (p.sum() + y.sum())
     assert auc > 0.95 and f1 > 0.8
+
+
+def labelled(spark, n, toxic_at):
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 90}" for j in range(12)) + (f" {toxic_at(i)}" if toxic_at(i) else ""), "en") for i in range(n)]
+    labels = [(i, int(toxic_at(i) is not None)) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), spark.createDataFrame(labels, "doc_id long, toxic int").repartition(3)
+
+
+def test_every_labelled_text_is_learned_from(spark):
+    # More texts than the 3,000 toxic and 6,000 other ones that a fit once drew; each toxic word is in few of them.
+    n = 16_000
+    docs, labels = labelled(spark, n, lambda i: f"foul{i % 800}z" if i % 3 == 0 else None)
+    rows = toxicity.labelled_texts(docs, labels)
+    assert rows.count() == n and rows.select("shard").distinct().count() == 2
+    have = toxicity._counts(rows)
+    assert have[:, toxicity.BUCKETS].tolist() == [n - len(range(0, n, 3)), len(range(0, n, 3))]
+    local = toxicity.Vocabulary(1 << 62)
+    texts = [(r.text, r.y) for r in rows.collect()]
+    words = toxicity.words_of([t for t, _ in texts])
+    numbers, features = local.featured(words)
+    brute = np.zeros_like(have)
+    for w, (_, y) in zip(words, texts):
+        of = {f for x in w for f in toxicity.feature_table([x])[0].tolist() if f >= 0}
+        brute[y, list(of)] += 1
+        brute[y, toxicity.BUCKETS] += 1
+    assert (have == brute).all()
+    assert (toxicity.feature_counts(numbers, np.array([len(w) for w in words]), np.array([y for _, y in texts]), features) == brute).all()
+
+
+def test_calibration_counts_every_kept_back_text(spark, model):
+    docs, labels = labelled(spark, 500, lambda i: "nastybc" if i % 5 == 0 else None)
+    rows = toxicity.labelled_texts(docs, labels)
+    here = toxicity.Model(model.embed, model.filters, model.bias, model.out)
+    toxicity._calibrate(rows, here)
+    texts = [(r.text, r.y) for r in rows.collect()]
+    values = np.rint(toxicity.logits(here, toxicity.Vocabulary(1000), toxicity.words_of([t for t, _ in texts])) * toxicity.LOGIT_STEPS) / toxicity.LOGIT_STEPS
+    assert here.shift == toxicity.best_threshold(values, np.array([y for _, y in texts]), np.ones(len(texts)))
+    assert list(here.by_lang) == ["en"]
+
+
+def test_reruns_and_other_partitions_give_the_same_model(spark):
+    docs, labels = labelled(spark, 9_000, lambda i: f"foul{i % 40}z" if i % 4 == 0 else None)
+    one, two = toxicity.fit(docs, labels), toxicity.fit(docs.repartition(7), labels.coalesce(1))
+    assert (one.embed == two.embed).all() and (one.out == two.out).all() and one.shift == two.shift and one.by_lang == two.by_lang
+    found = toxicity.classify(docs, one).join(labels, "doc_id")
+    assert found.filter("(score >= 0.3) != (toxic = 1)").count() == 0

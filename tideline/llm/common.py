@@ -26,11 +26,11 @@ def shared_folder(spark: SparkSession) -> str:
     return checkpoint_root(spark).rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: its lineage ends there."""
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder, with the writer's ``options``, and read back: its lineage ends there."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
