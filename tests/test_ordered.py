@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import tempfile
 
 import pytest
@@ -157,3 +158,32 @@ def test_operators_equal_with_a_hot_key_split(spark, op):
         return watermark_trace(arr, "k", "ts", "arrival", tie="event_id", out_of_orderness="1 hour",
                                idle="30 minutes", align="1 hour", **kw)
     assert bag(run(split="auto", rows_per_split=500).collect()) == bag(run(split=None).collect())
+
+
+def test_trace_of_a_hot_key_keeps_what_is_asked_and_sorts_small_buckets(spark, monkeypatch):
+    from tideline.operators.watermark import watermark_trace
+
+    monkeypatch.setattr(ordered, "_BUCKET_ROWS", 100)
+    rnd = random.Random(3)
+    rows = [(i % 2, i, f"x{i}", rnd.randint(0, 5_000), rnd.randint(0, 300)) for i in range(4_000)]
+    df = spark.createDataFrame(rows, "k int, n long, payload string, t long, a long").withColumn("ts", F.timestamp_millis("t")).withColumn(
+        "arrival", F.timestamp_millis("a"))
+    plan = ordered.plan_split(df, ["k"], ["arrival", "n"], "auto", 1_000)
+    # Keys of 2,000 rows are hot; their buckets are those a task sorts in memory, not of 1,000 rows.
+    assert all(10 <= len(r["__fine"]) <= 40 for r in plan.cuts.collect())
+
+    def trace(split, rows_per_split, keep):
+        return watermark_trace(df, "k", "ts", "arrival", tie="n", out_of_orderness="1 second", idle="10 milliseconds",
+                               align="1 second", split=split, rows_per_split=rows_per_split, keep=keep)
+    whole, some = trace(None, 1, None), trace("auto", 1_000, ["k", "n"])
+    assert some.columns == ["k", "n", "ts_ms", "arrival_ms", "wm_bounded_ms", "wm_idle_ms"]
+    assert whole.columns == [*df.columns, *some.columns[2:]]
+    assert bag(some.collect()) == bag(whole.select(some.columns).collect())
+
+
+@pytest.mark.parametrize("name", ["watermark_trace", "late_rows", "on_time_tumbling"])
+def test_replays_join_the_tables_once(spark, name):
+    from tideline.plans.queries import QUERIES
+    from conftest import SF001
+    files = QUERIES[name](spark, SF001).inputFiles()
+    assert files and not [f for f in files if "lineitem" in f or "orders" in f]

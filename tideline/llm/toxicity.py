@@ -192,6 +192,14 @@ def words_of(texts: list[str]) -> list[list[str]]:
     return [find(t.lower()) for t in texts]
 
 
+def distinct(values):
+    """The distinct values, in order; sorting is faster here than numpy's hashing."""
+    import numpy as np
+
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])[:len(values)]]
+
+
 def feature_counts(numbers, lengths, toxic, features):
     """Texts of either label that have each feature; the last column: texts."""
     import numpy as np
@@ -199,12 +207,9 @@ def feature_counts(numbers, lengths, toxic, features):
     have = np.zeros((2, BUCKETS + 1), np.int64)
     have[:, BUCKETS] = np.bincount(toxic, minlength=2)
     if len(numbers):
-        # Short keys are sorted faster.
-        kind = np.int32 if len(lengths) * max(len(features), BUCKETS) < 1 << 31 else np.int64
-        once = np.unique(np.repeat(np.arange(len(lengths), dtype=kind), lengths) * kind(len(features)) + numbers.astype(kind))
-        text, of = once // kind(len(features)), features[once % kind(len(features))]
-        pairs = (text[:, None] * kind(BUCKETS) + of)[of >= 0]
-        pairs = np.unique(pairs)
+        once = distinct(np.repeat(np.arange(len(lengths)), lengths) * len(features) + numbers)
+        text, of = once // len(features), features[once % len(features)]
+        pairs = distinct((text[:, None] * BUCKETS + of)[of >= 0])
         of_toxic = toxic[pairs // BUCKETS]
         for y in (0, 1):
             have[y, :BUCKETS] += np.bincount(pairs[of_toxic == y] % BUCKETS, minlength=BUCKETS)

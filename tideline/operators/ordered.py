@@ -13,8 +13,10 @@ order, ties included. So a burst, and rows of one instant, are cut like any
 others. Cut points, one per ``rows_per_split`` rows of the table at most, are
 written as a small table, which Spark's own size check joins to the rows.
 
-Rows are shuffled once, on ``(key, bucket)``, scanned within their bucket and
-written. The last row of each bucket says what the bucket hands on; a window
+Rows are shuffled once, on ``(key, bucket)``, as they came: what can be
+computed from a row is computed after the shuffle. They are scanned within
+their bucket, which is small enough to be sorted in memory, and written, with
+the columns that are still needed. The last row of each bucket says what the bucket hands on; a window
 over those few rows gives what each bucket receives from all earlier ones, and
 that corrects the rows where they lie. Chained scans (sessions, watermarks)
 state how their steps combine, so a chain costs no further shuffle. Without
@@ -24,7 +26,7 @@ hot keys the plan is the plain window.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,8 +36,10 @@ from pyspark.sql import types as T
 from tideline.functions.time import duration_us, epoch_us
 from tideline.session import written
 
-# A key with more rows than this is split into buckets of about this many rows.
+# A key with more rows than this is split into buckets of about this many rows, at most _BUCKET_ROWS.
 DEFAULT_ROWS_PER_SPLIT = 4_000_000
+# Rows of a bucket that a task sorts in memory, with a few others beside it.
+_BUCKET_ROWS = 500_000
 # Sampled rows per bucket: cut points are this exact.
 _SAMPLES = 256
 # Cut points are searched in groups of this many.
@@ -80,12 +84,14 @@ class Chain:
     step; later steps may use earlier ones. ``hand_on``: what the bucket's last
     row tells. ``receive(w)``: likewise steps over the buckets of a key.
     ``result``: the scan's columns, from those of ``steps`` and ``receive``;
-    what a first bucket receives is null.
+    what a first bucket receives is null. ``derived``: columns computed from
+    each row alone, which ``steps`` may use and the result has.
     """
     steps: Callable[[Window], list[dict[str, Column]]]
     hand_on: dict[str, Column]
     receive: Callable[[Window], list[dict[str, Column]]]
     result: dict[str, Column]
+    derived: dict[str, Column] = field(default_factory=dict)
 
 
 def _order_struct(order: list[str]) -> Column:
@@ -124,8 +130,9 @@ def plan_split(df: DataFrame, keys: list[str], order: str | list[str], split="au
     hot = written(hot, "hot-keys")
     if hot.isEmpty():
         return None
-    every = max(1, rows_per_split // _SAMPLES)
-    step = max(1, rows_per_split // every)
+    bucket = min(rows_per_split, _BUCKET_ROWS)
+    every = max(1, bucket // _SAMPLES)
+    step = max(1, bucket // every)
     hashed = _hashable(df)
     rows = _with_row_hash(df, hashed)
     sampled = rows.filter(F.pmod(F.xxhash64("__h", F.lit(1)), F.lit(every)) == 0)
@@ -155,23 +162,26 @@ def _bucketed(df: DataFrame, keys: list[str], order: list[str], plan: SplitPlan)
     below = F.when(F.coalesce(F.col("__g"), F.lit(0)) < 1, F.lit(0)).otherwise(
         (F.col("__g") - 1) * _GROUP + F.size(F.filter(in_group, lambda c: c <= F.col("__o"))))
     return (joined.withColumn("__g", group).withColumn("__b", below.cast("long"))
-            .drop(*names, "__coarse", "__fine", "__o", "__g")), order
+            .drop(*names, "__coarse", "__fine", "__o", "__g", "__h")), order
 
 
 def _stepped(df: DataFrame, steps: list[dict[str, Column]]) -> DataFrame:
     for step in steps:
-        df = df.withColumns(step)
+        df = df.withColumns(step) if step else df
     return df
 
 
 def keyed_chain(df: DataFrame, keys: list[str], order: list[str], chain: Chain, split="auto",
-                rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> DataFrame:
-    """``df`` and the chain's result columns, per key in ``order`` (ascending)."""
+                rows_per_split: int = DEFAULT_ROWS_PER_SPLIT, keep: list[str] | None = None) -> DataFrame:
+    """``df`` and the chain's ``derived`` and result columns, per key in ``order`` (ascending).
+
+    ``keep``: the columns of ``df`` in the result (default: all).
+    """
     plan = plan_split(df, keys, order, split, rows_per_split)
-    cols = df.columns
+    cols = [*(df.columns if keep is None else keep), *chain.derived]
     if plan is None:
         w = Window.partitionBy(*keys).orderBy(*order)
-        rows = _stepped(df, chain.steps(w))
+        rows = _stepped(df, [chain.derived, *chain.steps(w)])
         # Each key is one bucket and receives nothing.
         told = rows.select(*keys, F.lit(0).alias("__b"), *_hand_on(chain))
         types = _stepped(told, chain.receive(Window.partitionBy(*keys).orderBy("__b"))).schema
@@ -179,12 +189,18 @@ def keyed_chain(df: DataFrame, keys: list[str], order: list[str], chain: Chain,
         return rows.withColumns(received).withColumns(chain.result).select(*cols, *chain.result)
 
     rows, order = _bucketed(df, keys, order, plan)
+    rows = rows.repartition(*keys, "__b")
+    if "__h" in order:
+        rows = _with_row_hash(rows, plan.hashed)
     w = Window.partitionBy(*keys, "__b").orderBy(*order)
-    rows = _stepped(rows, chain.steps(w)).withColumn("__last", F.lead(F.lit(1)).over(w).isNull())
-    rows = written(rows, "scanned")
+    rows = _stepped(rows, [chain.derived, *chain.steps(w)]).withColumn("__last", F.lead(F.lit(1)).over(w).isNull())
     names = [f"__rk{i}" for i in range(len(keys))]
+    own = [n for step in chain.steps(w) for n in step]
+    # What a bucket hands on is kept with its last row alone.
+    told = [F.when(F.col("__last"), c).alias(n) for n, c in chain.hand_on.items()]
+    rows = written(rows.select(*dict.fromkeys([*cols, *keys]), *own, "__b", "__last", *told), "scanned", compression="zstd")
     last = rows.filter("__last").select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("__b").alias("__rb"),
-                                        *_hand_on(chain))
+                                        *chain.hand_on)
     received = _stepped(last, chain.receive(Window.partitionBy(*names).orderBy("__rb")))
     received = written(received.select(*names, "__rb", *_received(chain)), "received")
     on = _same(keys, names) & (F.col("__b") == F.col("__rb"))

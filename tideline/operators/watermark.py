@@ -46,13 +46,15 @@ def _ms(d) -> int:
 def watermark_trace(df: DataFrame, sources: str | list[str], time: str, arrival: str,
                     tie: str | list[str] | None = None, out_of_orderness="10 seconds",
                     idle="5 seconds", align="10 seconds", bounded_delay=None,
-                    split="auto", rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> DataFrame:
+                    split="auto", rows_per_split: int = DEFAULT_ROWS_PER_SPLIT, keep: list[str] | None = None) -> DataFrame:
     """Add ``ts_ms``, ``arrival_ms``, ``wm_bounded_ms`` and ``wm_idle_ms``.
 
     ``wm_bounded_ms``: bounded watermark with ``bounded_delay`` (defaults to
     ``out_of_orderness``, no -1, as a SQL watermark declaration).
     ``wm_idle_ms``: the idle-advancing generator. Both are the watermark in
-    force just before the row arrives.
+    force just before the row arrives. ``keep``: the columns of ``df`` in the
+    result (default: all). With ``split='auto'`` ``df`` is read up to three
+    times: write it first if that costs much.
     """
     srcs = [sources] if isinstance(sources, str) else list(sources)
     ties = [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
@@ -60,7 +62,11 @@ def watermark_trace(df: DataFrame, sources: str | list[str], time: str, arrival:
     if align_ms <= 0:
         raise ValueError("align must be positive")
     delay = ooo if bounded_delay is None else _ms(bounded_delay)
-    base = df.withColumn("ts_ms", to_ms(df, time)).withColumn("arrival_ms", to_ms(df, arrival))
+    derived, base = {"ts_ms": to_ms(df, time), "arrival_ms": to_ms(df, arrival)}, df
+    if clash := [c for c in derived if c in df.columns]:  # replaced before anything else
+        base = df.withColumns({c: derived.pop(c) for c in clash})
+    if keep is not None:
+        keep = [*keep, *[c for c in clash if c not in keep]]
     ts, arrived = F.col("ts_ms"), F.col("arrival_ms")
     got_max, got_arrival, first = F.col("__got_max"), F.col("__got_arrival"), F.col("__first_arrival")
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
@@ -82,8 +88,9 @@ def watermark_trace(df: DataFrame, sources: str | list[str], time: str, arrival:
         result={
             "__max_before": F.greatest("__own_max", got_max),
             "__last_idle_max": F.when(F.col("__own_idle").isNotNull(), F.greatest("__own_idle", got_max))
-            .when(first - got_arrival > idle_ms, got_max).otherwise(F.col("__got_idle"))})
-    traced = keyed_chain(base, srcs, [arrival, *ties], chain, split, rows_per_split)
+            .when(first - got_arrival > idle_ms, got_max).otherwise(F.col("__got_idle"))},
+        derived=derived)
+    traced = keyed_chain(base, srcs, [arrival, *ties], chain, split, rows_per_split, keep)
     p = F.col("__max_before") - F.lit(ooo + 1)
     q = floor_div(F.col("__last_idle_max"), align_ms) * F.lit(align_ms) + F.lit(ooo + 1)
     return (traced.withColumn("wm_bounded_ms", F.col("__max_before") - F.lit(delay))

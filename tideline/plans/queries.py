@@ -26,6 +26,7 @@ from tideline.operators.watermark import mark_late, system_lag_watermark, to_ms,
 from tideline.operators.windows import session_intervals, session_intervals_native, sliding_panes, tumbling
 from tideline.operators.wordcount import word_counts, word_counts_sql
 from tideline.plans.replays import q_late_rows_stream, q_on_time_stream, q_word_count_changelog
+from tideline.session import written
 from tideline.sources.tables import documents, events, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,27 +203,29 @@ def q_dedup_expiring_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- watermarks and late rows (T4, T5, T7, T12, T13) ----------------------------------
 
-def _trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return watermark_trace(replayed(spark, sf_dir), "o_orderpriority", "ts", "arrival",
+def _trace(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    # The join is done once; the trace reads its rows up to three times.
+    rows = written(replayed(spark, sf_dir), "replayed", compression="zstd")
+    return watermark_trace(rows, "o_orderpriority", "ts", "arrival",
                            tie=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
-                           out_of_orderness=REPLAY_OOO, idle=REPLAY_IDLE, align=REPLAY_ALIGN)
+                           out_of_orderness=REPLAY_OOO, idle=REPLAY_IDLE, align=REPLAY_ALIGN, keep=["o_orderpriority", *keep])
 
 
 def q_watermark_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tr = _trace(spark, sf_dir)
+    tr = _trace(spark, sf_dir, "l_orderkey", "l_linenumber")
     return tr.select("o_orderpriority", "l_orderkey", "l_linenumber", "ts_ms", "arrival_ms", "wm_bounded_ms", "wm_idle_ms")
 
 
 def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows a 30-day tumbling window would drop: their window fired before they arrived."""
-    m = mark_late(_trace(spark, sf_dir), "ts_ms", "wm_bounded_ms", REPLAY_WINDOW)
+    m = mark_late(_trace(spark, sf_dir, "l_orderkey", "l_linenumber"), "ts_ms", "wm_bounded_ms", REPLAY_WINDOW)
     return m.filter("is_late").select("o_orderpriority", "l_orderkey", "l_linenumber", "ts_ms", "arrival_ms",
                                       "window_start_ms", "window_end_ms", "wm_bounded_ms")
 
 
 def q_on_time_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The windowed result the stream would emit: late rows silently dropped."""
-    m = mark_late(_trace(spark, sf_dir), "ts_ms", "wm_bounded_ms", REPLAY_WINDOW)
+    m = mark_late(_trace(spark, sf_dir, "l_quantity"), "ts_ms", "wm_bounded_ms", REPLAY_WINDOW)
     return (m.filter(~F.col("is_late"))
              .groupBy("o_orderpriority", "window_start_ms", "window_end_ms")
              .agg(F.count(F.lit(1)).alias("n"), _sum6("l_quantity").alias("total_quantity")))

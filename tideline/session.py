@@ -89,10 +89,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: its lineage ends there, its size is known."""
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder, with the writer's ``options``, and read back: its lineage ends there, its size is known."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
