@@ -97,3 +97,35 @@ def test_native_sessions_from_intervals(spark, gap):
     got = session_intervals_native(df, ["k"], "t", gap, two_step()).drop("mean")
     want = session_window_native(df, ["k"], "t", gap, single()).drop("mean")
     assert bag(got.collect()) == bag(want.collect())
+
+
+def test_words_of_a_batch_come_in_bounded_tables(monkeypatch):
+    import pyarrow as pa
+    from tideline.functions import udtf
+
+    spaces = "".join(chr(c) for c in range(0x3100) if chr(c).isspace())
+    lines = [f"a{i} b{s}c " * 40 for i, s in enumerate(spaces)] + [None, "", " "] + ["long line " * 2_000]
+    monkeypatch.setattr(udtf, "BLOCK_CHARS", 800)
+    lists = list(udtf._word_lists(pa.chunked_array([pa.array(lines)])))
+    assert [w for ws in lists for w in ws] == [w for line in lines if line for w in line.split()]
+    assert len(lists) > 10 and max(sum(map(len, ws)) for ws in lists) < 3 * 800
+
+
+def test_map_side_counts_are_added_up_over_batches(monkeypatch):
+    import collections
+    import pyarrow as pa
+    from tideline.streaming import changelog
+
+    batches = [pa.RecordBatch.from_arrays([pa.array([None, "a", f"w{i % 7}", "a"])], ["k"]) for i in range(100)]
+
+    def counted():
+        out = [r for b in changelog._counted_here(iter(batches)) for r in b.to_pylist()]
+        total = collections.Counter()
+        for r in out:
+            total[r["k"]] += r["n"]
+        assert total == collections.Counter(k for b in batches for k in b.column(0).to_pylist())
+        return len(out)
+    assert counted() == 9  # one row a key, where every batch once gave its own
+    monkeypatch.setattr(changelog, "HELD_BYTES", 200)
+    assert 9 < counted() <= 300
+    assert list(changelog._counted_here(iter([]))) == []

@@ -17,7 +17,7 @@ from tideline.sources.files import read_parquet_stream
 from tideline.sources.tables import documents, table
 from tideline.streaming.changelog import replayed_counts, stream_word_changelog
 
-# Micro-batches of the word count, and files of each.
+# Micro-batches of the word count, and files of each, at least.
 LINE_BATCHES, LINE_FILES = 4, 4
 # Late rows: a line item's event time is its order's date, and it arrives in the batch of its ship year.
 LATE_WINDOW, LATE_DELAY = "30 days", "90 days"
@@ -33,8 +33,10 @@ def q_word_count_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The continuous word count as a changelog over several micro-batches, replayed to its current counts."""
     lines, out, job = (shared_path(spark, n) for n in ("lines", "changelog", "changelog-job"))
     docs = documents(spark, sf_dir).select("text")
-    docs.repartition(LINE_BATCHES * LINE_FILES).write.parquet(lines)
-    log = stream_word_changelog(read_parquet_stream(spark, lines, docs.schema, LINE_FILES), "text")
+    # As many files a batch as the table has splits, so that every batch keeps all cores busy.
+    files = max(LINE_FILES, docs.rdd.getNumPartitions())
+    docs.repartition(LINE_BATCHES * files).write.parquet(lines)
+    log = stream_word_changelog(read_parquet_stream(spark, lines, docs.schema, files), "text")
     _run(log.writeStream.foreachBatch(parquet_batch_writer(out)), spark, job)
     return replayed_counts(spark.read.parquet(out), "word")
 

@@ -7,8 +7,9 @@ for a key's first count, ``-U`` with the old count and ``+U`` with the new one
 afterwards. Taking away every ``-U`` row and adding every other one, in any
 order, leaves the current counts.
 
-Rows are counted by record batch before they are shuffled, so a key that holds
-a third of all rows sends one row for each batch of its map tasks. Keys are
+Rows are counted in their map task before they are shuffled, as far as the
+counts take a bounded number of bytes, so a key that holds a third of all rows
+sends few rows. Texts are coded as keys after that, once for each count. Keys are
 dealt to ``key_groups`` groups; a group's counts are kept in levelled blocks
 (see ``streaming.state``), so a batch writes its own keys, not the idle ones.
 The changelog of a micro-batch is the same when it runs again after a failure.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,6 +35,8 @@ from tideline.streaming.state import Levels
 KEY_GROUPS = 64
 INSERT, BEFORE, AFTER = "+I", "-U", "+U"
 _COUNTS = pa.schema([("k", pa.string()), ("n", pa.int64())])
+#: Bytes of counts that a map task gathers before it hands them on.
+HELD_BYTES = 32 << 20
 
 
 class ChangelogProcessor(StatefulProcessor):
@@ -45,19 +49,37 @@ class ChangelogProcessor(StatefulProcessor):
         old = pd.Series(known["n"].to_numpy(), index=known["k"], dtype="int64").reindex(added.index)
         new = added + old.fillna(0).astype("int64")
         self.counts.add(pd.DataFrame({"k": new.index, "n": new.to_numpy()}))
-        first, before = old.isna(), old.dropna().astype("int64")
-        out = pd.concat([pd.DataFrame({"k": before.index, "n": before.to_numpy(), "op": BEFORE}),
-                         pd.DataFrame({"k": new.index, "n": new.to_numpy(), "op": [INSERT if f else AFTER for f in first]})])
-        yield out.sort_values(["k", "op"], kind="stable", key=lambda c: c.map({BEFORE: 0, AFTER: 1, INSERT: 1}) if c.name == "op" else c)
+        # A key's rows follow each other, the retracted one first.
+        known = old.notna().to_numpy()
+        at = np.repeat(np.arange(len(new)), 1 + known)
+        retracted = np.append(at[1:] == at[:-1], False)[:len(at)]
+        counts = np.where(retracted, old.fillna(0).to_numpy("int64")[at], new.to_numpy()[at])
+        op = np.where(retracted, BEFORE, np.where(known[at], AFTER, INSERT)).astype(object)
+        yield pd.DataFrame({"k": new.index.to_numpy()[at], "n": counts, "op": op})
 
     def close(self) -> None:
         pass
 
 
 def _counted_here(batches):
+    held, size = [], 0
+
+    def added_up():
+        counts = pa.TableGroupBy(pa.concat_tables(held), "k").aggregate([("n", "sum")])
+        return counts.select(["k", "n_sum"]).rename_columns(["k", "n"])
+
     for batch in batches:
         counts = pa.TableGroupBy(pa.Table.from_batches([batch]), "k").aggregate([([], "count_all")])
-        yield from counts.select(["k", "count_all"]).rename_columns(["k", "n"]).to_batches()
+        held.append(counts.select(["k", "count_all"]).rename_columns(["k", "n"]))
+        size += held[-1].nbytes
+        if size >= HELD_BYTES:
+            held = [added_up()]
+            size = held[0].nbytes
+            if size >= HELD_BYTES // 2:
+                yield from held[0].to_batches()
+                held, size = [], 0
+    if held:
+        yield from added_up().to_batches()
 
 
 def stream_changelog_counts(df: DataFrame, key: str, count: str = "count", op: str = "op",
@@ -68,8 +90,10 @@ def stream_changelog_counts(df: DataFrame, key: str, count: str = "count", op: s
     """
     ship_package(df.sparkSession)
     kind = df.schema[key].dataType
-    coded = df.select(key_text(k=F.col(key)).alias("k"))
-    partial = coded.mapInArrow(_counted_here, "k string, n long")
+    if kind == T.StringType():
+        partial = df.select(F.col(key).alias("k")).mapInArrow(_counted_here, "k string, n long").select(key_text(k=F.col("k")).alias("k"), "n")
+    else:
+        partial = df.select(key_text(k=F.col(key)).alias("k")).mapInArrow(_counted_here, "k string, n long")
     grouped = partial.withColumn("g", F.pmod(F.xxhash64("k"), F.lit(key_groups))).groupBy("g")
     out = grouped.transformWithStateInPandas(statefulProcessor=ChangelogProcessor(), outputStructType="k string, n long, op string",
                                              outputMode="Append", timeMode="None")
