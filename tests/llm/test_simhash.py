@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 import xxhash
@@ -54,6 +55,37 @@ def test_long_chain_of_links(spark):
     assert {r.label for r in connected_components(links).collect()} == {0}
 
 
+def test_few_tables_are_written(spark):
+    from tideline.llm.common import shared_folder
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    rng = random.Random(8)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(350)] + [(1000 + i, 1001 + i) for i in range(200)]
+    want = {n: n for e in edges for n in e}
+    for a, b in edges:
+        low, high = sorted((want[a], want[b]))
+        want = {n: low if x == high else x for n, x in want.items()}
+    before = set(folder.iterdir())
+    got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(got) == len(want) and {r.node: r.label for r in got} == want
+    assert len(set(folder.iterdir()) - before) <= 14  # 20 when each round wrote two tables
+
+
+def test_crowded_counts_only_are_written(spark, monkeypatch):
+    from tideline.llm import simhash
+    from tideline.llm.common import shared_folder
+    monkeypatch.setattr(simhash, "TILE", 8)
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    rng = random.Random(9)
+    crowded = {sum(1 << b for b in rng.sample(range(16), 2)) for _ in range(60)}  # two bits of one quarter: linked or 4 apart
+    fps = sorted(crowded | {rng.getrandbits(62) for _ in range(50)})
+    before = set(folder.iterdir())
+    links = links_within(spark.createDataFrame([(f,) for f in fps], "fingerprint long"))
+    got = {r.node: r.label for r in connected_components(links).collect()}
+    assert {n: got.get(n, n) for n in fps} == brute_components(fps, lambda a, b: bin(a ^ b).count("1") <= 3)
+    (crowd,) = [p for p in set(folder.iterdir()) - before if p.name.startswith("crowd-")]
+    assert [r.n for r in spark.read.parquet(str(crowd)).collect()] == [len(crowded)]
+
+
 def test_operator_edge_rows(spark):
     base = "alpha beta gamma delta epsilon zeta eta theta iota kappa " * 30
     rows = [(4, base, 1), (2, base, 1), (2, base, 1), (9, None, 1), (8, "", 1), (None, "  ", 1), (7, "lone text here now", 1)]

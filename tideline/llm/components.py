@@ -11,27 +11,23 @@ from tideline.llm.common import written
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) for every node of a link: label is the smallest node that links reach.
 
-    Each round takes the smallest label among a node's neighbours, then the
-    label of that label. The tables of a round hold one row per node, are
-    written to the shared folder, and the driver gets one flag. A node with
-    very many links is combined map-side and its join partition is split by
-    adaptive execution.
+    Each round takes the label of a node's label, then the smallest of these
+    among the node and its neighbours. A round's labels, one row per node, are
+    written once to the shared folder, and the driver gets one flag. A node
+    with very many links is combined map-side; both joins read written tables,
+    so adaptive execution splits the partition of such a node or label.
     """
-    edges = written(links.select(F.col(a).alias("a"), F.col(b).alias("b"))
-                    .union(links.select(F.col(b), F.col(a))).distinct(), "links")
-    labels = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select(
-        "node", F.least("node", "m").alias("label"))
-    labels = written(labels, "labels")
+    a, b = F.col(a), F.col(b)
+    ways = F.array(*[F.struct(x.alias("a"), y.alias("b")) for x, y in ((a, b), (b, a), (a, a), (b, b))])
+    edges = written(links.select(F.inline(ways)).distinct(), "links")  # both ways, and each node's own
+    labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "labels")
     while True:
-        heard = (edges.join(labels, F.col("b") == F.col("node"))
-                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard")))
-        nearer = labels.join(heard, "node").select("node", F.col("label").alias("old"),
-                                                   F.least("label", "heard").alias("label"))
-        nearer = written(nearer, "labels")
-        jump = nearer.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        jumped = nearer.join(jump, "label", "left").select(
-            "node", F.least("label", F.coalesce("further", "label")).alias("label"), "old")
-        state = written(jumped, "labels")
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        jumped = labels.join(jump, "label", "left").select(
+            "node", F.least("label", "further").alias("label"), F.col("label").alias("old"))
+        own = F.when(F.col("a") == F.col("b"), F.col("old"))
+        state = written(edges.join(jumped, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node"))
+                        .agg(F.min("label").alias("label"), F.max(own).alias("old")), "labels")
         labels = state.select("node", "label")
         if state.filter(F.col("label") != F.col("old")).isEmpty():
             return labels

@@ -122,9 +122,10 @@ def links_within(fingerprints: DataFrame, radius: int = 3, fp: str = "fingerprin
     """
     counts = written(fingerprints.select(F.col(fp).alias("fp"), *_segment_counts(fp, segments)), "fingerprints")
     key = [f"q{i}" for i in range(segments)]
-    crowd = written(counts.groupBy(*key).agg(F.count(F.lit(1)).alias("n")), "crowd")
-    dealt = counts.join(few(crowd), key).withColumn("sub", F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / TILE)))
-    tiles = written(dealt.groupBy(*key, "sub").agg(F.collect_list("fp").alias("fps")), "tiles")
+    crowd = written(counts.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TILE), "crowd")
+    dealt = counts.join(few(crowd), key, "left").withColumn(
+        "sub", F.pmod(F.xxhash64("fp"), F.coalesce(F.ceil(F.col("n") / TILE), F.lit(1))))
+    tiles = dealt.groupBy(*key, "sub").agg(F.collect_list("fp").alias("fps"))
 
     # Each unordered pair of tiles meets once: the offset's first non-zero count is positive, or it is the same key.
     offsets = [o for o in _offsets(segments, radius) if o >= (0,) * segments]
